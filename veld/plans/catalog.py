@@ -127,7 +127,7 @@ def _describe_sql(cols, src="lineitem"):
     parts = []
     for c in cols:
         parts.append(
-            f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 6) AS mean, "
+            f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}), 8) AS mean, "
             f"round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min, "
             f"round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50, "
             f"round(quantile_cont({c}, 0.75), 6) AS q75, round(max({c}), 6) AS max FROM {src}")
@@ -137,15 +137,18 @@ def _describe_sql(cols, src="lineitem"):
 @query("describe_numeric", _describe_sql(LI_NUM))
 def q_describe_numeric(spark, d):
     out = profile.describe(table(spark, d, "lineitem"), LI_NUM)
-    return out.select(F.col("column").alias("column_name"), "count",
-                      *[r(c).alias(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]])
+    # a mean of 2-decimal values over n rows has at most 2 + (powers of 2 and 5 in n)
+    # decimals (<= 8 for n up to 600,000): 8 digits keeps exact ties off the grid edge
+    return out.select(F.col("column").alias("column_name"), "count", r("mean", 8).alias("mean"),
+                      *[r(c).alias(c) for c in ["std", "min", "q25", "q50", "q75", "max"]])
 
 
 @query("variance_numeric", _union_sql(
-    [f"SELECT '{c}' AS column_name, round(var_samp({c}), 6) AS variance FROM lineitem" for c in LI_NUM]))
+    [f"SELECT '{c}' AS column_name, round(var_samp({c}), 2) AS variance FROM lineitem" for c in LI_NUM]))
 def q_variance_numeric(spark, d):
     out = profile.variance(table(spark, d, "lineitem"), LI_NUM)
-    return out.select(F.col("column").alias("column_name"), r("variance").alias("variance"))
+    # variances reach 1e9: two decimals is already 1e-11 relative
+    return out.select(F.col("column").alias("column_name"), r("variance", 2).alias("variance"))
 
 
 @query("skewness_adjusted", _union_sql(
@@ -289,13 +292,14 @@ def q_quantile_clip(spark, d):
 WITH s AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq,
                   avg(l_extendedprice) AS mp, stddev_pop(l_extendedprice) AS sp FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       round((l_quantity - mq) / sq, 9) AS l_quantity, round((l_extendedprice - mp) / sp, 9) AS l_extendedprice
+       round((l_quantity - mq) / sq, 6) AS l_quantity, round((l_extendedprice - mp) / sp, 6) AS l_extendedprice
 FROM lineitem, s""")
 def q_standard_scale(spark, d):
     li = table(spark, d, "lineitem")
     sc = encode.Standardizer(["l_quantity", "l_extendedprice"]).fit(li).transform(li)
-    return sc.select(*LI_KEYS, r("l_quantity", 9).alias("l_quantity"),
-                     r("l_extendedprice", 9).alias("l_extendedprice"))
+    # one value per row: 6 digits keeps cross-engine noise (~1e-14) off the rounding edge
+    return sc.select(*LI_KEYS, r("l_quantity", 6).alias("l_quantity"),
+                     r("l_extendedprice", 6).alias("l_extendedprice"))
 
 
 # ====================================================================== target encoding
@@ -304,7 +308,7 @@ TE_COLS = ["l_returnflag", "l_linestatus"]
 
 
 @query("target_encode_mapping", _union_sql([
-    f"SELECT '{c}' AS column_name, {c} AS category, round(avg(l_extendedprice), 6) AS encoded, "
+    f"SELECT '{c}' AS column_name, {c} AS category, round(avg(l_extendedprice), 8) AS encoded, "
     f"count(*) AS rows FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c}" for c in TE_COLS]))
 def q_target_encode_mapping(spark, d):
     li = table(spark, d, "lineitem")
@@ -313,21 +317,21 @@ def q_target_encode_mapping(spark, d):
     enc.save(out)                                      # one folder per encoded column
     back = spark.read.parquet(out)
     return back.select(F.col("column").alias("column_name"), "category",
-                       r("encoded").alias("encoded"), "rows")
+                       r("encoded", 8).alias("encoded"), "rows")
 
 
 @query("target_encode", """
 WITH a AS (SELECT l_returnflag AS k, avg(l_extendedprice) AS v FROM lineitem GROUP BY 1),
      b AS (SELECT l_linestatus AS k, avg(l_extendedprice) AS v FROM lineitem GROUP BY 1)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag,
-       round(a.v, 6) AS l_returnflag_encoded, round(b.v, 6) AS l_linestatus_encoded
+       round(a.v, 8) AS l_returnflag_encoded, round(b.v, 8) AS l_linestatus_encoded
 FROM lineitem LEFT JOIN a ON l_returnflag = a.k LEFT JOIN b ON l_linestatus = b.k""")
 def q_target_encode(spark, d):
     li = table(spark, d, "lineitem").select(*LI_KEYS, "l_returnflag", "l_linestatus",
                                              "l_extendedprice")
     out = encode.TargetEncoder(TE_COLS, "l_extendedprice").fit(li).transform(li)
-    return out.select(*LI_KEYS, "l_returnflag", r("l_returnflag_encoded").alias("l_returnflag_encoded"),
-                      r("l_linestatus_encoded").alias("l_linestatus_encoded"))
+    return out.select(*LI_KEYS, "l_returnflag", r("l_returnflag_encoded", 8).alias("l_returnflag_encoded"),
+                      r("l_linestatus_encoded", 8).alias("l_linestatus_encoded"))
 
 
 # ====================================================================== duplicates

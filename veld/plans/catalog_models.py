@@ -17,8 +17,9 @@ from veld.operators import encode, select
 from veld.plans import evaluate as ev
 from veld.plans.catalog import LI_KEYS, query, r
 from veld.plans.inputs import table
+from veld.plans.linear_cv import fit_least_squares
 from veld.plans.models import label_stats, make_pipeline, weights_frame
-from veld.session import checkpoint_root
+from veld.session import checkpoint_root, materialize
 from veld.sources import io
 
 KEY_SQL = ("concat_ws(chr(1), CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), "
@@ -107,7 +108,7 @@ CV_MODELS = [("linear", {"fit_intercept": True}), ("linear_no_intercept", {"fit_
 
 def _cv(spark, d):
     _, train, _ = _train(spark, d)
-    parts = [ev.cross_validate(train, "linear", ["l_quantity"], LABEL, "fold", k=6, name=name, **p)
+    parts = [ev.cross_validate(train, "linear", ["l_quantity"], LABEL, "fold", name=name, **p)
              for name, p in CV_MODELS]
     return parts[0].unionByName(parts[1])
 
@@ -173,11 +174,17 @@ FROM p GROUP BY phase"""
 
 
 def prepared_orders_lines(spark, d):
-    """lineitem joined to orders (the sort-merge/broadcast choice is Catalyst's, by size)."""
+    """lineitem joined to orders, written once to the checkpoint folder.
+
+    The fit steps after it (quantile passes, encoder, scaler, solver, metrics) each scan
+    their input; reading the written join keeps the shuffle join from running for each
+    of them, and the written table survives executor loss.  Join strategy (broadcast or
+    sort-merge) is Catalyst's choice from the file sizes, re-planned by AQE.
+    """
     li = table(spark, d, "lineitem").select(*LI_KEYS, *FEATURES, LABEL, "l_returnflag")
     o = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
     j = li.join(o, li.l_orderkey == o.o_orderkey).drop("o_orderkey")
-    return j.withColumn("is_test", select.split_flag(LI_KEYS, 0.2, 42))
+    return materialize(j.withColumn("is_test", select.split_flag(LI_KEYS, 0.2, 42)), "orders-lines")
 
 
 @query("regression_metrics", FLAG_SQL)
@@ -189,7 +196,7 @@ def q_regression_metrics(spark, d):
     te = encode.TargetEncoder(["o_orderpriority"], LABEL).fit(train)
     e = te.transform(c)
     tr = e.where(~F.col("is_test"))
-    m = make_pipeline("linear", ["o_orderpriority_encoded"], label=LABEL, scale=False).fit(tr)
+    m = fit_least_squares(tr, ["o_orderpriority_encoded"], LABEL)
     pred = m.transform(e).withColumn("phase", F.when(F.col("is_test"), "test").otherwise("train"))
     parts = [ev.regression_metrics(pred.where(F.col("phase") == ph), LABEL)
              .withColumn("phase", F.lit(ph)) for ph in ("train", "test")]
@@ -199,7 +206,11 @@ def q_regression_metrics(spark, d):
 
 
 def price_model(spark, d):
-    """Flagship: join -> clip -> target-encode two categories -> split -> OLS -> metrics."""
+    """Flagship: join -> clip -> target-encode two categories -> split -> OLS -> metrics.
+
+    The OLS is the standardised least-squares fit of the reference pipeline, solved from
+    one aggregation of the normal equations (``veld.plans.linear_cv``).
+    """
     j = prepared_orders_lines(spark, d)
     c = encode.QuantileClip({LABEL: (0.05, 0.95)}).fit(j).transform(j)
     train = c.where(~F.col("is_test"))
@@ -207,7 +218,7 @@ def price_model(spark, d):
     e = te.transform(c)
     feats = FEATURES + ["o_orderpriority_encoded", "l_returnflag_encoded"]
     tr, ts = e.where(~F.col("is_test")), e.where(F.col("is_test"))
-    m = make_pipeline("linear", feats, label=LABEL).fit(tr)
+    m = fit_least_squares(tr, feats, LABEL)
     a = ev.regression_metrics(m.transform(tr), LABEL).withColumn("phase", F.lit("train"))
     b = ev.regression_metrics(m.transform(ts), LABEL).withColumn("phase", F.lit("test"))
     return a.unionByName(b).select("phase", "n", "rmse", "r2", "mae", "mse")

@@ -11,6 +11,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veld.plans.linear_cv import LINEAR_KINDS, cross_validate_linear
 from veld.plans.models import label_stats, make_pipeline
 
 
@@ -43,11 +44,17 @@ def cross_validate(data: DataFrame, kind: str, features: Sequence[str], label: s
                    name: str | None = None, parallelism: int = 4, **params) -> DataFrame:
     """Per-fold R^2 ``(model, fold, r2)``: fit on ``fold != i``, score ``fold == i`` (V2).
 
-    Each fit is a distributed job over the training folds; the fold column comes from
-    ``veld.operators.select.fold_column`` so folds are fixed by key, not by partition.
-    Folds are submitted from ``parallelism`` driver threads (as ``CrossValidator`` does).
+    Linear and ridge models go through the fused path of ``veld.plans.linear_cv`` (one
+    grouped aggregation for all folds).  Other models fit one distributed Spark ML job
+    per fold, submitted from ``parallelism`` driver threads (as ``CrossValidator`` does).
+    Folds come from ``veld.operators.select.fold_column``: fixed by key, not partition.
+    ``k`` given explicitly forces the per-fold Spark ML path.
     """
     spark = data.sparkSession
+    if kind in LINEAR_KINDS and k is None:
+        cand = dict(params, kind=kind)
+        return cross_validate_linear(data, features, label, fold, [cand], [name or kind]) \
+            .select("model", "fold", "r2")
     if k is None:
         k = data.agg(F.max(fold)).first()[0] + 1
 
@@ -109,6 +116,15 @@ def random_search(data: DataFrame, kind: str, features: Sequence[str], label: st
     is cross-validated through ``cross_validate`` (one distributed fit per fold).
     """
     spark = data.sparkSession
+    if kind in LINEAR_KINDS:
+        cv = cross_validate_linear(data, features, label, fold,
+                                   [dict(p, kind=kind) for p in candidates])
+        summ = {r["candidate"]: r for r in cv.groupBy("candidate").agg(
+            F.avg("r2").alias("m"), F.stddev_pop("r2").alias("s")).collect()}
+        rows = [(kind, j, {k: str(v) for k, v in p.items()}, summ[j]["m"], summ[j]["s"])
+                for j, p in enumerate(candidates)]
+        return spark.createDataFrame(
+            rows, "model string, candidate int, params map<string,string>, mean_r2 double, std_r2 double")
     rows = []
     for j, params in enumerate(candidates):
         cv = cross_validate(data, kind, features, label, fold, seed=seed, **params)

@@ -10,9 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veld.session import spread
+
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """A driver table; one-row-group files are spread over the cores (see ``spread``)."""
+    return spread(spark.read.parquet(f"{d}/{name}.parquet"))
 
 
 # ---------------------------------------------------------------- events with missing values

@@ -64,3 +64,16 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
                         f"{name or 'stage'}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``repartition`` only when a scan yields fewer partitions than the
+    cluster can run at once (e.g. a small file with one row group, which Spark cannot
+    split).  A large table already has many splits and passes through untouched, so no
+    shuffle is added at scale.  Round-robin repartition sorts rows first, so a retried
+    task rebuilds the same partitions.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

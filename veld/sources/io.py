@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veld.session import spread
+
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".pq": "parquet", ".json": "json",
            ".jsonl": "json", ".orc": "orc"}
 
 
 def load_table(spark: SparkSession, path: str, fmt: str | None = None,
-               schema: T.StructType | str | None = None, **options) -> DataFrame:
+               schema: T.StructType | str | None = None, spread_small: bool = True,
+               **options) -> DataFrame:
     """Read a table by suffix or ``fmt``.
 
     CSV gets a header and, without a schema, type inference on a bounded sample; a
@@ -38,7 +41,8 @@ def load_table(spark: SparkSession, path: str, fmt: str | None = None,
             reader = reader.option("inferSchema", "true").option("samplingRatio", "0.1")
     for k, v in options.items():
         reader = reader.option(k, v)
-    return reader.load(path)
+    df = reader.load(path)
+    return spread(df) if spread_small else df
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
