@@ -292,14 +292,16 @@ def q_quantile_clip(spark, d):
 WITH s AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq,
                   avg(l_extendedprice) AS mp, stddev_pop(l_extendedprice) AS sp FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       round((l_quantity - mq) / sq, 6) AS l_quantity, round((l_extendedprice - mp) / sp, 6) AS l_extendedprice
+       round((l_quantity - mq) / sq, 6) + 0.0 AS l_quantity,
+       round((l_extendedprice - mp) / sp, 6) + 0.0 AS l_extendedprice
 FROM lineitem, s""")
 def q_standard_scale(spark, d):
     li = table(spark, d, "lineitem")
     sc = encode.Standardizer(["l_quantity", "l_extendedprice"]).fit(li).transform(li)
     # one value per row: 6 digits keeps cross-engine noise (~1e-14) off the rounding edge
-    return sc.select(*LI_KEYS, r("l_quantity", 6).alias("l_quantity"),
-                     r("l_extendedprice", 6).alias("l_extendedprice"))
+    # (+ 0.0 turns a rounded -0.0 into 0.0 in both engines)
+    return sc.select(*LI_KEYS, (r("l_quantity", 6) + 0.0).alias("l_quantity"),
+                     (r("l_extendedprice", 6) + 0.0).alias("l_extendedprice"))
 
 
 # ====================================================================== target encoding

@@ -316,3 +316,42 @@ def q_boosted_workflow(spark, d):
     model = ev.refit_best(spark, train, best, FEATURES, LABEL)
     m = ev.regression_metrics(model.transform(test), LABEL)
     return m.select(F.lit(best["candidate"]).alias("candidate"), "n", "rmse", "r2", "mae", "mse")
+
+
+# ====================================================================== listing flows
+
+@query("listing_prep")
+def q_listing_prep(spark, d):
+    """Stage A on customers shaped as raw listings: cleaning, province, fallback lookup,
+    proximity, subtype regroup, recodes, fills, target encoding, clipping, bounds."""
+    from veld.operators.geo import lookup_table
+    from veld.plans.flow import prepare_listings
+    from veld.plans.inputs import listings_full, lookup_raw
+    return prepare_listings(listings_full(spark, d), lookup_table(lookup_raw(spark, d))).data
+
+
+@query("listing_train")
+def q_listing_train(spark, d):
+    """Stage B on the prepared listings: correlation select, random search over the five
+    model kinds, best model (first wins ties), refit; the search table is returned."""
+    from veld.operators.geo import lookup_table
+    from veld.plans.flow import MODEL_SPACES, prepare_listings, train_models
+    from veld.plans.inputs import listings_full, lookup_raw
+    prep = prepare_listings(listings_full(spark, d), lookup_table(lookup_raw(spark, d))).data
+    spaces = dict(MODEL_SPACES)
+    spaces["random_forest"] = {"n_estimators": [20, 50], "max_depth": [5, 10], "min_samples_leaf": [1, 4]}
+    spaces["gbt"] = {"n_estimators": [20], "max_depth": [3, 5], "learning_rate": [0.1, 0.2]}
+    out = train_models(prep.where(~F.col("is_test")), "Price", 0.05, spaces=spaces, n_iter=3)
+    return out["results"].select("model", "candidate", "params", "mean_r2", "std_r2")
+
+
+@query("listing_score")
+def q_listing_score(spark, d):
+    """Stage C: the refit best linear model scores the held-out listings."""
+    from veld.operators.geo import lookup_table
+    from veld.plans.flow import prepare_listings, score, train_models
+    from veld.plans.inputs import listings_full, lookup_raw
+    prep = prepare_listings(listings_full(spark, d), lookup_table(lookup_raw(spark, d))).data
+    out = train_models(prep.where(~F.col("is_test")), "Price", 0.05, kinds=["linear", "ridge"])
+    scored = score(out["model"], prep.where(F.col("is_test")))
+    return scored.select("id", F.col("Price").alias("actual"), "prediction")

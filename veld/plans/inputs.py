@@ -129,3 +129,59 @@ def lookup_raw(spark: SparkSession, d: str) -> DataFrame:
                  (F.lit(49.0) + F.col("s_acctbal") / F.lit(10000.0)).alias("lat"),
                  (F.lit(3.0) + F.col("s_acctbal") / F.lit(5000.0)).alias("lon"))
     return a.unionByName(b)
+
+
+# ---------------------------------------------------------------- full listing schema
+
+def listings_full(spark: SparkSession, d: str) -> DataFrame:
+    """Customers shaped into the raw listing schema of the preparation chain.
+
+    Only shapes rows: category texts and flags are picked from key digits, sizes from the
+    account balance; missing values are injected the same way for every scale factor.
+    """
+    c = table(spark, d, "customer")
+    k = F.col("c_custkey")
+    bal = F.col("c_acctbal")
+    base = listings(spark, d).drop("price")
+
+    def pick(values, m):
+        e = None
+        for i, v in enumerate(values):
+            cond = (m == i)
+            e = F.when(cond, F.lit(v)) if e is None else e.when(cond, F.lit(v))
+        return e
+
+    seg = F.col("c_mktsegment")
+    sub = (F.when(seg == "BUILDING", "HOUSE").when(seg == "AUTOMOBILE", "TOWN_HOUSE")
+           .when(seg == "FURNITURE", "VILLA").when(seg == "HOUSEHOLD", "APARTMENT_BLOCK")
+           .otherwise("COUNTRY_COTTAGE"))
+    extra = c.select(
+        k.alias("_k"),
+        F.when(bal < 0, None).otherwise(bal * 50 + 100000).alias("Price"),
+        F.when(k % 50 == 0, "LIFE_ANNUITY").otherwise("RESIDENTIAL_SALE").alias("Type_of_sale"),
+        F.when(k % 13 == 0, None).otherwise(k % 17 == 0).alias("Starting_price"),
+        F.when(k % 50 == 0, bal / 10).alias("sale_annuity"),
+        sub.alias("Subtype"),
+        F.when(k % 7 == 0, None).otherwise(pick(["INSTALLED", "HYPER_EQUIPPED", "NOT_INSTALLED"], k % 3))
+        .alias("Kitchen_type"),
+        F.when(k % 7 == 1, None).otherwise(
+            pick(["GOOD", "AS_NEW", "TO_RENOVATE", "JUST_RENOVATED", "TO_BE_DONE_UP", "TO_RESTORE"], k % 6))
+        .alias("State_of_building"),
+        F.when(k % 11 == 0, None).otherwise(pick(["A++", "A+", "A", "B", "C", "D", "E", "F", "G"], k % 9))
+        .alias("epc"),
+        F.when(k % 5 == 0, None).otherwise(k % 3 == 0).alias("Swimming_Pool"),
+        F.when(k % 6 == 0, None).otherwise(k % 2 == 0).alias("hasTerrace"),
+        F.when(k % 2 == 0, (k % 30).cast("double")).alias("terraceSurface"),
+        F.when(k % 8 == 0, None).otherwise(k % 4 == 0).alias("hasGarden"),
+        F.when(k % 4 == 0, (k % 500).cast("double")).alias("gardenSurface"),
+        F.when(k % 9 == 0, None).otherwise(k % 10 == 0).alias("Furnished"),
+        (F.lit(1) + k % 5).cast("double").alias("Number_of_bedrooms"),
+        F.when(k % 12 == 0, None).otherwise((F.lit(2) + k % 3).cast("double")).alias("Number_of_facades"),
+        F.when(k % 10 == 3, None).otherwise(F.abs(bal) / 40 + 50).alias("Living_area"),
+        F.when(k % 10 == 4, None).otherwise(F.abs(bal) / 5 + (k % 300)).alias("landSurface"),
+    )
+    town = F.concat(F.lit("TOWN "), F.col("c_nationkey").cast("string"), F.lit(" ("),
+                    (F.lit(1000) + F.col("c_nationkey") * 300).cast("string"), F.lit(")"))
+    extra = extra.join(c.select(k.alias("_k2"), town.alias("locality_name")),
+                       extra._k == F.col("_k2")).drop("_k2")
+    return base.drop("locality_raw", "locality_name").join(extra, base.id == extra._k).drop("_k")
