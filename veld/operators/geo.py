@@ -15,6 +15,7 @@ from veld.functions.geo import distance, mercator_x, mercator_y
 from veld.functions.numeric import range_bucket
 from veld.functions.text import address_candidates, normalize_address
 from veld.operators.encode import BROADCAST_MAX_ROWS
+from veld.session import materialize
 
 # The ten reference cities in list order (name, latitude, longitude).
 CITIES = [
@@ -62,11 +63,13 @@ def fallback_lookup(df: DataFrame, lookup: DataFrame, lat: str = "latitude",
 
     The four address strings are tried in order; the first whose normalised form is in
     ``lookup`` wins and *both* coordinates are overwritten (NULL when nothing matches,
-    unless ``keep_partial``).  Rows with both coordinates pass through untouched.  Four
-    left joins on the candidate keys; the lookup is broadcast only after its row count
-    is checked, so a large address table falls back to shuffle joins instead.
+    unless ``keep_partial``).  Rows with both coordinates pass through untouched.  The
+    lookup is written once to the checkpoint folder (it feeds four joins), then joined
+    on each candidate key; it is broadcast only after its row count is checked, so a
+    large address table falls back to shuffle joins instead.
     """
-    n = lookup.count()
+    lookup = materialize(lookup.select("address_key", "lat", "lon"), "address-lookup")
+    n = lookup.count()                       # from the written files: cheap, exact
     lk = F.broadcast(lookup) if n <= broadcast_max_rows else lookup
     missing = F.col(lat).isNull() | F.col(lon).isNull()
     cand = address_candidates(street, number, postcode, locality)

@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veld.session import spread
+from veld.session import read_parquet_parallel
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A driver table; one-row-group files are spread over the cores (see ``spread``)."""
-    return spread(spark.read.parquet(f"{d}/{name}.parquet"))
+    """A driver table, scanned with at least one split per core (see
+    ``veld.session.read_parquet_parallel``)."""
+    return read_parquet_parallel(spark, f"{d}/{name}.parquet")
 
 
 # ---------------------------------------------------------------- events with missing values

@@ -77,3 +77,32 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+_STAGED: dict[tuple, str] = {}
+
+
+def read_parquet_parallel(spark: SparkSession, path: str) -> DataFrame:
+    """Read a Parquet table so that it scans with at least one split per core.
+
+    A table that already has enough splits (any real large dataset) is returned as read.
+    A small table whose file cannot be split (one row group) is rewritten once per
+    session as a multi-file copy under the checkpoint folder; every later query and
+    every pass of a multi-pass operator then reads it in parallel without a shuffle.
+    """
+    df = spark.read.parquet(path)
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    try:
+        st = os.stat(path)
+        stamp = (st.st_mtime_ns, st.st_size)
+    except OSError:
+        stamp = None
+    key = (spark.sparkContext.applicationId, os.path.abspath(path), stamp, target)
+    if key not in _STAGED:
+        out = os.path.join(checkpoint_root(spark), "staged",
+                           f"{os.path.basename(path.rstrip('/'))}-{uuid.uuid4().hex[:12]}")
+        df.repartition(target).write.mode("overwrite").parquet(out)
+        _STAGED[key] = out
+    return spark.read.parquet(_STAGED[key])
