@@ -198,9 +198,7 @@ def q_regression_metrics(spark, d):
     tr = e.where(~F.col("is_test"))
     m = fit_least_squares(tr, ["o_orderpriority_encoded"], LABEL)
     pred = m.transform(e).withColumn("phase", F.when(F.col("is_test"), "test").otherwise("train"))
-    parts = [ev.regression_metrics(pred.where(F.col("phase") == ph), LABEL)
-             .withColumn("phase", F.lit(ph)) for ph in ("train", "test")]
-    out = parts[0].unionByName(parts[1])
+    out = ev.regression_metrics_by(pred, "phase", LABEL)
     return out.select("phase", "n", r("rmse", 4).alias("rmse"), r("r2", 9).alias("r2"),
                       r("mae", 4).alias("mae"), r("mse", -3).alias("mse"))
 
@@ -217,11 +215,9 @@ def price_model(spark, d):
     te = encode.TargetEncoder(["o_orderpriority", "l_returnflag"], LABEL).fit(train)
     e = te.transform(c)
     feats = FEATURES + ["o_orderpriority_encoded", "l_returnflag_encoded"]
-    tr, ts = e.where(~F.col("is_test")), e.where(F.col("is_test"))
-    m = fit_least_squares(tr, feats, LABEL)
-    a = ev.regression_metrics(m.transform(tr), LABEL).withColumn("phase", F.lit("train"))
-    b = ev.regression_metrics(m.transform(ts), LABEL).withColumn("phase", F.lit("test"))
-    return a.unionByName(b).select("phase", "n", "rmse", "r2", "mae", "mse")
+    m = fit_least_squares(e.where(~F.col("is_test")), feats, LABEL)
+    pred = m.transform(e).withColumn("phase", F.when(F.col("is_test"), "test").otherwise("train"))
+    return ev.regression_metrics_by(pred, "phase", LABEL).select("phase", "n", "rmse", "r2", "mae", "mse")
 
 
 query("price_model")(price_model)

@@ -33,6 +33,21 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
         (F.col("_sse") / F.col("n")).alias("mse"))
 
 
+def regression_metrics_by(pred: DataFrame, group: str, label: str = "label",
+                          prediction: str = "prediction") -> DataFrame:
+    """``regression_metrics`` per value of ``group`` (e.g. train / test) in one pass."""
+    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    e = y - p
+    agg = pred.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("_sse"),
+                                  F.sum(F.abs(e)).alias("_sae"), F.var_pop(y).alias("_vy"))
+    return agg.select(
+        group, "n",
+        F.sqrt(F.col("_sse") / F.col("n")).alias("rmse"),
+        (F.lit(1.0) - F.try_divide(F.col("_sse"), F.col("n") * F.col("_vy"))).alias("r2"),
+        (F.col("_sae") / F.col("n")).alias("mae"),
+        (F.col("_sse") / F.col("n")).alias("mse"))
+
+
 def fit(kind: str, train: DataFrame, features: Sequence[str], label: str, seed: int = 42,
         **params):
     stats = label_stats(train, label) if kind in ("ridge", "lasso", "elastic_net") else None

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LINEAR_KINDS = ("linear", "ridge")
+MAX_AGGS = 400
 
 
 def fold_statistics(df: DataFrame, features: Sequence[str], label: str, fold: str | None
@@ -46,7 +47,12 @@ def fold_statistics(df: DataFrame, features: Sequence[str], label: str, fold: st
     aggs += [F.sum(xs[i] * y).alias(f"sxy{i}") for i in range(p)]
     aggs += [F.sum(xs[i] * xs[j]).alias(f"sxx{i}_{j}") for i in range(p) for j in range(i, p)]
     key = F.col(fold) if fold is not None else F.lit(0)
-    rows = df.groupBy(key.alias("_fold")).agg(*aggs).collect()
+    # wide feature sets: several passes of at most MAX_AGGS sums keep codegen in bounds
+    merged: dict[int, dict] = {}
+    for start in range(0, len(aggs), MAX_AGGS):
+        for r in df.groupBy(key.alias("_fold")).agg(*aggs[start:start + MAX_AGGS]).collect():
+            merged.setdefault(int(r["_fold"]), {}).update(r.asDict())
+    rows = list(merged.values())
     out = {}
     for r in rows:
         sxx = np.zeros((p, p))
