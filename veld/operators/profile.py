@@ -91,23 +91,23 @@ def category_profile(df: DataFrame, columns: Sequence[str] | None = None,
                      threshold: float = 0.05, exclude: Sequence[str] = ()) -> DataFrame:
     """``(column, value, count, percentage, rare)`` for all string columns at once (A5).
 
-    Melt to ``(column, value)``, one ``groupBy(column, value)`` (map-side combined, so a
-    hot value is cheap), then the per-column totals - a table at most as long as the
-    schema is wide - joined back by broadcast.
+    Melt to ``(column, value)`` and one ``groupBy(column, value)`` (map-side combined, so
+    a hot value is cheap).  The per-column totals are ``count(column)`` from one scalar
+    aggregation, applied as a literal map (as many entries as columns): no join.
     """
     cols = [c for c in (columns or columns_of_kind(df, "string")) if c not in set(exclude)]
     if not cols:
         raise ValueError("no categorical columns to profile")
+    tot = df.agg(*[F.count(F.col(c)).alias(f"t{i}") for i, c in enumerate(cols)]).first()
+    totals = F.create_map(*[x for i, c in enumerate(cols)
+                            for x in (F.lit(c), F.lit(max(int(tot[f"t{i}"]), 1)))])
     melted = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])))
     counts = (melted.where(F.col("value").isNotNull())
               .groupBy("column", "value").agg(F.count(F.lit(1)).alias("count")))
-    totals = counts.groupBy("column").agg(F.sum("count").alias("_total"))
-    # totals has at most len(cols) rows: a size bound known from the schema
-    out = counts.join(F.broadcast(totals), "column")
-    pct = F.lit(100.0) * F.col("count") / F.col("_total")
-    return out.select("column", "value", "count", pct.alias("percentage"),
-                      (pct < threshold * 100).alias("rare"))
+    pct = F.lit(100.0) * F.col("count") / totals[F.col("column")]
+    return counts.select("column", "value", "count", pct.alias("percentage"),
+                         (pct < threshold * 100).alias("rare"))
 
 
 # ---------------------------------------------------------------- numeric picks
