@@ -23,10 +23,19 @@ def con():
     return c
 
 
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
+    rel = con.sql(E.oracle_sql()[name])
+    otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in df.schema.fields:       # same column types, not only same values
+        st = f.dataType.simpleString()
+        assert SPARK_TO_DUCKDB.get(st, st.upper()) == otypes.get(f.name), (f.name, st, otypes.get(f.name))
     res = con.execute(E.oracle_sql()[name])
     ocols = [c[0] for c in res.description]
     orows = res.fetchall()

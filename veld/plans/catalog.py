@@ -434,7 +434,7 @@ WITH t AS ({ORDERS_N_SQL}),
 c AS (SELECT v, CAST(row_number() OVER (ORDER BY v DESC) - 1 AS DOUBLE) AS code
       FROM (SELECT DISTINCT o_orderpriority AS v FROM t WHERE o_orderpriority IS NOT NULL))
 SELECT o_orderkey, c.code AS priority_code,
-       CASE o_orderstatus WHEN 'F' THEN 0.0 WHEN 'O' THEN 1.0 WHEN 'P' THEN 2.0 END AS status_code
+       CAST(CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 END AS DOUBLE) AS status_code
 FROM t LEFT JOIN c ON t.o_orderpriority = c.v""")
 def q_ordinal_encode(spark, d):
     o = orders_n(spark, d)
