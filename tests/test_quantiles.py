@@ -73,3 +73,8 @@ def test_approx_close(spark):
        st.lists(st.floats(0, 1), min_size=1, max_size=4))
 def test_property_against_numpy(spark, values, probs):
     _check(spark, values, probs, buckets=16, max_rows_per_pass=64)
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,), (2.0,), (None,), (4.0,)], "x double")
+    assert exact_quantiles(df, ["x"], [0.0, 0.5, 1.0])["x"] == [1.0, 2.0, 4.0]

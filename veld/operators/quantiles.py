@@ -30,13 +30,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _val(c: str) -> Column:
+    """The column as DOUBLE with NaN treated as missing (pandas skips NaN too)."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def _value_rows(df: DataFrame, cols: Sequence[str], active: Sequence[int]) -> DataFrame:
     """(cid INT, v DOUBLE) for the active columns; a plain projection for one column."""
     if len(active) == 1:
         i = active[0]
-        return df.select(F.lit(i).alias("cid"), F.col(cols[i]).cast("double").alias("v"))
-    structs = [F.struct(F.lit(i).alias("cid"), F.col(cols[i]).cast("double").alias("v"))
-               for i in active]
+        return df.select(F.lit(i).alias("cid"), _val(cols[i]).alias("v"))
+    structs = [F.struct(F.lit(i).alias("cid"), _val(cols[i]).alias("v")) for i in active]
     return df.select(F.inline(F.array(*structs)))
 
 
@@ -52,9 +57,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     if not cols:
         return {}
     stats = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.count(F.col(c)).alias(f"n{i}"),
-        F.min(F.col(c).cast("double")).alias(f"a{i}"),
-        F.max(F.col(c).cast("double")).alias(f"b{i}"))]).first()
+        F.count(_val(c)).alias(f"n{i}"),
+        F.min(_val(c)).alias(f"a{i}"),
+        F.max(_val(c)).alias(f"b{i}"))]).first()
 
     # bracket state, keyed by (cid, rank)
     state: dict[tuple[int, int], dict] = {}

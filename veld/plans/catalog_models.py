@@ -17,7 +17,7 @@ from veld.operators import encode, select
 from veld.plans import evaluate as ev
 from veld.plans.catalog import LI_KEYS, query, r
 from veld.plans.inputs import table
-from veld.plans.linear_cv import fit_least_squares
+from veld.plans.linear_cv import cross_validate_linear, fit_least_squares
 from veld.plans.models import label_stats, make_pipeline, weights_frame
 from veld.session import checkpoint_root, materialize
 from veld.sources import io
@@ -107,10 +107,12 @@ CV_MODELS = [("linear", {"fit_intercept": True}), ("linear_no_intercept", {"fit_
 
 
 def _cv(spark, d):
+    """Both linear variants, all six folds, from one fused aggregation."""
     _, train, _ = _train(spark, d)
-    parts = [ev.cross_validate(train, "linear", ["l_quantity"], LABEL, "fold", name=name, **p)
-             for name, p in CV_MODELS]
-    return parts[0].unionByName(parts[1])
+    cands = [dict(p, kind="linear") for _, p in CV_MODELS]
+    cv = cross_validate_linear(train, ["l_quantity"], LABEL, "fold", cands,
+                               [name for name, _ in CV_MODELS])
+    return cv.select("model", "fold", "r2")
 
 
 @query("cross_validate", CV_SQL + "\nSELECT model, CAST(fold AS INTEGER) AS fold, round(r2, 6) AS r2 FROM cv")
