@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from veld.functions.numeric import safe_corr, skewness_adjusted
 from veld.operators.clean import NUMERIC_TYPES, columns_of_kind
-from veld.operators.quantiles import quantiles
+from veld.operators.quantiles import quantiles, value_stats
 
 CHUNK = 200
 
@@ -139,18 +139,25 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 # ---------------------------------------------------------------- moments
 
 def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
-    """count, mean, sample std, min, 25/50/75 % (linear), max per column."""
+    """count, mean, sample std, min, 25/50/75 % (linear), max per column.
+
+    The moments aggregation also yields count / min / max, so the quantile refinement
+    starts from them (no separate first pass).
+    """
     cols = list(columns)
-    qs = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx)
-    base = _long(df, cols, {
+    st = value_stats(df, cols, {
         "count": lambda c: F.count(F.col(c)),
         "mean": lambda c: F.avg(F.col(c).cast("double")),
         "std": lambda c: F.stddev_samp(F.col(c).cast("double")),
         "min": lambda c: F.min(F.col(c).cast("double")),
-        "max": lambda c: F.max(F.col(c).cast("double")),
-    })
-    return _attach(base, qs, ["q25", "q50", "q75"]).select(
-        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+        "max": lambda c: F.max(F.col(c).cast("double"))})
+    qs = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx,
+                   known={c: st[c]["known"] for c in cols})
+    rows = [(c, st[c]["count"], st[c]["mean"], st[c]["std"], st[c]["min"], *qs[c], st[c]["max"])
+            for c in cols]
+    return df.sparkSession.createDataFrame(
+        rows, "column string, count bigint, mean double, std double, min double, "
+              "q25 double, q50 double, q75 double, max double")
 
 
 def _attach(base: DataFrame, qs: dict, names: Sequence[str]) -> DataFrame:
@@ -204,10 +211,13 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], k: float = 1.5,
 def box_stats(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
     """min, Q1, median, Q3, max per column - the numbers behind a box plot."""
     cols = list(columns)
-    qs = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx)
-    base = _long(df, cols, {"min": lambda c: F.min(F.col(c).cast("double")),
-                            "max": lambda c: F.max(F.col(c).cast("double"))})
-    return _attach(base, qs, ["q1", "median", "q3"]).select("column", "min", "q1", "median", "q3", "max")
+    st = value_stats(df, cols, {"min": lambda c: F.min(F.col(c).cast("double")),
+                                "max": lambda c: F.max(F.col(c).cast("double"))})
+    qs = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx,
+                   known={c: st[c]["known"] for c in cols})
+    rows = [(c, st[c]["min"], *qs[c], st[c]["max"]) for c in cols]
+    return df.sparkSession.createDataFrame(
+        rows, "column string, min double, q1 double, median double, q3 double, max double")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:

@@ -46,9 +46,13 @@ def _value_rows(df: DataFrame, cols: Sequence[str], active: Sequence[int]) -> Da
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    buckets: int = 4096, max_rows_per_pass: int = 250_000
-                    ) -> dict[str, list[float | None]]:
-    """``{column: [quantile for p in probs]}``; ``None`` where a column has no values."""
+                    buckets: int = 4096, max_rows_per_pass: int = 250_000,
+                    known: dict[str, tuple] | None = None) -> dict[str, list[float | None]]:
+    """``{column: [quantile for p in probs]}``; ``None`` where a column has no values.
+
+    ``known`` may carry ``{column: (count, min, max)}`` (of non-null, non-NaN values)
+    from an aggregation the caller runs anyway; the first pass is then skipped.
+    """
     cols = list(columns)
     probs = [float(p) for p in probs]
     for p in probs:
@@ -56,10 +60,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             raise ValueError(f"quantile {p} outside [0, 1]")
     if not cols:
         return {}
-    stats = df.agg(*[e for i, c in enumerate(cols) for e in (
-        F.count(_val(c)).alias(f"n{i}"),
-        F.min(_val(c)).alias(f"a{i}"),
-        F.max(_val(c)).alias(f"b{i}"))]).first()
+    if known is not None and all(c in known for c in cols):
+        stats = {}
+        for i, c in enumerate(cols):
+            stats[f"n{i}"], stats[f"a{i}"], stats[f"b{i}"] = known[c]
+    else:
+        stats = df.agg(*[e for i, c in enumerate(cols) for e in (
+            F.count(_val(c)).alias(f"n{i}"),
+            F.min(_val(c)).alias(f"a{i}"),
+            F.max(_val(c)).alias(f"b{i}"))]).first()
 
     # bracket state, keyed by (cid, rank)
     state: dict[tuple[int, int], dict] = {}
@@ -160,7 +169,23 @@ def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
             for i, c in enumerate(cols)}
 
 
+def value_stats(df: DataFrame, columns: Sequence[str], extra: dict | None = None) -> dict:
+    """One aggregation: ``(count, min, max)`` of the non-null, non-NaN values of each
+    column plus any ``extra`` ``{name: fn(col) -> Column}`` statistics, per column."""
+    extra = extra or {}
+    aggs = []
+    for i, c in enumerate(columns):
+        aggs += [F.count(_val(c)).alias(f"n{i}"), F.min(_val(c)).alias(f"a{i}"),
+                 F.max(_val(c)).alias(f"b{i}")]
+        aggs += [fn(c).alias(f"{name}_{i}") for name, fn in extra.items()]
+    row = df.agg(*aggs).first()
+    return {c: {"known": (row[f"n{i}"], row[f"a{i}"], row[f"b{i}"]),
+                **{name: row[f"{name}_{i}"] for name in extra}} for i, c in enumerate(columns)}
+
+
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-              approx: bool = False, **kw) -> dict[str, list[float | None]]:
-    return approx_quantiles(df, columns, probs, **kw) if approx else \
-        exact_quantiles(df, columns, probs, **kw)
+              approx: bool = False, known: dict | None = None, **kw
+              ) -> dict[str, list[float | None]]:
+    if approx:
+        return approx_quantiles(df, columns, probs, **kw)
+    return exact_quantiles(df, columns, probs, known=known, **kw)
