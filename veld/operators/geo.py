@@ -73,21 +73,25 @@ def fallback_lookup(df: DataFrame, lookup: DataFrame, lat: str = "latitude",
     lk = F.broadcast(lookup) if n <= broadcast_max_rows else lookup
     missing = F.col(lat).isNull() | F.col(lon).isNull()
     cand = address_candidates(street, number, postcode, locality)
-    out = df.withColumn("_missing", missing)
+    # only rows missing a coordinate take part in the joins; complete rows bypass them
+    # (with a lookup too large to broadcast, the joins shuffle just the missing subset)
+    todo = df.where(missing).withColumn("_missing", F.lit(True))
+    done = (df.where(~missing).withColumn("_missing", F.lit(False))
+            .withColumn("_found", F.lit(False)))
+    out = todo
     for i in range(4):
         k = f"_k{i}"
-        out = out.withColumn(k, F.when(F.col("_missing"), normalize_address(cand[i], literal)))
+        out = out.withColumn(k, normalize_address(cand[i], literal))
         side = lk.select(F.col("address_key").alias(k),
                          F.struct("lat", "lon").alias(f"_hit{i}"))
         out = out.join(side, k, "left").drop(k)
     hit = F.coalesce(*[F.col(f"_hit{i}") for i in range(4)])
-    new_lat = F.when(F.col("_missing"), hit["lat"] if not keep_partial
-                     else F.coalesce(hit["lat"], F.col(lat))).otherwise(F.col(lat))
-    new_lon = F.when(F.col("_missing"), hit["lon"] if not keep_partial
-                     else F.coalesce(hit["lon"], F.col(lon))).otherwise(F.col(lon))
-    filled = out.withColumn("_found", F.col("_missing") & hit.isNotNull())
-    return (filled.withColumns({lat: new_lat, lon: new_lon})
-            .drop(*[f"_hit{i}" for i in range(4)]))
+    new_lat = hit["lat"] if not keep_partial else F.coalesce(hit["lat"], F.col(lat))
+    new_lon = hit["lon"] if not keep_partial else F.coalesce(hit["lon"], F.col(lon))
+    filled = (out.withColumn("_found", hit.isNotNull())
+              .withColumns({lat: new_lat, lon: new_lon})
+              .drop(*[f"_hit{i}" for i in range(4)]))
+    return filled.unionByName(done.select(*filled.columns))
 
 
 def lookup_report(filled: DataFrame) -> DataFrame:
