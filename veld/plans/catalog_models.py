@@ -339,7 +339,7 @@ def q_listing_train(spark, d):
     spaces = dict(MODEL_SPACES)
     spaces["random_forest"] = {"n_estimators": [20, 50], "max_depth": [5, 10], "min_samples_leaf": [1, 4]}
     spaces["gbt"] = {"n_estimators": [20], "max_depth": [3, 5], "learning_rate": [0.1, 0.2]}
-    out = train_models(prep.where(~F.col("is_test")), "Price", 0.05, spaces=spaces, n_iter=3)
+    out = train_models(prep.where(~F.col("is_test")), "Price", 0.2, spaces=spaces, n_iter=3)
     return out["results"].select("model", "candidate", "params", "mean_r2", "std_r2")
 
 
@@ -350,6 +350,6 @@ def q_listing_score(spark, d):
     from veld.plans.flow import prepare_listings, score, train_models
     from veld.plans.inputs import listings_full, lookup_raw
     prep = prepare_listings(listings_full(spark, d), lookup_table(lookup_raw(spark, d))).data
-    out = train_models(prep.where(~F.col("is_test")), "Price", 0.05, kinds=["linear", "ridge"])
+    out = train_models(prep.where(~F.col("is_test")), "Price", 0.2, kinds=["linear", "ridge"])
     scored = score(out["model"], prep.where(F.col("is_test")))
     return scored.select("id", F.col("Price").alias("actual"), "prediction")
