@@ -1,7 +1,6 @@
 import os
 import uuid
 
-from pyspark.sql import functions as F
 
 from tests.fixtures import listings
 from veld.plans import flow

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veld.functions import text as tx
-from veld.functions.numeric import POSTCODE_PROVINCES, range_bucket
+from veld.functions.numeric import POSTCODE_PROVINCES
 from veld.operators import clean, encode, geo, profile, select
 from veld.plans.inputs import (EVENTS_N_SQL, LISTINGS_SQL, LOOKUP_RAW_SQL, ORDERS_N_SQL,
                                events_n, listings, lookup_raw, orders_n, table)

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from veld.functions import text as tx
 from veld.operators import clean, encode, geo, select
 from veld.plans import evaluate as ev
-from veld.plans.linear_cv import LINEAR_KINDS
 from veld.session import materialize
 
 # Fixed values of the reference preparation chain.
@@ -170,4 +169,4 @@ def score(model, df: DataFrame) -> DataFrame:
 
 
 __all__ = ["prepare_listings", "train_models", "score", "stage_clean", "stage_geo",
-           "stage_subtype", "stage_categories", "stage_numeric", "LINEAR_KINDS"]
+           "stage_subtype", "stage_categories", "stage_numeric"]
