@@ -353,3 +353,26 @@ def q_listing_score(spark, d):
     out = train_models(prep.where(~F.col("is_test")), "Price", 0.2, kinds=["linear", "ridge"])
     scored = score(out["model"], prep.where(F.col("is_test")))
     return scored.select("id", F.col("Price").alias("actual"), "prediction")
+
+
+@query("prep_pipeline")
+def q_prep_pipeline(spark, d):
+    """One persisted PipelineModel: mode imputer -> quantile clipper -> target-mean encoder
+    -> assembler -> OLS, fitted on the training orders, saved, loaded, scoring all orders."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from veld.operators.stages import QuantileClipper, StatImputer, TargetMeanEncoder
+    from veld.plans.inputs import orders_n
+    o = orders_n(spark, d).withColumn("is_test", select.split_flag(["o_orderkey"], 0.2, 42))
+    pipe = Pipeline(stages=[
+        StatImputer(inputCols=["o_orderpriority"], strategy="mode"),
+        QuantileClipper(inputCols=["o_totalprice"], lower=[0.05], upper=[0.95]),
+        TargetMeanEncoder(inputCols=["o_orderpriority", "o_orderstatus"], labelCol="o_totalprice"),
+        VectorAssembler(inputCols=["o_orderpriority_encoded", "o_orderstatus_encoded"],
+                        outputCol="features", handleInvalid="keep"),
+        LinearRegression(featuresCol="features", labelCol="o_totalprice", solver="normal")])
+    model = pipe.fit(o.where(~F.col("is_test")))
+    path = os.path.join(checkpoint_root(spark), "models", uuid.uuid4().hex[:12])
+    model.write().overwrite().save(path)
+    return PipelineModel.load(path).transform(o).select("o_orderkey", "is_test", "prediction")
