@@ -90,7 +90,13 @@ def read_parquet_parallel(spark: SparkSession, path: str) -> DataFrame:
     session as a multi-file copy under the checkpoint folder; every later query and
     every pass of a multi-pass operator then reads it in parallel without a shuffle.
     """
-    df = spark.read.parquet(path)
+    return stage_if_small(spark.read.parquet(path), path)
+
+
+def stage_if_small(df: DataFrame, path: str) -> DataFrame:
+    """``df`` (read from ``path``) or, when it has fewer splits than cores, its staged
+    multi-file copy (see ``read_parquet_parallel``)."""
+    spark = df.sparkSession
     target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
@@ -99,10 +105,11 @@ def read_parquet_parallel(spark: SparkSession, path: str) -> DataFrame:
         stamp = (st.st_mtime_ns, st.st_size)
     except OSError:
         stamp = None
-    key = (spark.sparkContext.applicationId, os.path.abspath(path), stamp, target)
+    key = (spark.sparkContext.applicationId, os.path.abspath(path), stamp, target,
+           df.schema.simpleString())
     if key not in _STAGED:
         out = os.path.join(checkpoint_root(spark), "staged",
                            f"{os.path.basename(path.rstrip('/'))}-{uuid.uuid4().hex[:12]}")
         df.repartition(target).write.mode("overwrite").parquet(out)
         _STAGED[key] = out
-    return spark.read.parquet(_STAGED[key])
+    return spark.read.schema(df.schema).parquet(_STAGED[key])

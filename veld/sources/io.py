@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veld.session import spread
+from veld.session import spread, stage_if_small
 
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".pq": "parquet", ".json": "json",
            ".jsonl": "json", ".orc": "orc"}
@@ -42,7 +42,10 @@ def load_table(spark: SparkSession, path: str, fmt: str | None = None,
     for k, v in options.items():
         reader = reader.option(k, v)
     df = reader.load(path)
-    return spread(df) if spread_small else df
+    if not spread_small:
+        return df
+    # small unsplittable Parquet: staged once as a multi-file copy; others: round-robin
+    return stage_if_small(df, path) if fmt == "parquet" else spread(df)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
