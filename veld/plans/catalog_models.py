@@ -255,11 +255,47 @@ def q_gbt_fit(spark, d):
                             subsample=0.75)[1]
 
 
-@query("train_evaluate")
+def _ols3_sql() -> str:
+    """Three-feature OLS on the training rows, solved by Cramer's rule on centred sums,
+    then train / test metrics: an independent check of the Spark ML linear pipeline."""
+    x = FEATURES
+    sums = ", ".join([f"avg({c}) AS m{i}" for i, c in enumerate(x)] + ["avg(l_extendedprice) AS my"])
+    cov = ", ".join([f"sum((t.{a} - m{i}) * (t.{b} - m{j})) AS s{i}{j}"
+                     for i, a in enumerate(x) for j, b in enumerate(x) if i <= j] +
+                    [f"sum((t.{a} - m{i}) * (t.l_extendedprice - my)) AS s{i}y" for i, a in enumerate(x)])
+
+    def a(i, j):
+        return f"s{min(i, j)}{max(i, j)}"
+
+    def det(c0, c1, c2):
+        return (f"(({c0[0]}) * (({c1[1]}) * ({c2[2]}) - ({c2[1]}) * ({c1[2]})) "
+                f"- ({c1[0]}) * (({c0[1]}) * ({c2[2]}) - ({c2[1]}) * ({c0[2]})) "
+                f"+ ({c2[0]}) * (({c0[1]}) * ({c1[2]}) - ({c1[1]}) * ({c0[2]})))")
+    cols = [[a(r, c) for r in range(3)] for c in range(3)]
+    rhs = [f"s{r}y" for r in range(3)]
+    d = det(*cols)
+    w = [det(*[rhs if k == c else cols[k] for k in range(3)]) for c in range(3)]
+    pred = "(my + " + " + ".join(f"w{i} * (t.{c} - m{i})" for i, c in enumerate(x)) + ")"
+    return f"""
+WITH t AS ({MODEL_DATA_SQL}),
+m AS (SELECT {sums} FROM t WHERE NOT is_test),
+s AS (SELECT m.*, {cov} FROM t, m WHERE NOT t.is_test GROUP BY ALL),
+c AS (SELECT s.*, {", ".join(f"{w[i]} / {d} AS w{i}" for i in range(3))} FROM s),
+p AS (SELECT CASE WHEN t.is_test THEN 'test' ELSE 'train' END AS phase, t.l_extendedprice AS y,
+             {pred} AS pred FROM t, c)
+SELECT phase, 'linear' AS model, count(*) AS n, round(sqrt(avg(pow(y - pred, 2))), 4) AS rmse,
+       round(1 - sum(pow(y - pred, 2)) / (count(*) * var_pop(y)), 9) AS r2,
+       round(avg(abs(y - pred)), 4) AS mae, round(avg(pow(y - pred, 2)), -3) AS mse
+FROM p GROUP BY phase"""
+
+
+@query("train_evaluate", _ols3_sql())
 def q_train_evaluate(spark, d):
+    """Spark ML pipeline (assembler -> scaler -> OLS) fitted on train, scored on both."""
     _, train, test = _train(spark, d)
     _, metrics, _ = ev.train_evaluate(train, test, "linear", FEATURES, LABEL, cv=False)
-    return metrics
+    return metrics.select("phase", "model", "n", r("rmse", 4).alias("rmse"), r("r2", 9).alias("r2"),
+                          r("mae", 4).alias("mae"), r("mse", -3).alias("mse"))
 
 
 @query("feature_importance")
