@@ -234,11 +234,15 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     NULL keys group together (pandas ``drop_duplicates``).  Written as
     ``groupBy(keys).agg(min_by(struct(row), struct(order)))``: a hash aggregate with a
     map-side partial step, so a key holding a third of all rows is reduced on every
-    mapper to one row before the shuffle.  ``order`` should make rows unique.
+    mapper to one row before the shuffle.  Ties in ``order`` are broken by the other
+    columns, so the result never depends on task order or retries.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(c) for c in order])
+    # remaining orderable columns break ties, so a retried task keeps the same row
+    tie = [f.name for f in df.schema.fields
+           if f.name in rest and f.name not in order and not isinstance(f.dataType, T.MapType)]
+    ordering = F.struct(*[F.col(c) for c in list(order) + tie])
     picked = (df.groupBy(*[F.col(k) for k in keys])
               .agg(F.min_by(F.struct(*[F.col(c) for c in rest]), ordering).alias("_row")))
     return picked.select(*keys, "_row.*").select(*df.columns)
