@@ -62,7 +62,10 @@ def stage_clean(df: DataFrame, order: str = "id") -> DataFrame:
         df = df.withColumn("locality_name", tx.strip_code("locality_name"))
     df = clean.length_filter(df, "Postal_code", 4)
     df = clean.drop_all_missing(df, [c for c in LOCATION_PARTS if c in df.columns])
-    df = clean.drop_sparse_columns(df, 0.3)
+    # the row-level plan (two dedup shuffles) runs once; the column fits that follow
+    # (sparse columns, whole-number columns) scan the written rows
+    df = materialize(clean.nan_text_to_null(df), "stage1-rows")
+    df = df.drop(*clean.sparse_columns(df, 0.3))
     return clean.convert_types(df, string_columns=STRING_COLUMNS)
 
 
@@ -115,7 +118,7 @@ def prepare_listings(raw: DataFrame, lookup: DataFrame | None = None, order: str
                      seed: int = 42) -> Prepared:
     """Stage A end to end.  ``is_test`` is assigned before any statistic is fitted, so
     encodings, fills and clip bounds come from training rows only."""
-    s1 = materialize(stage_clean(raw, order), "stage1")
+    s1 = stage_clean(raw, order)                 # written inside, before its column fits
     s2 = materialize(stage_geo(s1, lookup), "stage2")
     s3 = stage_subtype(s2).withColumn("is_test", select.split_flag(list(split_keys), test_size, seed))
     s4, enc = stage_categories(s3, "Price", "is_test")
