@@ -168,3 +168,13 @@ def test_split_and_folds_stable(spark):
     folds = df.groupBy("fold").count().collect()
     assert len(folds) == 5 and sum(r["count"] for r in folds) == 1000
     assert df.where(F.col("fold").isNull()).count() == 0
+
+
+def test_gbt_early_stopping_uses_validation_rows(spark):
+    df, _, _ = _data(spark, n=400)
+    df = df.withColumn("is_valid", F.col("fold") == 0)
+    full = ev.fit("gbt", df, FEATS, "y", n_estimators=60, max_depth=3, learning_rate=0.3)
+    early = ev.fit("gbt", df, FEATS, "y", n_estimators=60, max_depth=3, learning_rate=0.3,
+                   validation_col="is_valid", validation_tol=0.05)
+    assert early.stages[-1].getNumTrees <= full.stages[-1].getNumTrees
+    assert early.stages[-1].getNumTrees < 60

@@ -76,12 +76,18 @@ def make_regressor(kind: str, label: str = "label", features: str = "features",
             seed=seed, **common)
     if kind == "gbt":
         cs = p.get("colsample_bytree", 1.0)
+        extra = {}
+        if p.get("validation_col"):
+            # early stopping: rows flagged in validation_col are held out and boosting
+            # stops once their error improves by less than validation_tol
+            extra = {"validationIndicatorCol": p["validation_col"],
+                     "validationTol": float(p.get("validation_tol", 0.01))}
         return GBTRegressor(
             maxIter=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth", 3)),
             stepSize=float(p.get("learning_rate", 0.1)),
             subsamplingRate=float(p.get("subsample", 1.0)),
             featureSubsetStrategy=("all" if cs >= 1.0 else str(float(cs))),
-            minInstancesPerNode=int(p.get("min_child_weight", 1)), seed=seed, **common)
+            minInstancesPerNode=int(p.get("min_child_weight", 1)), seed=seed, **extra, **common)
     raise ValueError(f"unknown model kind {kind!r}; one of {MODEL_KINDS}")
 
 
