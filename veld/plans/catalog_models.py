@@ -396,8 +396,8 @@ def q_listing_score(spark, d):
     return scored.select("id", F.col("Price").alias("actual"), "prediction")
 
 
-@query("prep_pipeline")
-def q_prep_pipeline(spark, d):
+@query("prep_model_stages")
+def q_prep_model_stages(spark, d):
     """One persisted PipelineModel: mode imputer -> quantile clipper -> target-mean encoder
     -> assembler -> OLS, fitted on the training orders, saved, loaded, scoring all orders."""
     from pyspark.ml import Pipeline, PipelineModel
