@@ -1,13 +1,13 @@
 """Fused k-fold cross-validation for least-squares models (linear, ridge).
 
 A per-fold fit of ``StandardScaler -> LinearRegression / Ridge`` only needs the fold's
-sufficient statistics: ``n, sum x, sum y, X'X, X'y, sum y^2`` (all ``p x p`` at most).
-One ``groupBy(fold)`` aggregation over the data gives them for every fold; the training
-statistics of fold ``i`` are the total minus fold ``i``.  Every fold and every candidate
-penalty is then solved from those numbers, and the held-out SSE of fold ``i`` comes from
-fold ``i``'s own sums - so a search over ``c`` candidates with ``k`` folds costs two
-scans instead of ``c x k`` fits.  Values are shifted by the global means first (one
-small aggregation) so the sums do not cancel.
+sufficient statistics: count, means and centred co-moments (``p x p`` at most).  One
+``groupBy(fold)`` aggregation of Spark's stable ``avg`` / ``covar_pop`` / ``var_pop``
+gives them for every fold; the training statistics of fold ``i`` are the total minus
+fold ``i`` (parallel-axis theorem).  Every fold and every candidate penalty is then solved
+from those numbers, and the held-out SSE of fold ``i`` comes from fold ``i``'s own
+moments - so a search over ``c`` candidates with ``k`` folds costs one scan instead of
+``c x k`` fits.
 
 Semantics follow the sklearn pipeline of the reference: features standardised with the
 *training* fold's mean and population std (a constant feature keeps scale 1), ridge
@@ -29,67 +29,85 @@ MAX_AGGS = 400
 
 
 def fold_statistics(df: DataFrame, features: Sequence[str], label: str, fold: str | None
-                    ) -> tuple[dict[int, dict], np.ndarray, float]:
-    """``{fold: {n, sx, sy, sxx, sxy, syy}}`` of mean-shifted values, plus the shifts.
+                    ) -> dict[int, dict]:
+    """``{fold: {n, mx, my, cxx, cxy, cyy}}``: count, means and *centred* co-moments.
 
-    ``fold=None`` aggregates all rows as fold 0.
+    One aggregation with Spark's numerically stable ``avg`` / ``covar_pop`` / ``var_pop``
+    (online co-moment updates, no raw sums of squares).  Rows with a missing feature or
+    label are skipped.  ``fold=None`` aggregates all rows as fold 0.
     """
     feats = list(features)
     p = len(feats)
-    shift = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(feats)],
-                   F.avg(F.col(label).cast("double")).alias("my")).first()
-    gx = np.array([shift[f"m{i}"] or 0.0 for i in range(p)])
-    gy = shift["my"] or 0.0
-    xs = [(F.col(c).cast("double") - F.lit(float(gx[i]))) for i, c in enumerate(feats)]
-    y = F.col(label).cast("double") - F.lit(float(gy))
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
-    aggs += [F.sum(xs[i]).alias(f"sx{i}") for i in range(p)]
-    aggs += [F.sum(xs[i] * y).alias(f"sxy{i}") for i in range(p)]
-    aggs += [F.sum(xs[i] * xs[j]).alias(f"sxx{i}_{j}") for i in range(p) for j in range(i, p)]
+    xs = [F.col(c).cast("double") for c in feats]
+    y = F.col(label).cast("double")
+    complete = y.isNotNull()
+    for x in xs:
+        complete = complete & x.isNotNull()
+    aggs = [F.count(F.lit(1)).alias("n"), F.avg(y).alias("my"), F.var_pop(y).alias("vy")]
+    aggs += [F.avg(xs[i]).alias(f"mx{i}") for i in range(p)]
+    aggs += [F.covar_pop(xs[i], y).alias(f"cxy{i}") for i in range(p)]
+    aggs += [(F.var_pop(xs[i]) if i == j else F.covar_pop(xs[i], xs[j])).alias(f"cxx{i}_{j}")
+             for i in range(p) for j in range(i, p)]
     key = F.col(fold) if fold is not None else F.lit(0)
-    # wide feature sets: several passes of at most MAX_AGGS sums keep codegen in bounds
+    src = df.where(complete)
+    # wide feature sets: several passes of at most MAX_AGGS statistics keep codegen in bounds
     merged: dict[int, dict] = {}
     for start in range(0, len(aggs), MAX_AGGS):
-        for r in df.groupBy(key.alias("_fold")).agg(*aggs[start:start + MAX_AGGS]).collect():
+        for r in src.groupBy(key.alias("_fold")).agg(*aggs[start:start + MAX_AGGS]).collect():
             merged.setdefault(int(r["_fold"]), {}).update(r.asDict())
-    rows = list(merged.values())
     out = {}
-    for r in rows:
-        sxx = np.zeros((p, p))
+    for k, r in merged.items():
+        n = float(r["n"])
+        cxx = np.zeros((p, p))
         for i in range(p):
             for j in range(i, p):
-                sxx[i, j] = sxx[j, i] = r[f"sxx{i}_{j}"]
-        out[int(r["_fold"])] = {
-            "n": float(r["n"]), "sy": r["sy"], "syy": r["syy"],
-            "sx": np.array([r[f"sx{i}"] for i in range(p)]),
-            "sxy": np.array([r[f"sxy{i}"] for i in range(p)]), "sxx": sxx}
-    return out, gx, gy
+                cxx[i, j] = cxx[j, i] = n * r[f"cxx{i}_{j}"]
+        out[k] = {"n": n, "my": r["my"], "cyy": n * r["vy"],
+                  "mx": np.array([r[f"mx{i}"] for i in range(p)]),
+                  "cxy": np.array([n * r[f"cxy{i}"] for i in range(p)]), "cxx": cxx}
+    return out
+
+
+def _merge(a: dict, b: dict) -> dict:
+    """Statistics of the union of two disjoint row sets (parallel-axis theorem)."""
+    n = a["n"] + b["n"]
+    dx, dy = b["mx"] - a["mx"], b["my"] - a["my"]
+    f = a["n"] * b["n"] / n
+    return {"n": n, "mx": a["mx"] + dx * b["n"] / n, "my": a["my"] + dy * b["n"] / n,
+            "cxx": a["cxx"] + b["cxx"] + f * np.outer(dx, dx),
+            "cxy": a["cxy"] + b["cxy"] + f * dx * dy, "cyy": a["cyy"] + b["cyy"] + f * dy * dy}
 
 
 def _minus(total: dict, part: dict) -> dict:
-    return {k: total[k] - part[k] for k in total}
+    """Statistics of ``total`` without the rows of ``part`` (inverse of ``_merge``)."""
+    n = total["n"] - part["n"]
+    mx = (total["n"] * total["mx"] - part["n"] * part["mx"]) / n
+    my = (total["n"] * total["my"] - part["n"] * part["my"]) / n
+    dx, dy = part["mx"] - mx, part["my"] - my
+    f = n * part["n"] / total["n"]
+    return {"n": n, "mx": mx, "my": my, "cxx": total["cxx"] - part["cxx"] - f * np.outer(dx, dx),
+            "cxy": total["cxy"] - part["cxy"] - f * dx * dy,
+            "cyy": total["cyy"] - part["cyy"] - f * dy * dy}
 
 
 def _sum(stats: Sequence[dict]) -> dict:
-    keys = stats[0].keys()
-    return {k: sum(s[k] for s in stats) for k in keys}
+    out = stats[0]
+    for s_ in stats[1:]:
+        out = _merge(out, s_)
+    return out
 
 
-def solve(train: dict, gx: np.ndarray, gy: float, alpha: float = 0.0,
-          fit_intercept: bool = True, scale: bool = True) -> tuple[float, np.ndarray]:
-    """``(c0, v)`` with prediction ``c0 + v . x`` in shifted units (``x - gx``, ``y - gy``)."""
-    n = train["n"]
-    mx = train["sx"] / n
-    my = train["sy"] / n
+def solve(train: dict, alpha: float = 0.0, fit_intercept: bool = True, scale: bool = True
+          ) -> tuple[float, np.ndarray]:
+    """``(c0, v)`` with prediction ``c0 + v . x`` in the data's own units."""
+    n, mx, my, cxx, cxy = train["n"], train["mx"], train["my"], train["cxx"], train["cxy"]
     if not fit_intercept and not scale:
-        # plain least squares through the origin, on unshifted sums
-        a = train["sxx"] + np.outer(gx, train["sx"]) + np.outer(train["sx"], gx) + n * np.outer(gx, gx)
-        b = train["sxy"] + gx * train["sy"] + gy * train["sx"] + n * gx * gy
+        # plain least squares through the origin: raw second moments from centred ones
+        a = cxx + n * np.outer(mx, mx)
+        b = cxy + n * mx * my
         w = np.linalg.solve(a + alpha * np.eye(len(b)), b) if alpha > 0 else \
             np.linalg.lstsq(a, b, rcond=None)[0]
-        return float(w @ gx) - gy, w
-    cxx = train["sxx"] - n * np.outer(mx, mx)          # sum (x - mx)(x - mx)'
-    cxy = train["sxy"] - n * mx * my                   # sum (x - mx)(y - my)
+        return 0.0, w
     if scale:
         sd = np.sqrt(np.maximum(np.diag(cxx) / n, 0.0))
         sd[sd == 0] = 1.0
@@ -101,27 +119,26 @@ def solve(train: dict, gx: np.ndarray, gy: float, alpha: float = 0.0,
         np.linalg.lstsq(a, b, rcond=None)[0]
     v = w / sd
     # with an intercept the fit passes through the training means; without one (after
-    # centring x) the prediction is v.(x - mean_x) in the label's own units
-    c0 = (my if fit_intercept else -gy) - float(v @ mx)
+    # centring x) the prediction is v.(x - mean_x)
+    c0 = (my if fit_intercept else 0.0) - float(v @ mx)
     return c0, v
 
 
 def sse(test: dict, c0: float, v: np.ndarray) -> float:
-    """``sum (y - c0 - v.x)^2`` over a fold from its own sums."""
-    n, sy, syy, sx, sxy, sxx = (test[k] for k in ("n", "sy", "syy", "sx", "sxy", "sxx"))
-    return float(syy - 2 * c0 * sy - 2 * v @ sxy + n * c0 * c0 + 2 * c0 * (v @ sx) + v @ sxx @ v)
+    """``sum (y - c0 - v.x)^2`` over a fold from its own means and co-moments."""
+    bias = test["my"] - c0 - float(v @ test["mx"])
+    return float(test["cyy"] - 2 * v @ test["cxy"] + v @ test["cxx"] @ v + test["n"] * bias * bias)
 
 
 def r2_of(test: dict, c0: float, v: np.ndarray) -> float | None:
-    sst = test["syy"] - test["sy"] ** 2 / test["n"]
-    return None if sst <= 0 else 1.0 - sse(test, c0, v) / sst
+    return None if test["cyy"] <= 0 else 1.0 - sse(test, c0, v) / test["cyy"]
 
 
 def cross_validate_linear(df: DataFrame, features: Sequence[str], label: str, fold: str,
                           candidates: Sequence[dict], names: Sequence[str] | None = None
                           ) -> DataFrame:
     """``(model, candidate, fold, r2)`` for every candidate ``{kind, alpha, fit_intercept}``."""
-    stats, gx, gy = fold_statistics(df, features, label, fold)
+    stats = fold_statistics(df, features, label, fold)
     total = _sum(list(stats.values()))
     rows = []
     for j, cand in enumerate(candidates):
@@ -130,7 +147,7 @@ def cross_validate_linear(df: DataFrame, features: Sequence[str], label: str, fo
             raise ValueError(f"fused CV handles {LINEAR_KINDS}, not {kind!r}")
         alpha = float(cand.get("alpha", 0.0)) if kind == "ridge" else 0.0
         for k in sorted(stats):
-            c0, v = solve(_minus(total, stats[k]), gx, gy, alpha,
+            c0, v = solve(_minus(total, stats[k]), alpha,
                           cand.get("fit_intercept", True), cand.get("scale", True))
             rows.append(((names[j] if names else kind), j, k, r2_of(stats[k], c0, v)))
     return df.sparkSession.createDataFrame(
@@ -158,8 +175,8 @@ def fit_least_squares(df: DataFrame, features: Sequence[str], label: str, alpha:
                       fit_intercept: bool = True, scale: bool = True) -> LeastSquaresModel:
     """OLS / ridge from one aggregation of the normal equations (what Spark's ``normal``
     solver does, but as a DataFrame aggregate inside whole-stage codegen)."""
-    stats, gx, gy = fold_statistics(df, features, label, None)
+    stats = fold_statistics(df, features, label, None)
     if not stats:
         raise ValueError("no rows to fit")
-    c0, v = solve(stats[0], gx, gy, alpha, fit_intercept, scale)
-    return LeastSquaresModel(list(features), float(gy + c0 - v @ gx), [float(x) for x in v])
+    c0, v = solve(stats[0], alpha, fit_intercept, scale)
+    return LeastSquaresModel(list(features), float(c0), [float(x) for x in v])
