@@ -178,3 +178,31 @@ def test_gbt_early_stopping_uses_validation_rows(spark):
                    validation_col="is_valid", validation_tol=0.05)
     assert early.stages[-1].getNumTrees <= full.stages[-1].getNumTrees
     assert early.stages[-1].getNumTrees < 60
+
+
+def test_comoment_merge_and_unmerge(spark):
+    from veld.plans.linear_cv import _merge, _minus, fold_statistics
+    df, x, y = _data(spark, n=300)
+    st = fold_statistics(df, FEATS, "y", "fold")
+    allst = fold_statistics(df, FEATS, "y", None)[0]
+    total = st[0]
+    for k in sorted(st)[1:]:
+        total = _merge(total, st[k])
+    for key in ("mx", "cxx", "cxy"):
+        np.testing.assert_allclose(total[key], allst[key], rtol=1e-9, atol=1e-9)
+    back = _minus(total, st[0])
+    rest = st[1]
+    for k in sorted(st)[2:]:
+        rest = _merge(rest, st[k])
+    for key in ("n", "mx", "my", "cxx", "cxy", "cyy"):
+        np.testing.assert_allclose(back[key], rest[key], rtol=1e-9, atol=1e-7)
+    np.testing.assert_allclose(allst["cxx"], (x - x.mean(0)).T @ (x - x.mean(0)), rtol=1e-9)
+
+
+def test_least_squares_skips_incomplete_rows(spark):
+    df, x, y = _data(spark, n=200)
+    holes = df.withColumn("a", F.when(F.col("id") % 10 == 0, None).otherwise(F.col("a")))
+    m = fit_least_squares(holes, FEATS, "y")
+    keep = np.array([i % 10 != 0 for i in range(200)])
+    coef = np.linalg.lstsq(np.c_[np.ones(keep.sum()), x[keep]], y[keep], rcond=None)[0]
+    np.testing.assert_allclose([m.intercept] + m.coefficients, coef, rtol=1e-8)
