@@ -149,3 +149,16 @@ def test_correlation_constant_is_null(spark):
     assert m[("a", "c")] is None and m[("c", "c")] is None and m[("a", "a")] == 1.0
     assert m[("a", "b")] == pytest.approx(np.corrcoef([1, 2, 3], [2, 4, 7])[0, 1])
     assert m[("a", "b")] == m[("b", "a")]
+
+
+def test_approx_profiles_close_to_exact(spark):
+    rng = np.random.default_rng(11)
+    vals = [float(v) for v in rng.normal(size=3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    exact = profile.describe(df, ["x"]).first()
+    approx = profile.describe(df, ["x"], approx=True).first()
+    for q in ("q25", "q50", "q75"):
+        assert abs(exact[q] - approx[q]) < 0.05
+    clip = encode.QuantileClip({"x": (0.05, 0.95)}, approx=True).fit(df)
+    lo, hi = clip.bounds["x"]
+    assert abs(lo - np.quantile(vals, 0.05)) < 0.1 and abs(hi - np.quantile(vals, 0.95)) < 0.1
