@@ -183,7 +183,9 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     A null text stays null and an empty one empty.  Rows with equal texts are replaced alike.
     A column of ``docs`` called ``entities`` is overwritten."""
     t = F.coalesce(F.col(text), F.lit(""))
-    found = F.when(t.rlike(ENTITY), F.regexp_extract_all(t, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    # what every entity has, and few texts: cheaper to look for than the entities
+    perhaps = t.contains("@") | t.rlike("[0-9]{3}|[0-9][.]") | t.rlike(rf"(?:{_TITLE})\.? \p{{Lu}}")
+    found = F.when(perhaps, F.regexp_extract_all(t, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     docs = docs.withColumn("__found", F.transform(found, lambda m: F.struct(m.alias("m"), _kind(m).alias("kind"))))
     some = F.size("__found") > 0
     # the text's hash and length name its entity list: texts that share both would share draws
