@@ -94,10 +94,23 @@ class LibraryEncoder:
         new_ids, new_starts = self._each(new)
         flat = np.concatenate([flat, new_ids])
         starts = np.concatenate([starts[:-1], new_starts + starts[-1]])
-        keep = len(known) + len(new) <= self.REMEMBERED
-        self.memory = (pa.concat_arrays([known, new]), flat, starts) if keep else (new, new_ids, new_starts)
+        self._remember(pa.concat_arrays([known, new]), flat, starts, at[np.bincount(index, minlength=len(at)) > 1])
         return spread_ids(flat, starts, at[index], first)
 
+    def _remember(self, words: pa.Array, flat: np.ndarray, starts: np.ndarray, repeated: np.ndarray) -> None:
+        """Keep what was known and the new pre-tokens that this piece repeats; if that is too
+        much, only what it repeats, and if that is too much, nothing."""
+        known = 0 if self.memory is None else len(self.memory[0])
+        keep = np.zeros(len(words), bool)
+        keep[repeated] = True
+        if known + keep[known:].sum() <= self.REMEMBERED:
+            keep[:known] = True
+        elif keep.sum() > self.REMEMBERED:
+            keep[:] = False
+        counts = np.diff(starts)
+        self.memory = (words.filter(pa.array(keep)), flat[np.repeat(keep, counts)],
+                       np.append(0, np.cumsum(counts[keep])))
+
     def _each(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pre-tokens, one after the other, and where each begins.  One call encodes them
         as one text with a line end before each: the pattern cuts there again, and no other
@@ -141,8 +154,8 @@ def write_token_files(docs: DataFrame, path: str, encoder: LibraryEncoder, end_i
                       text: str = "text", id: str = "doc_id") -> None:
     """Encode ``docs`` and write the token files and their manifest to ``path``.
 
-    Texts are dealt by ranges of (id, text hash, input partition), so neither a repeated id
-    nor a repeated row gathers in one task, and sorted inside each range.
+    Texts are dealt by ranges of (id, input partition), so a repeated id does not gather in one
+    task, and sorted by id and text hash inside each range.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(encoder)
@@ -160,10 +173,8 @@ def write_token_files(docs: DataFrame, path: str, encoder: LibraryEncoder, end_i
                 "ids": pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids.astype(np.int32)))})
             done += int(first[-1])
 
-    order = ["id", "h", "p"]
-    (docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"),
-                 F.spark_partition_id().alias("p"))
-        .repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
+    (docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.spark_partition_id().alias("p"))
+        .repartitionByRange("id", "p").sortWithinPartitions("id", F.xxhash64("text")).select("id", "text")
         .mapInArrow(run, f"part int, id {kind}, local_start long, n_tokens long, ids array<int>")
         .withColumnRenamed("id", id)
         .write.mode("overwrite").format("orc")
