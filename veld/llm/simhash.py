@@ -42,6 +42,8 @@ SEED = 42
 #: Fingerprints of one key that are compared in pairs; larger keys take the exact way.
 MAX_IN_KEY = 128
 MAX_BITS = 3
+#: Bytes of text hashed at once; a shingle takes 64 counters of its bits for a moment.
+HASH_BYTES = 1 << 20
 #: Fixed value: the generator polynomial of the binary Golay code of length 23.
 GOLAY = 0b110001110101
 
@@ -71,7 +73,7 @@ def majority_bits(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     some = np.flatnonzero(count)
     if len(some):
         bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        sums = np.add.reduceat(bits, first[:-1][some], axis=0, dtype=np.int64)
+        sums = np.add.reduceat(bits, first[:-1][some], axis=0, dtype=np.int32)
         out[some] = np.packbits(2 * sums > count[some][:, None], axis=1, bitorder="little").view("<u8").ravel()
     return out
 
@@ -84,7 +86,7 @@ def fingerprints(docs: DataFrame, words: int = 3, text: str = "text", id: str =
     are kept; other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text"):
+        for piece in pieces(batches, "text", HASH_BYTES):
             fp = majority_bits(*shingle_hashes(piece.column("text"), words))
             yield pa.RecordBatch.from_pydict({"id": piece.column("id"), "fp": pa.array(fp.view(np.int64))})
 
