@@ -267,7 +267,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = MAX_BITS, text:
     linked = roots.join(distinct, roots.node == distinct.fp).select("fp", "rep", "root")
     smallest = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = linked.join(smallest, "root").select("fp", "component_id")
-    group = distinct.join(named, "fp", "left").select("fp", F.when(F.col("component_id").isNull(), F.col("rep"))
-                                                      .otherwise(F.col("component_id")).alias("component_id"))
+    # written, so that the join below is one plain join, whose large keys Spark can split
+    group = written(distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id")),
+                    "fingerprint-groups")
     return prints.join(group, "fp").select(
         id, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
