@@ -22,7 +22,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     lost executor takes nothing with it."""
     path = shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)     # no job to find the schema again
 
 
 def ship_package(spark: SparkSession) -> None:
