@@ -5,7 +5,7 @@ import uuid
 import pytest
 
 from veld.operators.geo import lookup_table
-from veld.session import checkpoint_root, read_parquet_parallel
+from veld.session import checkpoint_root
 from veld.sources import io
 
 
@@ -45,10 +45,15 @@ def test_lookup_json_shape(spark):
     assert lk == {"kerkstraat 5, tielt": (51.0, 3.3)}
 
 
-def test_small_single_split_table_is_staged(spark):
-    d = _dir(spark)
-    path = os.path.join(d, "one.parquet")
-    spark.range(1000).coalesce(1).write.parquet(path)
-    df = read_parquet_parallel(spark, path)
-    assert df.rdd.getNumPartitions() >= min(spark.sparkContext.defaultParallelism, 2)
-    assert df.count() == 1000
+def test_csv_types_come_from_all_rows(spark):
+    path = os.path.join(_dir(spark), "mixed.csv")
+    with open(path, "w") as f:
+        f.write("v\n" + "\n".join(["12"] * 1998 + ["abc", "xyz"]))
+    df = io.load_table(spark, path)
+    assert df.schema["v"].dataType.simpleString() == "string" and df.where("v is null").count() == 0
+
+
+def test_nan_is_null_after_load(spark):
+    path = os.path.join(_dir(spark), "nan.parquet")
+    spark.createDataFrame([(1.0,), (float("nan"),)], "x double").write.parquet(path)
+    assert io.load_table(spark, path).where("x is null").count() == 1

@@ -3,6 +3,8 @@ import uuid
 
 import numpy as np
 import pytest
+
+from veld.plans.evaluate import regression_metrics
 from pyspark.sql import functions as F
 
 from veld.operators.select import fold_column, holdout_split
@@ -199,10 +201,14 @@ def test_comoment_merge_and_unmerge(spark):
     np.testing.assert_allclose(allst["cxx"], (x - x.mean(0)).T @ (x - x.mean(0)), rtol=1e-9)
 
 
-def test_least_squares_skips_incomplete_rows(spark):
+def test_least_squares_raises_on_missing_values(spark):
     df, x, y = _data(spark, n=200)
     holes = df.withColumn("a", F.when(F.col("id") % 10 == 0, None).otherwise(F.col("a")))
-    m = fit_least_squares(holes, FEATS, "y")
-    keep = np.array([i % 10 != 0 for i in range(200)])
-    coef = np.linalg.lstsq(np.c_[np.ones(keep.sum()), x[keep]], y[keep], rcond=None)[0]
-    np.testing.assert_allclose([m.intercept] + m.coefficients, coef, rtol=1e-8)
+    with pytest.raises(ValueError, match="20 rows"):
+        fit_least_squares(holes, FEATS, "y")
+
+
+def test_metrics_are_over_complete_pairs(spark):
+    df = spark.createDataFrame([(1.0, 1.5), (2.0, None), (3.0, 2.0), (None, 9.0)], "label double, prediction double")
+    row = regression_metrics(df).first()
+    assert row["n"] == 2 and row["mse"] == pytest.approx((0.25 + 1) / 2) and row["r2"] == pytest.approx(1 - 1.25 / 2)

@@ -231,18 +231,22 @@ def drop_sparse_columns(df: DataFrame, threshold: float = 0.3,
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep, per key, the row that is first by ``order``.
 
-    NULL keys group together (pandas ``drop_duplicates``).  Written as
-    ``groupBy(keys).agg(min_by(struct(row), struct(order)))``: a hash aggregate with a
-    map-side partial step, so a key holding a third of all rows is reduced on every
-    mapper to one row before the shuffle.  Ties in ``order`` are broken by the other
-    columns, so the result never depends on task order or retries.
+    NULL keys group together (pandas ``drop_duplicates``).  One aggregate with a map-side
+    partial step: a key holding a third of all rows is reduced on every mapper to one row
+    before the shuffle.  The row crosses it once, as the struct (order, other columns) whose
+    minimum is kept, so ties in ``order`` are broken by the other columns and the result
+    never depends on task order or retries.  Map columns, which have no order, ride along.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    # remaining orderable columns break ties, so a retried task keeps the same row
-    tie = [f.name for f in df.schema.fields
-           if f.name in rest and f.name not in order and not isinstance(f.dataType, T.MapType)]
-    ordering = F.struct(*[F.col(c) for c in list(order) + tie])
-    picked = (df.groupBy(*[F.col(k) for k in keys])
-              .agg(F.min_by(F.struct(*[F.col(c) for c in rest]), ordering).alias("_row")))
+    maps = [f.name for f in df.schema.fields if isinstance(f.dataType, T.MapType)]
+    ordered = [*order, *[c for c in rest if c not in order and c not in maps]]
+    first = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(ordered)])
+    grouped = df.groupBy(*[F.col(k) for k in keys])
+    if any(c in maps for c in rest):
+        row = F.min_by(F.struct(*[F.col(c) for c in rest]), first)
+        picked = grouped.agg(row.alias("_row"))
+    else:
+        picked = grouped.agg(F.min(first).alias("_f")).select(*keys, F.struct(
+            *[F.col("_f")[f"_{ordered.index(c)}"].alias(c) for c in rest]).alias("_row"))
     return picked.select(*keys, "_row.*").select(*df.columns)

@@ -20,15 +20,6 @@ from veld.operators.clean import columns_of_kind
 from veld.operators.quantiles import quantiles
 from veld.session import materialize
 
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the (materialised) side is proven small; else plain join."""
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
 # ---------------------------------------------------------------- mode / median / mean
 
 def modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
@@ -62,7 +53,7 @@ def fill_values(df: DataFrame, columns: Sequence[str], method: str = "mode",
                 approx: bool = False) -> dict[str, object]:
     """Fitted fill value per column: ``mode`` / ``median`` / ``mean``."""
     if method not in ("mode", "median", "mean"):
-        raise ValueError("Method must be one of 'mode', 'median', or 'mean'.")
+        raise ValueError(f"unknown fill statistic {method!r}: use mode, median or mean")
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return {}
@@ -167,7 +158,6 @@ class TargetEncoder:
     columns: Sequence[str]
     target: str
     drop_original: bool = False
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS
     mapping: DataFrame | None = None
 
     def fit(self, df: DataFrame) -> "TargetEncoder":
@@ -177,7 +167,6 @@ class TargetEncoder:
     def transform(self, df: DataFrame) -> DataFrame:
         if self.mapping is None:
             raise RuntimeError("fit first")
-        n_all = self.mapping.count()
         out = df
         for c in self.columns:
             if c not in df.columns:
@@ -185,8 +174,6 @@ class TargetEncoder:
             m = (self.mapping.where(F.col("column") == c)
                  .select(F.col("category").alias(f"_cat_{c}"),
                          F.col("encoded").alias(f"{c}_encoded")))
-            if n_all <= self.broadcast_max_rows:
-                m = F.broadcast(m)
             out = (out.join(m, out[c].cast("string") == F.col(f"_cat_{c}"), "left")
                    .drop(f"_cat_{c}"))
             if self.drop_original:

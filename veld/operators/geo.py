@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from veld.functions.geo import distance, mercator_x, mercator_y
 from veld.functions.numeric import range_bucket
 from veld.functions.text import address_candidates, normalize_address
-from veld.operators.encode import BROADCAST_MAX_ROWS
 from veld.session import materialize
 
 # The ten reference cities in list order (name, latitude, longitude).
@@ -57,20 +56,16 @@ def lookup_table(raw: DataFrame, key: str = "address_key", lat: str = "lat",
 def fallback_lookup(df: DataFrame, lookup: DataFrame, lat: str = "latitude",
                     lon: str = "longitude", street="street", number="number",
                     postcode="Postal_code", locality="locality_name",
-                    keep_partial: bool = False, literal: bool = False,
-                    broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    keep_partial: bool = False, literal: bool = False) -> DataFrame:
     """Fill coordinates of rows missing latitude or longitude.
 
     The four address strings are tried in order; the first whose normalised form is in
     ``lookup`` wins and *both* coordinates are overwritten (NULL when nothing matches,
     unless ``keep_partial``).  Rows with both coordinates pass through untouched.  The
     lookup is written once to the checkpoint folder (it feeds four joins), then joined
-    on each candidate key; it is broadcast only after its row count is checked, so a
-    large address table falls back to shuffle joins instead.
+    on each candidate key; Spark broadcasts it if its bytes allow, else it shuffles.
     """
     lookup = materialize(lookup.select("address_key", "lat", "lon"), "address-lookup")
-    n = lookup.count()                       # from the written files: cheap, exact
-    lk = F.broadcast(lookup) if n <= broadcast_max_rows else lookup
     missing = F.col(lat).isNull() | F.col(lon).isNull()
     cand = address_candidates(street, number, postcode, locality)
     # only rows missing a coordinate take part in the joins; complete rows bypass them
@@ -82,7 +77,7 @@ def fallback_lookup(df: DataFrame, lookup: DataFrame, lat: str = "latitude",
     for i in range(4):
         k = f"_k{i}"
         out = out.withColumn(k, normalize_address(cand[i], literal))
-        side = lk.select(F.col("address_key").alias(k),
+        side = lookup.select(F.col("address_key").alias(k),
                          F.struct("lat", "lon").alias(f"_hit{i}"))
         out = out.join(side, k, "left").drop(k)
     hit = F.coalesce(*[F.col(f"_hit{i}") for i in range(4)])

@@ -1,24 +1,22 @@
 """Exact quantiles (linear interpolation, pandas / ``quantile_cont`` semantics) at scale.
 
 Spark's exact ``percentile`` keeps a map of every distinct value and merges it in one
-task for a global aggregate; on a 100 TB column that map does not fit.  Here an exact
-quantile is found by *histogram refinement*:
+task for a global aggregate; on a 100 TB column that map does not fit.  Here each wanted
+order statistic (rank ``floor(h)`` and ``ceil(h)`` with ``h=(n-1)p``) owns a bracket
+``[a, b]`` of values and knows how many values lie below it:
 
 1. one aggregation gives ``count``, ``min`` and ``max`` of every column;
-2. each wanted order statistic (rank ``floor(h)`` and ``ceil(h)`` with ``h=(n-1)p``) owns a
-   value bracket ``[a, b]`` and knows how many values lie below it;
-3. a pass buckets the values inside the open brackets into at most ``buckets`` equal-width
-   buckets (or by exact value once a bracket holds at most ``buckets`` values), counting
-   rows and the real min / max per bucket with a partially aggregated ``groupBy``;
-4. each rank moves into the bucket that holds it; a bracket with ``a == b`` is solved.
-
-Each pass is one scan of the pruned columns and returns at most ``brackets x buckets``
-rows to the driver, so nothing unbounded ever reaches one task or the driver.  The
-bracket count strictly falls each pass (the first and last bucket are never empty), so
-the loop ends; in practice two or three passes.  Brackets of one column are disjoint or
-identical, so every value is routed to at most one bracket by a CASE expression (no
-join, no row duplication).  A hot value holding a third of the rows lands in one bucket
-whose min equals its max and is solved at once.
+2. ``percentile_approx`` over the bracket, asked a little below and a little above the
+   rank, gives a narrower bracket: its error is bounded in *ranks*, so the share of rows
+   that is left does not depend on how the values are spread;
+3. one count says how many values lie below, inside and above.  Inside a bracket that can
+   only hold few rows they are counted by value, which ends the search; a bracket of one
+   value (a hot value) ends too.  Should the sketch have missed, the side that holds the
+   rank is searched next.
+
+Three scans for up to hundreds of millions of rows, two more for each further factor of
+``accuracy / 6``.  Infinities are ordinary largest and smallest values; NaN is missing.
+At most ``max_rows_per_pass`` counts reach the driver in a pass.
 """
 
 from __future__ import annotations
@@ -36,17 +34,8 @@ def _val(c: str) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-def _value_rows(df: DataFrame, cols: Sequence[str], active: Sequence[int]) -> DataFrame:
-    """(cid INT, v DOUBLE) for the active columns; a plain projection for one column."""
-    if len(active) == 1:
-        i = active[0]
-        return df.select(F.lit(i).alias("cid"), _val(cols[i]).alias("v"))
-    structs = [F.struct(F.lit(i).alias("cid"), _val(cols[i]).alias("v")) for i in active]
-    return df.select(F.inline(F.array(*structs)))
-
-
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    buckets: int = 4096, max_rows_per_pass: int = 250_000,
+                    accuracy: int = 10_000, max_rows_per_pass: int = 250_000,
                     known: dict[str, tuple] | None = None) -> dict[str, list[float | None]]:
     """``{column: [quantile for p in probs]}``; ``None`` where a column has no values.
 
@@ -60,23 +49,16 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             raise ValueError(f"quantile {p} outside [0, 1]")
     if not cols:
         return {}
-    if known is not None and all(c in known for c in cols):
-        stats = {}
-        for i, c in enumerate(cols):
-            stats[f"n{i}"], stats[f"a{i}"], stats[f"b{i}"] = known[c]
-    else:
-        stats = df.agg(*[e for i, c in enumerate(cols) for e in (
-            F.count(_val(c)).alias(f"n{i}"),
-            F.min(_val(c)).alias(f"a{i}"),
-            F.max(_val(c)).alias(f"b{i}"))]).first()
-
-    # bracket state, keyed by (cid, rank)
+    if known is None or not all(c in known for c in cols):
+        known = {c: s["known"] for c, s in value_stats(df, cols).items()}
+
+    # bracket state, keyed by (column number, rank)
     state: dict[tuple[int, int], dict] = {}
     plan: dict[tuple[int, float], tuple[int, int, float] | None] = {}
-    for i in range(len(cols)):
-        n = int(stats[f"n{i}"])
+    for i, c in enumerate(cols):
+        n, a, b = known[c]
         for p in probs:
-            if n == 0:
+            if not n:
                 plan[(i, p)] = None
                 continue
             h = (n - 1) * p
@@ -84,63 +66,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             hi = min(lo + 1, n - 1) if h > lo else lo
             plan[(i, p)] = (lo, hi, h - lo)
             for r in (lo, hi):
-                a, b = float(stats[f"a{i}"]), float(stats[f"b{i}"])
-                state.setdefault((i, r), {"a": a, "b": b, "below": 0, "cnt": n,
-                                          "value": a if a == b else None})
-
+                state.setdefault((i, r), {"a": float(a), "b": float(b), "below": 0, "cnt": int(n),
+                                          "value": float(a) if a == b else None})
     while True:
         open_keys = [k for k, s in state.items() if s["value"] is None]
         if not open_keys:
             break
-        # distinct brackets (cid, a, b) -> bracket id
-        brackets: dict[tuple[int, float, float], int] = {}
-        for (i, _r) in open_keys:
-            s = state[(i, _r)]
-            brackets.setdefault((i, s["a"], s["b"]), len(brackets))
-        nb = max(16, min(buckets, max_rows_per_pass // max(1, len(brackets))))
-        cnt_of = {}
-        for (i, _r) in open_keys:
-            s = state[(i, _r)]
-            cnt_of[(i, s["a"], s["b"])] = s["cnt"]
-        active = sorted({i for (i, _a, _b) in brackets})
-        rows = _value_rows(df, cols, active)
-        v = F.col("v")
-        bid: Column | None = None
-        key: Column | None = None
-        for (i, a, b), j in brackets.items():
-            inside = (F.col("cid") == i) & (v >= F.lit(a)) & (v <= F.lit(b))
-            if cnt_of[(i, a, b)] <= nb:
-                k = v                                   # few values left: exact
-            else:
-                width = (b - a) / nb
-                k = F.least(F.floor((v - F.lit(a)) / F.lit(width)),
-                            F.lit(nb - 1)).cast("double")
-            bid = F.when(inside, F.lit(j)) if bid is None else bid.when(inside, F.lit(j))
-            key = F.when(F.col("bid") == j, k) if key is None else key.when(F.col("bid") == j, k)
-        hist = (rows.withColumn("bid", bid).where(F.col("bid").isNotNull())
-                .withColumn("k", key)
-                .groupBy("bid", "k")
-                .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-                .collect())
-        per_bracket: dict[int, list] = {}
-        for r in hist:
-            per_bracket.setdefault(r["bid"], []).append(r)
-        for lst in per_bracket.values():
-            lst.sort(key=lambda r: r["k"])
-        for key_ in open_keys:
-            i, rank = key_
-            s = state[key_]
-            j = brackets[(i, s["a"], s["b"])]
-            below = s["below"]
-            for r in per_bracket.get(j, []):
-                if below + r["c"] > rank:
-                    s.update(a=float(r["lo"]), b=float(r["hi"]), below=below, cnt=int(r["c"]))
-                    if r["lo"] == r["hi"]:
-                        s["value"] = float(r["lo"])
-                    break
-                below += r["c"]
-            else:  # cannot happen: ranks lie inside [0, n)
-                raise RuntimeError("quantile refinement lost its rank")
+        few = max(1, max_rows_per_pass // len(open_keys))
+        trial = _narrow(df, cols, state, [k for k in open_keys if state[k]["cnt"] > few], accuracy)
+        _count(df, cols, state, open_keys, trial, few, accuracy)
 
     out: dict[str, list[float | None]] = {}
     for i, c in enumerate(cols):
@@ -157,6 +91,54 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     return out
 
 
+def _inside(v: Column, a: float, b: float) -> Column:
+    return (v >= F.lit(a)) & (v <= F.lit(b))
+
+
+def _narrow(df: DataFrame, cols: Sequence[str], state: dict, keys: list, accuracy: int) -> dict:
+    """A narrower bracket for each key, from one sketch pass."""
+    if not keys:
+        return {}
+    slack = 3.0 / accuracy
+    aggs = []
+    for j, k in enumerate(keys):
+        s, v = state[k], _val(cols[k[0]])
+        q = (k[1] - s["below"]) / s["cnt"]
+        aggs.append(F.percentile_approx(F.when(_inside(v, s["a"], s["b"]), v),
+                                        [max(0.0, q - slack), min(1.0, q + slack)], accuracy).alias(f"q{j}"))
+    row = df.agg(*aggs).first()
+    return {k: (float(row[f"q{j}"][0]), float(row[f"q{j}"][1])) for j, k in enumerate(keys)}
+
+
+def _count(df: DataFrame, cols: Sequence[str], state: dict, keys: list, trial: dict, few: int,
+           accuracy: int) -> None:
+    """One pass that counts each bracket below, inside and above its trial bracket and moves
+    every rank to where it lies."""
+    tags = []
+    for j, k in enumerate(keys):
+        s, v = state[k], _val(cols[k[0]])
+        a, b = trial.get(k, (s["a"], s["b"]))
+        by_value = k not in trial or s["cnt"] * 6 / accuracy <= few
+        part = F.when(v < F.lit(a), -1).when(v > F.lit(b), 1).otherwise(0)
+        tags.append(F.when(_inside(v, s["a"], s["b"]), F.struct(
+            F.lit(j).alias("j"), part.alias("part"), F.when(part == 0, v if by_value else F.lit(None)).alias("k"), v.alias("v"))))
+    hist = (df.select(F.explode(F.array_compact(F.array(*tags))).alias("t")).groupBy("t.j", "t.part", "t.k")
+            .agg(F.count(F.lit(1)).alias("c"), F.min("t.v").alias("lo"), F.max("t.v").alias("hi")).collect())
+    parts: dict[int, list] = {}
+    for r in hist:
+        parts.setdefault(r["j"], []).append(r)
+    for j, k in enumerate(keys):
+        s, below = state[k], state[k]["below"]
+        for r in sorted(parts.get(j, []), key=lambda r: (r["part"], r["lo"])):
+            if below + r["c"] > k[1]:
+                s.update(a=float(r["lo"]), b=float(r["hi"]), below=below, cnt=int(r["c"]),
+                         value=float(r["lo"]) if r["lo"] == r["hi"] else None)
+                break
+            below += r["c"]
+        else:  # cannot happen: ranks lie inside [0, n)
+            raise RuntimeError("quantile search lost its rank")
+
+
 def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                      accuracy: int = 10_000) -> dict[str, list[float | None]]:
     """One-pass ``percentile_approx`` (bounded sketch per column) when exactness is not needed."""

@@ -14,11 +14,11 @@ from veld.operators.clean import NUMERIC_TYPES
 def target_correlations(df: DataFrame, target: str, exclude: Sequence[str] = ()) -> DataFrame:
     """``(column, r)`` of every numeric column with ``target`` from one aggregation."""
     if target not in df.columns:
-        raise ValueError(f"The target column '{target}' is not in the DataFrame.")
+        raise ValueError(f"no target column {target!r} among {df.columns}")
     numeric = [f.name for f in df.schema.fields
                if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in set(exclude)]
     if target not in numeric:
-        raise ValueError(f"The target column '{target}' must be numeric for correlation analysis.")
+        raise ValueError(f"target {target!r} is not numeric, so it has no correlations")
     wide = df.agg(*[safe_corr(c, target).alias(f"r{i}") if c != target else
                     F.when(F.stddev_pop(F.col(c).cast("double")) > 0, F.lit(1.0)).alias(f"r{i}")
                     for i, c in enumerate(numeric)])

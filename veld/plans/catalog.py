@@ -762,8 +762,8 @@ SELECT c_custkey, n_name, r_name FROM customer LEFT JOIN nation ON c_nationkey =
 LEFT JOIN region ON n_regionkey = r_regionkey""")
 def q_left_join_lookup(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    n = encode.bounded_broadcast(table(spark, d, "nation"))    # row count checked first
-    rg = encode.bounded_broadcast(table(spark, d, "region"))
+    n = table(spark, d, "nation")          # Spark broadcasts by bytes
+    rg = table(spark, d, "region")
     out = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     out = out.join(rg, out.n_regionkey == rg.r_regionkey, "left")
     return out.select("c_custkey", "n_name", "r_name")

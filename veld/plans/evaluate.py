@@ -19,11 +19,13 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
                        ) -> DataFrame:
     """RMSE, R^2, MAE, MSE and n in one aggregation (V1).
 
-    R^2 = 1 - SSE / SST with SST = n * var_pop(y); NULL for a constant label.
+    R^2 = 1 - SSE / SST with SST = n * var_pop(y); NULL for a constant label.  All are over
+    complete pairs: a row whose label or prediction is NULL counts in none of them.
     """
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     e = y - p
-    agg = pred.agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("_sse"),
+    y = F.when(e.isNotNull(), y)
+    agg = pred.agg(F.count(e).alias("n"), F.sum(e * e).alias("_sse"),
                    F.sum(F.abs(e)).alias("_sae"), F.var_pop(y).alias("_vy"))
     return agg.select(
         "n",
@@ -38,7 +40,8 @@ def regression_metrics_by(pred: DataFrame, group: str, label: str = "label",
     """``regression_metrics`` per value of ``group`` (e.g. train / test) in one pass."""
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     e = y - p
-    agg = pred.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("_sse"),
+    y = F.when(e.isNotNull(), y)
+    agg = pred.groupBy(group).agg(F.count(e).alias("n"), F.sum(e * e).alias("_sse"),
                                   F.sum(F.abs(e)).alias("_sae"), F.var_pop(y).alias("_vy"))
     return agg.select(
         group, "n",
@@ -157,9 +160,10 @@ def random_search(data: DataFrame, kind: str, features: Sequence[str], label: st
         scores = list(pool.map(one, jobs))
     rows = []
     for j, params in enumerate(candidates):
-        r2s = [r for jj, r in scores if jj == j and r is not None]
-        mean = sum(r2s) / len(r2s) if r2s else None
-        std = (sum((r - mean) ** 2 for r in r2s) / len(r2s)) ** 0.5 if r2s else None
+        r2s = [r for jj, r in scores if jj == j]
+        scored = r2s and None not in r2s         # a fold without a score leaves none
+        mean = sum(r2s) / len(r2s) if scored else None
+        std = (sum((r - mean) ** 2 for r in r2s) / len(r2s)) ** 0.5 if scored else None
         rows.append((kind, j, {kk: str(v) for kk, v in params.items()}, mean, std))
     return spark.createDataFrame(
         rows, "model string, candidate int, params map<string,string>, mean_r2 double, std_r2 double")

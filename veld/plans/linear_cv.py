@@ -33,8 +33,8 @@ def fold_statistics(df: DataFrame, features: Sequence[str], label: str, fold: st
     """``{fold: {n, mx, my, cxx, cxy, cyy}}``: count, means and *centred* co-moments.
 
     One aggregation with Spark's numerically stable ``avg`` / ``covar_pop`` / ``var_pop``
-    (online co-moment updates, no raw sums of squares).  Rows with a missing feature or
-    label are skipped.  ``fold=None`` aggregates all rows as fold 0.
+    (online co-moment updates, no raw sums of squares).  A missing feature or
+    label raises, as a Spark ML fit does.  ``fold=None`` aggregates all rows as fold 0.
     """
     feats = list(features)
     p = len(feats)
@@ -43,18 +43,20 @@ def fold_statistics(df: DataFrame, features: Sequence[str], label: str, fold: st
     complete = y.isNotNull()
     for x in xs:
         complete = complete & x.isNotNull()
-    aggs = [F.count(F.lit(1)).alias("n"), F.avg(y).alias("my"), F.var_pop(y).alias("vy")]
+    aggs = [F.count(F.lit(1)).alias("n"), F.count(F.when(~complete, 1)).alias("missing"), F.avg(y).alias("my"), F.var_pop(y).alias("vy")]
     aggs += [F.avg(xs[i]).alias(f"mx{i}") for i in range(p)]
     aggs += [F.covar_pop(xs[i], y).alias(f"cxy{i}") for i in range(p)]
     aggs += [(F.var_pop(xs[i]) if i == j else F.covar_pop(xs[i], xs[j])).alias(f"cxx{i}_{j}")
              for i in range(p) for j in range(i, p)]
     key = F.col(fold) if fold is not None else F.lit(0)
-    src = df.where(complete)
     # wide feature sets: several passes of at most MAX_AGGS statistics keep codegen in bounds
     merged: dict[int, dict] = {}
     for start in range(0, len(aggs), MAX_AGGS):
-        for r in src.groupBy(key.alias("_fold")).agg(*aggs[start:start + MAX_AGGS]).collect():
+        for r in df.groupBy(key.alias("_fold")).agg(*aggs[start:start + MAX_AGGS]).collect():
             merged.setdefault(int(r["_fold"]), {}).update(r.asDict())
+    missing = sum(r["missing"] for r in merged.values())
+    if missing:
+        raise ValueError(f"{missing} rows lack a feature or the label: fill or drop them first")
     out = {}
     for k, r in merged.items():
         n = float(r["n"])

@@ -43,8 +43,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Set only when unset (local runs and tests): a fresh temp folder, registered on the
-    session so later calls and ``DataFrame.checkpoint`` use the same place.
+    Where it is unset, a local master (tests) gets a fresh temp folder, registered on the
+    session so later calls and ``DataFrame.checkpoint`` use the same place; a cluster raises,
+    as its executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="veld-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root
@@ -64,52 +67,3 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
                         f"{name or 'stage'}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``repartition`` only when a scan yields fewer partitions than the
-    cluster can run at once (e.g. a small file with one row group, which Spark cannot
-    split).  A large table already has many splits and passes through untouched, so no
-    shuffle is added at scale.  Round-robin repartition sorts rows first, so a retried
-    task rebuilds the same partitions.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
-_STAGED: dict[tuple, str] = {}
-
-
-def read_parquet_parallel(spark: SparkSession, path: str) -> DataFrame:
-    """Read a Parquet table so that it scans with at least one split per core.
-
-    A table that already has enough splits (any real large dataset) is returned as read.
-    A small table whose file cannot be split (one row group) is rewritten once per
-    session as a multi-file copy under the checkpoint folder; every later query and
-    every pass of a multi-pass operator then reads it in parallel without a shuffle.
-    """
-    return stage_if_small(spark.read.parquet(path), path)
-
-
-def stage_if_small(df: DataFrame, path: str) -> DataFrame:
-    """``df`` (read from ``path``) or, when it has fewer splits than cores, its staged
-    multi-file copy (see ``read_parquet_parallel``)."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    try:
-        st = os.stat(path)
-        stamp = (st.st_mtime_ns, st.st_size)
-    except OSError:
-        stamp = None
-    key = (spark.sparkContext.applicationId, os.path.abspath(path), stamp, target,
-           df.schema.simpleString())
-    if key not in _STAGED:
-        out = os.path.join(checkpoint_root(spark), "staged",
-                           f"{os.path.basename(path.rstrip('/'))}-{uuid.uuid4().hex[:12]}")
-        df.repartition(target).write.mode("overwrite").parquet(out)
-        _STAGED[key] = out
-    return spark.read.schema(df.schema).parquet(_STAGED[key])

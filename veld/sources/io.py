@@ -13,19 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veld.session import spread, stage_if_small
-
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".pq": "parquet", ".json": "json",
            ".jsonl": "json", ".orc": "orc"}
 
 
 def load_table(spark: SparkSession, path: str, fmt: str | None = None,
-               schema: T.StructType | str | None = None, spread_small: bool = True,
-               **options) -> DataFrame:
+               schema: T.StructType | str | None = None, **options) -> DataFrame:
     """Read a table by suffix or ``fmt``.
 
-    CSV gets a header and, without a schema, type inference on a bounded sample; a
-    declared ``schema`` avoids inference entirely (what a 100 TB job should pass).
+    CSV gets a header and, without a schema, type inference over all rows, so no value is
+    lost to a guessed type; a declared ``schema`` avoids that scan (what a 100 TB job should
+    pass).  Floating NaN becomes NULL: one notion of missing value downstream.
     """
     if fmt is None:
         ext = os.path.splitext(path.rstrip("/"))[1].lower()
@@ -38,14 +36,10 @@ def load_table(spark: SparkSession, path: str, fmt: str | None = None,
     if fmt == "csv":
         reader = reader.option("header", "true")
         if schema is None:
-            reader = reader.option("inferSchema", "true").option("samplingRatio", "0.1")
+            reader = reader.option("inferSchema", "true")
     for k, v in options.items():
         reader = reader.option(k, v)
-    df = reader.load(path)
-    if not spread_small:
-        return df
-    # small unsplittable Parquet: staged once as a multi-file copy; others: round-robin
-    return stage_if_small(df, path) if fmt == "parquet" else spread(df)
+    return nan_to_null(reader.load(path))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
