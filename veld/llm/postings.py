@@ -257,7 +257,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = 10, text: str
     window of an item), ``items`` and ``contaminated``.  Every row of ``docs`` gives one row."""
     index = build_index(docs, text, id)
     found = find_phrases(index, items, width, item_text, item)
-    return index_documents(index, id).join(found, ["segment", "doc_no"], "left").select(
+    return index_documents(index, id).join(found.hint("merge"), ["segment", "doc_no"], "left").select(
         id, "n_words", F.coalesce(F.size("words"), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.col("words").isNotNull().alias("contaminated"))

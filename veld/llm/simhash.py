@@ -20,7 +20,8 @@ Fingerprints at most three bits apart are linked.  To find links without compari
   linked to that one (at most 2 + 1 errors).
 
 Links become groups by the alternating star algorithm, whose rounds are written to the shared
-folder.  No step collects links or fingerprints to the driver.
+folder.  No step collects links or fingerprints to the driver, and joins of narrow tables are
+hinted to merge: a broadcast would build its table in the driver, 64 MB at least each time.
 """
 
 from __future__ import annotations
@@ -228,7 +229,7 @@ def links(distinct: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     overfull = found.filter("b IS NULL").select(F.col("a").alias("fp"))
     points = overfull.mapInArrow(_points(bits), "point long, fp long, near boolean")
     centre = points.filter("near").groupBy("point").agg(F.min("fp").alias("b"))
-    more = points.join(centre, "point").filter("fp <> b").select(F.col("fp").alias("a"), "b")
+    more = points.join(centre.hint("merge"), "point").filter("fp <> b").select(F.col("fp").alias("a"), "b")
     return found.filter("b IS NOT NULL").union(more).distinct()
 
 
@@ -244,9 +245,9 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select("b", "a"))
         smallest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.filter("b > a").join(smallest.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        edges = written(large.join(low, "a").select(
+        edges = written(large.join(low.hint("merge"), "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
             .select("e.*").filter("a <> b").distinct(), "stars")
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -264,11 +265,11 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = MAX_BITS, text:
     prints = written(fingerprints(docs, words, text, id), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min(id).alias("rep")), "distinct-fingerprints")
     roots = written(components(links(distinct, bits)), "simhash-roots")
-    linked = roots.join(distinct, roots.node == distinct.fp).select("fp", "rep", "root")
+    linked = roots.join(distinct.hint("merge"), roots.node == distinct.fp).select("fp", "rep", "root")
     smallest = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = linked.join(smallest, "root").select("fp", "component_id")
+    named = linked.join(smallest.hint("merge"), "root").select("fp", "component_id")
     # written, so that the join below is one plain join, whose large keys Spark can split
-    group = written(distinct.join(named, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id")),
+    group = written(distinct.join(named.hint("merge"), "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id")),
                     "fingerprint-groups")
-    return prints.join(group, "fp").select(
+    return prints.join(group.hint("merge"), "fp").select(
         id, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

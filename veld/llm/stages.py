@@ -41,5 +41,5 @@ def without_contaminated(docs: DataFrame, items: DataFrame, width: int = 10) ->
     rows = keyed(docs)
     index = postings.build_index(rows, id=KEY)
     hit = postings.index_documents(index, KEY).join(
-        postings.find_phrases(index, items, width).select("segment", "doc_no"), ["segment", "doc_no"]).select(KEY).distinct()
+        postings.find_phrases(index, items, width).select("segment", "doc_no").hint("merge"), ["segment", "doc_no"]).select(KEY).distinct()
     return rows.join(written(hit, "contaminated"), KEY, "left_anti").select(*docs.columns)

@@ -156,13 +156,13 @@ def draws(values: DataFrame, key: str) -> DataFrame:
     while True:
         drawn = pending.withColumn("surrogate", surrogate(F.col("type"), F.col("value"), F.col("attempt"), key))
         first = drawn.groupBy("family", "surrogate").agg(F.min(F.struct("type", "value")).alias("winner"), F.count(F.lit(1)).alias("n"))
-        drawn = drawn.join(first, ["family", "surrogate"]) if tries else drawn.join(first.filter("n > 1"), ["family", "surrogate"], "left")
+        drawn = drawn.join(first.hint("merge"), ["family", "surrogate"]) if tries else drawn.join(first.filter("n > 1").hint("merge"), ["family", "surrogate"], "left")
         original = values.select("family", F.col("value").alias("surrogate")).distinct().withColumn("original", F.lit(True))
-        drawn = drawn.join(original, ["family", "surrogate"], "left")
+        drawn = drawn.join(original.hint("merge"), ["family", "surrogate"], "left")
         clash = F.col("original").isNotNull() | F.coalesce(F.col("winner") != F.struct("type", "value"), F.lit(False))
         if taken:
             used = reduce(DataFrame.union, taken).withColumn("used", F.lit(True))
-            drawn = drawn.join(used, ["family", "surrogate"], "left")
+            drawn = drawn.join(used.hint("merge"), ["family", "surrogate"], "left")
             clash = clash | F.col("used").isNotNull()
         drawn = written(drawn.select("family", "type", "value", "attempt", "surrogate", clash.alias("clash")), "draws")
         taken.append(drawn.filter("not clash").select("family", "surrogate"))
@@ -193,7 +193,7 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     hits = written(hits.distinct().withColumn("part", F.explode(parts(F.col("e.m"), F.col("e.kind"))))
                    .select("h", "l", "part.type", "part.value"), "entity-hits")
     again = written(draws(hits.select("type", "value").distinct(), key), "entity-draws")
-    redrawn = written(hits.join(again, ["type", "value"]).groupBy(F.col("h").alias("__h"), F.col("l").alias("__l")).agg(
+    redrawn = written(hits.join(again.hint("merge"), ["type", "value"]).groupBy(F.col("h").alias("__h"), F.col("l").alias("__l")).agg(
         F.map_from_entries(F.collect_set(F.struct(F.concat_ws(_US, "type", "value"), "attempt"))).alias("__draws")), "text-draws")
     joined = docs.withColumn("__key", F.when(some, F.xxhash64(text))) \
         .join(redrawn, (F.col("__key") == F.col("__h")) & (F.length(text) == F.col("__l")), "left")
