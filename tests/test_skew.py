@@ -21,7 +21,7 @@ def test_dedup_hot_key(spark, hot):
     got = {r["k"]: r["pos"] for r in out.collect()}
     assert got[0] == 0 and len(got) == 1 + 2000
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan
+    assert "partial_min(" in plan
 
 
 def test_target_encoding_hot_category(spark, hot):
