@@ -13,9 +13,9 @@ those it also holds at its own offset.  A phrase with an absent term ends at onc
 compared as bytes, so matches are exact.  ``proximity`` finds all terms of a phrase, in any
 order, within a span of words.
 
-Phrases come from a test set.  It is sent to the tasks in blocks of ``BLOCK_CHARS``
-characters of text, one pass over the index for each block, so its size has no limit; what
-the passes find is merged by document.
+Phrases come from a test set.  It is sent to the tasks in blocks of ``BLOCK_WORDS`` words, as
+numbers, with one pass over the index for each block, so neither the set nor one of its items
+has a greatest size; what the passes find is merged by document.
 """
 
 from __future__ import annotations
@@ -37,8 +37,8 @@ from .textbytes import ALNUM, LOWER, PIECE_BYTES, Words, buffers, encode, pieces
 SEGMENT_BYTES = PIECE_BYTES
 #: Segments in a file of the index; a reader holds a file's segments at a time.
 SEGMENTS_PER_FILE = 16
-#: Characters of test texts in one pass over the index.
-BLOCK_CHARS = 16 << 20
+#: Words of test texts in one pass over the index; a longer item is cut, its cuts overlapping.
+BLOCK_WORDS = 1 << 20
 
 _SPLIT = re.compile(rb"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -155,44 +155,47 @@ def split_words(text: str | None) -> list[bytes]:
     return [w for w in _SPLIT.split((text or "").encode().translate(bytes(LOWER))) if w]
 
 
-def windows(text: str | None, width: int) -> list[tuple[bytes, ...]]:
-    """All runs of ``width`` words; a text of fewer words, but not none, is one."""
-    words = split_words(text)
-    if not words:
-        return []
-    return [tuple(words[i:i + width]) for i in range(max(1, len(words) - width + 1))]
-
-
 class TestSet:
-    """A block of phrases as they are sent to the tasks: the distinct phrases by their length,
-    as numbers of distinct terms, and the items of each."""
+    """A block of phrases as they are sent to the tasks: the distinct runs of ``width`` words
+    (an item of fewer, but not none, is one run) by their length, as numbers of distinct terms,
+    and the items of each."""
 
     __test__ = False
 
-    def __init__(self, phrases: list[tuple[object, tuple[bytes, ...]]]):
-        owners: dict[tuple[bytes, ...], set] = {}
-        for item, phrase in phrases:
-            owners.setdefault(phrase, set()).add(item)
-        terms = {t: k for k, t in enumerate(dict.fromkeys(t for p in owners for t in p))}
-        self.terms = pa.array(list(terms), pa.binary())
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], width: int):
+        terms: dict[bytes, int] = {}
+        self.names: list[str | None] = []
         by_size: dict[int, list] = {}
-        for phrase, items in owners.items():
-            by_size.setdefault(len(phrase), []).append(([terms[t] for t in phrase], items))
-        self.groups = [(np.array([p for p, _ in g], np.int64), [sorted(map(str, i - {None})) for _, i in g])
-                       for g in by_size.values()]
+        for name, words in items:
+            if words:
+                numbers = np.array([terms.setdefault(w, len(terms)) for w in words], np.int32)
+                runs = np.lib.stride_tricks.sliding_window_view(numbers, min(width, len(numbers)))
+                by_size.setdefault(runs.shape[1], []).append((runs, len(self.names)))
+                self.names.append(name)
+        self.terms = pa.array(list(terms), pa.binary())
+        self.groups = []
+        for group in by_size.values():
+            phrases, phrase = np.unique(np.concatenate([runs for runs, _ in group]), axis=0, return_inverse=True)
+            item = np.repeat([k for _, k in group], [len(runs) for runs, _ in group])
+            pairs = np.unique(phrase.ravel() * len(self.names) + item)
+            phrase, item = pairs // len(self.names), pairs % len(self.names)
+            self.groups.append((phrases, item, np.searchsorted(phrase, np.arange(len(phrases) + 1))))
 
 
 def _blocks(items: DataFrame, text: str, item: str, width: int) -> Iterator[TestSet]:
     """The test set a block at a time; the driver never holds more."""
-    phrases, chars = [], 0
+    block, size = [], 0
     for row in items.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).toLocalIterator():
-        phrases += [(row.i, w) for w in windows(row.t, width)]
-        chars += len(row.t or "")
-        if chars >= BLOCK_CHARS:
-            yield TestSet(phrases)
-            phrases, chars = [], 0
-    if phrases:
-        yield TestSet(phrases)
+        words = split_words(row.t)
+        for k in range(0, max(1, len(words) - width + 1), BLOCK_WORDS):
+            cut = words[k:k + BLOCK_WORDS + width - 1]
+            block.append((row.i, cut))
+            size += len(cut)
+            if size >= BLOCK_WORDS:
+                yield TestSet(block, width)
+                block, size = [], 0
+    if size:
+        yield TestSet(block, width)
 
 
 def find_phrases(index: DataFrame, items: DataFrame, width: int = 10, text: str = "text",
@@ -228,27 +231,34 @@ def _search(batch: pa.RecordBatch, k: int, tests: TestSet, span: int | None) ->
                       batch.column("terms")[k].values, batch.column("first")[k].as_py(),
                       batch.column("positions")[k].as_py())
     numbers = segment.numbers(tests.terms.cast(segment.terms.type))
-    hits: dict[int, tuple[set, list]] = {}
-    for phrases, items in tests.groups:
+    who: dict[int, set] = {}
+    begins, ends = [], []
+    for phrases, items, first in tests.groups:
         inside = numbers[phrases]
         for i in np.flatnonzero((inside >= 0).all(axis=1)).tolist():
             if span is None:
-                stretches = [(s, s + phrases.shape[1]) for s in segment.phrase(inside[i]).tolist()]
+                begin = segment.phrase(inside[i])
+                end = begin + phrases.shape[1]
             else:
-                stretches = [(a, b + 1) for a, b in segment.proximity(inside[i], span)]
-            for a, b in stretches:
-                doc = int(segment.document(np.array([a]))[0])
-                who, where = hits.setdefault(doc, (set(), []))
-                who.update(items[i])
-                where.append((a - segment.first_word[doc], b - segment.first_word[doc]))
-    if hits:
-        docs = sorted(hits)
+                begin, end = np.array(segment.proximity(inside[i], span), np.int64).reshape(-1, 2).T + [[0], [1]]
+            if len(begin):
+                begins.append(begin)
+                ends.append(end)
+                names = {tests.names[k] for k in items[first[i]:first[i + 1]].tolist()} - {None}
+                for doc in np.unique(segment.document(begin)).tolist():
+                    who.setdefault(doc, set()).update(names)
+    if who:
+        total = int(segment.first_word[-1])
+        open_at = np.bincount(np.concatenate(begins), minlength=total + 1) - np.bincount(np.concatenate(ends), minlength=total + 1)
+        hit = np.flatnonzero(np.cumsum(open_at) > 0)
+        doc = segment.document(hit)
+        docs = np.unique(doc)
         yield pa.RecordBatch.from_pydict({
-            "segment": pa.array([batch.column("segment")[k].as_py()] * len(docs), pa.int64()),
+            "segment": pa.array(np.full(len(docs), batch.column("segment")[k].as_py()), pa.int64()),
             "doc_no": pa.array(docs, pa.int32()),
-            "items": pa.array([sorted(hits[d][0]) for d in docs], pa.list_(pa.string())),
-            "words": pa.array([np.unique(np.concatenate([np.arange(a, b) for a, b in hits[d][1]])) for d in docs],
-                              pa.list_(pa.int32()))})
+            "items": pa.array([sorted(who[d]) for d in docs.tolist()], pa.list_(pa.string())),
+            "words": pa.ListArray.from_arrays(pa.array(np.append(np.searchsorted(doc, docs), len(doc)), pa.int32()),
+                                              pa.array(hit - segment.first_word[doc], pa.int32()))})
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = 10, text: str = "text",
