@@ -81,6 +81,14 @@ def test_proximity(spark):
     assert sorted((r.doc_id, tuple(r.words)) for r in found.collect()) == [(1, (0, 1, 2, 3, 4)), (2, (0, 1, 2))]
 
 
+def test_positional_index_in_blocks(spark, docs, monkeypatch):
+    items = spark.createDataFrame([(1, "seven eight nine ten eleven"), (2, BASE), (2, "eight nine"), (None, "only two")],
+                                  "item_id long, text string")
+    whole = table(postings.contamination(docs, items, width=4))
+    monkeypatch.setattr(postings, "BLOCK_WORDS", 3)
+    assert table(postings.contamination(docs, items, width=4)) == whole
+
+
 def test_token_files(spark, docs, empty):
     path = shared_path(spark, "t")
     coder = orc_tokens.LibraryEncoder(P.path("byte_bpe_50k.json"))
@@ -200,6 +208,14 @@ def test_secret_scan(spark, docs, empty):
         ["access:3:23", "assign:0:13", "assign:2:18"]
 
 
+def test_secret_scan_of_very_many_spans(spark):
+    text = "".join(f"é{'x' * (k % 7)} token={'abcdef' if k % 3 else 'abc'} " for k in range(9000)) + "ab12" * 6
+    want = [(m.start(), "assign", m.end()) for m in re.finditer("token=([a-z]+)", text) if len(m[1]) >= 6]
+    want.append((len(text) - 24, "hex", len(text)))
+    got = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().found
+    assert [(s.start, s.kind, s.end) for s in got] == want
+
+
 def test_trigram_queries():
     q = secret_scan.trigram_query
     assert q("[0-9a-f]{24,}") is True and q("abcd") == ("and", ("abc", "bcd")) and q("ab.cd") is True

@@ -28,6 +28,8 @@ from .store import written
 BLOCK_DOCS = 8192
 #: Most strings that a part of a regex is spelled out to.
 MAX_STRINGS = 64
+#: Least matches of a text that are placed one after the other in one run.
+RUN = 64
 
 
 @dataclass(frozen=True)
@@ -178,14 +180,46 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
                          lambda own, checked: F.struct(own.alias("own"), checked.alias("checked")))
     found = F.zip_with(sizes(F.split(text, rule.regex, -1)), matches, lambda gap, m: F.struct(
         gap.alias("gap"), m["own"].alias("own"), m["checked"].alias("checked")))
-    step = F.aggregate(
-        found, F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + F.coalesce(x["own"], F.lit(0))).alias("at"),
-            F.when(x["own"].isNull() | (x["checked"] < rule.least), acc["spans"]).otherwise(F.array_append(
-                acc["spans"], F.struct((acc["at"] + x["gap"]).alias("start"), F.lit(number).alias("number"),
-                                       (acc["at"] + x["gap"] + x["own"]).alias("end"), F.lit(rule.kind).alias("kind")))).alias("spans")))
-    return F.when(text.rlike(rule.regex), step["spans"]).otherwise(empty)
+
+    def of_run(run, begin):
+        return F.aggregate(
+            run, F.struct(begin.alias("at"), empty.alias("spans")),
+            lambda acc, x: F.struct(
+                (acc["at"] + _length(x)).alias("at"),
+                F.when(x["own"].isNull() | (x["checked"] < rule.least), acc["spans"]).otherwise(F.array_append(
+                    acc["spans"], F.struct((acc["at"] + x["gap"]).alias("start"), F.lit(number).alias("number"),
+                                           (acc["at"] + x["gap"] + x["own"]).alias("end"), F.lit(rule.kind).alias("kind")))).alias("spans")),
+            lambda acc: acc["spans"])
+
+    placed = _let(_let(found, _runs), lambda runs: F.flatten(F.zip_with(runs, _begins(runs), of_run)))
+    return F.when(text.rlike(rule.regex), placed).otherwise(empty)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
+def _length(x: Column) -> Column:
+    return x["gap"] + F.coalesce(x["own"], F.lit(0))
+
+
+def _runs(found: Column) -> Column:
+    """``found`` cut into runs of about the root of its size, so that spans are appended to short
+    arrays however many a text has."""
+    size = F.greatest(F.lit(RUN), F.ceil(F.sqrt(F.size(found))).cast("int"))
+    last = F.floor((F.size(found) - 1) / size).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(found, k * size + 1, size))
+
+
+def _begins(runs: Column) -> Column:
+    """Where each run begins in the text."""
+    none = F.array().cast("array<int>")
+    return F.aggregate(
+        runs, F.struct(F.lit(0).alias("at"), none.alias("begins")),
+        lambda acc, run: F.struct(F.aggregate(run, acc["at"], lambda at, x: at + _length(x)).alias("at"),
+                                  F.array_append(acc["begins"], acc["at"]).alias("begins")),
+        lambda acc: acc["begins"])
 
 
 def scan(docs: DataFrame, rules=BASE + MORE, text: str = "text", id: str = "doc_id") -> DataFrame:
