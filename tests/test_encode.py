@@ -93,6 +93,18 @@ def test_ordinal_orders(spark):
         bad.select(encode.ordinal_expr("e", ["A"], unknown="error")).collect()
 
 
+@pytest.mark.parametrize("descending", [True, False])
+def test_ordinal_codes_over_several_ranges(spark, descending):
+    values = [f"v{i * 7919 % 500:03d}" for i in range(500)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values * 2)] + [(-1, None)], "id long, v string")
+    codes = encode.ordinal_codes(df, "v", descending)
+    got = {r.id: r.v_code for r in encode.ordinal_encode(df, "v", codes).collect()}
+    place = {v: float(k) for k, v in enumerate(sorted(values, reverse=descending))}
+    assert got == {i: place[v] for i, v in enumerate(values * 2)} | {-1: None}
+    none = encode.ordinal_codes(df.where("v IS NULL"), "v")
+    assert none.count() == 0
+
+
 def test_standardizer_population_std(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "x double")
     got = [r[0] for r in encode.Standardizer(["x"]).fit(df).transform(df).collect()]

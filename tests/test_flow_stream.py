@@ -1,16 +1,44 @@
 import os
 import uuid
 
+from pyspark.sql import functions as F
 
 from tests.fixtures import listings
 from veld.plans import flow
 from veld.plans.models import make_pipeline
 from veld.session import checkpoint_root
+from veld.sources.io import load_model
 from veld.streaming.scoring import start_scoring
 
 
+def placed(spark):
+    return listings(spark).withColumn("position", F.monotonically_increasing_id())
+
+
+def test_first_of_duplicate_ids_stays(spark):
+    row = [r for r in listings(spark).collect() if r["id"] == 1][0].asDict()
+    rows = [row | {"position": 1}, row | {"position": 0, "epc": None}, row | {"position": 2, "epc": "F"}]
+    schema = placed(spark).schema
+    out = flow.stage_clean(spark.createDataFrame([tuple(r[c] for c in schema.names) for r in rows], schema), "position")
+    assert out.count() == 1 and out.first().asDict().get("epc") is None and "position" not in out.columns
+
+
+def test_training_reports_weights_and_saves(spark):
+    df = spark.createDataFrame([(i, float(i % 11), float(i % 7), 3.0 * (i % 11) - (i % 7), 1.0 * i, i % 5 == 0) for i in range(300)],
+                               "id long, a double, b double, Price double, price_per_sqm double, is_test boolean")
+    path = os.path.join(checkpoint_root(spark), "test-models", uuid.uuid4().hex[:8])
+    test = df.where("is_test")
+    out = flow.train_models(df.where("not is_test"), "Price", 0.2, kinds=["linear", "ridge"], test=test, save_path=path)
+    assert out["features"] == ["a", "b"] and out["cv"].count() == 12
+    report = {(r.model, r.phase, r.metric): r.value for r in out["report"].collect()}
+    assert len(report) == 16 and report["linear", "test", "r2"] > 0.999999
+    assert {r.feature for r in out["weights"].collect()} == {"a", "b"} and out["residuals"].count() == 1
+    again = {r["id"]: r["prediction"] for r in load_model(path).transform(test).collect()}
+    assert again == {r["id"]: r["prediction"] for r in out["model"].transform(test).collect()}
+
+
 def test_stage_clean_on_fixture(spark):
-    out = flow.stage_clean(listings(spark))
+    out = flow.stage_clean(placed(spark), "position")
     ids = sorted(r["id"] for r in out.select("id").collect())
     # dropped: 2 (starting price), 3 (no price), the annuity row of 4 (its second row stays),
     # 5 (5-char postcode), 6 (3-char postcode), 8 (same address as 7)
@@ -22,7 +50,7 @@ def test_stage_clean_on_fixture(spark):
 
 
 def test_stage_geo_and_subtype(spark):
-    s1 = flow.stage_clean(listings(spark))
+    s1 = flow.stage_clean(placed(spark), "position")
     s2 = flow.stage_geo(s1)
     prov = {r["id"]: r["Province"] for r in s2.collect()}
     assert prov == {1: "West Flanders", 4: "Antwerp", 7: "Flemish Brabant", 9: "East Flanders"}

@@ -93,11 +93,12 @@ def test_fallback_lookup_plan_broadcasts_small_lookup(spark):
     assert out.select(F.col("latitude")).first()[0] == 51.05
 
 
-def test_long_city_list_switches_to_grid(spark):
+def test_city_table_agrees_with_long_list(spark):
     rows = [(i, 50.3 + (i % 37) * 0.03, 3.0 + (i % 53) * 0.05) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, latitude double, longitude double")
     many = [(f"c{i}", 50.0 + (i % 30) * 0.05, 2.5 + (i // 30) * 0.1) for i in range(300)]
-    grid = geo.assign_cities(df, cities=many, key="id")
-    expr = df.withColumns(geo.proximity_columns(cities=many))
+    table = spark.createDataFrame([(*c, i) for i, c in enumerate(many)], "city string, latitude double, longitude double, pos int")
+    grid = geo.assign_cities_grid(df, table, "id")
+    expr = geo.assign_cities(df, cities=many)
     cols = ["id"] + [f"Assigned_City_{r}" for r in geo.RADII_KM]
     assert sorted(grid.select(*cols).collect()) == sorted(expr.select(*cols).collect())

@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import functions as F
 
 from veld.operators import encode
 from veld.operators.stages import QuantileClipper, StatImputer, TargetMeanEncoder
@@ -48,7 +49,12 @@ def test_one_pipeline_persists_preparation_and_model(spark, data):
     assert p1 == p2 and len(p1) == 400
 
 
-def test_target_encoder_stage_refuses_huge_vocabulary(spark):
+def test_target_encoder_stage_keeps_its_mapping_as_a_table(spark):
     df = spark.createDataFrame([(str(i), float(i)) for i in range(50)], "c string, y double")
-    with pytest.raises(ValueError):
-        TargetMeanEncoder(inputCols=["c"], labelCol="y", maxCategories=10).fit(df)
+    model = TargetMeanEncoder(inputCols=["c"], labelCol="y").fit(df)
+    path = os.path.join(checkpoint_root(spark), "test-stages", uuid.uuid4().hex[:8])
+    model.write().save(path)
+    assert spark.read.parquet(f"{path}/mapping").count() == 50
+    loaded = type(model).load(path)
+    assert sorted(r.c_encoded for r in loaded.transform(df).collect()) == [float(i) for i in range(50)]
+    assert loaded.transform(df.limit(1).withColumn("c", F.lit("new"))).first().c_encoded is None

@@ -13,7 +13,7 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veld.operators.clean import columns_of_kind
@@ -152,8 +152,8 @@ class TargetEncoder:
 
     ``fit`` computes one ``groupBy(column, category)`` mean over all encoded columns
     (melted, map-side combined) and writes it once to the checkpoint folder, which is
-    also the saved mapping (S5).  ``transform`` joins it back per column, with a
-    broadcast only when the mapping's row count is under ``broadcast_max_rows``.
+    also the saved mapping (S5).  ``transform`` joins it back per column, without a hint:
+    Spark broadcasts it if its bytes allow and shuffles it beyond that.
     """
     columns: Sequence[str]
     target: str
@@ -198,16 +198,34 @@ def mapping_frame(df: DataFrame, columns: Sequence[str], target: str) -> DataFra
 
 # ---------------------------------------------------------------- one-hot / ordinal
 
-MAX_CATEGORIES = 10_000
+def distinct_values(df: DataFrame, column: str) -> list:
+    """Sorted distinct non-null values, for steps that make a column or an expression of each
+    (a plan holds them anyway); ``ordinal_codes`` keeps them in a table."""
+    vals = df.where(F.col(column).isNotNull()).select(column).distinct().collect()
+    return sorted(r[0] for r in vals)
 
 
-def distinct_values(df: DataFrame, column: str, max_values: int = MAX_CATEGORIES) -> list:
-    """Sorted distinct non-null values, refusing columns with more than ``max_values``."""
-    vals = (df.where(F.col(column).isNotNull()).select(column).distinct()
-            .limit(max_values + 1).collect())
-    if len(vals) > max_values:
-        raise ValueError(f"{column!r} has more than {max_values} categories")
-    return sorted(r[0] for r in vals)
+def ordinal_codes(df: DataFrame, column: str, descending: bool = True) -> DataFrame:
+    """``(value, code)``: the 0-based place of every distinct non-null value in order (K4, E5).
+
+    Values are sorted by ranges and numbered inside each; a range's start is the number of
+    values before it, so no task and no driver holds them all.
+    """
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct()
+    order = F.col("value").desc() if descending else F.col("value").asc()
+    placed = materialize(values.repartitionByRange(order).sortWithinPartitions(order).select(
+        "value", F.spark_partition_id().alias("part"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place")), "ordinal-values")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)   # one row per range
+    base = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return placed.join(base, "part").select("value", (F.col("base") + F.col("place")).cast("double").alias("code"))
+
+
+def ordinal_encode(df: DataFrame, column: str, codes: DataFrame, out: str | None = None) -> DataFrame:
+    """``df`` with the code of ``column`` from ``ordinal_codes``; NULL and unseen values give NULL."""
+    side = codes.select(F.col("value").alias("_value"), F.col("code").alias(out or f"{column}_code"))
+    return df.join(side, F.col(column) == F.col("_value"), "left").drop("_value")
 
 
 def one_hot_drop_first(df: DataFrame, column: str, categories: Sequence | None = None,

@@ -132,29 +132,19 @@ def proximity_columns(lat: str = "latitude", lon: str = "longitude",
     return out
 
 
-EXPRESSION_MAX_CITIES = 256
-
-
 def assign_cities(df: DataFrame, lat: str = "latitude", lon: str = "longitude",
                   cities: Sequence[tuple[str, float, float]] = CITIES,
                   radii: Sequence[float] = RADII_KM, metric: str = "mercator",
-                  cumulative: bool = False, key: str | None = None) -> DataFrame:
-    """City columns per row: expressions for a short list, grid equi-join beyond
-    ``EXPRESSION_MAX_CITIES`` (needs a row ``key``; Mercator metric)."""
-    if len(cities) <= EXPRESSION_MAX_CITIES:
-        return df.withColumns(proximity_columns(lat, lon, cities, radii, metric, cumulative))
-    if key is None or metric != "mercator":
-        raise ValueError("a long city list needs key= and the mercator metric (grid join)")
-    table = df.sparkSession.createDataFrame(
-        [(n, float(la), float(lo), i) for i, (n, la, lo) in enumerate(cities)],
-        "city string, latitude double, longitude double, pos int")
-    return assign_cities_grid(df, table, key, lat, lon, radii, cumulative)
+                  cumulative: bool = False) -> DataFrame:
+    """City columns per row for a city list of the program, as expressions; a table of cities
+    goes to ``assign_cities_grid``."""
+    return df.withColumns(proximity_columns(lat, lon, cities, radii, metric, cumulative))
 
 
 def assign_cities_grid(df: DataFrame, cities: DataFrame, key: str, lat: str = "latitude",
                        lon: str = "longitude", radii: Sequence[float] = RADII_KM,
                        cumulative: bool = False) -> DataFrame:
-    """The same assignment for a *large* city table (``city, latitude, longitude, pos``).
+    """The same assignment for a table of cities (``city, latitude, longitude, pos``).
 
     Spatial equi-join on a Mercator grid of cell size = radius: each city is copied into
     its 3x3 neighbouring cells, each row looks up its own cell (no cross join), the

@@ -1,10 +1,9 @@
 """``pyspark.ml`` stages for the fitted preparation steps.
 
 They wrap the DataFrame operators of ``veld.operators.encode`` so that preparation and
-regressor go into one ``Pipeline`` and persist as one ``PipelineModel``; the fitted state
-(bounds, fill values, category means) is a small JSON param.  The target-encoding state is
-one row per category: fitting refuses more than ``maxCategories`` of them (use
-``encode.TargetEncoder``, which keeps its mapping as a table, for bigger vocabularies).
+regressor go into one ``Pipeline`` and persist as one ``PipelineModel``; bounds and fill
+values (one per column) are a small JSON param, and category means, one row per category,
+are a Parquet table in the stage's folder.
 """
 
 from __future__ import annotations
@@ -15,7 +14,8 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable,
+                             DefaultParamsWriter, MLReadable, MLWritable)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,41 +87,54 @@ class StatImputerModel(Model, HasInputCols, _State, DefaultParamsReadable, Defau
 class TargetMeanEncoder(Estimator, HasInputCols, HasLabelCol, DefaultParamsReadable,
                         DefaultParamsWritable):
     """``<col>_encoded`` = mean label per category of the training rows; unseen -> NULL."""
-    maxCategories = Param(Params._dummy(), "maxCategories",
-                          "largest mapping kept as a stage param", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCols=None, labelCol="label", maxCategories=100_000):
+    def __init__(self, *, inputCols=None, labelCol="label"):
         super().__init__()
-        self._setDefault(maxCategories=100_000, labelCol="label")
+        self._setDefault(labelCol="label")
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "TargetMeanEncoderModel":
-        cap = self.getOrDefault(self.maxCategories)
-        m = encode.mapping_frame(df, self.getInputCols(), self.getLabelCol())
-        rows = m.select("column", "category", "encoded").limit(cap + 1).collect()
-        if len(rows) > cap:
-            raise ValueError(f"more than {cap} categories: use encode.TargetEncoder")
-        state = {}
-        for r in rows:
-            state.setdefault(r["column"], {})[r["category"]] = r["encoded"]
-        return TargetMeanEncoderModel(inputCols=self.getInputCols(), state=json.dumps(state))
-
-
-class TargetMeanEncoderModel(Model, HasInputCols, _State, DefaultParamsReadable,
-                             DefaultParamsWritable):
+        encoder = encode.TargetEncoder(self.getInputCols(), self.getLabelCol()).fit(df)
+        model = TargetMeanEncoderModel(inputCols=self.getInputCols())
+        model.mapping = encoder.mapping
+        return model
+
+
+class TargetMeanEncoderModel(Model, HasInputCols, MLReadable, MLWritable):
+    """Joins the table of category means, which is saved beside the stage's metadata."""
+
+    mapping: DataFrame | None = None
+
     @keyword_only
-    def __init__(self, *, inputCols=None, state=None):
+    def __init__(self, *, inputCols=None):
         super().__init__()
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        st = self._state()
-        out = {}
-        for c in self.getInputCols():
-            m = st.get(c, {})
-            lookup = F.create_map(*[x for k, v in m.items() for x in (F.lit(k), F.lit(v))]) \
-                if m else None
-            out[f"{c}_encoded"] = lookup[F.col(c).cast("string")] if lookup is not None \
-                else F.lit(None).cast("double")
-        return df.withColumns(out)
+        return encode.TargetEncoder(self.getInputCols(), "", mapping=self.mapping).transform(df)
+
+    def copy(self, extra=None):
+        out = super().copy(extra)
+        out.mapping = self.mapping
+        return out
+
+    def write(self):
+        return _MappingWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _MappingReader(cls)
+
+
+class _MappingWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.instance.mapping.write.parquet(f"{path}/mapping")
+
+
+class _MappingReader(DefaultParamsReader):
+    def load(self, path: str) -> TargetMeanEncoderModel:
+        model = super().load(path)
+        model.mapping = self.sparkSession.read.parquet(f"{path}/mapping")
+        return model

@@ -438,9 +438,8 @@ SELECT o_orderkey, c.code AS priority_code,
 FROM t LEFT JOIN c ON t.o_orderpriority = c.v""")
 def q_ordinal_encode(spark, d):
     o = orders_n(spark, d)
-    order = encode.descending_categories(o, "o_orderpriority")
-    return o.select("o_orderkey",
-                    encode.ordinal_expr("o_orderpriority", order).alias("priority_code"),
+    o = encode.ordinal_encode(o, "o_orderpriority", encode.ordinal_codes(o, "o_orderpriority"), "priority_code")
+    return o.select("o_orderkey", "priority_code",
                     encode.ordinal_expr("o_orderstatus", STATUS_ORDER, unknown="error")
                     .alias("status_code"))
 

@@ -157,6 +157,37 @@ def q_sample_residuals(spark, d):
                     r("difference", 4).alias("difference"))
 
 
+# ====================================================================== least squares in SQL
+
+def fit_sql(rows: str, p: int, models: str = "('linear', 0.0)") -> str:
+    """CTEs that end in ``fit``: per group ``k`` of ``rows`` (k, x0 .. x{p-1}, y) and per model
+    (name, penalty on coefficients of standardised features) the means ``m0 ..``, ``my`` and
+    coefficients ``w0 ..``: normal equations on centred sums, solved by elimination."""
+    sums = [f"sum((r.x{i} - m{i}) * (r.x{j} - m{j})) AS s{i}_{j}" for i in range(p) for j in range(i, p)]
+    sums += [f"sum((r.x{i} - m{i}) * (r.y - my)) AS s{i}_{p}" for i in range(p)]
+    means = ", ".join(f"m{i}" for i in range(p)) + ", my"
+    cell = lambda i, j: f"s{min(i, j)}_{max(i, j)}" + (" * (1 + alpha / n)" if i == j else "")
+    ctes = [f"mm AS (SELECT k, count(*) AS n, {', '.join(f'avg(x{i}) AS m{i}' for i in range(p))}, avg(y) AS my FROM {rows} GROUP BY k)",
+            f"ss AS (SELECT r.k, {', '.join(sums)} FROM {rows} r JOIN mm ON r.k = mm.k GROUP BY r.k)",
+            f"cand AS (SELECT model, CAST(a AS DOUBLE) AS alpha FROM (VALUES {models}) AS v(model, a))",
+            f"g0 AS (SELECT mm.k, model, {means}, {', '.join(f'{cell(i, j)} AS a{i}_{j}' for i in range(p) for j in range(p + 1))} "
+            "FROM mm JOIN ss ON mm.k = ss.k, cand)"]
+    for c in range(p):
+        left = [(i, j, f"a{c}_{j} / a{c}_{c}" if i == c else f"a{i}_{j} - a{i}_{c} * a{c}_{j} / a{c}_{c}")
+                for i in range(p) for j in range(c + 1, p + 1)]
+        ctes.append(f"g{c + 1} AS (SELECT k, model, {means}, {', '.join(f'{e} AS a{i}_{j}' for i, j, e in left)} FROM g{c})")
+    ctes.append(f"fit AS (SELECT k, model, {means}, {', '.join(f'a{i}_{p} AS w{i}' for i in range(p))} FROM g{p})")
+    return ",\n".join(ctes)
+
+
+def pred_sql(p: int) -> str:
+    return "(my + " + " + ".join(f"w{i} * (x{i} - m{i})" for i in range(p)) + ")"
+
+
+X3_SQL = ", ".join(f"{c} AS x{i}" for i, c in enumerate(FEATURES)) + f", {LABEL} AS y"
+BOTH_MODELS = "('linear', 0.0), ('ridge', 1.0)"
+
+
 # ====================================================================== flagship chain (V1)
 
 FLAG_SQL = f"""
@@ -205,24 +236,98 @@ def q_regression_metrics(spark, d):
                       r("mae", 4).alias("mae"), r("mse", -3).alias("mse"))
 
 
-def price_model(spark, d):
-    """Flagship: join -> clip -> target-encode two categories -> split -> OLS -> metrics.
+FLAG5_SQL = f"""
+WITH j AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_discount, l.l_tax,
+                  l.l_extendedprice, l.l_returnflag, o.o_orderpriority, {_h('42', 10000)} < 2000 AS is_test
+           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+q AS (SELECT quantile_cont(l_extendedprice, 0.05) AS lo, quantile_cont(l_extendedprice, 0.95) AS hi FROM j),
+c AS (SELECT j.*, least(greatest(l_extendedprice, lo), hi) AS y FROM j, q),
+e1 AS (SELECT o_orderpriority AS v, avg(y) AS enc FROM c WHERE NOT is_test GROUP BY 1),
+e2 AS (SELECT l_returnflag AS v, avg(y) AS enc FROM c WHERE NOT is_test GROUP BY 1),
+e AS (SELECT 1 AS k, is_test, l_quantity AS x0, l_discount AS x1, l_tax AS x2, e1.enc AS x3, e2.enc AS x4, y
+      FROM c LEFT JOIN e1 ON c.o_orderpriority = e1.v LEFT JOIN e2 ON c.l_returnflag = e2.v),
+tr AS (SELECT * FROM e WHERE NOT is_test),
+{fit_sql('tr', 5)},
+p AS (SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS phase, y, {pred_sql(5)} AS pred FROM e, fit)
+SELECT phase, count(*) AS n, round(sqrt(avg(pow(y - pred, 2))), 4) AS rmse,
+       round(1 - sum(pow(y - pred, 2)) / (count(*) * var_pop(y)), 9) AS r2,
+       round(avg(abs(y - pred)), 4) AS mae, round(avg(pow(y - pred, 2)), -3) AS mse
+FROM p GROUP BY phase"""
 
-    The OLS is the standardised least-squares fit of the reference pipeline, solved from
-    one aggregation of the normal equations (``veld.plans.linear_cv``).
-    """
+
+@query("price_model", FLAG5_SQL)
+def price_model(spark, d):
+    """Flagship: join -> clip -> target-encode two categories -> split -> OLS -> metrics, by the
+    model pipeline of ``veld.plans.models`` (assembler, scaler, linear regression)."""
     j = prepared_orders_lines(spark, d)
     c = encode.QuantileClip({LABEL: (0.05, 0.95)}).fit(j).transform(j)
     train = c.where(~F.col("is_test"))
     te = encode.TargetEncoder(["o_orderpriority", "l_returnflag"], LABEL).fit(train)
     e = te.transform(c)
     feats = FEATURES + ["o_orderpriority_encoded", "l_returnflag_encoded"]
-    m = fit_least_squares(e.where(~F.col("is_test")), feats, LABEL)
+    m = ev.fit("linear", e.where(~F.col("is_test")), feats, LABEL)
     pred = m.transform(e).withColumn("phase", F.when(F.col("is_test"), "test").otherwise("train"))
-    return ev.regression_metrics_by(pred, "phase", LABEL).select("phase", "n", "rmse", "r2", "mae", "mse")
+    return ev.regression_metrics_by(pred, "phase", LABEL).select(
+        "phase", "n", r("rmse", 4).alias("rmse"), r("r2", 9).alias("r2"), r("mae", 4).alias("mae"), r("mse", -3).alias("mse"))
+
 
+# ====================================================================== reports (V2, V3, V8)
+
+REPORT_SQL = f"""
+WITH t AS ({MODEL_DATA_SQL}), e AS (SELECT 1 AS k, is_test, {X3_SQL} FROM t),
+tr AS (SELECT * FROM e WHERE NOT is_test),
+{fit_sql('tr', 3, BOTH_MODELS)},
+p AS (SELECT model, CASE WHEN is_test THEN 'test' ELSE 'train' END AS phase, y, {pred_sql(3)} AS pred FROM e, fit),
+m AS (SELECT model, phase, sqrt(avg(pow(y - pred, 2))) AS rmse, avg(abs(y - pred)) AS mae, avg(pow(y - pred, 2)) AS mse,
+             1 - sum(pow(y - pred, 2)) / (count(*) * var_pop(y)) AS r2 FROM p GROUP BY model, phase)
+SELECT model, phase, 'rmse' AS metric, round(rmse, 4) AS value FROM m UNION ALL
+SELECT model, phase, 'r2', round(r2, 9) FROM m UNION ALL
+SELECT model, phase, 'mae', round(mae, 4) FROM m UNION ALL
+SELECT model, phase, 'mse', round(mse, -3) FROM m"""
+
+
+def _report(spark, d):
+    from veld.plans.flow import model_report
+    _, train, test = _train(spark, d)
+    return model_report(train, test, FEATURES, LABEL, ["linear", "ridge"])
 
-query("price_model")(price_model)
+
+@query("model_report", REPORT_SQL)
+def q_model_report(spark, d):
+    """Linear and ridge with default parameters: all metrics on train and test rows."""
+    value = F.when(F.col("metric") == "r2", r("value", 9)).when(F.col("metric") == "mse", r("value", -3)).otherwise(r("value", 4))
+    return _report(spark, d)[0].select("model", "phase", "metric", value.alias("value"))
+
+
+@query("cv_report", f"""
+WITH t AS ({MODEL_DATA_SQL}), e AS (SELECT fold, {X3_SQL} FROM t WHERE NOT is_test),
+tr AS (SELECT f.k, x0, x1, x2, y FROM e JOIN (SELECT DISTINCT fold AS k FROM e) f ON e.fold <> f.k),
+{fit_sql('tr', 3, BOTH_MODELS)}
+SELECT model, CAST(fold AS INTEGER) AS fold,
+       round(1 - sum(pow(y - {pred_sql(3)}, 2)) / (count(*) * var_pop(y)), 6) AS r2
+FROM e JOIN fit ON e.fold = fit.k GROUP BY model, fold""")
+def q_cv_report(spark, d):
+    """R^2 of linear and ridge with default parameters on each of six folds."""
+    return _report(spark, d)[1].select("model", "fold", r("r2").alias("r2"))
+
+
+@query("penalised_one_feature", f"""
+WITH t AS ({MODEL_DATA_SQL}), s AS (
+  SELECT avg(l_quantity) AS mx, stddev_pop(l_quantity) AS sd, avg(l_extendedprice) AS my,
+         covar_pop(l_extendedprice, l_quantity) / stddev_pop(l_quantity) AS c FROM t WHERE NOT is_test),
+w AS (SELECT 'lasso' AS model, s.*, sign(c) * greatest(abs(c) - 5000.0, 0) AS w FROM s UNION ALL
+      SELECT 'elastic_net' AS model, s.*, sign(c) * greatest(abs(c) - 0.5 * 0.4, 0) / (1 + 0.5 * 0.6) AS w FROM s)
+SELECT model, round(w / sd, 2) AS slope, round(my - w * mx / sd, 1) AS intercept FROM w""")
+def q_penalised_one_feature(spark, d):
+    """Lasso and elastic net of one standardised feature: soft thresholds in closed form."""
+    _, train, _ = _train(spark, d)
+    rows = []
+    for kind, params in (("lasso", {"alpha": 5000.0}), ("elastic_net", {"alpha": 0.5, "l1_ratio": 0.4})):
+        m = ev.fit(kind, train, ["l_quantity"], LABEL, **params)
+        ends = m.transform(spark.createDataFrame([(0.0,), (1.0,)], "l_quantity double")).orderBy("l_quantity").collect()
+        rows.append((kind, ends[1]["prediction"] - ends[0]["prediction"], ends[0]["prediction"]))
+    out = spark.createDataFrame(rows, "model string, slope double, intercept double")
+    return out.select("model", r("slope", 2).alias("slope"), r("intercept", 1).alias("intercept"))
 
 
 # ====================================================================== rows-only models
@@ -304,27 +409,29 @@ def q_feature_importance(spark, d):
     return weights_frame(spark, model, FEATURES, k=10)
 
 
-@query("batch_score")
+@query("batch_score", f"""
+WITH t AS ({MODEL_DATA_SQL}), e AS (SELECT 1 AS k, l_orderkey, l_linenumber, l_partkey, l_suppkey, is_test, {X3_SQL} FROM t),
+tr AS (SELECT * FROM e WHERE NOT is_test),
+{fit_sql('tr', 3)}
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round({pred_sql(3)}, 2) AS prediction FROM e, fit""")
 def q_batch_score(spark, d):
     data, train, _ = _train(spark, d)
     model = make_pipeline("linear", FEATURES, label=LABEL).fit(train)
     path = os.path.join(checkpoint_root(spark), "models", uuid.uuid4().hex[:12])
     io.save_model(model, path)
     loaded = io.load_model(path)
-    return loaded.transform(data).select(*LI_KEYS, "prediction")
+    return loaded.transform(data).select(*LI_KEYS, r("prediction", 2).alias("prediction"))
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", "SELECT count(*) AS n, CAST(0 AS DOUBLE) AS max_abs_diff FROM lineitem")
 def q_model_roundtrip(spark, d):
     data, train, _ = _train(spark, d)
     model = make_pipeline("linear", FEATURES, label=LABEL).fit(train)
     path = os.path.join(checkpoint_root(spark), "models", uuid.uuid4().hex[:12])
     io.save_model(model, path)
     loaded = io.load_model(path)
-    a = model.transform(data).select(*LI_KEYS, F.col("prediction").alias("p1"))
-    b = loaded.transform(data).select(*LI_KEYS, F.col("prediction").alias("p2"))
-    j = a.join(b, LI_KEYS)
-    return j.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"))
+    both = loaded.transform(model.transform(data).select(*FEATURES, F.col("prediction").alias("p1")))
+    return both.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p1") - F.col("prediction"))).alias("max_abs_diff"))
 
 
 RIDGE_SPACE = {"alpha": [round(0.0001 + i * (1 - 0.0001) / 9, 6) for i in range(10)],

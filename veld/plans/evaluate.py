@@ -169,9 +169,17 @@ def random_search(data: DataFrame, kind: str, features: Sequence[str], label: st
         rows, "model string, candidate int, params map<string,string>, mean_r2 double, std_r2 double")
 
 
-def best_of(results: DataFrame, score: str = "mean_r2", order: str = "candidate") -> DataFrame:
+def best_of(results: DataFrame, score: str = "mean_r2", order: str | Sequence[str] = "candidate") -> DataFrame:
     """The row with the highest score; the earliest one wins ties (strict ``>``) (K2, V7)."""
-    return results.orderBy(F.desc_nulls_last(score), F.col(order)).limit(1)
+    order = [order] if isinstance(order, str) else list(order)
+    return results.orderBy(F.desc_nulls_last(score), *order).limit(1)
+
+
+def metrics_report(metrics: DataFrame) -> DataFrame:
+    """``(model, phase, metric, value)`` from rows of ``train_evaluate`` metrics (V8)."""
+    names = ("rmse", "r2", "mae", "mse")
+    return metrics.select("model", "phase", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in names])))
 
 
 def sample_residuals(pred: DataFrame, key: Sequence[str], n: int = 1, seed: int = 42,

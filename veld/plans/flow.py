@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from veld.functions import text as tx
 from veld.operators import clean, encode, geo, select
 from veld.plans import evaluate as ev
+from veld.plans.models import weights_frame
 from veld.session import materialize
+from veld.sources.io import save_model
 
 # Fixed values of the reference preparation chain.
 BOOLEAN_FLAGS = ["Swimming_Pool", "hasTerrace", "hasGarden", "Furnished"]
@@ -46,8 +48,11 @@ class Prepared:
     fitted: dict = field(default_factory=dict)
 
 
-def stage_clean(df: DataFrame, order: str = "id") -> DataFrame:
-    """Stage 1: row rules, flags, duplicates, text, postcode, sparse columns, types."""
+def stage_clean(df: DataFrame, order: str) -> DataFrame:
+    """Stage 1: row rules, flags, duplicates, text, postcode, sparse columns, types.
+
+    ``order`` is the row's place in the source: of duplicates the first row stays.  The column
+    goes afterwards."""
     df = clean.drop_columns(df, "Type_of_sale")
     df = clean.drop_rows_where(df, true_col="Starting_price", not_na_col="sale_annuity",
                                na_col="Price")
@@ -55,7 +60,7 @@ def stage_clean(df: DataFrame, order: str = "id") -> DataFrame:
     df = clean.fill_constant(df, {"gardenSurface": 0.0})
     df = clean.dedup_first(df, ["id"], [order])
     present = [c for c in ADDRESS_KEY if c in df.columns]
-    df = clean.dedup_first(df, present, [order])
+    df = clean.dedup_first(df, present, [order]).drop(order)
     df = df.withColumns({c: tx.capitalize(c) for c in CAPITALIZED if c in df.columns})
     df = df.withColumns({c: tx.title_case(c) for c in TITLED if c in df.columns})
     if "locality_name" in df.columns:
@@ -113,7 +118,7 @@ def stage_numeric(df: DataFrame, train_flag: str | None = None
     return df, clip
 
 
-def prepare_listings(raw: DataFrame, lookup: DataFrame | None = None, order: str = "id",
+def prepare_listings(raw: DataFrame, lookup: DataFrame | None = None, order: str = "position",
                      split_keys: Sequence[str] = ("id",), test_size: float = 0.2,
                      seed: int = 42) -> Prepared:
     """Stage A end to end.  ``is_test`` is assigned before any statistic is fitted, so
@@ -129,23 +134,49 @@ def prepare_listings(raw: DataFrame, lookup: DataFrame | None = None, order: str
 
 # ---------------------------------------------------------------- stage B
 
+# Fixed values of the reference searches.  ``max_depth`` None stands for its 40 too (Spark's
+# trees end at 30 levels); ``min_samples_split``, ``solver`` and ``selection`` have no counterpart.
 MODEL_SPACES = {
     "linear": {"fit_intercept": [True, False]},
     "ridge": {"alpha": [round(0.0001 + i * (1 - 0.0001) / 9, 6) for i in range(10)]},
     "lasso": {"alpha": [0.001, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0], "fit_intercept": [True, False]},
-    "random_forest": {"n_estimators": [50, 100], "max_depth": [10, 20], "min_samples_leaf": [1, 2, 4],
+    "random_forest": {"n_estimators": [50, 100, 200, 500], "max_depth": [None, 10, 20, 30], "min_samples_leaf": [1, 2, 4],
                       "max_features": ["sqrt", "log2"], "bootstrap": [True, False]},
     "gbt": {"n_estimators": [50, 100], "max_depth": [3, 5], "learning_rate": [0.1, 0.2],
             "subsample": [0.5, 0.75], "colsample_bytree": [0.5, 0.75]},
 }
+ELASTIC_NET_SPACE = {"alpha": ("uniform", 0.01, 10.01), "l1_ratio": ("uniform", 0.0, 1.0)}
+#: Parameters of each model where none are searched.
+MODEL_DEFAULTS = {"linear": {}, "ridge": {"alpha": 1.0}, "lasso": {"alpha": 1.0},
+                  "random_forest": {"n_estimators": 100, "max_depth": None, "max_features": "all"},
+                  "gbt": {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3}}
+LEAKS = ("price_per_sqm", "price_per_sqm_land")
+
+
+def model_report(train: DataFrame, test: DataFrame, features: Sequence[str], target: str,
+                 kinds: Sequence[str] | None = None, fold: str = "fold", seed: int = 42
+                 ) -> tuple[DataFrame, DataFrame]:
+    """Every model with its default parameters: ``(model, phase, metric, value)`` on train and
+    test rows, and ``(model, fold, r2)`` of the cross-validation on train rows (V3, V8)."""
+    report = folds = None
+    for kind in kinds or MODEL_DEFAULTS:
+        _, metrics, cvs = ev.train_evaluate(train, test, kind, features, target, fold, seed, **MODEL_DEFAULTS[kind])
+        metrics = ev.metrics_report(metrics)
+        report = metrics if report is None else report.unionByName(metrics)
+        folds = cvs if folds is None else folds.unionByName(cvs)
+    return report, folds
 
 
 def train_models(data: DataFrame, target: str = "Price", threshold: float = 0.2,
-                 exclude: Sequence[str] = ("Postal_code", "id"), kinds: Sequence[str] | None = None,
+                 exclude: Sequence[str] = ("Postal_code", "id", *LEAKS), kinds: Sequence[str] | None = None,
                  n_iter: int = 10, folds: int = 6, seed: int = 42,
-                 spaces: dict | None = None) -> dict:
+                 spaces: dict | None = None, test: DataFrame | None = None, save_path: str | None = None) -> dict:
     """Stage B: correlation select -> folds -> random search per model -> best (first wins
-    ties) -> refit on all rows.  Returns the model, features and the results table."""
+    ties) -> refit on all rows -> weights -> saved model.
+
+    Returns the model, features, the results table and ``weights``; with ``test`` rows also
+    ``report`` and ``cv`` of the models with default parameters (before the search) and
+    ``residuals``, a seeded sample of one test row.  ``save_path`` is where the model goes."""
     spaces = spaces or MODEL_SPACES
     kinds = list(kinds or spaces)
     feats = [c for c in select.correlated_columns(data, target, threshold, list(exclude))
@@ -155,15 +186,22 @@ def train_models(data: DataFrame, target: str = "Price", threshold: float = 0.2,
     key = [c for c in ("id",) if c in data.columns] or feats
     df = data.select(*key, *feats, target).withColumn("fold", select.fold_column(key, folds, seed))
     df = materialize(df, "train-set")
+    out = {"features": feats}
+    if test is not None:
+        out["report"], out["cv"] = model_report(df, test, feats, target, kinds, "fold", seed)
     results = None
     for pos, kind in enumerate(kinds):
         cands = ev.sample_params(spaces[kind], n_iter, seed)
         res = ev.random_search(df, kind, feats, target, cands).withColumn("kind_pos", F.lit(pos))
         results = res if results is None else results.unionByName(res)
-    ranked = results.withColumn("order", F.col("kind_pos") * 1000 + F.col("candidate"))
-    best = ev.best_of(ranked, "mean_r2", "order").first()
+    best = ev.best_of(results, "mean_r2", ["kind_pos", "candidate"]).first()
     model = ev.refit_best(data.sparkSession, df, best, feats, target, seed)
-    return {"model": model, "features": feats, "best": best, "results": ranked}
+    out["weights"] = weights_frame(data.sparkSession, model, feats)
+    if test is not None:
+        out["residuals"] = ev.sample_residuals(model.transform(test), key, 1, seed, target)
+    if save_path is not None:
+        save_model(model, save_path)
+    return out | {"model": model, "best": best, "results": results}
 
 
 def score(model, df: DataFrame) -> DataFrame:
@@ -171,5 +209,5 @@ def score(model, df: DataFrame) -> DataFrame:
     return model.transform(df)
 
 
-__all__ = ["prepare_listings", "train_models", "score", "stage_clean", "stage_geo",
+__all__ = ["prepare_listings", "train_models", "model_report", "score", "stage_clean", "stage_geo",
            "stage_subtype", "stage_categories", "stage_numeric"]

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A driver table, scanned with at least one split per core (see
-    ``veld.session.read_parquet_parallel``)."""
+    """A driver table."""
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
@@ -80,7 +79,10 @@ FROM customer"""
 
 
 def listings(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer")
+    return table(spark, d, "customer").select(*_listing_columns())
+
+
+def _listing_columns() -> list:
     k = F.col("c_custkey")
     m50 = (k % 50).cast("string")
     street = (F.when(k % 4 == 0, F.concat(F.lit("  Kerkstr. "), m50))
@@ -88,7 +90,7 @@ def listings(spark: SparkSession, d: str) -> DataFrame:
               .when(k % 4 == 2, F.concat(F.lit("Grand BLVD "), m50))
               .otherwise(F.concat(F.lit("Avenue Louise "), m50)))
     pc = (F.lit(1000) + F.col("c_nationkey") * 300).cast("string")
-    return c.select(
+    return [
         k.alias("id"), street.alias("street"),
         F.when(k % 9 == 0, None).otherwise((k % 7).cast("string")).alias("number"),
         pc.alias("Postal_code"),
@@ -98,7 +100,7 @@ def listings(spark: SparkSession, d: str) -> DataFrame:
         F.when(k % 4 == 0, None).otherwise(F.lit(50.4) + (k % 97).cast("double") / F.lit(100.0)).alias("latitude"),
         F.when(k % 6 == 0, None).otherwise(F.lit(3.2) + (k % 89).cast("double") / F.lit(40.0)).alias("longitude"),
         F.col("c_acctbal").alias("price"),
-    )
+    ]
 
 
 # ---------------------------------------------------------------- address lookup table
@@ -142,7 +144,6 @@ def listings_full(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer")
     k = F.col("c_custkey")
     bal = F.col("c_acctbal")
-    base = listings(spark, d).drop("price")
 
     def pick(values, m):
         e = None
@@ -155,8 +156,10 @@ def listings_full(spark: SparkSession, d: str) -> DataFrame:
     sub = (F.when(seg == "BUILDING", "HOUSE").when(seg == "AUTOMOBILE", "TOWN_HOUSE")
            .when(seg == "FURNITURE", "VILLA").when(seg == "HOUSEHOLD", "APARTMENT_BLOCK")
            .otherwise("COUNTRY_COTTAGE"))
-    extra = c.select(
-        k.alias("_k"),
+    town = F.concat(F.lit("TOWN "), F.col("c_nationkey").cast("string"), F.lit(" ("),
+                    (F.lit(1000) + F.col("c_nationkey") * 300).cast("string"), F.lit(")"))
+    return c.select("*", *_listing_columns()).select(
+        "id", "street", "number", "Postal_code", "latitude", "longitude",
         F.when(bal < 0, None).otherwise(bal * 50 + 100000).alias("Price"),
         F.when(k % 50 == 0, "LIFE_ANNUITY").otherwise("RESIDENTIAL_SALE").alias("Type_of_sale"),
         F.when(k % 13 == 0, None).otherwise(k % 17 == 0).alias("Starting_price"),
@@ -179,9 +182,4 @@ def listings_full(spark: SparkSession, d: str) -> DataFrame:
         F.when(k % 12 == 0, None).otherwise((F.lit(2) + k % 3).cast("double")).alias("Number_of_facades"),
         F.when(k % 10 == 3, None).otherwise(F.abs(bal) / 40 + 50).alias("Living_area"),
         F.when(k % 10 == 4, None).otherwise(F.abs(bal) / 5 + (k % 300)).alias("landSurface"),
-    )
-    town = F.concat(F.lit("TOWN "), F.col("c_nationkey").cast("string"), F.lit(" ("),
-                    (F.lit(1000) + F.col("c_nationkey") * 300).cast("string"), F.lit(")"))
-    extra = extra.join(c.select(k.alias("_k2"), town.alias("locality_name")),
-                       extra._k == F.col("_k2")).drop("_k2")
-    return base.drop("locality_raw", "locality_name").join(extra, base.id == extra._k).drop("_k")
+        town.alias("locality_name"), k.alias("position"))       # customers come in order of their key

@@ -10,7 +10,11 @@ regressor`` with sklearn-style parameters converted to Spark's:
 * lasso ``alpha``: both minimise ``1/(2n)||y-Xw||^2 + alpha ||w||_1`` -> ``regParam=alpha``.
 * elastic net ``alpha, l1_ratio``: ``l1 = alpha*l1_ratio``, ``l2 = alpha*(1-l1_ratio)*sd(y)``,
   ``regParam = l1 + l2``, ``elasticNetParam = l1 / regParam``.
-* random forest / gradient-boosted trees: parameter renames; depth capped at 30.
+* random forest / gradient-boosted trees: parameter renames; Spark's deepest tree has 30
+  levels, which is what "no limit" means here; a deeper one raises.
+
+Penalties refer to features scaled by their population std; Spark's scaler divides by the
+sample std, so ``make_pipeline`` converts: ``l1`` by ``sqrt((n-1)/n)``, ``l2`` by ``(n-1)/n``.
 
 ``sd(y)`` and ``n`` depend on the training rows, so they are passed in (``label_stats``)
 and recomputed per fold by the search code.
@@ -38,11 +42,13 @@ def label_stats(df: DataFrame, label: str) -> dict:
 
 
 def _depth(d):
-    return MAX_TREE_DEPTH if d is None else min(int(d), MAX_TREE_DEPTH)
+    if d is not None and int(d) > MAX_TREE_DEPTH:
+        raise ValueError(f"max_depth {d}: Spark grows trees of at most {MAX_TREE_DEPTH} levels")
+    return MAX_TREE_DEPTH if d is None else int(d)
 
 
 def make_regressor(kind: str, label: str = "label", features: str = "features",
-                   stats: dict | None = None, seed: int = 42, **p):
+                   stats: dict | None = None, seed: int = 42, scaled: bool = False, **p):
     common = dict(labelCol=label, featuresCol=features, predictionCol="prediction")
     if kind == "linear":
         return LinearRegression(regParam=0.0, solver="normal", standardization=False,
@@ -51,17 +57,19 @@ def make_regressor(kind: str, label: str = "label", features: str = "features",
         if stats is None:
             raise ValueError(f"{kind} needs label_stats of the training rows")
         alpha = float(p.get("alpha", 1.0))
+        # scaled: features were divided by their sample std, penalties mean the population std
+        shrink = (stats["n"] - 1) / stats["n"] if scaled and stats["n"] > 1 else 1.0
         fit_intercept = p.get("fit_intercept", True)
         if kind == "ridge":
-            reg = alpha * stats["sd_pop"] / max(1, stats["n"])
+            reg = shrink * alpha * stats["sd_pop"] / max(1, stats["n"])
             return LinearRegression(regParam=reg, elasticNetParam=0.0, solver="normal",
                                     standardization=False, fitIntercept=fit_intercept, **common)
         if kind == "lasso":
-            return LinearRegression(regParam=alpha, elasticNetParam=1.0, solver="l-bfgs",
+            return LinearRegression(regParam=shrink ** 0.5 * alpha, elasticNetParam=1.0, solver="l-bfgs",
                                     standardization=False, fitIntercept=fit_intercept,
                                     maxIter=p.get("max_iter", 1000), tol=1e-9, **common)
         l1r = float(p.get("l1_ratio", 0.5))
-        l1, l2 = alpha * l1r, alpha * (1 - l1r) * stats["sd_samp"]
+        l1, l2 = shrink ** 0.5 * alpha * l1r, shrink * alpha * (1 - l1r) * stats["sd_samp"]
         reg = l1 + l2
         return LinearRegression(regParam=reg, elasticNetParam=(l1 / reg if reg else 0.0),
                                 solver="l-bfgs", standardization=False, fitIntercept=fit_intercept,
@@ -100,7 +108,7 @@ def make_pipeline(kind: str, features: Sequence[str], label: str = "label",
     if scale:
         stages.append(StandardScaler(inputCol="_raw", outputCol="features",
                                      withMean=True, withStd=True))
-    stages.append(make_regressor(kind, label=label, stats=stats, seed=seed, **params))
+    stages.append(make_regressor(kind, label=label, stats=stats, seed=seed, scaled=scale, **params))
     return Pipeline(stages=stages)
 
 
