@@ -315,14 +315,14 @@ def q_cv_report(spark, d):
 WITH t AS ({MODEL_DATA_SQL}), s AS (
   SELECT avg(l_quantity) AS mx, stddev_pop(l_quantity) AS sd, avg(l_extendedprice) AS my,
          covar_pop(l_extendedprice, l_quantity) / stddev_pop(l_quantity) AS c FROM t WHERE NOT is_test),
-w AS (SELECT 'lasso' AS model, s.*, sign(c) * greatest(abs(c) - 5000.0, 0) AS w FROM s UNION ALL
+w AS (SELECT 'lasso' AS model, s.*, sign(c) * greatest(abs(c) - 20.0, 0) AS w FROM s UNION ALL
       SELECT 'elastic_net' AS model, s.*, sign(c) * greatest(abs(c) - 0.5 * 0.4, 0) / (1 + 0.5 * 0.6) AS w FROM s)
-SELECT model, round(w / sd, 2) AS slope, round(my - w * mx / sd, 1) AS intercept FROM w""")
+SELECT model, round(w / sd + 0.0, 2) AS slope, round(my - w * mx / sd, 1) AS intercept FROM w""")
 def q_penalised_one_feature(spark, d):
     """Lasso and elastic net of one standardised feature: soft thresholds in closed form."""
     _, train, _ = _train(spark, d)
     rows = []
-    for kind, params in (("lasso", {"alpha": 5000.0}), ("elastic_net", {"alpha": 0.5, "l1_ratio": 0.4})):
+    for kind, params in (("lasso", {"alpha": 20.0}), ("elastic_net", {"alpha": 0.5, "l1_ratio": 0.4})):
         m = ev.fit(kind, train, ["l_quantity"], LABEL, **params)
         ends = m.transform(spark.createDataFrame([(0.0,), (1.0,)], "l_quantity double")).orderBy("l_quantity").collect()
         rows.append((kind, ends[1]["prediction"] - ends[0]["prediction"], ends[0]["prediction"]))
