@@ -238,6 +238,22 @@ def test_surrogates(spark, docs, empty):
     assert surrogates.replace_entities(empty, "k").count() == 0
 
 
+def test_surrogates_gate_lets_every_entity_pass(spark):
+    split = [gap.join("4111111111111111"[k:k + n] for k in range(0, 16, n)) for n in (1, 2, 3, 4, 16) for gap in (" ", "-")]
+    others = ["a@b.cd", "1.2.3.4", "212-555-0187", "(212)555 0187", "+1 212.555.0187", "4 1-1 111-1 1 1 1-1 1 1 1", "Frau Ölz", "κύριος Νίκος"]
+    texts = spark.createDataFrame([(f"so {v} it is",) for v in split + others], "text string")
+    seen = texts.select("text", surrogates.perhaps(F.col("text")).alias("p"),
+                        F.size(F.regexp_extract_all("text", F.lit(surrogates.ENTITY), F.lit(0))).alias("n")).collect()
+    assert [r.text for r in seen if not r.p or r.n != 1] == []
+    # a card alone in its document is replaced, and as in a document that has other marks
+    docs = spark.createDataFrame([(k, f"{c} is mine{more}") for k, c in enumerate(split[:4]) for more in ("", ", says Mr. Jones")],
+                                 "doc_id int, text string")
+    out = surrogates.replace_entities(docs, "k").select("doc_id", "text", "entities.n_card").collect()
+    for r in out:
+        assert r.n_card == 1 and split[r.doc_id] not in r.text
+    assert len({re.sub(r"\D", "", r.text.split(" is")[0]) for r in out}) == 1
+
+
 def test_surrogates_stay_distinct(spark):
     values = spark.createDataFrame([("given:m:latin", f"N{i}") for i in range(3000)] + [("ip", f"10.0.{i}.1") for i in range(50)],
                                    "type string, value string")

@@ -54,6 +54,9 @@ PATTERNS = {
     "name": rf"(?<!\p{{L}})(?:{_TITLE})\.? {_WORD}(?: {_WORD})?(?!\p{{L}})"}
 ENTITY = "|".join(PATTERNS.values())
 KINDS = tuple(PATTERNS)
+#: What every entity but an address has: a digit and a point (IPv4), three digits with at most
+#: a space or hyphen after each (phone, card), or a title and a capital letter (name).
+MARKS = (r"[0-9][ -]?[0-9][ -]?[0-9]|[0-9][.]", rf"(?:{_TITLE})\.? \p{{Lu}}")
 _US = "\x1f"
 
 
@@ -176,6 +179,11 @@ def draws(values: DataFrame, key: str) -> DataFrame:
     return reduce(DataFrame.union, settled, none)
 
 
+def perhaps(t: Column) -> Column:
+    """Whether a text may have an entity: true for all that ``ENTITY`` is found in, and cheaper."""
+    return t.contains("@") | t.rlike(MARKS[0]) | t.rlike(MARKS[1])
+
+
 def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with ``text`` replaced, and ``n_email``, ``n_ip``, ``n_phone``, ``n_card``, ``n_name``
     (long) added in a struct column ``entities``; every other column and row as it is.
@@ -183,9 +191,7 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     A null text stays null and an empty one empty.  Rows with equal texts are replaced alike.
     A column of ``docs`` called ``entities`` is overwritten."""
     t = F.coalesce(F.col(text), F.lit(""))
-    # what every entity has, and few texts: cheaper to look for than the entities
-    perhaps = t.contains("@") | t.rlike("[0-9]{3}|[0-9][.]") | t.rlike(rf"(?:{_TITLE})\.? \p{{Lu}}")
-    found = F.when(perhaps, F.regexp_extract_all(t, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    found = F.when(perhaps(t), F.regexp_extract_all(t, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
     docs = docs.withColumn("__found", F.transform(found, lambda m: F.struct(m.alias("m"), _kind(m).alias("kind"))))
     some = F.size("__found") > 0
     # the text's hash and length name its entity list: texts that share both would share draws
