@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -144,6 +145,30 @@ def test_language_model_probabilities_sum_to_one():
     assert (10 ** model.class_log10(np.arange(maxent.CLASSES), rows_)).sum() == pytest.approx(1, abs=1e-5)
 
 
+def test_language_model_word_probabilities_sum_to_one(spark):
+    counts = [(f"once{i:03d}{chr(97 + i % 26)}{chr(97 + i % 7)}", 1) for i in range(300)] + \
+        [(f"twice{i}{chr(97 + i % 26)}s", 2) for i in range(60)] + [(f"often{i}ed", 5 + i) for i in range(80)]
+    table = spark.createDataFrame([(w.encode(), c) for w, c in counts], "word binary, c long")
+    model = maxent._summary(table, 40)
+    of_class = maxent.word_classes(pa.array([w.encode() for w, _ in counts], pa.large_binary()), model.head)
+    c = np.array([c for _, c in counts], float)
+    known = 10 ** model.word_log10(c, of_class)
+    tail = np.arange(maxent.HEAD, maxent.CLASSES)
+    unseen = 10 ** model.word_log10(np.zeros(len(tail)), tail)
+    inside = np.bincount(of_class, known, maxent.CLASSES)
+    inside[tail] += unseen * model.unseen_words[tail]
+    inside[0] = (model.ends + 0.5) / model.mass[0]
+    assert inside == pytest.approx(np.ones(maxent.CLASSES))
+    # over all tokens, behind any history
+    row = np.tile(np.array([[1], [2], [3], [4]], np.uint16), (1, maxent.CLASSES))
+    model.weights += np.random.default_rng(0).normal(size=model.weights.shape).astype(np.float32)
+    assert (10 ** model.class_log10(np.arange(maxent.CLASSES), row) * inside).sum() == pytest.approx(1, abs=1e-5)
+    # an unseen word is less likely than any word of its class that was seen
+    smallest = np.full(maxent.CLASSES, np.inf)
+    np.minimum.at(smallest, of_class, known)
+    assert (unseen < smallest[tail]).all()
+
+
 def test_training_raises_likelihood():
     rng = np.random.default_rng(1)
     before_word = rng.integers(0, 4, 4000)

@@ -6,8 +6,11 @@ The first factor is a log-linear model over ``CLASSES`` classes.  Its features a
 before, the two words before, the word before last (a skip feature) and the classes of the
 three words before; each is hashed to one of ``BUCKETS`` rows of weights, and a bias holds
 the classes' shares.  The second factor is a softmax over a class's words whose one feature
-is the word, so its weights are known from counts (plus a half); the words of a class that
-were seen once set the share of unseen words in it.  Classes are the text's end, the
+is the word, so its weights are known from counts (plus a half): unigram counts, without the
+history.  The words of a class that were seen once set the share of unseen words in it, and
+an unseen word gets that share over the number of unseen words, estimated from the words seen
+once and twice (Chao's estimate, and no fewer than were seen once, so that an unseen word is
+always less likely than one seen once).  Classes are the text's end, the
 ``HEAD - 1`` most frequent words, and ``TAIL`` groups of the others by their last two bytes,
 so an unseen word has a class too.
 
@@ -144,16 +147,24 @@ def train_steps(weights: np.ndarray, bias: np.ndarray, klass: np.ndarray, rows:
 
 
 class Model:
-    """Weights and bias of the classes, the head words, and what the counts say."""
+    """Weights and bias of the classes, the head words, and what the counts say.
+
+    ``unseen`` is the mass of all unseen words of each class, ``unseen_words`` their number."""
 
     def __init__(self, head: list[bytes], class_mass: np.ndarray, unseen: np.ndarray, tokens: int,
-                 distinct: int, ends: int):
+                 distinct: int, ends: int, unseen_words: np.ndarray | None = None):
         self.head = pa.array(head, pa.binary())
         self.mass = class_mass + unseen
+        self.unseen_words = np.maximum(unseen, 1) if unseen_words is None else unseen_words
         self.unseen, self.tokens, self.distinct, self.ends = unseen, tokens, distinct, ends
         self.bias = np.log(self.mass / self.mass.sum()).astype(np.float32)
         self.weights = np.zeros((BUCKETS, CLASSES), np.float32)
 
+    def word_log10(self, c: np.ndarray, of_class: np.ndarray) -> np.ndarray:
+        """The words' share in their classes; ``c`` is 0 for unseen words."""
+        one_unseen = (self.unseen / self.unseen_words)[of_class]
+        return np.log10(np.where(c > 0, c + 0.5, one_unseen)) - np.log10(self.mass)[of_class]
+
     def class_log10(self, klass: np.ndarray, rows: np.ndarray) -> np.ndarray:
         out = np.empty(len(klass))
         for s in range(0, len(klass), BATCH):
@@ -206,21 +217,24 @@ def _summary(counts: DataFrame, ends: int) -> Model:
     suffix = F.expr("substring(word, -2, 2)")
     tail_class = HEAD + F.pmod(F.crc32(suffix), F.lit(TAIL)).cast("int")
     rows = counts.groupBy(tail_class.alias("k")).agg(
-        F.sum("c").alias("c"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.col("c") == 1, 1).otherwise(0)).alias("once"))
-    mass, unseen = np.zeros(CLASSES), np.zeros(CLASSES)
-    unseen[HEAD:] = 0.5
+        F.sum("c").alias("c"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice"))
+    mass, once, twice = np.zeros(CLASSES), np.zeros(CLASSES), np.zeros(CLASSES)
     tokens, distinct = ends, int(ends > 0)
     for r in rows.collect():
         mass[r.k] = r.c + 0.5 * r.v
-        unseen[r.k] = max(0.5, r.once)
+        once[r.k], twice[r.k] = r.once, r.twice
         tokens, distinct = tokens + r.c, distinct + r.v
     for k, r in enumerate(top):
         own = HEAD + zlib.crc32(bytes(r.word)[-2:]) % TAIL
         mass[1 + k] = r.c + 0.5
         mass[own] -= r.c + 0.5
+        once[own] -= r.c == 1
+        twice[own] -= r.c == 2
     mass[0] = ends + 0.5
     mass = np.maximum(mass, 1e-6)       # classes without words
-    return Model(head, mass, unseen, tokens, distinct, ends)
+    unseen = np.where(np.arange(CLASSES) < HEAD, 0, np.maximum(0.5, once))
+    unseen_words = np.maximum(np.maximum(once, 1), once * (once - 1) / (2 * (twice + 1)))
+    return Model(head, mass, unseen, tokens, distinct, ends, unseen_words)
 
 
 def _round(docs: DataFrame, model: Model) -> np.ndarray:
@@ -268,12 +282,13 @@ def _score(model):
         klass, rows, first = features(index, counts, of_class, hash_strings(vocabulary))
         word = np.ones(len(klass), bool)
         word[first[1:] - 1] = False
-        base, inside = np.full(len(klass), np.log10(m.ends + 0.5)), np.full(len(klass), np.log10(m.ends + 0.5))
+        base, inside = np.full(len(klass), np.log10(m.ends + 0.5)), np.full(len(klass), np.log10(m.ends + 0.5) - np.log10(m.mass[0]))
         known = np.full(len(klass), m.ends > 0)
         base[word] = np.log10(c + 0.5)[index]
-        inside[word] = np.log10(np.where(c > 0, c + 0.5, m.unseen[of_class]))[index]
+        with np.errstate(divide="ignore"):
+            inside[word] = m.word_log10(c, of_class)[index]
         known[word] = c[index] > 0
-        score = inside - np.log10(m.mass)[klass] + m.class_log10(klass, rows)
+        score = inside + m.class_log10(klass, rows)
         total = lambda x: np.add.reduceat(x, first[:-1]) if len(x) else np.zeros(0)
         n = counts + 1
         return pa.table({"id": docs.column("id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n, pa.int64()),
