@@ -169,6 +169,10 @@ def test_language_model_word_probabilities_sum_to_one(spark):
     assert (unseen < smallest[tail]).all()
 
 
+def test_language_model_has_all_its_classes():
+    assert (maxent.HEAD, maxent.TAIL, maxent.CLASSES) == (32, 32, 64)
+
+
 def test_training_raises_likelihood():
     rng = np.random.default_rng(1)
     before_word = rng.integers(0, 4, 4000)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from .store import shared_path
 from .textbytes import LOWER, NOT_SPACE, Words, buffers, encode, hash_strings, mix64, pieces
 
-HEAD = TAIL = 24
+HEAD = TAIL = 32
 CLASSES = HEAD + TAIL
 BUCKETS = 1 << 15
 FEATURES = 4
