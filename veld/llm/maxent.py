@@ -100,11 +100,13 @@ def features(index: np.ndarray, counts: np.ndarray, of_class: np.ndarray, hashes
         return y
 
     w1, w2 = back(h, 1), back(h, 2)
-    c1, c2, c3 = (back(klass + 1, k).astype(np.uint64) for k in (1, 2, 3))
-    with np.errstate(over="ignore"):
-        seeds = (w1 + np.uint64(1), w1 * np.uint64(3) + w2 * np.uint64(5) + np.uint64(2), w2 + np.uint64(3),
-                 (np.uint64(1) << np.uint64(40)) + c1 + c2 * np.uint64(256) + c3 * np.uint64(65536))
-        rows = np.stack([(mix64(s) % np.uint64(BUCKETS)).astype(np.uint16) for s in seeds])
+    c = (klass + 1).astype(np.uint64)
+    rows = np.empty((FEATURES, total), np.uint16)
+    with np.errstate(over="ignore"):      # one feature at a time: a block has millions of tokens
+        for row, seeds in zip(rows, (
+                lambda: w1 + np.uint64(1), lambda: w1 * np.uint64(3) + w2 * np.uint64(5) + np.uint64(2), lambda: w2 + np.uint64(3),
+                lambda: (np.uint64(1) << np.uint64(40)) + back(c, 1) + back(c, 2) * np.uint64(256) + back(c, 3) * np.uint64(65536))):
+            row[:] = mix64(seeds()) % np.uint64(BUCKETS)
     return klass, rows, first
 
 
@@ -133,13 +135,13 @@ def train_steps(weights: np.ndarray, bias: np.ndarray, klass: np.ndarray, rows:
         sorted_rows = flat[order]
         start = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1]))
         size = np.diff(np.append(start, len(flat)))
-        each = np.take(p, order % len(y), axis=0)
-        gradient = each[start]
+        order %= len(y)                 # the token of each place
+        gradient = np.take(p, order[start], axis=0)
         for k in range(1, 8):
             more = np.flatnonzero(size > k)
-            gradient[more] += each[start[more] + k]
+            gradient[more] += np.take(p, order[start[more] + k], axis=0)
         for k in np.flatnonzero(size > 8):
-            gradient[k] += each[start[k] + 8:start[k] + size[k]].sum(axis=0)
+            gradient[k] += np.take(p, order[start[k] + 8:start[k] + size[k]], axis=0).sum(axis=0)
         hit = sorted_rows[start]
         squares[hit] += np.einsum("ij,ij->i", gradient, gradient)
         weights[hit] -= RATE * gradient / np.sqrt(squares[hit] + 1)[:, None]
