@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decision_list, importance, maxent, orc_tokens, postings, secret_scan, simhash, surrogates, url_trees
+from . import (bpe, conversation_repair, decision_list, importance, maxent, orc_tokens, postings, secret_scan, shards, simhash,
+               surrogates, token_alignment, url_trees)
 from .store import shared_path, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +114,31 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by the rules, and where none fits by boosted trees that learn
     from the URLs that a rule labels."""
     return url_trees.judge(table(spark, sf_dir, "pages").select("page_id", "url"), F.col("rule_verdict"))
+
+
+#: Shards and seed of the sharding query.
+SHARDS, SHARD_SEED = 40, 11
+
+
+@_query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents shuffled into shard files whose row counts differ by one at most; what the files hold."""
+    files = shards.write_shards(table(spark, sf_dir, "documents"), SHARDS, SHARD_SEED)
+    return files.select(
+        "record.doc_id", shards.record_size("record.text").alias("size"),
+        F.crc32(F.coalesce("record.text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, their faults and their lightest repair."""
+    return conversation_repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
+@_query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut by a byte-level and a piece tokenizer, aligned; links counted corpus-wide."""
+    aligner = token_alignment.Aligner(token_alignment.ByteLevelEncoder(public_tokenizers.path("byte_bpe_50k.json")),
+                                      token_alignment.PieceEncoder(public_tokenizers.path("piece_bpe_32k.model")))
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"), aligner)
