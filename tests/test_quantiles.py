@@ -24,9 +24,10 @@ def test_matches_numpy_random(spark):
     _check(spark, list(rng.normal(size=5000)))
 
 
-def test_coarse_sketch_forces_many_passes(spark):
+def test_by_digits_to_the_end(spark):
+    """Without scans by value every digit is counted."""
     rng = np.random.default_rng(2)
-    _check(spark, list(rng.lognormal(size=3000)), accuracy=50, max_rows_per_pass=64)
+    _check(spark, list(rng.lognormal(size=3000)), by_value_rows=0)
 
 
 def test_hot_value_third_of_rows(spark):
@@ -72,7 +73,7 @@ def test_approx_close(spark):
 @given(st.lists(st.one_of(st.none(), st.floats(-1e6, 1e6, allow_nan=False)), min_size=1, max_size=60),
        st.lists(st.floats(0, 1), min_size=1, max_size=4))
 def test_property_against_numpy(spark, values, probs):
-    _check(spark, values, probs, accuracy=50, max_rows_per_pass=64)
+    _check(spark, values, probs, by_value_rows=20)
 
 
 def test_nan_is_missing(spark):
@@ -86,12 +87,45 @@ def test_nan_is_missing(spark):
     [-1.7e308, 1.7e308] + [float(i) for i in range(2000)],
     [2.0 ** k for k in range(-1000, 1000)],
     [42.0] * 4000 + [float(i) for i in range(2000)]])
-def test_any_spread_ends_in_few_passes(spark, values, monkeypatch):
+def test_any_spread_ends_in_few_scans(spark, values, monkeypatch):
     from veld.operators import quantiles as module
-    passes = []
-    count = module._count
-    monkeypatch.setattr(module, "_count", lambda *a: (passes.append(1), count(*a)))
+    scans = []
+    scan = module._scan
+    monkeypatch.setattr(module, "_scan", lambda *a: (scans.append(1), scan(*a))[1])
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = exact_quantiles(df, ["x"], [0.25, 0.5, 0.75], max_rows_per_pass=3000)["x"]
-    np.testing.assert_allclose(got, np.quantile(values, [0.25, 0.5, 0.75]), rtol=1e-12)
-    assert len(passes) <= 2
+    for rows, most in ((0, 4), (1_000_000, 2)):
+        scans.clear()
+        got = exact_quantiles(df, ["x"], [0.25, 0.5, 0.75], by_value_rows=rows)["x"]
+        np.testing.assert_allclose(got, np.quantile(values, [0.25, 0.5, 0.75]), rtol=1e-12)
+        assert len(scans) <= most
+
+
+def test_order_image_is_the_order_of_doubles(spark):
+    """Neighbours of powers of two, subnormals, zeros and infinities keep order and never share an image."""
+    from pyspark.sql import functions as F
+
+    from veld.operators.quantiles import order_image
+    rng = np.random.default_rng(6)
+    powers = 2.0 ** np.arange(-1074, 1024)
+    values = np.concatenate([powers, np.nextafter(powers, 0), np.nextafter(powers, np.inf), rng.normal(size=500),
+                             rng.integers(0, 2**63 - 2**53, 2000).view(np.float64), [0.0, np.inf, 1.7976931348623157e308]])
+    values = np.unique(np.concatenate([values, -values]))
+    values = values[~np.isnan(values)]
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = df.select("x", order_image(F.col("x")).alias("i")).orderBy("x").collect()
+    images = np.array([r["i"] for r in got])
+    assert (np.diff(images) > 0).all()
+    bits = np.abs(values).view(np.int64)
+    np.testing.assert_array_equal(images, np.where(values < 0, -bits, bits))
+
+
+def test_both_zeros_are_one_value(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (0.0,), (-0.0,), (5.0,)], "x double")
+    assert exact_quantiles(df, ["x"], [0.0, 0.5, 1.0]) == {"x": [0.0, 0.0, 5.0]}
+
+
+def test_more_columns_than_a_scan_takes(spark, monkeypatch):
+    from veld.operators import quantiles as module
+    monkeypatch.setattr(module, "COLUMNS", 2)
+    df = spark.createDataFrame([(float(i), 2.0 * i, None, float(-i), 1.0) for i in range(11)], "a double, b double, c double, d double, e double")
+    assert exact_quantiles(df, df.columns, [0.5]) == {"a": [5.0], "b": [10.0], "c": [None], "d": [-5.0], "e": [1.0]}

@@ -4,7 +4,7 @@ The reference loops over columns and scans once per column; here every statistic
 every column is one expression in a single ``agg`` (partial aggregation on the mappers,
 one tiny merge), then unpivoted with ``inline``.  Very wide tables are chunked at
 ``CHUNK`` expressions so generated code stays under the JVM method-size limits.
-Quantile statistics use the bounded exact refinement in ``veld.operators.quantiles``.
+Quantile statistics count digits, exactly and in a few scans (``veld.operators.quantiles``).
 """
 
 from __future__ import annotations
@@ -141,8 +141,7 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear), max per column.
 
-    The moments aggregation also yields count / min / max, so the quantile refinement
-    starts from them (no separate first pass).
+    One scan for the moments, and those of the quantiles.
     """
     cols = list(columns)
     st = value_stats(df, cols, {
@@ -151,8 +150,7 @@ def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> Dat
         "std": lambda c: F.stddev_samp(F.col(c).cast("double")),
         "min": lambda c: F.min(F.col(c).cast("double")),
         "max": lambda c: F.max(F.col(c).cast("double"))})
-    qs = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx,
-                   known={c: st[c]["known"] for c in cols})
+    qs = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx)
     rows = [(c, st[c]["count"], st[c]["mean"], st[c]["std"], st[c]["min"], *qs[c], st[c]["max"])
             for c in cols]
     return df.sparkSession.createDataFrame(
@@ -213,8 +211,7 @@ def box_stats(df: DataFrame, columns: Sequence[str], approx: bool = False) -> Da
     cols = list(columns)
     st = value_stats(df, cols, {"min": lambda c: F.min(F.col(c).cast("double")),
                                 "max": lambda c: F.max(F.col(c).cast("double"))})
-    qs = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx,
-                   known={c: st[c]["known"] for c in cols})
+    qs = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx)
     rows = [(c, st[c]["min"], *qs[c], st[c]["max"]) for c in cols]
     return df.sparkSession.createDataFrame(
         rows, "column string, min double, q1 double, median double, q3 double, max double")

@@ -1,32 +1,34 @@
 """Exact quantiles (linear interpolation, pandas / ``quantile_cont`` semantics) at scale.
 
-Spark's exact ``percentile`` keeps a map of every distinct value and merges it in one
-task for a global aggregate; on a 100 TB column that map does not fit.  Here each wanted
-order statistic (rank ``floor(h)`` and ``ceil(h)`` with ``h=(n-1)p``) owns a bracket
-``[a, b]`` of values and knows how many values lie below it:
-
-1. one aggregation gives ``count``, ``min`` and ``max`` of every column;
-2. ``percentile_approx`` over the bracket, asked a little below and a little above the
-   rank, gives a narrower bracket: its error is bounded in *ranks*, so the share of rows
-   that is left does not depend on how the values are spread;
-3. one count says how many values lie below, inside and above.  Inside a bracket that can
-   only hold few rows they are counted by value, which ends the search; a bracket of one
-   value (a hot value) ends too.  Should the sketch have missed, the side that holds the
-   rank is searched next.
-
-Three scans for up to hundreds of millions of rows, two more for each further factor of
-``accuracy / 6``.  Infinities are ordinary largest and smallest values; NaN is missing.
-At most ``max_rows_per_pass`` counts reach the driver in a pass.
+Spark's exact ``percentile`` keeps a map of every distinct value and merges it in one task for a
+global aggregate; on a 100 TB column that map does not fit.  Here order statistics (ranks
+``floor(h)`` and ``ceil(h)`` with ``h = (n-1)p``) are found by counting digits.
+
+``order_image`` maps a double to a 64-bit integer in the same order.  A scan groups all columns at
+once by (column, leading bits) and keeps count, least and greatest value of each cell; a running
+sum inside each open cell says which of its sub-cells hold the wanted ranks.  A sub-cell of one
+value ends the search for its ranks, the others are open in the next scan, 16 bits further on.
+When the open cells together hold at most ``by_value_rows`` rows, the next scan takes all bits that
+are left.  So there are
+
+* at most four scans whatever the distribution, two for up to some millions of rows;
+* at most 65,536 groups for each open cell of a scan (``by_value_rows`` in all in a scan by value),
+  and open cells are at most twice the probabilities for each column;
+* one collected row for each rank: running sums are a window per open cell, not driver work.
+
+Infinities are ordinary largest and smallest values, both zeros are one value, NaN is missing.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Bits of a digit, and columns of one scan (generated code stays in bounds).
+DIGIT, COLUMNS = 16, 100
+
 
 def _val(c: str) -> Column:
     """The column as DOUBLE with NaN treated as missing (pandas skips NaN too)."""
@@ -34,111 +36,119 @@ def _val(c: str) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    accuracy: int = 10_000, max_rows_per_pass: int = 250_000,
-                    known: dict[str, tuple] | None = None) -> dict[str, list[float | None]]:
-    """``{column: [quantile for p in probs]}``; ``None`` where a column has no values.
+def order_image(x: Column) -> Column:
+    """A BIGINT in the order of the double ``x``: its IEEE bits, negated below zero.
 
-    ``known`` may carry ``{column: (count, min, max)}`` (of non-null, non-NaN values)
-    from an aggregation the caller runs anyway; the first pass is then skipped.
+    Exponent and fraction come from exact scalings by powers of two; ``log2`` only guesses the
+    exponent and the guess is corrected by the scaled value.
     """
+    a = F.abs(x)
+    power = lambda e: F.pow(F.lit(2.0), e)
+    guess = F.greatest(F.lit(-1022.0), F.least(F.lit(1023.0), F.floor(F.log2(a)).cast("double")))
+    scaled = a / power(guess)
+    e = guess + F.when(scaled >= 2.0, 1.0).when((scaled < 1.0) & (guess > -1022.0), -1.0).otherwise(0.0)
+    two52 = 2.0 ** 52
+    bits = (e + 1022.0).cast("long") * int(two52) + (a / power(e) * two52).cast("long")
+    bits = F.when(a == 0.0, F.lit(0).cast("long")).when(a == float("inf"), F.lit(2047 << 52)).otherwise(bits)
+    return F.when(x < 0.0, -bits).otherwise(bits)
+
+
+def _ranks(n: Column, probs: Sequence[float]) -> Column:
+    """The ranks that the probabilities need of ``n`` values."""
+    out = []
+    for p in probs:
+        h = F.floor((n - 1) * F.lit(p))
+        out += [h, F.least(h + 1, n - 1)]
+    return F.array_distinct(F.array(*out))
+
+
+def _scan(df: DataFrame, columns: dict[int, str], shift: int) -> DataFrame:
+    """``c`` (column number), ``image`` and ``v`` of every value of ``columns``; ``key`` are the image's
+    leading bits."""
+    rows = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("c"), _val(c).alias("v")) for i, c in columns.items()])))
+    return rows.filter("v IS NOT NULL").withColumn("image", order_image(F.col("v"))) \
+        .withColumn("key", F.shiftright("image", shift))
+
+
+def _cells(rows: DataFrame, within: list[str], wanted: Column, total: bool) -> list:
+    """The cells that hold wanted ranks, which count from the start of the cell they lie ``within``."""
+    cells = rows.groupBy("c", *[w for w in within if w != "c"], "key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    inside = Window.partitionBy(*within)
+    cells = cells.withColumn("upto", F.sum("n").over(inside.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)))
+    if total:
+        cells = cells.withColumn("total", F.sum("n").over(inside))
+    cells = cells.withColumn("ranks", wanted)
+    hits = F.filter("ranks", lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))
+    return cells.withColumn("hits", hits).filter(F.size("hits") > 0).drop("ranks").collect()
+
+
+def order_statistics(df: DataFrame, columns: dict[int, str], probs: Sequence[float],
+                     by_value_rows: int) -> tuple[dict, dict]:
+    """``{column number: rows}`` and ``{(column number, rank): value}``."""
+    shift = 64 - DIGIT
+    found = _cells(_scan(df, columns, shift), ["c"], _ranks(F.col("total"), probs), total=True)
+    totals = {r["c"]: r["total"] for r in found}
+    values: dict = {}
+    # open cells: (column, leading bits) -> [(rank in the column, rank in the cell)], and their rows
+    for r in found:
+        r_ranks = [(k, k - (r["upto"] - r["n"])) for k in r["hits"]]
+        _close(values, r["c"], r, r_ranks)
+    cells = _open(found, {(r["c"], r["key"]): [(k, k - (r["upto"] - r["n"])) for k in r["hits"]] for r in found})
+    while cells:
+        outer, shift = shift, 0 if sum(n for _, n in cells.values()) <= by_value_rows else max(0, shift - DIGIT)
+        left = {c: columns[c] for c, _ in cells}
+        rows = _scan(df, left, shift).withColumn("outer", F.shiftright("image", outer))
+        keys: dict[int, list] = {}
+        for c, key in cells:
+            keys.setdefault(c, []).append(key)
+        is_open, wanted = F.lit(False), F.lit(None)
+        for c, ks in keys.items():
+            is_open = is_open | ((F.col("c") == c) & F.col("outer").isin(*ks))
+        wanted = F.coalesce(*[F.when((F.col("c") == c) & (F.col("outer") == key),
+                                     F.array(*[F.lit(inner).cast("long") for _, inner in ranks]))
+                              for (c, key), (ranks, _) in cells.items()])
+        found = _cells(rows.filter(is_open), ["c", "outer"], wanted, total=False)
+        ranks_of: dict = {}
+        for r in found:
+            whole = {inner: rank for rank, inner in cells[r["c"], r["outer"]][0]}
+            ranks = [(whole[k], k - (r["upto"] - r["n"])) for k in r["hits"]]
+            _close(values, r["c"], r, ranks)
+            ranks_of[r["c"], r["key"]] = ranks
+        cells = _open(found, ranks_of)
+    return totals, values
+
+
+def _close(values: dict, c: int, cell, ranks: list[tuple]) -> None:
+    if cell["lo"] == cell["hi"]:
+        values.update({(c, rank): cell["lo"] + 0.0 for rank, _ in ranks})
+
+
+def _open(found: list, ranks_of: dict) -> dict:
+    return {(r["c"], r["key"]): (ranks_of[r["c"], r["key"]], r["n"]) for r in found if r["lo"] != r["hi"]}
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                    by_value_rows: int = 1_000_000) -> dict[str, list[float | None]]:
+    """``{column: [quantile for p in probs]}``; ``None`` where a column has no values."""
     cols = list(columns)
     probs = [float(p) for p in probs]
     for p in probs:
         if not 0.0 <= p <= 1.0:
             raise ValueError(f"quantile {p} outside [0, 1]")
-    if not cols:
-        return {}
-    if known is None or not all(c in known for c in cols):
-        known = {c: s["known"] for c, s in value_stats(df, cols).items()}
-
-    # bracket state, keyed by (column number, rank)
-    state: dict[tuple[int, int], dict] = {}
-    plan: dict[tuple[int, float], tuple[int, int, float] | None] = {}
-    for i, c in enumerate(cols):
-        n, a, b = known[c]
-        for p in probs:
-            if not n:
-                plan[(i, p)] = None
-                continue
-            h = (n - 1) * p
-            lo = int(math.floor(h))
-            hi = min(lo + 1, n - 1) if h > lo else lo
-            plan[(i, p)] = (lo, hi, h - lo)
-            for r in (lo, hi):
-                state.setdefault((i, r), {"a": float(a), "b": float(b), "below": 0, "cnt": int(n),
-                                          "value": float(a) if a == b else None})
-    while True:
-        open_keys = [k for k, s in state.items() if s["value"] is None]
-        if not open_keys:
-            break
-        few = max(1, max_rows_per_pass // len(open_keys))
-        trial = _narrow(df, cols, state, [k for k in open_keys if state[k]["cnt"] > few], accuracy)
-        _count(df, cols, state, open_keys, trial, few, accuracy)
-
-    out: dict[str, list[float | None]] = {}
-    for i, c in enumerate(cols):
-        vals = []
-        for p in probs:
-            pl = plan[(i, p)]
-            if pl is None:
-                vals.append(None)
-                continue
-            lo, hi, frac = pl
-            vlo, vhi = state[(i, lo)]["value"], state[(i, hi)]["value"]
-            vals.append(vlo * (1.0 - frac) + vhi * frac if frac else vlo)
-        out[c] = vals
+    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
+    for start in range(0, len(cols) if probs else 0, COLUMNS):
+        part = dict(enumerate(cols[start:start + COLUMNS]))
+        totals, values = order_statistics(df, part, probs, by_value_rows)
+        for i, n in totals.items():
+            for j, p in enumerate(probs):
+                h = (n - 1) * p
+                lo = int(h)
+                below, above = values[i, lo], values[i, min(lo + 1, n - 1)]
+                out[part[i]][j] = below * (1.0 - (h - lo)) + above * (h - lo) if h > lo else below
     return out
 
 
-def _inside(v: Column, a: float, b: float) -> Column:
-    return (v >= F.lit(a)) & (v <= F.lit(b))
-
-
-def _narrow(df: DataFrame, cols: Sequence[str], state: dict, keys: list, accuracy: int) -> dict:
-    """A narrower bracket for each key, from one sketch pass."""
-    if not keys:
-        return {}
-    slack = 3.0 / accuracy
-    aggs = []
-    for j, k in enumerate(keys):
-        s, v = state[k], _val(cols[k[0]])
-        q = (k[1] - s["below"]) / s["cnt"]
-        aggs.append(F.percentile_approx(F.when(_inside(v, s["a"], s["b"]), v),
-                                        [max(0.0, q - slack), min(1.0, q + slack)], accuracy).alias(f"q{j}"))
-    row = df.agg(*aggs).first()
-    return {k: (float(row[f"q{j}"][0]), float(row[f"q{j}"][1])) for j, k in enumerate(keys)}
-
-
-def _count(df: DataFrame, cols: Sequence[str], state: dict, keys: list, trial: dict, few: int,
-           accuracy: int) -> None:
-    """One pass that counts each bracket below, inside and above its trial bracket and moves
-    every rank to where it lies."""
-    tags = []
-    for j, k in enumerate(keys):
-        s, v = state[k], _val(cols[k[0]])
-        a, b = trial.get(k, (s["a"], s["b"]))
-        by_value = k not in trial or s["cnt"] * 6 / accuracy <= few
-        part = F.when(v < F.lit(a), -1).when(v > F.lit(b), 1).otherwise(0)
-        tags.append(F.when(_inside(v, s["a"], s["b"]), F.struct(
-            F.lit(j).alias("j"), part.alias("part"), F.when(part == 0, v if by_value else F.lit(None)).alias("k"), v.alias("v"))))
-    hist = (df.select(F.explode(F.array_compact(F.array(*tags))).alias("t")).groupBy("t.j", "t.part", "t.k")
-            .agg(F.count(F.lit(1)).alias("c"), F.min("t.v").alias("lo"), F.max("t.v").alias("hi")).collect())
-    parts: dict[int, list] = {}
-    for r in hist:
-        parts.setdefault(r["j"], []).append(r)
-    for j, k in enumerate(keys):
-        s, below = state[k], state[k]["below"]
-        for r in sorted(parts.get(j, []), key=lambda r: (r["part"], r["lo"])):
-            if below + r["c"] > k[1]:
-                s.update(a=float(r["lo"]), b=float(r["hi"]), below=below, cnt=int(r["c"]),
-                         value=float(r["lo"]) if r["lo"] == r["hi"] else None)
-                break
-            below += r["c"]
-        else:  # cannot happen: ranks lie inside [0, n)
-            raise RuntimeError("quantile search lost its rank")
-
-
 def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                      accuracy: int = 10_000) -> dict[str, list[float | None]]:
     """One-pass ``percentile_approx`` (bounded sketch per column) when exactness is not needed."""
@@ -151,23 +161,12 @@ def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[floa
             for i, c in enumerate(cols)}
 
 
-def value_stats(df: DataFrame, columns: Sequence[str], extra: dict | None = None) -> dict:
-    """One aggregation: ``(count, min, max)`` of the non-null, non-NaN values of each
-    column plus any ``extra`` ``{name: fn(col) -> Column}`` statistics, per column."""
-    extra = extra or {}
-    aggs = []
-    for i, c in enumerate(columns):
-        aggs += [F.count(_val(c)).alias(f"n{i}"), F.min(_val(c)).alias(f"a{i}"),
-                 F.max(_val(c)).alias(f"b{i}")]
-        aggs += [fn(c).alias(f"{name}_{i}") for name, fn in extra.items()]
-    row = df.agg(*aggs).first()
-    return {c: {"known": (row[f"n{i}"], row[f"a{i}"], row[f"b{i}"]),
-                **{name: row[f"{name}_{i}"] for name in extra}} for i, c in enumerate(columns)}
+def value_stats(df: DataFrame, columns: Sequence[str], stats: dict) -> dict:
+    """One aggregation of ``{name: fn(col) -> Column}`` statistics, per column."""
+    row = df.agg(*[fn(c).alias(f"{name}_{i}") for i, c in enumerate(columns) for name, fn in stats.items()]).first()
+    return {c: {name: row[f"{name}_{i}"] for name in stats} for i, c in enumerate(columns)}
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-              approx: bool = False, known: dict | None = None, **kw
-              ) -> dict[str, list[float | None]]:
-    if approx:
-        return approx_quantiles(df, columns, probs, **kw)
-    return exact_quantiles(df, columns, probs, known=known, **kw)
+              approx: bool = False, **kw) -> dict[str, list[float | None]]:
+    return (approx_quantiles if approx else exact_quantiles)(df, columns, probs, **kw)
