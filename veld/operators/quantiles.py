@@ -4,17 +4,19 @@ Spark's exact ``percentile`` keeps a map of every distinct value and merges it i
 global aggregate; on a 100 TB column that map does not fit.  Here order statistics (ranks
 ``floor(h)`` and ``ceil(h)`` with ``h = (n-1)p``) are found by counting digits.
 
-``order_image`` maps a double to a 64-bit integer in the same order.  A scan groups all columns at
-once by (column, leading bits) and keeps count, least and greatest value of each cell; a running
-sum inside each open cell says which of its sub-cells hold the wanted ranks.  A sub-cell of one
-value ends the search for its ranks, the others are open in the next scan, 16 bits further on.
-When the open cells together hold at most ``by_value_rows`` rows, the next scan takes all bits that
-are left.  So there are
+A scan groups all columns at once by (cell, digit) and keeps count, least and greatest value of
+each sub-cell; a running sum inside each cell says which sub-cells hold the wanted ranks.  A sub-cell
+of one value ends the search for its ranks, the others are the cells of the next scan.  Digits
+are any functions that never decrease: ``scale_digit`` in the first scan (sign, and the logarithm in
+steps of 4 %), then the place between the cell's least and greatest value in 2^16 equal parts.  As a
+cell of 4 % has at most 2^48 different doubles, evenly spaced, three more scans end every search.
+When the open cells together hold at most ``by_value_rows`` rows, the next scan's digit is the value
+itself.  So there are
 
 * at most four scans whatever the distribution, two for up to some millions of rows;
-* at most 65,536 groups for each open cell of a scan (``by_value_rows`` in all in a scan by value),
-  and open cells are at most twice the probabilities for each column;
-* one collected row for each rank: running sums are a window per open cell, not driver work.
+* at most 70,000 groups for each cell of a scan (``by_value_rows`` in all in a scan by value), and
+  open cells are at most twice the probabilities for each column;
+* one collected row for each rank: running sums are a window per cell, not driver work.
 
 Infinities are ordinary largest and smallest values, both zeros are one value, NaN is missing.
 """
@@ -26,8 +28,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bits of a digit, and columns of one scan (generated code stays in bounds).
-DIGIT, COLUMNS = 16, 100
+#: Parts of a cell, steps of the first digit to a factor of two, and columns of one scan
+#: (generated code stays in bounds).
+PARTS, STEPS, COLUMNS = 1 << 16, 16, 100
 
 
 def _val(c: str) -> Column:
@@ -36,21 +39,12 @@ def _val(c: str) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-def order_image(x: Column) -> Column:
-    """A BIGINT in the order of the double ``x``: its IEEE bits, negated below zero.
-
-    Exponent and fraction come from exact scalings by powers of two; ``log2`` only guesses the
-    exponent and the guess is corrected by the scaled value.
-    """
+def scale_digit(x: Column) -> Column:
+    """A whole number that never decreases with ``x``: sign and logarithm in ``STEPS`` to a factor of two.
+    Least and greatest logarithm of a finite double are -1074 and 1024, so sides don't meet."""
     a = F.abs(x)
-    power = lambda e: F.pow(F.lit(2.0), e)
-    guess = F.greatest(F.lit(-1022.0), F.least(F.lit(1023.0), F.floor(F.log2(a)).cast("double")))
-    scaled = a / power(guess)
-    e = guess + F.when(scaled >= 2.0, 1.0).when((scaled < 1.0) & (guess > -1022.0), -1.0).otherwise(0.0)
-    two52 = 2.0 ** 52
-    bits = (e + 1022.0).cast("long") * int(two52) + (a / power(e) * two52).cast("long")
-    bits = F.when(a == 0.0, F.lit(0).cast("long")).when(a == float("inf"), F.lit(2047 << 52)).otherwise(bits)
-    return F.when(x < 0.0, -bits).otherwise(bits)
+    size = F.when(a == float("inf"), 1100.0 * STEPS).otherwise(F.floor(F.log2(a) * STEPS).cast("double"))
+    return F.when(x == 0.0, 0.0).otherwise(F.signum(x) * (size + 1100.0 * STEPS))
 
 
 def _ranks(n: Column, probs: Sequence[float]) -> Column:
@@ -62,70 +56,52 @@ def _ranks(n: Column, probs: Sequence[float]) -> Column:
     return F.array_distinct(F.array(*out))
 
 
-def _scan(df: DataFrame, columns: dict[int, str], shift: int) -> DataFrame:
-    """``c`` (column number), ``image`` and ``v`` of every value of ``columns``; ``key`` are the image's
-    leading bits."""
-    rows = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("c"), _val(c).alias("v")) for i, c in columns.items()])))
-    return rows.filter("v IS NOT NULL").withColumn("image", order_image(F.col("v"))) \
-        .withColumn("key", F.shiftright("image", shift))
-
-
-def _cells(rows: DataFrame, within: list[str], wanted: Column, total: bool) -> list:
-    """The cells that hold wanted ranks, which count from the start of the cell they lie ``within``."""
-    cells = rows.groupBy("c", *[w for w in within if w != "c"], "key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    inside = Window.partitionBy(*within)
-    cells = cells.withColumn("upto", F.sum("n").over(inside.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)))
-    if total:
-        cells = cells.withColumn("total", F.sum("n").over(inside))
-    cells = cells.withColumn("ranks", wanted)
-    hits = F.filter("ranks", lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))
+def _melted(df: DataFrame, structs: list[Column]) -> DataFrame:
+    """One row for each struct (cell, digit, v) that has a value."""
+    return df.select(F.inline(F.array(*structs))).filter("v IS NOT NULL")
+
+
+def _hits(rows: DataFrame, wanted: Column) -> list:
+    """The sub-cells that hold wanted ranks, which count from the start of their cell."""
+    inside = Window.partitionBy("cell")
+    cells = rows.groupBy("cell", "digit").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")) \
+        .withColumn("before", F.sum("n").over(inside.orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")) \
+        .withColumn("total", F.sum("n").over(inside)).withColumn("ranks", wanted)
+    hits = F.filter("ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")))
     return cells.withColumn("hits", hits).filter(F.size("hits") > 0).drop("ranks").collect()
 
 
 def order_statistics(df: DataFrame, columns: dict[int, str], probs: Sequence[float],
                      by_value_rows: int) -> tuple[dict, dict]:
     """``{column number: rows}`` and ``{(column number, rank): value}``."""
-    shift = 64 - DIGIT
-    found = _cells(_scan(df, columns, shift), ["c"], _ranks(F.col("total"), probs), total=True)
-    totals = {r["c"]: r["total"] for r in found}
     values: dict = {}
-    # open cells: (column, leading bits) -> [(rank in the column, rank in the cell)], and their rows
-    for r in found:
-        r_ranks = [(k, k - (r["upto"] - r["n"])) for k in r["hits"]]
-        _close(values, r["c"], r, r_ranks)
-    cells = _open(found, {(r["c"], r["key"]): [(k, k - (r["upto"] - r["n"])) for k in r["hits"]] for r in found})
-    while cells:
-        outer, shift = shift, 0 if sum(n for _, n in cells.values()) <= by_value_rows else max(0, shift - DIGIT)
-        left = {c: columns[c] for c, _ in cells}
-        rows = _scan(df, left, shift).withColumn("outer", F.shiftright("image", outer))
-        keys: dict[int, list] = {}
-        for c, key in cells:
-            keys.setdefault(c, []).append(key)
-        is_open, wanted = F.lit(False), F.lit(None)
-        for c, ks in keys.items():
-            is_open = is_open | ((F.col("c") == c) & F.col("outer").isin(*ks))
-        wanted = F.coalesce(*[F.when((F.col("c") == c) & (F.col("outer") == key),
-                                     F.array(*[F.lit(inner).cast("long") for _, inner in ranks]))
-                              for (c, key), (ranks, _) in cells.items()])
-        found = _cells(rows.filter(is_open), ["c", "outer"], wanted, total=False)
-        ranks_of: dict = {}
-        for r in found:
-            whole = {inner: rank for rank, inner in cells[r["c"], r["outer"]][0]}
-            ranks = [(whole[k], k - (r["upto"] - r["n"])) for k in r["hits"]]
-            _close(values, r["c"], r, ranks)
-            ranks_of[r["c"], r["key"]] = ranks
-        cells = _open(found, ranks_of)
+    # an open cell: its column, least and greatest value, rows, and wanted ranks (in the column, in the cell)
+    first = [F.struct(F.lit(i).alias("cell"), scale_digit(_val(c)).alias("digit"), _val(c).alias("v")) for i, c in columns.items()]
+    found = _hits(_melted(df, first), _ranks(F.col("total"), probs))
+    totals = {r["cell"]: r["total"] for r in found}
+    cells = [_cell(r["cell"], r, {k: k for k in r["hits"]}, values) for r in found]
+    while cells := [c for c in cells if c]:
+        by_value = sum(c["n"] for c in cells) <= by_value_rows
+        of_column: dict[int, Column] = {}
+        for number, cell in enumerate(cells):
+            x, lo, hi = _val(columns[cell["column"]]), cell["lo"], cell["hi"]
+            # the parts of lo and hi are taken before the difference: no overflow, no infinity
+            digit = x if by_value else F.floor((x / 2 - lo / 2) / (hi / 2 - lo / 2) * PARTS).cast("double")
+            one = F.when((x >= lo) & (x <= hi), F.struct(F.lit(number).alias("cell"), digit.alias("digit"), x.alias("v")))
+            of_column[cell["column"]] = F.coalesce(of_column[cell["column"]], one) if cell["column"] in of_column else one
+        wanted = F.element_at(F.array(*[F.array(*[F.lit(k).cast("long") for k in c["ranks"]]) for c in cells]), F.col("cell") + 1)
+        found = _hits(_melted(df, list(of_column.values())), wanted)
+        cells = [_cell(cells[r["cell"]]["column"], r, cells[r["cell"]]["ranks"], values) for r in found]
     return totals, values
 
 
-def _close(values: dict, c: int, cell, ranks: list[tuple]) -> None:
-    if cell["lo"] == cell["hi"]:
-        values.update({(c, rank): cell["lo"] + 0.0 for rank, _ in ranks})
-
-
-def _open(found: list, ranks_of: dict) -> dict:
-    return {(r["c"], r["key"]): (ranks_of[r["c"], r["key"]], r["n"]) for r in found if r["lo"] != r["hi"]}
+def _cell(column: int, found, ranks: dict[int, int], values: dict) -> dict | None:
+    """The sub-cell as an open cell; if it has one value, that is the value of its ranks."""
+    if found["lo"] == found["hi"]:
+        values.update({(column, ranks[k]): found["lo"] + 0.0 for k in found["hits"]})
+        return None
+    return {"column": column, "lo": found["lo"], "hi": found["hi"], "n": found["n"],
+            "ranks": {k - found["before"]: ranks[k] for k in found["hits"]}}
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
