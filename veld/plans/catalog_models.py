@@ -330,6 +330,44 @@ def q_penalised_one_feature(spark, d):
     return out.select("model", r("slope", 2).alias("slope"), r("intercept", 1).alias("intercept"))
 
 
+def _two_features_sql(models: list[tuple]) -> str:
+    """Lasso / elastic net of two standardised features: of the nine sign patterns of the weights,
+    the one whose solution satisfies the optimality conditions."""
+    rows = ", ".join(f"('{m}', {l1}, {l2})" for m, l1, l2 in models)
+    return f"""
+WITH t AS ({MODEL_DATA_SQL}), e AS (SELECT l_quantity AS x0, l_extendedprice / l_quantity AS x1, l_extendedprice AS y FROM t WHERE NOT is_test),
+s AS (SELECT avg(x0) AS m0, avg(x1) AS m1, avg(y) AS my, stddev_pop(x0) AS d0, stddev_pop(x1) AS d1,
+             covar_pop(x0, x1) / (stddev_pop(x0) * stddev_pop(x1)) AS c, covar_pop(x0, y) / stddev_pop(x0) AS b0,
+             covar_pop(x1, y) / stddev_pop(x1) AS b1 FROM e),
+p AS (SELECT * FROM (VALUES {rows}) AS v(model, l1, l2), (VALUES (-1), (0), (1)) AS u(s0), (VALUES (-1), (0), (1)) AS w(s1)),
+r AS (SELECT *, b0 - l1 * s0 AS r0, b1 - l1 * s1 AS r1, 1 + l2 AS a FROM p, s),
+w AS (SELECT *, CASE WHEN s0 = 0 THEN 0 WHEN s1 = 0 THEN r0 / a ELSE (r0 * a - c * r1) / (a * a - c * c) END AS w0,
+             CASE WHEN s1 = 0 THEN 0 WHEN s0 = 0 THEN r1 / a ELSE (r1 * a - c * r0) / (a * a - c * c) END AS w1 FROM r),
+k AS (SELECT *, b0 - w0 - c * w1 AS g0, b1 - w1 - c * w0 AS g1 FROM w)
+SELECT model, round(w0 / d0 + 0.0, 3) AS weight_0, round(w1 / d1 + 0.0, 3) AS weight_1,
+       round(my - w0 * m0 / d0 - w1 * m1 / d1, 1) AS intercept FROM k
+WHERE sign(w0) = s0 AND sign(w1) = s1 AND (s0 <> 0 OR abs(g0) <= l1) AND (s1 <> 0 OR abs(g1) <= l1)"""
+
+
+#: model, l1 and l2 penalty: alpha and l1_ratio follow
+TWO_FEATURE_MODELS = [("lasso_light", 50.0, 0.0), ("lasso_heavy", 15000.0, 0.0), ("net", 200.0, 0.3)]
+
+
+@query("penalised_two_features", _two_features_sql(TWO_FEATURE_MODELS))
+def q_penalised_two_features(spark, d):
+    """Lasso and elastic net of two features by coordinate descent on the co-moments."""
+    from veld.plans.linear_cv import fold_statistics, solve_penalised
+    _, train, _ = _train(spark, d)
+    train = train.withColumn("unit", F.col("l_extendedprice") / F.col("l_quantity"))
+    stats = fold_statistics(train, ["l_quantity", "unit"], LABEL, None)[0]
+    rows = []
+    for model, l1, l2 in TWO_FEATURE_MODELS:
+        c0, v = solve_penalised(stats, l1 + l2, l1 / (l1 + l2))
+        rows.append((model, float(v[0]), float(v[1]), float(c0)))
+    out = spark.createDataFrame(rows, "model string, w0 double, w1 double, c0 double")
+    return out.select("model", r("w0", 3).alias("weight_0"), r("w1", 3).alias("weight_1"), r("c0", 1).alias("intercept"))
+
+
 # ====================================================================== rows-only models
 
 def _holdout_metrics(spark, d, kind, feats=FEATURES, **params):
@@ -438,11 +476,40 @@ RIDGE_SPACE = {"alpha": [round(0.0001 + i * (1 - 0.0001) / 9, 6) for i in range(
                "fit_intercept": [True, False]}
 
 
-@query("random_search")
+RIDGE_CANDIDATES = ev.sample_params(RIDGE_SPACE, n_iter=10, seed=42)
+
+
+@query("random_search", f"""
+WITH t AS ({MODEL_DATA_SQL}), e AS (SELECT fold, {X3_SQL} FROM t WHERE NOT is_test),
+tr AS (SELECT f.k, x0, x1, x2, y FROM e JOIN (SELECT DISTINCT fold AS k FROM e) f ON e.fold <> f.k),
+{fit_sql('tr', 3, ", ".join(f"({j}, {c['alpha']})" for j, c in enumerate(RIDGE_CANDIDATES)))},
+c AS (SELECT * FROM (VALUES {", ".join(f"({j}, {c['alpha']}, {c['fit_intercept']})" for j, c in enumerate(RIDGE_CANDIDATES))}) AS v(candidate, penalty, intercept)),
+s AS (SELECT candidate, penalty, intercept, fold,
+             1 - sum(pow(y - {pred_sql(3)} + CASE WHEN intercept THEN 0 ELSE my END, 2)) / (count(*) * var_pop(y)) AS r2
+      FROM e JOIN fit ON e.fold = fit.k JOIN c ON fit.model = c.candidate GROUP BY ALL)
+SELECT 'ridge' AS model, CAST(candidate AS INTEGER) AS candidate, CAST(penalty AS DOUBLE) AS alpha, intercept AS fit_intercept,
+       round(avg(r2), 6) AS mean_r2, round(stddev_pop(r2), 6) AS std_r2 FROM s GROUP BY ALL""")
 def q_random_search(spark, d):
+    """Ten of the ridge candidates, six folds, from one fused aggregation (V4)."""
+    _, train, _ = _train(spark, d)
+    res = ev.random_search(train, "ridge", FEATURES, LABEL, RIDGE_CANDIDATES, "fold")
+    return res.select("model", "candidate", F.col("params")["alpha"].cast("double").alias("alpha"),
+                      (F.col("params")["fit_intercept"] == "True").alias("fit_intercept"),
+                      r("mean_r2").alias("mean_r2"), r("std_r2").alias("std_r2"))
+
+
+PATH_ALPHAS = [round(10.0 ** (k / 2), 4) for k in range(-4, 9)]
+PATH_RATIOS = [0.1, 0.3, 0.5, 0.7, 0.9, 1.0]
+
+
+@query("penalised_search")
+def q_penalised_search(spark, d):
+    """Elastic net over 13 penalties, 6 ratios (1 is the lasso) and 6 folds: 468 fits from one scan."""
     _, train, _ = _train(spark, d)
-    cands = ev.sample_params(RIDGE_SPACE, n_iter=10, seed=42)
-    return ev.random_search(train, "ridge", FEATURES, LABEL, cands, "fold")
+    cands = [{"alpha": a, "l1_ratio": q} for q in PATH_RATIOS for a in PATH_ALPHAS]
+    res = ev.random_search(train, "elastic_net", FEATURES, LABEL, cands, "fold")
+    return res.select("candidate", F.col("params")["alpha"].cast("double").alias("alpha"),
+                      F.col("params")["l1_ratio"].cast("double").alias("l1_ratio"), "mean_r2", "std_r2")
 
 
 @query("boosted_workflow")

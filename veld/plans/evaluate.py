@@ -62,7 +62,7 @@ def cross_validate(data: DataFrame, kind: str, features: Sequence[str], label: s
                    name: str | None = None, parallelism: int = 4, **params) -> DataFrame:
     """Per-fold R^2 ``(model, fold, r2)``: fit on ``fold != i``, score ``fold == i`` (V2).
 
-    Linear and ridge models go through the fused path of ``veld.plans.linear_cv`` (one
+    Linear, ridge, lasso and elastic-net models go through the fused path of ``veld.plans.linear_cv`` (one
     grouped aggregation for all folds).  Other models fit one distributed Spark ML job
     per fold, submitted from ``parallelism`` driver threads (as ``CrossValidator`` does).
     Folds come from ``veld.operators.select.fold_column``: fixed by key, not partition.
@@ -130,7 +130,7 @@ def random_search(data: DataFrame, kind: str, features: Sequence[str], label: st
                   parallelism: int = 8) -> DataFrame:
     """Mean CV R^2 per candidate ``(model, candidate, params, mean_r2, std_r2)`` (V4, V5).
 
-    Linear and ridge candidates are all scored from one fused aggregation
+    Linear, ridge, lasso and elastic-net candidates are all scored from one fused aggregation
     (``veld.plans.linear_cv``).  Other models fit one Spark ML job per (candidate, fold),
     all submitted from ``parallelism`` driver threads; penalised fits recompute the
     label sd of each training fold.
