@@ -212,3 +212,36 @@ def test_metrics_are_over_complete_pairs(spark):
     df = spark.createDataFrame([(1.0, 1.5), (2.0, None), (3.0, 2.0), (None, 9.0)], "label double, prediction double")
     row = regression_metrics(df).first()
     assert row["n"] == 2 and row["mse"] == pytest.approx((0.25 + 1) / 2) and row["r2"] == pytest.approx(1 - 1.25 / 2)
+
+
+@pytest.mark.parametrize("alpha, ratio", [(0.05, 1.0), (0.6, 1.0), (0.3, 0.4), (0.0, 1.0), (50.0, 0.7)])
+def test_penalised_descent_against_brute_force_and_conditions(spark, alpha, ratio):
+    """Coordinate descent on co-moments: a plain descent on the rows, and the optimality conditions."""
+    from veld.plans.linear_cv import fold_statistics, optimality_gap, solve_penalised
+    df, x, y = _data(spark)
+    stats = fold_statistics(df, FEATS, "y", None)[0]
+    c0, v = solve_penalised(stats, alpha, ratio)
+    sd = x.std(0)
+    w, b = _cd((x - x.mean(0)) / sd, y, alpha * ratio, alpha * (1 - ratio))
+    np.testing.assert_allclose(v * sd, w, atol=1e-7)
+    assert c0 == pytest.approx(y.mean() - v @ x.mean(0), rel=1e-9) and b == pytest.approx(y.mean())
+    z = (x - x.mean(0)) / sd
+    grad = z.T @ (y - y.mean() - z @ (v * sd)) / len(y)
+    assert optimality_gap(grad, v * sd, alpha * ratio, alpha * (1 - ratio)) < 1e-8
+
+
+def test_fused_lasso_folds_equal_spark_fits(spark):
+    df, _, _ = _data(spark)
+    for kind, params in (("lasso", {"alpha": 0.2}), ("elastic_net", {"alpha": 0.3, "l1_ratio": 0.4}), ("lasso", {"alpha": 0.2, "fit_intercept": False})):
+        fused = {r["fold"]: r["r2"] for r in ev.cross_validate(df, kind, FEATS, "y", "fold", **params).collect()}
+        fits = {r["fold"]: r["r2"] for r in ev.cross_validate(df, kind, FEATS, "y", "fold", k=5, **params).collect()}
+        assert fused == pytest.approx(fits, abs=1e-5)
+
+
+def test_constant_and_repeated_features(spark):
+    """A constant feature gets no weight; twins share it in an elastic net."""
+    from veld.plans.linear_cv import fit_linear
+    df, _, _ = _data(spark)
+    df = df.withColumn("k", F.lit(7.0)).withColumn("twin", F.col("a"))
+    m = fit_linear(df, "elastic_net", ["a", "twin", "k"], "y", alpha=0.2, l1_ratio=0.5)
+    assert m.coefficients[2] == 0 and m.coefficients[0] == pytest.approx(m.coefficients[1], rel=1e-6)

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veld.operators.quantiles import quantiles
+from veld.plans.evaluate import best_of, sample_continuous
 from veld.session import materialize
 
 DEFAULTS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3, "gamma": 0.0, "reg_alpha": 0.0, "reg_lambda": 1.0,
@@ -324,6 +325,26 @@ def fit_boosted(data: DataFrame, features: Sequence[str], label: str, key: Seque
     return [models[i:i + per] for i in range(0, len(models), per)]
 
 
+#: The ranges that the reference's trials draw from.
+SPACE = {"max_depth": ("int", 3, 9), "learning_rate": ("log", 0.01, 0.3), "min_child_weight": ("int", 1, 7),
+         "subsample": ("uniform", 0.6, 1.0), "colsample_bytree": ("uniform", 0.6, 1.0), "gamma": ("log", 1e-8, 1.0),
+         "reg_alpha": ("log", 1e-8, 1.0), "reg_lambda": ("log", 1e-8, 1.0)}
+
+
+def boosted_workflow(train: DataFrame, features: Sequence[str], label: str, key: Sequence[str], fold: str = "fold",
+                     n_trials: int = 100, num_boost_round: int = 100, early_stopping_rounds: int = 20,
+                     seed: int = 42) -> dict:
+    """Search, then a final fit of the best parameters: ``search`` (``boosted_search``'s table), ``best`` (its
+    best row) and ``model`` (V6).  Trials stop early on their held-out folds, the final fit on
+    fold 0 of the training rows, never on test rows."""
+    rounds = {"n_estimators": num_boost_round, "early_stopping_rounds": early_stopping_rounds}
+    trials = [c | rounds for c in sample_continuous(SPACE, n_trials, seed)]
+    search = boosted_search(train, features, label, key, trials, fold, seed)
+    best = best_of(search).first()
+    model = fit_boosted(train, features, label, key, [trials[best["candidate"]]], fold, [0], seed=seed)[0][0]
+    return {"search": search, "best": best, "model": model}
+
+
 def boosted_search(data: DataFrame, features: Sequence[str], label: str, key: Sequence[str], candidates: Sequence[dict],
                    fold: str = "fold", seed: int = 42) -> DataFrame:
     """``(candidate, params, trees, mean_r2, std_r2)``: each candidate's held-out R^2 over the folds."""

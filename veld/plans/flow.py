@@ -8,7 +8,7 @@ files from script to script: it cuts lineage and survives executor loss.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -169,11 +169,12 @@ def model_report(train: DataFrame, test: DataFrame, features: Sequence[str], tar
 
 def train_models(data: DataFrame, target: str = "Price", threshold: float = 0.2,
                  exclude: Sequence[str] = ("Postal_code", "id", *LEAKS), kinds: Sequence[str] | None = None,
-                 n_iter: int = 10, folds: int = 6, seed: int = 42,
+                 n_iter: int | Mapping[str, int] = 10, folds: int = 6, seed: int = 42,
                  spaces: dict | None = None, test: DataFrame | None = None, save_path: str | None = None) -> dict:
     """Stage B: correlation select -> folds -> random search per model -> best (first wins
     ties) -> refit on all rows -> weights -> saved model.
 
+    ``n_iter`` draws of each model's space, or a number for each kind.
     Returns the model, features, the results table and ``weights``; with ``test`` rows also
     ``report`` and ``cv`` of the models with default parameters (before the search) and
     ``residuals``, a seeded sample of one test row.  ``save_path`` is where the model goes."""
@@ -191,7 +192,7 @@ def train_models(data: DataFrame, target: str = "Price", threshold: float = 0.2,
         out["report"], out["cv"] = model_report(df, test, feats, target, kinds, "fold", seed)
     results = None
     for pos, kind in enumerate(kinds):
-        cands = ev.sample_params(spaces[kind], n_iter, seed)
+        cands = ev.sample_params(spaces[kind], n_iter if isinstance(n_iter, int) else n_iter[kind], seed)
         res = ev.random_search(df, kind, feats, target, cands).withColumn("kind_pos", F.lit(pos))
         results = res if results is None else results.unionByName(res)
     best = ev.best_of(results, "mean_r2", ["kind_pos", "candidate"]).first()
