@@ -57,3 +57,37 @@ def test_nan_is_null_after_load(spark):
     path = os.path.join(_dir(spark), "nan.parquet")
     spark.createDataFrame([(1.0,), (float("nan"),)], "x double").write.parquet(path)
     assert io.load_table(spark, path).where("x is null").count() == 1
+
+
+def _write(spark, *lines):
+    path = os.path.join(_dir(spark), "t.csv")
+    with open(path, "w") as f:
+        f.write("\n".join(lines))
+    return path
+
+
+def test_wrong_header_raises(spark):
+    """Columns in another order than the schema are never taken by position."""
+    path = _write(spark, "price,id", "5,1")
+    with pytest.raises(Exception, match="header|does not conform"):
+        io.load_table(spark, path, schema="id int, price int").collect()
+    with pytest.raises(ValueError, match="header"):
+        io.load_checked(spark, path, "id int, price int")
+
+
+def test_values_that_do_not_fit_raise_or_are_set_apart(spark):
+    path = _write(spark, "id,price,name", "1,5,a", "2,x,b", "3,,c", "4,6", "y,7,d", "5,8,e,f", '6,9,"g,h"')
+    with pytest.raises(Exception):
+        io.load_table(spark, path, schema="id int, price int, name string").collect()
+    rows, rejected = io.load_checked(spark, path, "id int, price int, name string")
+    assert sorted(map(tuple, rows.collect())) == [(1, 5, "a"), (3, None, "c"), (6, 9, "g,h")]
+    got = {r["record"]: r["reason"] for r in rejected.collect()}
+    assert got == {"2,x,b": "price: no int: x", "y,7,d": "id: no int: y", "4,6": "wrong number of fields", "5,8,e,f": "wrong number of fields"}
+    assert all(r["file"].endswith("t.csv") for r in rejected.collect())
+
+
+def test_no_row_is_rejected_from_a_good_table(spark):
+    df = spark.createDataFrame([(1, "a;b", 2.5), (2, None, float("nan"))], "id long, s string, x double")
+    paths = io.save_table(df, "t", _dir(spark), sep=";")
+    rows, rejected = io.load_checked(spark, paths["csv"], "id long, s string, x double", sep=";")
+    assert sorted(map(tuple, rows.collect())) == [(1, "a;b", 2.5), (2, None, None)] and rejected.count() == 0

@@ -241,6 +241,25 @@ def one_hot_drop_first(df: DataFrame, column: str, categories: Sequence | None =
     return out.drop(column) if drop_original else out
 
 
+def one_hot_vectors(df: DataFrame, column: str, codes: DataFrame, out: str | None = None) -> DataFrame:
+    """Dummies as one sparse vector per row, for any number of categories.
+
+    ``codes`` is the (value, code) table of ``ordinal_codes``, whose last code is the smallest category:
+    that is the one without a dummy.  NULL and unseen values are all zero.  No value of the column
+    reaches the driver, only their number; the join is a broadcast only if Spark finds the
+    table's bytes small enough.
+    """
+    from pyspark.ml.feature import OneHotEncoder
+    out = out or f"{column}_vector"
+    size = codes.count()
+    spare = "_code"
+    rows = ordinal_encode(df, column, codes, spare).withColumn(spare, F.coalesce(F.col(spare).cast("double"), F.lit(float(max(size - 1, 0)))))
+    # fitted on the codes, not on the rows: the vector's size is the same whatever the rows hold
+    encoder = OneHotEncoder(inputCols=[spare], outputCols=[out], dropLast=True)
+    sample = codes.select(F.col("code").cast("double").alias(spare))
+    return encoder.fit(sample).transform(rows).drop(spare)
+
+
 def ordinal_expr(c: str, order: Sequence[str], unknown: str = "null") -> Column:
     """Index of the value in ``order`` (0-based); NULL stays NULL.
 

@@ -239,6 +239,35 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
         "count")
 
 
+def density(df: DataFrame, features: Sequence[str], target: str, bins: int = 20) -> DataFrame:
+    """``(feature, x_bin, y_bin, count)``: the table behind scatter plots of every feature against the target.
+
+    Edges are equal-width over each column's finite range, from one scan; one more counts all
+    features together.  At most ``len(features) * bins**2`` rows whatever the data.  Rows
+    without a finite feature or target value are in no cell; a constant column has bin 0.
+    """
+    feats = list(features)
+
+    def finite(c):
+        x = F.col(c).cast("double")
+        return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), x)
+
+    cols = [*feats, target]
+    edges = df.agg(*[e for i, c in enumerate(cols) for e in (F.min(finite(c)).alias(f"a{i}"), F.max(finite(c)).alias(f"b{i}"))]).first()
+
+    def cell(i):
+        a, b = edges[f"a{i}"], edges[f"b{i}"]
+        if a is None or not b > a:
+            return F.when(finite(cols[i]).isNotNull(), 0)
+        x = finite(cols[i])         # guarded: ``least`` passes over a NULL
+        return F.when(x.isNotNull(), F.least(F.floor((x - a) / ((b - a) / bins)).cast("int"), F.lit(bins - 1)))
+
+    y = cell(len(feats))
+    rows = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), cell(i).alias("x_bin"), y.alias("y_bin"))
+                                        for i, c in enumerate(feats)])))
+    return rows.dropna().groupBy("feature", "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count"))
+
+
 # ---------------------------------------------------------------- correlation
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -58,16 +58,36 @@ def q_scan_table(spark, d):
     return df.select(*LI_PLAIN, F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"))
 
 
-@query("roundtrip_sink", """
-SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag FROM lineitem""")
+@query("roundtrip_sink", f"""
+SELECT source, {', '.join(LI_PLAIN)}, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate
+FROM lineitem, (VALUES ('csv'), ('parquet')) AS v(source)""")
 def q_roundtrip_sink(spark, d):
-    cols = "l_orderkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string"
-    df = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity",
-                                             "l_extendedprice", "l_returnflag")
+    """All columns saved as Parquet and CSV, both read back."""
+    df = table(spark, d, "lineitem")
+    out = os.path.join(checkpoint_root(spark), "sinks", uuid.uuid4().hex[:12])
+    paths = io.save_table(df, "lineitem", out, sep=";")
+    back = [io.load_table(spark, paths["csv"], fmt="csv", schema=df.schema, sep=";").withColumn("source", F.lit("csv")),
+            io.load_table(spark, paths["parquet"]).withColumn("source", F.lit("parquet"))]
+    return back[0].unionByName(back[1]).select("source", *LI_PLAIN, F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"))
+
+
+@query("rejected_rows", """
+SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'price: no double: n/a' WHEN o_orderkey % 11 = 0 THEN 'id: no bigint: ' || o_orderkey || 'x'
+            ELSE 'accepted' END AS reason, count(*) AS n,
+       round(sum(CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 THEN o_totalprice END), 0) AS total
+FROM orders GROUP BY 1""")
+def q_rejected_rows(spark, d):
+    """Orders written as CSV with bad prices and ids: the rows that fit, and the others by reason."""
+    o = table(spark, d, "orders")
+    key = F.col("o_orderkey")
+    raw = o.select(F.when((key % 11 == 0) & (key % 7 != 0), F.concat(key.cast("string"), F.lit("x"))).otherwise(key.cast("string")).alias("id"),
+                   F.when(key % 7 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("price"), "o_orderpriority")
     out = os.path.join(checkpoint_root(spark), "sinks", uuid.uuid4().hex[:12])
-    paths = io.save_table(df, "lineitem_part", out, sep=";")
-    back = io.load_table(spark, paths["csv"], fmt="csv", schema=cols, sep=";")
-    return back
+    path = io.save_table(raw, "orders", out, sep=";")["csv"]
+    rows, rejected = io.load_checked(spark, path, "id bigint, price double, o_orderpriority string", sep=";")
+    good = rows.agg(F.lit("accepted").alias("reason"), F.count(F.lit(1)).alias("n"), F.round(F.sum("price"), 0).alias("total"))
+    bad = rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).withColumn("total", F.lit(None).cast("double"))
+    return good.unionByName(bad)
 
 
 # ====================================================================== projections
@@ -206,6 +226,20 @@ def q_histogram(spark, d):
     return out.select("bucket", r("lower").alias("lower"), r("upper").alias("upper"), "count")
 
 
+def _density_sql(target: str, bins: int) -> str:
+    cell = lambda c: f"least(CAST(floor(({c} - a_{c}) / ((b_{c} - a_{c}) / {bins})) AS INTEGER), {bins - 1})"
+    edges = ", ".join(f"min({c}) AS a_{c}, max({c}) AS b_{c}" for c in LI_NUM)
+    return f"WITH s AS (SELECT {edges} FROM lineitem)\n" + _union_sql(
+        [f"SELECT '{c}' AS feature, {cell(c)} AS x_bin, {cell(target)} AS y_bin, count(*) AS count FROM lineitem, s GROUP BY 2, 3"
+         for c in LI_NUM if c != target])
+
+
+@query("scatter_density", _density_sql("l_extendedprice", 20))
+def q_scatter_density(spark, d):
+    feats = [c for c in LI_NUM if c != "l_extendedprice"]
+    return profile.density(table(spark, d, "lineitem"), feats, "l_extendedprice", 20)
+
+
 # ---------------------------------------------------------------- correlation
 
 CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net_price"]
@@ -420,6 +454,20 @@ def _onehot_sql():
     return f"WITH t AS ({ORDERS_N_SQL})\nSELECT o_orderkey, {cols} FROM t"
 
 
+@query("one_hot_vectors", """
+WITH c AS (SELECT o_orderpriority AS v, row_number() OVER (ORDER BY o_orderpriority DESC) - 1 AS code, count(*) OVER () AS size
+           FROM (SELECT DISTINCT o_orderpriority FROM orders))
+SELECT o_orderkey, CASE WHEN code < size - 1 THEN CAST(code AS INTEGER) END AS dummy, CAST(size - 1 AS INTEGER) AS size
+FROM orders JOIN c ON o_orderpriority = v""")
+def q_one_hot_vectors(spark, d):
+    """The sparse dummies of each order: which one is set, and the vector's size."""
+    from pyspark.ml.functions import vector_to_array
+    o = table(spark, d, "orders")
+    v = encode.one_hot_vectors(o, "o_orderpriority", encode.ordinal_codes(o, "o_orderpriority"), "v")
+    dense = vector_to_array("v")
+    return v.select("o_orderkey", F.nullif(F.array_position(dense, 1.0) - 1, F.lit(-1)).cast("int").alias("dummy"), F.size(dense).alias("size"))
+
+
 @query("one_hot_drop_first", _onehot_sql())
 def q_one_hot(spark, d):
     o = orders_n(spark, d).select("o_orderkey", "o_orderpriority")

@@ -447,6 +447,17 @@ def q_feature_importance(spark, d):
     return weights_frame(spark, model, FEATURES, k=10)
 
 
+@query("linear_weights", f"""
+WITH t AS ({MODEL_DATA_SQL}), e AS (SELECT 1 AS k, {X3_SQL} FROM t WHERE NOT is_test),
+{fit_sql('e', 3)},
+s AS (SELECT stddev_samp(x0) AS d0, stddev_samp(x1) AS d1, stddev_samp(x2) AS d2 FROM e)
+""" + "\nUNION ALL\n".join(f"SELECT '{c}' AS feature, round(w{i} * d{i}, 4) AS weight FROM fit, s" for i, c in enumerate(FEATURES)))
+def q_linear_weights(spark, d):
+    """Coefficients of the standardised features, largest first."""
+    _, train, _ = _train(spark, d)
+    return weights_frame(spark, ev.fit("linear", train, FEATURES, LABEL), FEATURES, k=10).select("feature", r("weight", 4).alias("weight"))
+
+
 @query("batch_score", f"""
 WITH t AS ({MODEL_DATA_SQL}), e AS (SELECT 1 AS k, l_orderkey, l_linenumber, l_partkey, l_suppkey, is_test, {X3_SQL} FROM t),
 tr AS (SELECT * FROM e WHERE NOT is_test),

@@ -22,10 +22,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    cpus = os.cpu_count() or 8
+    if shuffle_partitions:          # else Spark's own setting: the driver's cores say nothing about the data
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if os.environ.get("VELD_DRIVER_MEMORY"):
+        builder = builder.config("spark.driver.memory", os.environ["VELD_DRIVER_MEMORY"])
     builder = (
         builder
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -33,7 +35,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("VELD_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

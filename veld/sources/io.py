@@ -23,7 +23,8 @@ def load_table(spark: SparkSession, path: str, fmt: str | None = None,
 
     CSV gets a header and, without a schema, type inference over all rows, so no value is
     lost to a guessed type; a declared ``schema`` avoids that scan (what a 100 TB job should
-    pass).  Floating NaN becomes NULL: one notion of missing value downstream.
+    pass).  A header that names other columns than the schema raises, and so does a value or row
+    that doesn't fit it; ``load_checked`` sets such rows apart instead.  Floating NaN becomes NULL: one notion of missing value downstream.
     """
     if fmt is None:
         ext = os.path.splitext(path.rstrip("/"))[1].lower()
@@ -37,11 +38,59 @@ def load_table(spark: SparkSession, path: str, fmt: str | None = None,
         reader = reader.option("header", "true")
         if schema is None:
             reader = reader.option("inferSchema", "true")
+        else:
+            reader = reader.option("enforceSchema", "false").option("mode", "FAILFAST")
     for k, v in options.items():
         reader = reader.option(k, v)
     return nan_to_null(reader.load(path))
 
 
+REJECT = "_rejected"
+
+
+def load_checked(spark: SparkSession, path: str, schema: T.StructType | str, **options) -> tuple[DataFrame, DataFrame]:
+    """A CSV table as ``(rows, rejected)`` (S1, S2): the rows that fit ``schema``, and ``(record, file,
+    reason)`` of those that don't.  A header that names other columns raises.
+
+    The files are parsed once and written; both results read that.  ``reason`` names the first
+    column whose text is no value of its type, else the number of fields is wrong.  Empty
+    fields are NULL, not errors.
+    """
+    from veld.session import materialize
+    fields = list((schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)).fields)
+    if REJECT in [f.name for f in fields]:
+        raise ValueError(f"{REJECT!r} is the name of the rejected records' column")
+    reader = spark.read.schema(T.StructType([*fields, T.StructField(REJECT, T.StringType())])).option("header", "true") \
+        .option("enforceSchema", "true").option("columnNameOfCorruptRecord", REJECT).option("mode", "PERMISSIVE")
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    _check_header(spark, path, [f.name for f in fields], options)
+    parsed = materialize(reader.csv(path).withColumn("_file", F.input_file_name()), "parsed")
+    texts = F.from_csv(REJECT, T.StructType([T.StructField(f.name, T.StringType()) for f in fields]).simpleString()[7:-1].replace(":", " "),
+                       {k: str(v) for k, v in options.items() if k in ("sep", "quote", "escape")})
+    bad = [F.when(F.col("_text")[f.name].isNotNull() & F.col(f.name).isNull(),
+                  F.concat(F.lit(f"{f.name}: no {f.dataType.simpleString()}: "), F.col("_text")[f.name]))
+           for f in fields if not isinstance(f.dataType, T.StringType)]
+    rejected = parsed.filter(F.col(REJECT).isNotNull()).withColumn("_text", texts)
+    return (nan_to_null(parsed.filter(F.col(REJECT).isNull()).drop(REJECT, "_file")),
+            rejected.select(F.col(REJECT).alias("record"), F.col("_file").alias("file"),
+                            F.coalesce(*bad, F.lit("wrong number of fields")).alias("reason")))
+
+
+def _check_header(spark: SparkSession, path: str, names: list[str], options: dict) -> None:
+    """Raise if a file's first line names other columns.  Reads the first line of each file by a
+    text scan that keeps the lines equal to none of the good headers' place: one row a file."""
+    sep = str(options.get("sep", ","))
+    lines = spark.read.option("wholetext", "false").text(path).select(
+        F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("no"),
+        "value").filter("block = 0")
+    firsts = lines.groupBy("file").agg(F.min_by("value", "no").alias("header"))
+    want = sep.join(names)
+    wrong = firsts.filter(F.translate(F.col("header"), '"\ufeff', "") != want).first()
+    if wrong:
+        raise ValueError(f"{wrong['file']}: header {wrong['header']!r} instead of {want!r}")
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Floating NaN -> NULL: one notion of missing value downstream."""
     fl = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
