@@ -159,19 +159,22 @@ def _columns_of(model: Booster, number: int, tree: int, seed: int) -> list[int]:
     return sorted(random.Random(f"{seed}:{number}:{tree}").sample(range(p), max(1, math.floor(share * p))))
 
 
-def _drawn(key: np.ndarray, share: float, seed: int, number: int, tree: int) -> np.ndarray:
-    if share >= 1.0:
-        return np.ones(len(key), bool)
-    salt = np.uint64(random.Random(f"{seed}:{number}:{tree}:rows").getrandbits(64))
+def hash_rows(key: np.ndarray, salt: str) -> np.ndarray:
+    """A 64-bit hash of each row key under a salt."""
     with np.errstate(over="ignore"):
-        x = key.view(np.uint64) ^ salt
+        x = key.view(np.uint64) ^ np.uint64(random.Random(salt).getrandbits(64))
         for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
             x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-        x = x ^ (x >> np.uint64(31))
-    return x < np.uint64(int(share * 2.0 ** 64))
+        return x ^ (x >> np.uint64(31))
+
+
+def _drawn(key: np.ndarray, share: float, seed: int, number: int, tree: int) -> np.ndarray:
+    if share >= 1.0:
+        return np.ones(len(key), bool)
+    return hash_rows(key, f"{seed}:{number}:{tree}:rows") < np.uint64(int(share * 2.0 ** 64))
 
 
-def _matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
+def matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
 
 
@@ -188,7 +191,7 @@ def _level(state: DataFrame, models: list[Booster], current: dict[int, Tree], le
             if not batch.num_rows:
                 continue
             y, fold, key = (batch.column(c).to_numpy() for c in ("y", "fold", "key"))
-            binned, pred = _matrix(batch, "bins").astype(np.int64), _matrix(batch, "pred")
+            binned, pred = matrix(batch, "bins").astype(np.int64), matrix(batch, "pred")
             for m, model in enumerate(models):
                 gradient = pred[:, m] - y
                 if level == 0 and model.holdout is not None:
@@ -262,7 +265,7 @@ def _with_trees(state: DataFrame, trees: dict[int, tuple[Tree, int]]) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                binned, pred = _matrix(batch, "bins"), _matrix(batch, "pred").copy()
+                binned, pred = matrix(batch, "bins"), matrix(batch, "pred").copy()
                 for m, (tree, depth) in trees.items():
                     pred[:, m] += tree.value[tree.node_of(binned, depth)]
                 ends = pa.array(np.arange(0, pred.size + 1, pred.shape[1], dtype=np.int32))
@@ -272,6 +275,27 @@ def _with_trees(state: DataFrame, trees: dict[int, tuple[Tree, int]]) -> DataFra
     return materialize(state.mapInArrow(run, state.schema), "boost")
 
 
+def binned_rows(data: DataFrame, features: list, label: str, key: Sequence[str], fold: str | None,
+                max_bins: int) -> tuple[DataFrame, list, int, dict]:
+    """Written rows (key, fold, y, bins), each feature's cuts, the number of bins, and count and mean by fold.
+    Raises where a feature or the label is missing."""
+    xs = [F.col(c).cast("double") for c in features]
+    y = F.col(label).cast("double")
+    group = F.col(fold).cast("int") if fold else F.lit(0)
+    gaps = F.count_if(y.isNull() | F.greatest(*[x.isNull().cast("int") for x in xs], F.lit(0)).cast("boolean"))
+    by_fold = {r["k"]: r for r in data.groupBy(group.alias("k")).agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("my"),
+                                                                     gaps.alias("gaps")).collect()}
+    if not by_fold or any(r["gaps"] for r in by_fold.values()):
+        raise ValueError("no rows to fit" if not by_fold else "rows lack a feature or the label: fill or drop them first")
+    found = quantiles(data, features, [k / max_bins for k in range(1, max_bins)])
+    cuts = [np.unique(np.array(found[c])) for c in features]
+    # a value's bin is the number of cuts below it
+    binned = F.array(*[F.aggregate(F.array(*[(x > float(c)).cast("int") for c in cut]) if len(cut) else F.array(F.lit(0)),
+                                   F.lit(0), lambda a, b: a + b).cast("int") for x, cut in zip(xs, cuts)])
+    rows = materialize(data.select(F.xxhash64(*key).alias("key"), group.alias("fold"), y.alias("y"), binned.alias("bins")), "binned")
+    return rows, cuts, max(len(c) for c in cuts) + 1, by_fold
+
+
 def fit_boosted(data: DataFrame, features: Sequence[str], label: str, key: Sequence[str], candidates: Sequence[dict],
                 fold: str | None = None, holdouts: Sequence[int | None] = (None,), max_bins: int = MAX_BINS,
                 seed: int = 42) -> list[list[Booster]]:
@@ -280,28 +304,14 @@ def fit_boosted(data: DataFrame, features: Sequence[str], label: str, key: Seque
     unknown = {k for c in candidates for k in c} - set(DEFAULTS)
     if unknown:
         raise ValueError(f"unknown parameters {sorted(unknown)}; known: {sorted(DEFAULTS)}")
-    xs = [F.col(c).cast("double") for c in feats]
-    y = F.col(label).cast("double")
-    group = F.col(fold).cast("int") if fold else F.lit(0)
-    gaps = F.count_if(y.isNull() | F.greatest(*[x.isNull().cast("int") for x in xs], F.lit(0)).cast("boolean"))
-    by_fold = {r["k"]: r for r in data.groupBy(group.alias("k")).agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("my"),
-                                                                     gaps.alias("gaps")).collect()}
-    if not by_fold or any(r["gaps"] for r in by_fold.values()):
-        raise ValueError("no rows to fit" if not by_fold else "rows lack a feature or the label: fill or drop them first")
-    found = quantiles(data, feats, [k / max_bins for k in range(1, max_bins)])
-    cuts = [np.unique(np.array(found[c])) for c in feats]
-    bins = max(len(c) for c in cuts) + 1
+    rows, cuts, bins, by_fold = binned_rows(data, feats, label, key, fold, max_bins)
     models = []
     for params in candidates:
         for holdout in holdouts:
             train = [r for k, r in by_fold.items() if k != holdout]
             base = sum(r["n"] * r["my"] for r in train) / sum(r["n"] for r in train)
             models.append(Booster(DEFAULTS | dict(params), feats, cuts, float(base), holdout))
-    # a value's bin is the number of cuts below it
-    binned = F.array(*[F.aggregate(F.array(*[(x > float(c)).cast("int") for c in cut]) if len(cut) else F.array(F.lit(0)),
-                                   F.lit(0), lambda a, b: a + b).cast("int") for x, cut in zip(xs, cuts)])
-    state = materialize(data.select(F.xxhash64(*key).alias("key"), group.alias("fold"), y.alias("y"), binned.alias("bins"),
-                                    F.array(*[F.lit(m.base) for m in models]).alias("pred")), "boost")
+    state = rows.withColumn("pred", F.array(*[F.lit(m.base) for m in models]))
     while True:
         current = {m: Tree.empty(model.depth) for m, model in enumerate(models) if model.growing()}
         trees, level = dict(current), 0

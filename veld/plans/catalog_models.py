@@ -447,6 +447,16 @@ def q_feature_importance(spark, d):
     return weights_frame(spark, model, FEATURES, k=10)
 
 
+@query("oob_score")
+def q_oob_score(spark, d):
+    """100 bagged trees of depth 8: out-of-bag R^2 and RMSE, and the test rows' for comparison."""
+    from veld.plans.forest import fit_forest
+    _, train, test = _train(spark, d)
+    forest, state = fit_forest(train, FEATURES, LABEL, LI_KEYS, n_estimators=100, max_depth=8, min_samples_split=20, min_samples_leaf=5)
+    held = ev.regression_metrics(forest.transform(test), LABEL)
+    return forest.out_of_bag(state).crossJoin(held.select(F.col("r2").alias("test_r2"), F.col("rmse").alias("test_rmse")))
+
+
 @query("linear_weights", f"""
 WITH t AS ({MODEL_DATA_SQL}), e AS (SELECT 1 AS k, {X3_SQL} FROM t WHERE NOT is_test),
 {fit_sql('e', 3)},
