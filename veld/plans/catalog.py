@@ -267,6 +267,13 @@ def q_correlation_matrix(spark, d):
     return out.select("a", "b", r("r", 9).alias("r"))
 
 
+@query("correlation_gram", _corr_sql())
+def q_correlation_gram(spark, d):
+    """The same matrix by Gram matrices, the way for very many columns."""
+    from veld.operators.gram import correlation_long
+    return correlation_long(_li_net(spark, d), CORR_COLS).select("a", "b", r("r", 9).alias("r"))
+
+
 def _corr_select_sql():
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "net_price"]
     parts = []
