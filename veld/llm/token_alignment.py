@@ -37,7 +37,7 @@ from .store import written
 from .textbytes import buffers, byte_strings, encode, pieces
 
 #: Text aligned at once, text whose pairs share one numbering, and pairs in one row.
-PIECE_BYTES = 3 << 20
+PIECE_BYTES = 2 << 20
 GROUP_BYTES = 64 << 20
 CHUNK = 1 << 13
 #: Tokens of the longest lane.
@@ -47,6 +47,8 @@ LANE = 1024
 class ByteLevelEncoder(LibraryEncoder):
     """A byte-level tokenizer file; strings of special tokens in a text are plain text."""
 
+    REMEMBERED = 150_000
+
     def __init__(self, path: str):
         super().__init__(path)
         self.added = []
@@ -78,7 +80,7 @@ class PieceEncoder:
     never crosses the start of a run of spaces: texts are cut there and distinct parts encoded once."""
 
     #: Parts that a worker remembers; a full memory is emptied.
-    REMEMBERED = 200_000
+    REMEMBERED = 150_000
 
     def __init__(self, path: str):
         with open(path, "rb") as file:
