@@ -102,3 +102,32 @@ def test_city_table_agrees_with_long_list(spark):
     expr = geo.assign_cities(df, cities=many)
     cols = ["id"] + [f"Assigned_City_{r}" for r in geo.RADII_KM]
     assert sorted(grid.select(*cols).collect()) == sorted(expr.select(*cols).collect())
+
+
+def test_fallback_lookup_hot_addresses_against_plain_python(spark):
+    """Many rows of one address list and of none at all: each list is asked once, rows come back whole."""
+    places = ["Gent", "Tielt", None]
+    rows = [(i, [None, "Kerkstr.", "Main"][i % 3], str(i % 2) if i % 5 else None, "8700" if i % 7 else None, places[i % 11 % 3],
+             None if i % 4 else 50.0, 3.0 if i % 3 else None) for i in range(600)]
+    rows += rows[:50] + [(1000 + i, None, None, None, None, None, None) for i in range(300)]
+    raw = [("Kerkstraat 1, 8700 Tielt", 1.0, 1.5), ("Main 0, Gent", 2.0, 2.5), ("Tielt 8700", 3.0, 3.5), ("gent", 4.0, None),
+           ("Gent", 4.0, 4.5), ("nan nan, nan nan", 9.0, 9.5)]
+    schema = "id long, street string, number string, Postal_code string, locality_name string, latitude double, longitude double"
+    df = spark.createDataFrame(rows, schema)
+    lk = geo.lookup_table(spark.createDataFrame(raw, "address_key string, lat double, lon double"))
+    table = {r[0]: (r[1], r[2]) for r in lk.collect()}
+    forms = {tuple(r[:7]): r[7] for r in df.select("*", F.transform(
+        geo.address_candidates(), lambda c: geo.normalize_address(c, False))).collect()}
+
+    def expected(row):
+        if row[5] is not None and row[6] is not None:
+            return row
+        return row[:5] + next((table[k] for k in forms[row] if k in table), (None, None))
+
+    out = geo.fallback_lookup(df, lk)
+    order = lambda r: tuple((x is None, x) for x in r)
+    got = sorted((tuple(r) for r in out.drop("_missing", "_found").collect()), key=order)
+    assert got == sorted(map(expected, rows), key=order)
+    assert out.columns == [*df.columns, "_missing", "_found"]
+    empty = geo.fallback_lookup(df.limit(0), lk)
+    assert empty.count() == 0 and geo.fallback_lookup(df, lk.limit(0)).filter("_found").count() == 0

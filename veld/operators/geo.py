@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from veld.functions.geo import distance, mercator_x, mercator_y
 from veld.functions.numeric import range_bucket
 from veld.functions.text import address_candidates, normalize_address
-from veld.session import materialize
 
 # The ten reference cities in list order (name, latitude, longitude).
 CITIES = [
@@ -61,32 +60,29 @@ def fallback_lookup(df: DataFrame, lookup: DataFrame, lat: str = "latitude",
 
     The four address strings are tried in order; the first whose normalised form is in
     ``lookup`` wins and *both* coordinates are overwritten (NULL when nothing matches,
-    unless ``keep_partial``).  Rows with both coordinates pass through untouched.  The
-    lookup is written once to the checkpoint folder (it feeds four joins), then joined
-    on each candidate key; Spark broadcasts it if its bytes allow, else it shuffles.
+    unless ``keep_partial``).  Rows with both coordinates pass through untouched.
+
+    One ranked join: the distinct address lists of the missing rows (a list that many rows
+    share, as of rows without any address, counts once, by a partial aggregate) become narrow
+    rows (list, place in the list, key), are joined with the lookup, and the hit of the
+    smallest place goes back to the rows of its list.  The full rows are in that last join only.
     """
-    lookup = materialize(lookup.select("address_key", "lat", "lon"), "address-lookup")
     missing = F.col(lat).isNull() | F.col(lon).isNull()
-    cand = address_candidates(street, number, postcode, locality)
-    # only rows missing a coordinate take part in the joins; complete rows bypass them
-    # (with a lookup too large to broadcast, the joins shuffle just the missing subset)
-    todo = df.where(missing).withColumn("_missing", F.lit(True))
-    done = (df.where(~missing).withColumn("_missing", F.lit(False))
-            .withColumn("_found", F.lit(False)))
-    out = todo
-    for i in range(4):
-        k = f"_k{i}"
-        out = out.withColumn(k, normalize_address(cand[i], literal))
-        side = lookup.select(F.col("address_key").alias(k),
-                         F.struct("lat", "lon").alias(f"_hit{i}"))
-        out = out.join(side, k, "left").drop(k)
-    hit = F.coalesce(*[F.col(f"_hit{i}") for i in range(4)])
+    keys = F.transform(address_candidates(street, number, postcode, locality), lambda c: normalize_address(c, literal))
+    todo = df.where(missing).withColumn("_keys", F.to_json(keys))
+    done = df.where(~missing)
+    asked = (df.where(missing).select(keys.alias("k")).distinct()
+             .select(F.to_json("k").alias("_keys"), F.posexplode("k").alias("_place", "address_key")))
+    hits = (asked.join(lookup.select("address_key", F.struct("lat", "lon").alias("_at")), "address_key")
+            .groupBy("_keys").agg(F.min_by("_at", "_place").alias("_hit")))
+    hit = F.col("_hit")
     new_lat = hit["lat"] if not keep_partial else F.coalesce(hit["lat"], F.col(lat))
     new_lon = hit["lon"] if not keep_partial else F.coalesce(hit["lon"], F.col(lon))
-    filled = (out.withColumn("_found", hit.isNotNull())
-              .withColumns({lat: new_lat, lon: new_lon})
-              .drop(*[f"_hit{i}" for i in range(4)]))
-    return filled.unionByName(done.select(*filled.columns))
+    filled = (todo.join(hits, "_keys", "left")
+              .withColumns({"_missing": F.lit(True), "_found": hit.isNotNull(), lat: new_lat, lon: new_lon})
+              .drop("_hit", "_keys"))
+    done = done.withColumns({"_missing": F.lit(False), "_found": F.lit(False)})
+    return filled.unionByName(done)
 
 
 def lookup_report(filled: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ import math
 import random
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veld.operators.quantiles import quantiles
+from veld.plans.adaptive import ParzenSampler
 from veld.plans.evaluate import best_of, sample_continuous
 from veld.session import materialize
 
@@ -343,13 +345,26 @@ SPACE = {"max_depth": ("int", 3, 9), "learning_rate": ("log", 0.01, 0.3), "min_c
 
 def boosted_workflow(train: DataFrame, features: Sequence[str], label: str, key: Sequence[str], fold: str = "fold",
                      n_trials: int = 100, num_boost_round: int = 100, early_stopping_rounds: int = 20,
-                     seed: int = 42) -> dict:
+                     seed: int = 42, batch: int | None = None) -> dict:
     """Search, then a final fit of the best parameters: ``search`` (``boosted_search``'s table), ``best`` (its
     best row) and ``model`` (V6).  Trials stop early on their held-out folds, the final fit on
-    fold 0 of the training rows, never on test rows."""
+    fold 0 of the training rows, never on test rows.  With ``batch`` the trials are proposed by the
+    Parzen estimator of ``adaptive``, that many grown together; else all are drawn at random and
+    grown together."""
     rounds = {"n_estimators": num_boost_round, "early_stopping_rounds": early_stopping_rounds}
-    trials = [c | rounds for c in sample_continuous(SPACE, n_trials, seed)]
-    search = boosted_search(train, features, label, key, trials, fold, seed)
+    if batch is None:
+        trials = [c | rounds for c in sample_continuous(SPACE, n_trials, seed)]
+        search = boosted_search(train, features, label, key, trials, fold, seed)
+    else:
+        sampler, trials, tables = ParzenSampler(SPACE, seed), [], []
+        while len(trials) < n_trials:
+            new = [c | rounds for c in sampler.ask(min(batch, n_trials - len(trials)))]
+            table = boosted_search(train, features, label, key, new, fold, seed)
+            for row in table.orderBy("candidate").collect():
+                sampler.tell({k: new[row["candidate"]][k] for k in SPACE}, row["mean_r2"])
+            tables.append(table.withColumn("candidate", F.col("candidate") + len(trials)))
+            trials += new
+        search = reduce(DataFrame.unionByName, tables)
     best = best_of(search).first()
     model = fit_boosted(train, features, label, key, [trials[best["candidate"]]], fold, [0], seed=seed)[0][0]
     return {"search": search, "best": best, "model": model}

@@ -533,6 +533,17 @@ def q_penalised_search(spark, d):
                       F.col("params")["l1_ratio"].cast("double").alias("l1_ratio"), "mean_r2", "std_r2")
 
 
+@query("adaptive_search")
+def q_adaptive_search(spark, d):
+    """60 elastic-net trials of a Parzen estimator over the reference's continuous ranges, six folds, one scan (V5)."""
+    from veld.plans.adaptive import adaptive_linear_search
+    from veld.plans.flow import ELASTIC_NET_SPACE
+    _, train, _ = _train(spark, d)
+    res = adaptive_linear_search(train, "elastic_net", FEATURES, LABEL, ELASTIC_NET_SPACE, "fold", 60)
+    return res.select("candidate", F.col("params")["alpha"].cast("double").alias("alpha"),
+                      F.col("params")["l1_ratio"].cast("double").alias("l1_ratio"), "mean_r2", "std_r2", "folds", "stopped")
+
+
 def _stump_sql() -> str:
     """The best single split by second-order gain, over the same quantile cuts, tried one by one."""
     probs = ", ".join(str(k / 64) for k in range(1, 64))
