@@ -255,12 +255,12 @@ def test_trigram_queries():
 def test_surrogates(spark, docs, empty):
     out = {r.doc_id: r for r in surrogates.replace_entities(docs, "k").collect()}
     t = out[11].text
-    assert tuple(out[11].entities) == (2, 1, 1, 1, 3)
+    assert {k: v for k, v in out[11].entities.asDict().items() if v} == {"n_email": 2, "n_ip": 1, "n_phone": 1, "n_card": 1, "n_name": 3}
     for gone in ("Adam", "Jones", "a.b@", "A.B@", "555-0187", "10.20.30.40", "4111", "Петров"):
         assert gone not in t
     m = re.match(r"Mr\. ([A-Z][a-z]+) ([A-Z][a-z]+) and Mrs\. ([A-Z][a-z]+) wrote to (\S+) or (\S+), \+1 \(\d{3}\) \d{3}-\d{4}, "
                  r"[\d.]+, (\d{4} \d{4} \d{4} \d{4}); господин ([А-Я][а-я]+н|[А-Я][а-я]+) ([А-Я][а-я]+)\.$", t)
-    assert m and m[2][:4] == m[3][:4] or m and m[2] != "Jones"
+    assert m and m[2] == m[3]
     assert m[4] == m[5].rstrip(",") and sum(int(c) if k % 2 == 0 else 2 * int(c) - 9 * (int(c) > 4)
                                             for k, c in enumerate(reversed(m[6].replace(" ", "")))) % 10 == 0
     assert out[1].text == BASE and out[4].text is None and out[5].text == "" and out[1].id == "x"
