@@ -68,6 +68,8 @@ def _title_forms() -> tuple[list[str], list[str]]:
 
 _FREE, _POINTED = _title_forms()
 _TITLE = rf"(?:(?:{'|'.join(_FREE)})\.?|(?:{'|'.join(_POINTED)})\.)"
+#: Where a title starts: no letter before it, and one of the titles' first letters there.
+_START = rf"(?<!\p{{L}})(?=[{''.join(sorted({t[0] for t in _FREE + _POINTED}))}])"
 _WORD = r"\p{Lu}[\p{L}'’-]*\p{L}"
 _HEX = r"[0-9A-Fa-f]{1,4}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -84,13 +86,14 @@ PATTERNS = {
              r"|(?<![\w+])(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
              r"|(?<![\w.+-])[2-9]\d{2}[2-9]\d{6}(?![\w-]|\.\d)",
     "card": r"(?<![\w-])(?:(?:\d{4} ){3}\d{4}|(?:\d{4}-){3}\d{4}|(?:\d[ -]?){12,18}\d)(?![\w-])",
-    "name": rf"(?<!\p{{L}}){_TITLE} {_WORD}(?: {_WORD})?(?!\p{{L}})"}
+    "name": rf"{_START}{_TITLE} {_WORD}(?: {_WORD})?(?!\p{{L}})"}
 ENTITY = "|".join(PATTERNS.values())
 KINDS = tuple(PATTERNS)
 #: What every entity but a mail address has: a digit and a point (IPv4), three digits with at most
-#: a space or hyphen after each (numbers), a plus and a digit, two colons or seven groups (IPv6), two
+#: a space or hyphen after each (numbers), a plus and a digit, two colons or a row of groups (IPv6), two
 #: letters and two digits (IBAN), or a title and a capital letter (name).
-MARKS = (r"[0-9][ -]?[0-9][ -]?[0-9]|[0-9][.]|\+[0-9]|::|(?:[0-9A-Fa-f]{1,4}:){7}|[A-Z]{2}[0-9]{2} ?[A-Z0-9]", rf"{_TITLE} \p{{Lu}}")
+MARKS = (r"[0-9][ -]?[0-9][ -]?[0-9]|[0-9][.]|\+[0-9]|::|:[0-9A-Fa-f]{1,4}:[0-9A-Fa-f]{1,4}:[0-9A-Fa-f]{1,4}:|[A-Z]{2}[0-9]{2} ?[A-Z0-9]",
+         rf"{_START}{_TITLE} \p{{Lu}}")
 _US = "\x1f"
 
 
