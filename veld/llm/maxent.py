@@ -14,9 +14,11 @@ always less likely than one seen once).  Classes are the text's end, the
 ``HEAD - 1`` most frequent words, and ``TAIL`` groups of the others by their last two bytes,
 so an unseen word has a class too.
 
-Training: every task takes gradient steps over mini-batches of its share of the training
-documents, from the current weights; a round ends when Spark has summed the tasks' changes,
-weighted by how often each row was met.  Each training document is in one round.
+Training: a hash of id and text puts each training document in one of ``ROUNDS`` rounds.  In a
+round all tasks hold the same weights and add up the two halves of the gradient (tokens found and
+tokens expected, by row and class); Spark sums them, and one step is taken from the sums, scaled
+by the halves themselves.  So the weights, but for rounding, depend on the documents alone and
+not on the number of tasks, cores or partitions, nor on a task that is run again.
 
 Scoring needs the count of each token of each document.  Documents are packed into blocks of
 ``BLOCK_BYTES`` of text, tokens are numbered inside a block, and only a block's distinct words
@@ -46,9 +48,13 @@ HEAD = TAIL = 32
 CLASSES = HEAD + TAIL
 BUCKETS = 1 << 15
 FEATURES = 4
-ROUNDS = 2
+ROUNDS = 4
 BATCH = 32768
-RATE = 0.5
+#: The first step's rate; the last has half of it, so that the four features of a history that
+#: always come together do not overshoot.
+RATE = 1.0
+#: Tokens of the classes' shares that both halves of a row's gradient are smoothed by.
+SMOOTH = 64
 BLOCK_BYTES = 16 << 20
 #: Input partitions that one training task goes through, so that few sets of weights are summed.
 PARTITIONS_PER_TASK = 8
@@ -121,31 +127,36 @@ def _logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarr
 _ONES = np.ones(CLASSES, np.float32)
 
 
-def train_steps(weights: np.ndarray, bias: np.ndarray, klass: np.ndarray, rows: np.ndarray,
-                squares: np.ndarray, met: np.ndarray) -> None:
-    """Gradient steps over mini-batches, in place."""
+def gradient_sums(weights: np.ndarray, bias: np.ndarray, klass: np.ndarray, rows: np.ndarray,
+                  found: np.ndarray, expected: np.ndarray) -> None:
+    """Adds, for every row of weights, its tokens by class to ``found`` and the probabilities that the
+    model gives them to ``expected``, in place.  Their difference is the gradient."""
     for s in range(0, len(klass), BATCH):
         x, y = rows[:, s:s + BATCH], klass[s:s + BATCH]
         p = _logits(weights, bias, x)
         np.exp(p, out=p)
         p *= (1 / (p @ _ONES))[:, None]
-        p[np.arange(len(y)), y] -= 1
+        for row in x:
+            np.add.at(found, row.astype(np.int64) * CLASSES + y, 1)
         flat = np.ascontiguousarray(x).ravel()
         order = np.argsort(flat, kind="stable")
         sorted_rows = flat[order]
         start = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1]))
         size = np.diff(np.append(start, len(flat)))
         order %= len(y)                 # the token of each place
-        gradient = np.take(p, order[start], axis=0)
+        total = np.take(p, order[start], axis=0)
         for k in range(1, 8):
             more = np.flatnonzero(size > k)
-            gradient[more] += np.take(p, order[start[more] + k], axis=0)
+            total[more] += np.take(p, order[start[more] + k], axis=0)
         for k in np.flatnonzero(size > 8):
-            gradient[k] += np.take(p, order[start[k] + 8:start[k] + size[k]], axis=0).sum(axis=0)
-        hit = sorted_rows[start]
-        squares[hit] += np.einsum("ij,ij->i", gradient, gradient)
-        weights[hit] -= RATE * gradient / np.sqrt(squares[hit] + 1)[:, None]
-        met[hit] += size
+            total[k] += np.take(p, order[start[k] + 8:start[k] + size[k]], axis=0).sum(axis=0)
+        expected[sorted_rows[start]] += total
+
+
+def gradient_step(weights: np.ndarray, share: np.ndarray, found: np.ndarray, expected: np.ndarray, rate: float) -> np.ndarray:
+    """The weights after one step along the gradient, each scaled by its own two halves and by
+    ``SMOOTH`` tokens of the classes' shares, so no weight moves by more than ``rate``."""
+    return (weights + rate * (found - expected) / (found + expected + 2 * SMOOTH * share)).astype(np.float32)
 
 
 class Model:
@@ -239,33 +250,34 @@ def _summary(counts: DataFrame, ends: int) -> Model:
     return Model(head, mass, unseen, tokens, distinct, ends, unseen_words)
 
 
-def _round(docs: DataFrame, model: Model) -> np.ndarray:
-    """The weights after every task has trained on its share of ``docs`` (column text)."""
+def _round(docs: DataFrame, model: Model, rate: float) -> np.ndarray:
+    """The weights after one step along the gradient of all ``docs`` (column text), which tasks add
+    up at the same weights: how the rows are divided among tasks makes no difference."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        weights = m.weights.copy()
-        squares, met = np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.int64)
+        found, expected = np.zeros(BUCKETS * CLASSES, np.int32), np.zeros((BUCKETS, CLASSES))
         for piece in pieces(batches, "text"):
             stream = Stream(*buffers(piece.column("text")))
             klass, rows, _ = features(stream.index, stream.counts, word_classes(stream.vocabulary, m.head),
                                       hash_strings(stream.vocabulary))
-            train_steps(weights, m.bias, klass, rows, squares, met)
-        hit = np.flatnonzero(met)
-        change = (weights[hit] - m.weights[hit]) * met[hit][:, None].astype(np.float32)
-        yield pa.RecordBatch.from_pydict({"row": pa.array(hit, pa.int32()), "met": pa.array(met[hit])} |
-                                         {f"w{k}": pa.array(change[:, k]) for k in range(CLASSES)})
-
-    columns = [f"w{k}" for k in range(CLASSES)]
-    schema = "row int, met long, " + ", ".join(f"{c} float" for c in columns)
+            gradient_sums(m.weights, m.bias, klass, rows, found, expected)
+        found = found.reshape(BUCKETS, CLASSES)
+        hit = np.flatnonzero(found.any(axis=1))
+        yield pa.RecordBatch.from_pydict({"row": pa.array(hit, pa.int32())} | {f"f{k}": pa.array(found[hit, k]) for k in range(CLASSES)}
+                                         | {f"e{k}": pa.array(expected[hit, k].astype(np.float32)) for k in range(CLASSES)})
+
+    halves = [[f"{half}{k}" for k in range(CLASSES)] for half in "fe"]
+    schema = "row int, " + ", ".join([f"{c} int" for c in halves[0]] + [f"{c} float" for c in halves[1]])
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-docs.rdd.getNumPartitions() // PARTITIONS_PER_TASK))
     summed = docs.select("text").coalesce(tasks).mapInArrow(run, schema).groupBy("row").agg(
-        F.sum("met").alias("met"), *[F.sum(c).cast("float").alias(c) for c in columns]).toArrow()
+        *[F.sum(c).cast("double").alias(c) for half in halves for c in half]).toArrow()
     weights = model.weights.copy()
     if summed.num_rows:
-        change = np.stack([summed.column(c).to_numpy() for c in columns], axis=1)
-        weights[summed.column("row").to_numpy()] += change / summed.column("met").to_numpy()[:, None].astype(np.float32)
+        row = summed.column("row").to_numpy()
+        found, expected = (np.stack([summed.column(c).to_numpy() for c in half], axis=1) for half in halves)
+        weights[row] = gradient_step(weights[row], model.mass / model.mass.sum(), found, expected, rate)
     return weights
 
 
@@ -312,8 +324,7 @@ def score_documents(docs: DataFrame, text: str = "text", id: str = "doc_id",
     ignored; an empty table gives no rows."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-                       (held_out(id) if holdout is None else holdout).alias("held_out"),
-                       F.crc32(F.coalesce(F.col(id).cast("string"), F.lit("")).cast("binary")).alias("h"))
+                       (held_out(id) if holdout is None else holdout).alias("held_out"))
     kind = docs.schema[id].dataType.simpleString()
     path = shared_path(spark, "token-blocks")
     (rows.select("id", "text", "held_out")
@@ -326,8 +337,8 @@ def score_documents(docs: DataFrame, text: str = "text", id: str = "doc_id",
     ends = blocks.filter("not held_out").count()
     model = _summary(counts, ends)
     for r in range(ROUNDS):
-        share = rows.filter(~F.col("held_out") & (F.floor(F.col("h") / 5) % ROUNDS == r)).select("text")
-        model.weights = _round(share, model)
+        share = rows.filter(~F.col("held_out") & (F.pmod(F.xxhash64("id", "text"), F.lit(ROUNDS)) == r)).select("text")
+        model.weights = _round(share, model, RATE / (1 + r / (ROUNDS - 1)))
     shared = spark.sparkContext.broadcast(model)
     counted = words.join(counts, "word", "left").select("block", "n", "word", F.coalesce("c", F.lit(0)).alias("c"))
     out = (f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
