@@ -56,6 +56,8 @@ RATE = 1.0
 #: Tokens of the classes' shares that both halves of a row's gradient are smoothed by.
 SMOOTH = 64
 BLOCK_BYTES = 16 << 20
+#: Tokens of the documents that are scored together.
+RUN_TOKENS = 1 << 18
 #: Input partitions that one training task goes through, so that few sets of weights are summed.
 PARTITIONS_PER_TASK = 8
 
@@ -291,25 +293,37 @@ def _score(model):
             vocabulary = pa.concat_arrays(vocabulary.chunks) if vocabulary.num_chunks else pa.array([], pa.binary())
         c = words.column("c").to_numpy().astype(np.float64)
         counts = docs.column("count").to_numpy()
-        index = np.frombuffer(b"".join(docs.column("tokens").to_pylist()), "<u4").astype(np.int64)
-        of_class = word_classes(vocabulary, m.head)
-        klass, rows, first = features(index, counts, of_class, hash_strings(vocabulary))
-        word = np.ones(len(klass), bool)
-        word[first[1:] - 1] = False
-        base, inside = np.full(len(klass), np.log10(m.ends + 0.5)), np.full(len(klass), np.log10(m.ends + 0.5) - np.log10(m.mass[0]))
-        known = np.full(len(klass), m.ends > 0)
-        base[word] = np.log10(c + 0.5)[index]
+        index = np.frombuffer(b"".join(docs.column("tokens").to_pylist()), "<u4")
+        of_class, hashes = word_classes(vocabulary, m.head), hash_strings(vocabulary)
+        one_base = np.log10(c + 0.5)
         with np.errstate(divide="ignore"):
-            inside[word] = m.word_log10(c, of_class)[index]
-        known[word] = c[index] > 0
-        score = inside + m.class_log10(klass, rows)
-        total = lambda x: np.add.reduceat(x, first[:-1]) if len(x) else np.zeros(0)
+            one_inside = m.word_log10(c, of_class)
+        end_base = np.log10(m.ends + 0.5)
+        base, score, n_known = np.zeros(len(counts)), np.zeros(len(counts)), np.zeros(len(counts), np.int64)
+        to = np.cumsum(counts)
+        # a run of documents at a time, so that memory per token is that of a run
+        starts = np.flatnonzero(np.diff((to + np.arange(len(to))) // RUN_TOKENS, prepend=-1))
+        for i, j in zip(starts, np.append(starts[1:], len(counts))):
+            words_of = index[to[i] - counts[i]:to[j - 1]].astype(np.int64)
+            klass, rows, first = features(words_of, counts[i:j], of_class, hashes)
+            word = np.ones(len(klass), bool)
+            word[first[1:] - 1] = False
+            value = np.full(len(klass), end_base)
+            value[word] = one_base[words_of]
+            base[i:j] = np.add.reduceat(value, first[:-1])
+            known = np.full(len(klass), m.ends > 0)
+            known[word] = (c > 0)[words_of]
+            n_known[i:j] = np.add.reduceat(known.astype(np.int64), first[:-1])
+            value[:] = end_base - np.log10(m.mass[0])
+            value[word] = one_inside[words_of]
+            value += m.class_log10(klass, rows)
+            score[i:j] = np.add.reduceat(value, first[:-1])
         n = counts + 1
         return pa.table({"id": docs.column("id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n, pa.int64()),
-                         "n_known": pa.array(total(known.astype(np.int64)), pa.int64()),
+                         "n_known": pa.array(n_known),
                          "train_tokens": pa.array(np.full(len(n), m.tokens), pa.int64()),
-                         "base_score": pa.array(total(base) - n * np.log10(m.tokens + 0.5 * (m.distinct + 1))),
-                         "score": pa.array(total(score))})
+                         "base_score": pa.array(base - n * np.log10(m.tokens + 0.5 * (m.distinct + 1))),
+                         "score": pa.array(score)})
     return run
 
 
