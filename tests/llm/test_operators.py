@@ -213,6 +213,29 @@ def test_language_model_does_not_depend_on_tasks(spark):
         assert other == pytest.approx(scores[0], rel=1e-6)
 
 
+def test_language_model_scores_alike_in_runs(monkeypatch):
+    texts = ["", "a b a c", "", "d " * 40, "a", "b c d e f g h"] * 5 + [""]
+    stream = maxent.Stream(*maxent.buffers(pa.array(texts)))
+    n_words = len(stream.vocabulary)
+    at = np.append(0, np.cumsum(stream.counts))
+    docs = pa.table({"id": np.arange(len(texts)), "held_out": np.zeros(len(texts), bool), "n": np.arange(len(texts)), "count": stream.counts,
+                     "tokens": pa.array([stream.index[i:j].astype("<u4").tobytes() for i, j in zip(at, at[1:])], pa.binary())})
+    vocabulary = pa.table({"n": np.arange(n_words), "word": stream.vocabulary.cast(pa.binary()), "c": np.arange(n_words) % 3})
+    model = maxent.Model([b"a"], np.full(maxent.CLASSES, 5.0), np.full(maxent.CLASSES, 0.5), 100, 10, 3)
+    model.weights += np.random.default_rng(0).normal(size=model.weights.shape).astype(np.float32)
+
+    class Shared:
+        value = model
+
+    whole = maxent._score(Shared)(docs, vocabulary)
+    for size in (1, 7, 50):
+        monkeypatch.setattr(maxent, "RUN_TOKENS", size)
+        part = maxent._score(Shared)(docs, vocabulary)
+        assert part.column("n_known") == whole.column("n_known")
+        for name in ("base_score", "score"):
+            assert part.column(name).to_numpy() == pytest.approx(whole.column(name).to_numpy())
+
+
 def test_language_model_learns_from_history(spark):
     """Held-out texts whose next word's class is fixed by the word before score above their words' shares."""
     pairs = {"aa": "bb", "cc": "dd", "ee": "ff", "gg": "hh"}
