@@ -7,6 +7,8 @@ histograms meet in a shuffle by (model, node), and the task that sums a node's h
 picks its split; the driver sees one row for each open node, ``models * 2**level`` at most.
 When a tree is complete its leaf values are added to each row's predictions and the rows are
 written, so no plan grows with the number of trees and a lost executor repeats one level.
+Where the grid of all bins is small (``veld.plans.cells``), one scan adds up the drawn rows of every
+(model, tree) by cell instead, and a task for each model grows its trees on the sums.
 
 Squared error, so a row's gradient is prediction - label and its Hessian 1.  With G and H the
 sums of a node, T the soft threshold by ``reg_alpha``:
@@ -27,7 +29,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 import numpy as np
@@ -36,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veld.operators.quantiles import quantiles
+from veld.plans import cells
 from veld.plans.adaptive import ParzenSampler
 from veld.plans.evaluate import best_of, sample_continuous
 from veld.session import materialize
@@ -43,6 +46,8 @@ from veld.session import materialize
 DEFAULTS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3, "gamma": 0.0, "reg_alpha": 0.0, "reg_lambda": 1.0,
             "min_child_weight": 1.0, "subsample": 1.0, "colsample_bytree": 1.0, "early_stopping_rounds": None}
 MAX_BINS = 64
+#: Cells (count and sum) that a task holds at once.
+MAX_CELLS = 4_000_000
 
 
 @dataclass
@@ -105,7 +110,7 @@ class Booster:
 
     def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         """``df`` with predictions, scored in Arrow batches; the model goes to the tasks with the job."""
-        model, features = self, list(self.features)
+        model, features, sizes = self, list(self.features), cells.grid_of(self.cuts)
         xs = F.array(*[F.col(c).cast("double") for c in features])
         names = [c for c in df.columns if c != out]
 
@@ -113,7 +118,8 @@ class Booster:
             for batch in batches:
                 x = batch.column("__x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(features))
                 bins = np.column_stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(model.cuts)])
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(model.predict_bins(bins))], [*names, out])
+                one, back = cells.distinct(bins, sizes)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(model.predict_bins(one)[back])], [*names, out])
 
         from pyspark.sql.types import DoubleType, StructField, StructType
         schema = StructType([*[df.schema[c] for c in names], StructField(out, DoubleType())])
@@ -281,21 +287,136 @@ def binned_rows(data: DataFrame, features: list, label: str, key: Sequence[str],
                 max_bins: int) -> tuple[DataFrame, list, int, dict]:
     """Written rows (key, fold, y, bins), each feature's cuts, the number of bins, and count and mean by fold.
     Raises where a feature or the label is missing."""
-    xs = [F.col(c).cast("double") for c in features]
-    y = F.col(label).cast("double")
+    names = [f"x{j}" for j in range(len(features))]
     group = F.col(fold).cast("int") if fold else F.lit(0)
-    gaps = F.count_if(y.isNull() | F.greatest(*[x.isNull().cast("int") for x in xs], F.lit(0)).cast("boolean"))
-    by_fold = {r["k"]: r for r in data.groupBy(group.alias("k")).agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("my"),
-                                                                     gaps.alias("gaps")).collect()}
+    # the rows' plan runs once; the scans that follow read the written columns
+    data = materialize(data.select(F.xxhash64(*key).alias("key"), group.alias("fold"), F.col(label).cast("double").alias("y"),
+                                   *[F.col(c).cast("double").alias(x) for c, x in zip(features, names)]), "fit-rows")
+    gaps = F.count_if(F.col("y").isNull() | F.greatest(*[F.col(x).isNull().cast("int") for x in names], F.lit(0)).cast("boolean"))
+    by_fold = {r["k"]: r for r in data.groupBy(F.col("fold").alias("k")).agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("my"),
+                                                                             gaps.alias("gaps")).collect()}
     if not by_fold or any(r["gaps"] for r in by_fold.values()):
         raise ValueError("no rows to fit" if not by_fold else "rows lack a feature or the label: fill or drop them first")
-    found = quantiles(data, features, [k / max_bins for k in range(1, max_bins)])
-    cuts = [np.unique(np.array(found[c])) for c in features]
-    # a value's bin is the number of cuts below it
-    binned = F.array(*[F.aggregate(F.array(*[(x > float(c)).cast("int") for c in cut]) if len(cut) else F.array(F.lit(0)),
-                                   F.lit(0), lambda a, b: a + b).cast("int") for x, cut in zip(xs, cuts)])
-    rows = materialize(data.select(F.xxhash64(*key).alias("key"), group.alias("fold"), y.alias("y"), binned.alias("bins")), "binned")
-    return rows, cuts, max(len(c) for c in cuts) + 1, by_fold
+    found = quantiles(data, names, [k / max_bins for k in range(1, max_bins)])
+    cuts = [np.unique(np.array(found[x])) for x in names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # a value's bin is the number of cuts below it
+            x = matrix(batch, "x")
+            bins = np.column_stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)]).astype(np.int32)
+            ends = pa.array(np.arange(0, bins.size + 1, bins.shape[1], dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(bins.ravel()))],
+                                             ["key", "fold", "y", "bins"])
+
+    rows = data.select("key", "fold", "y", F.array(*names).alias("x")).mapInArrow(run, "key long, fold int, y double, bins array<int>")
+    return materialize(rows, "binned"), cuts, max(len(c) for c in cuts) + 1, by_fold
+
+
+def _cell_sums(rows: DataFrame, models: list[Booster], trees: dict[int, range], sizes: tuple, center: float, seed: int) -> DataFrame:
+    """One scan: ``(model, tree, sums)`` of a task's drawn rows by cell (count, sum of label - ``center``), and
+    as tree -1 the same and the sum of squares of the model's held-out rows."""
+    n = math.prod(sizes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {(m, t): np.zeros((2, n)) for m, numbers in trees.items() for t in numbers}
+        folds = {models[m].holdout for m in trees}
+        held = {k: np.zeros((3, n)) for k in folds if k is not None}
+        for cell, y, fold, key in cells.runs(batches, sizes, matrix):
+            y = y - center
+            for k in folds:
+                c, v, ids = cell, y, key
+                if k is not None:
+                    out = fold == k
+                    for power in range(3):
+                        held[k][power] += np.bincount(cell[out], y[out] ** power, n)
+                    c, v, ids = cell[~out], y[~out], key[~out]
+                for m, t in sums:
+                    if models[m].holdout == k:
+                        drawn = _drawn(ids, float(models[m].params["subsample"]), seed, m, t)
+                        sums[m, t][0] += np.bincount(c[drawn], minlength=n)
+                        sums[m, t][1] += np.bincount(c[drawn], v[drawn], n)
+        found = [(m, t, s) for (m, t), s in sums.items()] + [(m, -1, held[models[m].holdout]) for m in trees if models[m].holdout is not None]
+        for m, t, s in found:                       # a batch each, so that no batch is large
+            if s[0].any():
+                yield pa.RecordBatch.from_pylist([{"model": m, "tree": t, "sums": s.tobytes()}], schema=pa.schema(
+                    [("model", pa.int32()), ("tree", pa.int32()), ("sums", pa.binary())]))
+
+    return rows.mapInArrow(run, "model int, tree int, sums binary")
+
+
+def _cell_tree(model: Booster, number: int, pred: np.ndarray, sums: np.ndarray | None, binned: np.ndarray, bins: int, seed: int) -> Tree:
+    """The next tree of a model from its drawn rows' counts and label sums by cell."""
+    tree, p = Tree.empty(model.depth), binned.shape[1]
+    if sums is None:
+        return tree
+    there = np.flatnonzero(sums[0])
+    count, gradient, binned = sums[0, there], (sums[0] * pred - sums[1])[there], binned[there]
+    allowed = _columns_of(model, number, len(model.trees), seed)
+    level, goes_on = 0, True
+    while goes_on:
+        first, width = 2 ** level - 1, 2 ** level
+        node = tree.node_of(binned, level) - first
+        on = node >= 0
+        at = ((node[on, None] * p + np.arange(p)) * bins + binned[on]).ravel()
+        hist = np.stack([np.bincount(at, np.repeat(x[on], p), width * p * bins) for x in (gradient, count)]).reshape(2, width, p, bins)
+        splits = [dict(zip(("node", "feature", "cut", "gain", "g", "h", "gl", "hl"),
+                           (first + k, *best_split(np.ascontiguousarray(hist[:, k]), model.params, allowed))))
+                  for k in np.flatnonzero(hist[1].any(axis=(1, 2)))]
+        goes_on = _grow(model, tree, level, splits)
+        level += 1
+    return tree
+
+
+def _grow_on_cells(rows: DataFrame, models: list[Booster], sizes: tuple, bins: int, center: float, seed: int) -> None:
+    """Grow all models; a scan serves as many (model, tree) as ``MAX_CELLS`` lets a task add up."""
+    fields = "model int, tree int, feature array<int>, cut array<int>, gain array<double>, value array<double>, rmse double"
+    types = pa.schema([("model", pa.int32()), ("tree", pa.int32()), ("feature", pa.list_(pa.int32())), ("cut", pa.list_(pa.int32())),
+                       ("gain", pa.list_(pa.float64())), ("value", pa.list_(pa.float64())), ("rmse", pa.float64())])
+    pairs = max(1, MAX_CELLS // math.prod(sizes))
+    unscored = {m for m, model in enumerate(models) if model.holdout is not None}
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        binned = cells.bins_of(sizes)
+        for m, sums in cells.summed(batches, "model", "tree"):
+            model = replace(models[m], trees=list(models[m].trees), scores=list(models[m].scores))
+            pred = np.full(len(binned), model.base - center)
+            for tree in model.trees:
+                pred += tree.value[tree.node_of(binned, model.depth)]
+            held, out = sums[-1].reshape(3, -1) if -1 in sums else None, []
+
+            def seen(t: int, tree: Tree) -> None:
+                rmse = None
+                if held is not None:
+                    error = held[0] * pred ** 2 - 2 * held[1] * pred + held[2]
+                    rmse = math.sqrt(max(0.0, float(error.sum())) / float(held[0].sum()))
+                    model.score_seen(rmse)
+                out.append(dict(zip(types.names, (m, t, tree.feature, tree.cut, tree.gain, tree.value, rmse))))
+
+            if not model.scores:
+                seen(-1, Tree.empty(0))
+            for t in trees[m]:
+                if model.growing():
+                    tree = _cell_tree(model, m, pred, sums[t].reshape(2, -1) if t in sums else None, binned, bins, seed)
+                    pred += tree.value[tree.node_of(binned, model.depth)]
+                    model.trees.append(tree)
+                    seen(t, tree)
+            yield pa.RecordBatch.from_pylist(out, schema=types)
+
+    while todo := [m for m, model in enumerate(models) if model.growing() or m in unscored][:pairs]:
+        unscored -= set(todo)
+        each = max(1, pairs // len(todo))
+        trees = {m: range(len(models[m].trees), min(int(models[m].params["n_estimators"]), len(models[m].trees) + each)) for m in todo}
+        sums = _cell_sums(rows, models, trees, sizes, center, seed)
+        grown = sums.repartition("model").sortWithinPartitions("model", "tree").mapInArrow(grow, fields).collect()
+        for r in sorted(grown, key=lambda r: (r["model"], r["tree"])):
+            model = models[r["model"]]
+            if r["tree"] >= 0:
+                model.trees.append(Tree(*(np.array(r[c]) for c in ("feature", "cut", "gain", "value"))))
+            if r["rmse"] is not None:
+                model.score_seen(r["rmse"])
+        for m in set(todo) - {r["model"] for r in grown}:       # no row drawn, none held out: trees without a split
+            models[m].trees += [Tree.empty(models[m].depth) for _ in trees[m]]
 
 
 def fit_boosted(data: DataFrame, features: Sequence[str], label: str, key: Sequence[str], candidates: Sequence[dict],
@@ -313,6 +434,12 @@ def fit_boosted(data: DataFrame, features: Sequence[str], label: str, key: Seque
             train = [r for k, r in by_fold.items() if k != holdout]
             base = sum(r["n"] * r["my"] for r in train) / sum(r["n"] for r in train)
             models.append(Booster(DEFAULTS | dict(params), feats, cuts, float(base), holdout))
+    per = len(holdouts)
+    sizes = cells.grid_of(cuts)
+    if sizes:
+        center = sum(r["n"] * r["my"] for r in by_fold.values()) / sum(r["n"] for r in by_fold.values())
+        _grow_on_cells(rows, models, sizes, bins, center, seed)
+        return [models[i:i + per] for i in range(0, len(models), per)]
     state = rows.withColumn("pred", F.array(*[F.lit(m.base) for m in models]))
     while True:
         current = {m: Tree.empty(model.depth) for m, model in enumerate(models) if model.growing()}
@@ -333,7 +460,6 @@ def fit_boosted(data: DataFrame, features: Sequence[str], label: str, key: Seque
         state = _with_trees(state, {m: (t, models[m].depth) for m, t in trees.items()})
         for m, t in trees.items():
             models[m].trees.append(t)
-    per = len(holdouts)
     return [models[i:i + per] for i in range(0, len(models), per)]
 
 
