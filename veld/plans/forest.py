@@ -5,6 +5,8 @@ A level of every tree is one Spark job (more only where the open nodes' histogra
 a tree draws a row is a Poisson(1) count hashed from (seed, tree, row key): the bootstrap of
 distributed bagging.  It can be computed again at any time, so "not drawn" is known after the
 growth, and the out-of-bag prediction of each row is the mean of the trees that never drew it.
+Where the grid of all bins is small (``veld.plans.cells``), one scan adds up each tree's drawn rows by
+cell instead, and a task for each tree grows it on the sums.
 
 Features are binned at quantiles, as in ``veld.plans.boost``.  A node is split where the weighted sum
 of squares falls most, over ``max_features`` features hashed from (seed, tree, node); of equal
@@ -27,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veld.plans import cells
 from veld.plans.boost import MAX_BINS, binned_rows, hash_rows, matrix
 
 #: Histogram cells (weight and sum) that a task holds at once.
@@ -78,14 +81,15 @@ class Forest:
         from pyspark.sql.types import DoubleType, StructField, StructType
         names = [c for c in df.columns if c != out]
         trees = [(t.arrays(), t.depth) for t in self.trees]
-        cuts = self.cuts
+        cuts, sizes = self.cuts, cells.grid_of(self.cuts)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x = batch.column("__x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(cuts))
                 bins = np.column_stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)])
-                total = sum(t[3][node_of(t, bins, depth)] for t, depth in trees)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.asarray(total / len(trees), np.float64))], [*names, out])
+                one, back = cells.distinct(bins, sizes)
+                total = sum((t[3][node_of(t, one, depth)] for t, depth in trees), np.zeros(len(one)))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array((total / len(trees))[back])], [*names, out])
 
         xs = F.array(*[F.col(c).cast("double") for c in self.features]).alias("__x")
         return df.select(*names, xs).mapInArrow(run, StructType([*[df.schema[c] for c in names], StructField(out, DoubleType())]))
@@ -93,15 +97,16 @@ class Forest:
     def out_of_bag(self, state: DataFrame) -> DataFrame:
         """``(n, oob_r2, oob_rmse)`` over the binned rows the forest was grown on, in one aggregate."""
         trees = [(t.arrays(), t.depth) for t in self.trees]
-        seed, bootstrap = self.seed, self.bootstrap
+        seed, bootstrap, sizes = self.seed, self.bootstrap, cells.grid_of(self.cuts)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 bins, y, key = matrix(batch, "bins").astype(np.int64), batch.column("y").to_numpy(), batch.column("key").to_numpy()
                 total, votes = np.zeros(len(y)), np.zeros(len(y))
+                one, back = cells.distinct(bins, sizes)
                 for m, (t, depth) in enumerate(trees):
                     out = times_drawn(key, seed, m, bootstrap) == 0
-                    total[out] += t[3][node_of(t, bins[out], depth)]
+                    total[out] += t[3][node_of(t, one, depth)][back][out]
                     votes += out
                 has = votes > 0
                 yield pa.RecordBatch.from_pydict({"y": pa.array(y[has]), "p": pa.array(total[has] / votes[has])})
@@ -156,9 +161,9 @@ def _level(state: DataFrame, trees: dict[int, GrownTree], p: int, bins: int, par
                 sums[m][1] += np.bincount(at, weight * np.repeat(y[rows], p), len(nodes) * p * bins)
         out = []
         for m, s in sums.items():
-            cells = s.reshape(2, -1, p, bins)
-            out += [{"tree": m, "node": int(grown[m][2][k]), "sums": np.ascontiguousarray(cells[:, k]).tobytes()}
-                    for k in np.flatnonzero(cells[0].any(axis=(1, 2)))]
+            hist = s.reshape(2, -1, p, bins)
+            out += [{"tree": m, "node": int(grown[m][2][k]), "sums": np.ascontiguousarray(hist[:, k]).tobytes()}
+                    for k in np.flatnonzero(hist[0].any(axis=(1, 2)))]
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("sums", pa.binary())]))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,6 +189,65 @@ def _level(state: DataFrame, trees: dict[int, GrownTree], p: int, bins: int, par
             joined, "tree int, node int, feature int, cut int, w double, s double, lw double, ls double").collect()
 
 
+def _cell_sums(state: DataFrame, trees: Sequence[int], sizes: tuple, bootstrap: bool, seed: int) -> DataFrame:
+    """One scan: ``(tree, part, sums)`` of a task's drawn rows by cell (weight, weighted label)."""
+    n = math.prod(sizes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {m: np.zeros((2, n)) for m in trees}
+        for cell, y, _, key in cells.runs(batches, sizes, matrix):
+            for m, s in sums.items():
+                weight = times_drawn(key, seed, m, bootstrap).astype(np.float64)
+                s[0] += np.bincount(cell, weight, n)
+                s[1] += np.bincount(cell, weight * y, n)
+        for m, s in sums.items():                   # a batch each, so that no batch is large
+            if s[0].any():
+                yield pa.RecordBatch.from_pylist([{"tree": m, "part": 0, "sums": s.tobytes()}], schema=pa.schema(
+                    [("tree", pa.int32()), ("part", pa.int32()), ("sums", pa.binary())]))
+
+    return state.mapInArrow(run, "tree int, part int, sums binary")
+
+
+def _cell_tree(number: int, sums: np.ndarray, binned: np.ndarray, bins: int, params: dict, seed: int) -> GrownTree:
+    """A whole tree from its drawn rows' weights and label sums by cell."""
+    tree, p = GrownTree(), binned.shape[1]
+    there = np.flatnonzero(sums[0])
+    (w, s), binned = sums[:, there], binned[there]
+    most = max(1, MAX_CELLS // (p * bins))
+    while tree.open:
+        node, cuts = node_of(tree.arrays(), binned, tree.depth), []
+        for i in range(0, len(tree.open), most):
+            nodes = np.array(tree.open[i:i + most])
+            slot = np.searchsorted(nodes, node)
+            on = nodes[np.minimum(slot, len(nodes) - 1)] == node
+            at = ((slot[on, None] * p + np.arange(p)) * bins + binned[on]).ravel()
+            hist = np.stack([np.bincount(at, np.repeat(x[on], p), len(nodes) * p * bins) for x in (w, s)]).reshape(2, -1, p, bins)
+            cuts += [dict(zip(("node", "feature", "cut", "w", "s", "lw", "ls"), (int(nodes[k]), *best_cut(
+                np.ascontiguousarray(hist[:, k]), params["min_samples_leaf"], _allowed(p, params["max_features"], seed, number, int(nodes[k]))))))
+                for k in np.flatnonzero(hist[0].any(axis=(1, 2)))]
+        _enter(tree, cuts, params)
+    return tree
+
+
+def _grow_on_cells(state: DataFrame, trees: list[GrownTree], sizes: tuple, bins: int, params: dict, seed: int) -> None:
+    """Grow all trees; a scan serves as many as ``MAX_CELLS`` lets a task add up."""
+    types = pa.schema([("tree", pa.int32()), ("depth", pa.int32()), *[(c, pa.list_(pa.int32())) for c in ("feature", "cut", "left")],
+                       ("value", pa.list_(pa.float64()))])
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        binned = cells.bins_of(sizes)
+        for m, sums in cells.summed(batches, "tree", "part"):
+            t = _cell_tree(m, sums[0].reshape(2, -1), binned, bins, params, seed)
+            yield pa.RecordBatch.from_pylist([dict(zip(types.names, (m, t.depth, t.feature, t.cut, t.left, t.value)))], schema=types)
+
+    most = max(1, MAX_CELLS // math.prod(sizes))
+    for i in range(0, len(trees), most):
+        sums = _cell_sums(state, range(i, min(len(trees), i + most)), sizes, params["bootstrap"], seed)
+        for r in sums.repartition("tree").sortWithinPartitions("tree").mapInArrow(
+                grow, "tree int, depth int, feature array<int>, cut array<int>, left array<int>, value array<double>").collect():
+            trees[r["tree"]] = GrownTree(*(list(r[c]) for c in ("feature", "cut", "left", "value")), [], r["depth"])
+
+
 def _enter(tree: GrownTree, cuts: list, params: dict) -> None:
     """Enter a level's cuts; the children that may be split are the next open nodes."""
     opened = []
@@ -213,16 +277,20 @@ def fit_forest(data: DataFrame, features: Sequence[str], label: str, key: Sequen
               "max_features": max_features, "bootstrap": bootstrap}
     state, cuts, bins, _ = binned_rows(data, feats, label, key, None, max_bins)
     trees = [GrownTree() for _ in range(n_estimators)]
+    sizes = cells.grid_of(cuts)
+    if sizes:
+        _grow_on_cells(state, trees, sizes, bins, params, seed)
+        return Forest(feats, cuts, trees, seed, bootstrap), state
     while any(t.open for t in trees):
         rows: list = []
         group: dict[int, GrownTree] = {}
         size = 0
         for m, t in [(m, t) for m, t in enumerate(trees) if t.open]:
-            cells = len(t.open) * len(feats) * bins
-            if group and size + cells > MAX_CELLS:
+            wide = len(t.open) * len(feats) * bins
+            if group and size + wide > MAX_CELLS:
                 rows += _level(state, group, len(feats), bins, params, seed)
                 group, size = {}, 0
-            group[m], size = t, size + cells
+            group[m], size = t, size + wide
         rows += _level(state, group, len(feats), bins, params, seed)
         for m, t in enumerate(trees):
             if t.open:
