@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import shared_path
-from .textbytes import LOWER, NOT_SPACE, Words, buffers, encode, hash_strings, mix64, pieces
+from .textbytes import LOWER, NOT_SPACE, PIECE_BYTES, Words, buffers, hash_strings, mix64, pieces
 
 HEAD = TAIL = 32
 CLASSES = HEAD + TAIL
@@ -70,12 +70,23 @@ def held_out(id: str = "doc_id", folds: int = 5, fold: int = 1) -> Column:
 
 
 class Stream:
-    """The tokens of some rows, each row's end included."""
-
-    def __init__(self, offsets: np.ndarray, data: np.ndarray):
-        words = Words(offsets, LOWER[data], NOT_SPACE)
-        self.index, self.vocabulary = encode(words.strings())
-        self.counts = words.counts
+    """The tokens of some rows, each row's end included.  Words are looked for in ``part`` bytes at a
+    time, so that a block's memory is that of its word numbers."""
+
+    def __init__(self, offsets: np.ndarray, data: np.ndarray, part: int = PIECE_BYTES):
+        coded, counts, at = [], [], 0
+        while at < len(offsets) - 1:
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + part, "right")) - 1)
+            words = Words(offsets[at:end + 1] - offsets[at], LOWER[data[offsets[at]:offsets[end]]], NOT_SPACE)
+            coded.append(pc.dictionary_encode(words.strings()))
+            counts.append(words.counts)
+            del words
+            at = end
+        if len(coded) > 1:          # the distinct words of all parts, in the order they first come
+            coded = pa.chunked_array(coded).unify_dictionaries().chunks
+        self.index = np.concatenate([c.indices.to_numpy(zero_copy_only=False) for c in coded] or [np.zeros(0, np.int32)])
+        self.vocabulary = coded[0].dictionary if coded else pa.array([], pa.large_binary())
+        self.counts = np.concatenate(counts or [np.zeros(0, np.int64)])
 
 
 def word_classes(vocabulary: pa.Array, head: pa.Array) -> np.ndarray:
@@ -216,6 +227,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "held_out": piece.column("held_out"),
             "tokens": pa.Array.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(at), pa.py_buffer(numbers)]).cast(pa.binary())})
         block += 1
+        del stream, training, count, nothing, at, numbers
+        pa.default_memory_pool().release_unused()       # a worker waits for its next task with this memory
 
 
 def _counts(words: DataFrame) -> DataFrame:
