@@ -17,7 +17,8 @@ sums of a node, T the soft threshold by ``reg_alpha``:
 * gain: ``(T(GL)^2/(HL+l) + T(GR)^2/(HR+l) - T(G)^2/(H+l)) / 2 - gamma``, taken where it is positive
   and both sides have ``min_child_weight``; of equal gains the first feature and lowest cut;
 * ``subsample`` draws rows per tree by a hash of (seed, tree, row), ``colsample_bytree`` draws
-  features per tree; both are the same whatever the partitions;
+  features per tree, ``colsample_bynode`` of these for each node; all are the same whatever the partitions;
+* ``first_rate``, if given, is the learning rate of the first tree;
 * ``early_stopping_rounds`` ends a model once its held-out error has not improved for so long;
   predictions stop at the best tree.
 
@@ -44,7 +45,8 @@ from veld.plans.evaluate import best_of, sample_continuous
 from veld.session import materialize
 
 DEFAULTS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3, "gamma": 0.0, "reg_alpha": 0.0, "reg_lambda": 1.0,
-            "min_child_weight": 1.0, "subsample": 1.0, "colsample_bytree": 1.0, "early_stopping_rounds": None}
+            "min_child_weight": 1.0, "subsample": 1.0, "colsample_bytree": 1.0, "colsample_bynode": 1.0, "first_rate": None,
+            "early_stopping_rounds": None}
 MAX_BINS = 64
 #: Cells (count and sum) that a task holds at once.
 MAX_CELLS = 4_000_000
@@ -167,6 +169,14 @@ def _columns_of(model: Booster, number: int, tree: int, seed: int) -> list[int]:
     return sorted(random.Random(f"{seed}:{number}:{tree}").sample(range(p), max(1, math.floor(share * p))))
 
 
+def _node_columns(model: Booster, number: int, node: int, allowed: list[int], seed: int) -> list[int]:
+    """Those of the next tree's features that a node may use."""
+    share = float(model.params["colsample_bynode"])
+    if share >= 1.0:
+        return allowed
+    return sorted(random.Random(f"{seed}:{number}:{len(model.trees)}:{node}").sample(allowed, math.ceil(share * len(allowed))))
+
+
 def hash_rows(key: np.ndarray, salt: str) -> np.ndarray:
     """A 64-bit hash of each row key under a salt."""
     with np.errstate(over="ignore"):
@@ -229,7 +239,7 @@ def _level(state: DataFrame, models: list[Booster], current: dict[int, Tree], le
             if open_key is not None:
                 m, node = open_key
                 best = (-1, 0, 0.0, total[1], total[0], 0.0, 0.0) if node < 0 else \
-                    best_split(total.reshape(2, p, bins), models[m].params, allowed[m])
+                    best_split(total.reshape(2, p, bins), models[m].params, _node_columns(models[m], m, node, allowed[m], seed))
                 out.append(dict(zip(("model", "node", "feature", "cut", "gain", "g", "h", "gl", "hl"), (m, node, *best))))
 
         for batch in batches:
@@ -250,7 +260,8 @@ def _level(state: DataFrame, models: list[Booster], current: dict[int, Tree], le
 
 def _leaf(model: Booster, g: float, h: float) -> float:
     p = model.params
-    return float(-p["learning_rate"] * _soft(np.float64(g), p["reg_alpha"]) / max(h + p["reg_lambda"], 1e-300))
+    rate = p["learning_rate"] if model.trees or p["first_rate"] is None else p["first_rate"]
+    return float(-rate * _soft(np.float64(g), p["reg_alpha"]) / max(h + p["reg_lambda"], 1e-300))
 
 
 def _grow(model: Booster, tree: Tree, level: int, splits: list) -> bool:
@@ -283,9 +294,26 @@ def _with_trees(state: DataFrame, trees: dict[int, tuple[Tree, int]]) -> DataFra
     return materialize(state.mapInArrow(run, state.schema), "boost")
 
 
+def few_values(data: DataFrame, names: Sequence[str], most: int) -> dict[str, np.ndarray]:
+    """The sorted values of each column that has at most ``most``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict = dict.fromkeys(names, np.empty(0))
+        for batch in batches:
+            for x, values in seen.items():
+                if values is not None:
+                    values = np.unique(np.concatenate([values, batch.column(x).to_numpy()]))
+                    seen[x] = values if len(values) <= most else None
+        yield pa.RecordBatch.from_pydict({"name": pa.array(list(seen)), "v": pa.array(list(seen.values()), pa.list_(pa.float64()))})
+
+    found = data.select(*names).mapInArrow(run, "name string, v array<double>").groupBy("name").agg(
+        F.count_if(F.col("v").isNull()).alias("over"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("v")))).alias("v"))
+    return {r["name"]: np.array(r["v"]) for r in found.where((F.col("over") == 0) & (F.size("v") <= most)).collect()}
+
+
 def binned_rows(data: DataFrame, features: list, label: str, key: Sequence[str], fold: str | None,
-                max_bins: int) -> tuple[DataFrame, list, int, dict]:
+                max_bins: int, by_value: bool = False) -> tuple[DataFrame, list, int, dict]:
     """Written rows (key, fold, y, bins), each feature's cuts, the number of bins, and count and mean by fold.
+    ``by_value`` cuts a feature of at most ``max_bins`` values between every two of them.
     Raises where a feature or the label is missing."""
     names = [f"x{j}" for j in range(len(features))]
     group = F.col(fold).cast("int") if fold else F.lit(0)
@@ -297,8 +325,9 @@ def binned_rows(data: DataFrame, features: list, label: str, key: Sequence[str],
                                                                              gaps.alias("gaps")).collect()}
     if not by_fold or any(r["gaps"] for r in by_fold.values()):
         raise ValueError("no rows to fit" if not by_fold else "rows lack a feature or the label: fill or drop them first")
-    found = quantiles(data, names, [k / max_bins for k in range(1, max_bins)])
-    cuts = [np.unique(np.array(found[x])) for x in names]
+    few = few_values(data, names, max_bins) if by_value else {}
+    found = quantiles(data, [x for x in names if x not in few], [k / max_bins for k in range(1, max_bins)])
+    cuts = [few[x][:-1] / 2 + few[x][1:] / 2 if x in few else np.unique(np.array(found[x])) for x in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -361,7 +390,8 @@ def _cell_tree(model: Booster, number: int, pred: np.ndarray, sums: np.ndarray |
         at = ((node[on, None] * p + np.arange(p)) * bins + binned[on]).ravel()
         hist = np.stack([np.bincount(at, np.repeat(x[on], p), width * p * bins) for x in (gradient, count)]).reshape(2, width, p, bins)
         splits = [dict(zip(("node", "feature", "cut", "gain", "g", "h", "gl", "hl"),
-                           (first + k, *best_split(np.ascontiguousarray(hist[:, k]), model.params, allowed))))
+                           (first + k, *best_split(np.ascontiguousarray(hist[:, k]), model.params,
+                                                   _node_columns(model, number, int(first + k), allowed, seed)))))
                   for k in np.flatnonzero(hist[1].any(axis=(1, 2)))]
         goes_on = _grow(model, tree, level, splits)
         level += 1
@@ -421,13 +451,13 @@ def _grow_on_cells(rows: DataFrame, models: list[Booster], sizes: tuple, bins: i
 
 def fit_boosted(data: DataFrame, features: Sequence[str], label: str, key: Sequence[str], candidates: Sequence[dict],
                 fold: str | None = None, holdouts: Sequence[int | None] = (None,), max_bins: int = MAX_BINS,
-                seed: int = 42) -> list[list[Booster]]:
+                seed: int = 42, by_value: bool = False) -> list[list[Booster]]:
     """A booster for each candidate (outer) and held-out fold (inner; None: all rows), grown together."""
     feats = list(features)
     unknown = {k for c in candidates for k in c} - set(DEFAULTS)
     if unknown:
         raise ValueError(f"unknown parameters {sorted(unknown)}; known: {sorted(DEFAULTS)}")
-    rows, cuts, bins, by_fold = binned_rows(data, feats, label, key, fold, max_bins)
+    rows, cuts, bins, by_fold = binned_rows(data, feats, label, key, fold, max_bins, by_value)
     models = []
     for params in candidates:
         for holdout in holdouts:

@@ -42,6 +42,22 @@ def distinct(bins: np.ndarray, sizes: tuple | None) -> tuple[np.ndarray, np.ndar
     return bins_of(sizes, cells), back
 
 
+def lookup(sizes: tuple | None, values_of: Callable) -> Callable:
+    """``values_of`` rows of bins, for each cell of a small grid only once."""
+    if sizes is None:
+        return values_of
+    known, values = np.zeros(math.prod(sizes), bool), np.zeros(math.prod(sizes))
+
+    def look(bins: np.ndarray) -> np.ndarray:
+        cell = cell_of(bins, sizes)
+        new = np.unique(cell[~known[cell]])
+        if len(new):
+            values[new], known[new] = values_of(bins_of(sizes, new)), True
+        return values[cell]
+
+    return look
+
+
 def runs(batches: Iterator[pa.RecordBatch], sizes: tuple, bins: Callable) -> Iterator[tuple]:
     """``(cell, y, fold, key)`` of many rows at a time, so that sums by cell cost little next to them."""
     least, parts, n = max(RUN_ROWS, math.prod(sizes)), [], 0

@@ -46,6 +46,7 @@ class GrownTree:
     value: list = field(default_factory=lambda: [0.0])
     open: list = field(default_factory=lambda: [0])
     depth: int = 0
+    gain: list = field(default_factory=lambda: [0.0])       # fall of the sum of squares at a split
 
     def arrays(self) -> tuple:
         return tuple(np.array(a) for a in (self.feature, self.cut, self.left, self.value))
@@ -232,20 +233,20 @@ def _cell_tree(number: int, sums: np.ndarray, binned: np.ndarray, bins: int, par
 def _grow_on_cells(state: DataFrame, trees: list[GrownTree], sizes: tuple, bins: int, params: dict, seed: int) -> None:
     """Grow all trees; a scan serves as many as ``MAX_CELLS`` lets a task add up."""
     types = pa.schema([("tree", pa.int32()), ("depth", pa.int32()), *[(c, pa.list_(pa.int32())) for c in ("feature", "cut", "left")],
-                       ("value", pa.list_(pa.float64()))])
+                       *[(c, pa.list_(pa.float64())) for c in ("value", "gain")]])
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         binned = cells.bins_of(sizes)
         for m, sums in cells.summed(batches, "tree", "part"):
             t = _cell_tree(m, sums[0].reshape(2, -1), binned, bins, params, seed)
-            yield pa.RecordBatch.from_pylist([dict(zip(types.names, (m, t.depth, t.feature, t.cut, t.left, t.value)))], schema=types)
+            yield pa.RecordBatch.from_pylist([dict(zip(types.names, (m, t.depth, t.feature, t.cut, t.left, t.value, t.gain)))], schema=types)
 
     most = max(1, MAX_CELLS // math.prod(sizes))
     for i in range(0, len(trees), most):
         sums = _cell_sums(state, range(i, min(len(trees), i + most)), sizes, params["bootstrap"], seed)
         for r in sums.repartition("tree").sortWithinPartitions("tree").mapInArrow(
-                grow, "tree int, depth int, feature array<int>, cut array<int>, left array<int>, value array<double>").collect():
-            trees[r["tree"]] = GrownTree(*(list(r[c]) for c in ("feature", "cut", "left", "value")), [], r["depth"])
+                grow, "tree int, depth int, feature array<int>, cut array<int>, left array<int>, value array<double>, gain array<double>").collect():
+            trees[r["tree"]] = GrownTree(*(list(r[c]) for c in ("feature", "cut", "left", "value")), [], r["depth"], list(r["gain"]))
 
 
 def _enter(tree: GrownTree, cuts: list, params: dict) -> None:
@@ -258,10 +259,12 @@ def _enter(tree: GrownTree, cuts: list, params: dict) -> None:
         if c["feature"] < 0 or c["w"] < params["min_samples_split"]:
             continue
         tree.feature[node], tree.cut[node], tree.left[node] = c["feature"], c["cut"], len(tree.feature)
-        for w, s in ((c["lw"], c["ls"]), (c["w"] - c["lw"], c["s"] - c["ls"])):
+        sides = (c["lw"], c["ls"]), (c["w"] - c["lw"], c["s"] - c["ls"])
+        tree.gain[node] = sum(s * s / w for w, s in sides) - c["s"] * c["s"] / c["w"]
+        for w, s in sides:
             if deeper and w >= params["min_samples_split"] and w >= 2 * params["min_samples_leaf"]:
                 opened.append(len(tree.feature))
-            for values, new in ((tree.feature, -1), (tree.cut, 0), (tree.left, 0), (tree.value, s / w)):
+            for values, new in ((tree.feature, -1), (tree.cut, 0), (tree.left, 0), (tree.value, s / w), (tree.gain, 0.0)):
                 values.append(new)
     grew = any(c["feature"] >= 0 and c["w"] >= params["min_samples_split"] for c in cuts)
     tree.depth += grew
@@ -270,12 +273,12 @@ def _enter(tree: GrownTree, cuts: list, params: dict) -> None:
 
 def fit_forest(data: DataFrame, features: Sequence[str], label: str, key: Sequence[str], n_estimators: int = 100,
                max_depth: int | None = None, min_samples_split: int = 2, min_samples_leaf: int = 1, max_features="all",
-               bootstrap: bool = True, max_bins: int = MAX_BINS, seed: int = 42) -> tuple[Forest, DataFrame]:
+               bootstrap: bool = True, max_bins: int = MAX_BINS, seed: int = 42, by_value: bool = False) -> tuple[Forest, DataFrame]:
     """The forest, and the binned rows it was grown on (for ``Forest.out_of_bag``)."""
     feats = list(features)
     params = {"max_depth": max_depth, "min_samples_split": min_samples_split, "min_samples_leaf": min_samples_leaf,
               "max_features": max_features, "bootstrap": bootstrap}
-    state, cuts, bins, _ = binned_rows(data, feats, label, key, None, max_bins)
+    state, cuts, bins, _ = binned_rows(data, feats, label, key, None, max_bins, by_value)
     trees = [GrownTree() for _ in range(n_estimators)]
     sizes = cells.grid_of(cuts)
     if sizes:

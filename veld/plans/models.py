@@ -10,8 +10,9 @@ regressor`` with sklearn-style parameters converted to Spark's:
 * lasso ``alpha``: both minimise ``1/(2n)||y-Xw||^2 + alpha ||w||_1`` -> ``regParam=alpha``.
 * elastic net ``alpha, l1_ratio``: ``l1 = alpha*l1_ratio``, ``l2 = alpha*(1-l1_ratio)*sd(y)``,
   ``regParam = l1 + l2``, ``elasticNetParam = l1 / regParam``.
-* random forest / gradient-boosted trees: parameter renames; Spark's deepest tree has 30
-  levels, which is what "no limit" means here; a deeper one raises.
+* random forest: ``veld.plans.tree_stages``, with Spark ML's meaning of the parameters;
+* gradient-boosted trees: parameter renames; Spark's deepest tree has 30 levels, which is
+  what "no limit" means here, for forests too; a deeper one raises.
 
 Penalties refer to features scaled by their population std; Spark's scaler divides by the
 sample std, so ``make_pipeline`` converts: ``l1`` by ``sqrt((n-1)/n)``, ``l2`` by ``(n-1)/n``.
@@ -22,11 +23,12 @@ and recomputed per fold by the search code.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,13 +77,13 @@ def make_regressor(kind: str, label: str = "label", features: str = "features",
                                 solver="l-bfgs", standardization=False, fitIntercept=fit_intercept,
                                 maxIter=p.get("max_iter", 1000), tol=1e-9, **common)
     if kind == "random_forest":
+        from veld.plans.tree_stages import TreesRegressor     # its growers import this module's users
         mf = p.get("max_features", "sqrt")
         mf = {"auto": "sqrt", None: "all", 1.0: "all"}.get(mf, mf)
-        return RandomForestRegressor(
-            numTrees=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth", 10)),
-            minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
-            featureSubsetStrategy=str(mf), bootstrap=bool(p.get("bootstrap", True)),
-            seed=seed, **common)
+        return TreesRegressor(kind="forest", settings=json.dumps(
+            {"n_estimators": int(p.get("n_estimators", 100)), "max_depth": _depth(p.get("max_depth", 10)),
+             "min_samples_leaf": int(p.get("min_samples_leaf", 1)), "max_features": str(mf),
+             "bootstrap": bool(p.get("bootstrap", True))}), seed=seed, **common)
     if kind == "gbt":
         cs = p.get("colsample_bytree", 1.0)
         extra = {}
