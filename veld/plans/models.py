@@ -10,9 +10,9 @@ regressor`` with sklearn-style parameters converted to Spark's:
 * lasso ``alpha``: both minimise ``1/(2n)||y-Xw||^2 + alpha ||w||_1`` -> ``regParam=alpha``.
 * elastic net ``alpha, l1_ratio``: ``l1 = alpha*l1_ratio``, ``l2 = alpha*(1-l1_ratio)*sd(y)``,
   ``regParam = l1 + l2``, ``elasticNetParam = l1 / regParam``.
-* random forest: ``veld.plans.tree_stages``, with Spark ML's meaning of the parameters;
-* gradient-boosted trees: parameter renames; Spark's deepest tree has 30 levels, which is
-  what "no limit" means here, for forests too; a deeper one raises.
+* random forest / gradient-boosted trees: ``veld.plans.tree_stages``, with Spark ML's meaning of the
+  parameters (boosting with validation rows: Spark ML's own); its deepest tree has 30 levels, which
+  is what "no limit" means here; a deeper one raises.
 
 Penalties refer to features scaled by their population std; Spark's scaler divides by the
 sample std, so ``make_pipeline`` converts: ``l1`` by ``sqrt((n-1)/n)``, ``l2`` by ``(n-1)/n``.
@@ -85,19 +85,20 @@ def make_regressor(kind: str, label: str = "label", features: str = "features",
              "min_samples_leaf": int(p.get("min_samples_leaf", 1)), "max_features": str(mf),
              "bootstrap": bool(p.get("bootstrap", True))}), seed=seed, **common)
     if kind == "gbt":
-        cs = p.get("colsample_bytree", 1.0)
-        extra = {}
+        cs = float(p.get("colsample_bytree", 1.0))
+        trees, depth, rate = int(p.get("n_estimators", 100)), _depth(p.get("max_depth", 3)), float(p.get("learning_rate", 0.1))
+        subsample, least = float(p.get("subsample", 1.0)), int(p.get("min_child_weight", 1))
         if p.get("validation_col"):
             # early stopping: rows flagged in validation_col are held out and boosting
             # stops once their error improves by less than validation_tol
-            extra = {"validationIndicatorCol": p["validation_col"],
-                     "validationTol": float(p.get("validation_tol", 0.01))}
-        return GBTRegressor(
-            maxIter=int(p.get("n_estimators", 100)), maxDepth=_depth(p.get("max_depth", 3)),
-            stepSize=float(p.get("learning_rate", 0.1)),
-            subsamplingRate=float(p.get("subsample", 1.0)),
-            featureSubsetStrategy=("all" if cs >= 1.0 else str(float(cs))),
-            minInstancesPerNode=int(p.get("min_child_weight", 1)), seed=seed, **extra, **common)
+            return GBTRegressor(maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=subsample,
+                                featureSubsetStrategy=("all" if cs >= 1.0 else str(cs)), minInstancesPerNode=least, seed=seed,
+                                validationIndicatorCol=p["validation_col"],
+                                validationTol=float(p.get("validation_tol", 0.01)), **common)
+        from veld.plans.tree_stages import TreesRegressor
+        return TreesRegressor(kind="boosted", settings=json.dumps(
+            {"n_estimators": trees, "max_depth": depth, "learning_rate": rate, "subsample": subsample,
+             "colsample_bynode": cs, "min_child_weight": least}), seed=seed, **common)
     raise ValueError(f"unknown model kind {kind!r}; one of {MODEL_KINDS}")
 
 
