@@ -38,10 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veld.operators.quantiles import quantiles
 from veld.plans import cells
 from veld.plans.adaptive import ParzenSampler
 from veld.plans.evaluate import best_of, sample_continuous
+from veld.plans.ranks import between, order_values
 from veld.session import materialize
 
 DEFAULTS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3, "gamma": 0.0, "reg_alpha": 0.0, "reg_lambda": 1.0,
@@ -294,20 +294,51 @@ def _with_trees(state: DataFrame, trees: dict[int, tuple[Tree, int]]) -> DataFra
     return materialize(state.mapInArrow(run, state.schema), "boost")
 
 
-def few_values(data: DataFrame, names: Sequence[str], most: int) -> dict[str, np.ndarray]:
-    """The sorted values of each column that has at most ``most``."""
+def few_values(data: DataFrame, names: Sequence[str], most: int, fold: str = "fold") -> dict[tuple[str, int], np.ndarray]:
+    """The sorted values of each column in each fold where they are at most ``most``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict = dict.fromkeys(names, np.empty(0))
+        seen: dict = {}
         for batch in batches:
-            for x, values in seen.items():
-                if values is not None:
-                    values = np.unique(np.concatenate([values, batch.column(x).to_numpy()]))
-                    seen[x] = values if len(values) <= most else None
-        yield pa.RecordBatch.from_pydict({"name": pa.array(list(seen)), "v": pa.array(list(seen.values()), pa.list_(pa.float64()))})
-
-    found = data.select(*names).mapInArrow(run, "name string, v array<double>").groupBy("name").agg(
+            of = batch.column(len(names)).to_numpy(zero_copy_only=False)
+            for x in names:
+                values = batch.column(x).to_numpy(zero_copy_only=False)
+                for k in np.unique(of).tolist():
+                    if (old := seen.get((x, k), ())) is not None:
+                        found = np.unique(np.concatenate([old, values[of == k]]))
+                        seen[x, k] = found if len(found) <= most else None
+        yield pa.RecordBatch.from_pydict({"name": pa.array([x for x, _ in seen], pa.string()), "k": pa.array([k for _, k in seen], pa.int32()),
+                                          "v": pa.array(list(seen.values()), pa.list_(pa.float64()))})
+
+    found = data.select(*names, fold).mapInArrow(run, "name string, k int, v array<double>").groupBy("name", "k").agg(
         F.count_if(F.col("v").isNull()).alias("over"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("v")))).alias("v"))
-    return {r["name"]: np.array(r["v"]) for r in found.where((F.col("over") == 0) & (F.size("v") <= most)).collect()}
+    return {(r["name"], r["k"]): np.array(r["v"]) for r in found.where((F.col("over") == 0) & (F.size("v") <= most)).collect()}
+
+
+def cuts_of(data: DataFrame, names: Sequence[str], max_bins: int, by_value: bool, folds: Sequence[int] = (0,),
+            scales: dict | None = None, fold: str = "fold") -> dict[int | None, list]:
+    """Each feature's cuts: of all rows as None, or, with ``scales``, of the rows outside each fold.
+    ``scales`` has the (shift, factor) of each feature for a fold's training rows; cuts are of scaled values."""
+    holdouts = [None] if scales is None else list(scales)
+    scaled = {h: [lambda v: v] * len(names) if scales is None else [lambda v, a=a, b=b: (v - a) * b for a, b in zip(*scales[h])] for h in holdouts}
+    few: dict = {}
+    if by_value:
+        seen = few_values(data, names, max_bins, fold)
+        for h in holdouts:
+            for x, scale in zip(names, scaled[h]):
+                parts = [seen.get((x, k)) for k in folds if k != h]
+                if all(v is not None for v in parts):
+                    values = np.unique(scale(np.unique(np.concatenate(parts))))
+                    few.update({(x, h): values} if len(values) <= max_bins else {})
+    probs = [k / max_bins for k in range(1, max_bins)]
+    n, values = order_values(data, [x for x in names if any((x, h) not in few for h in holdouts)], fold, holdouts, probs)
+    return {h: [few[x, h][:-1] / 2 + few[x, h][1:] / 2 if (x, h) in few else
+                np.unique(np.array(between(n[x, h], lambda r: scale(values[x, h, r]), probs))) for x, scale in zip(names, scaled[h])] for h in holdouts}
+
+
+def bins_array(x: np.ndarray, cuts: Sequence[np.ndarray]) -> pa.ListArray:
+    """Each row's bins: a value's bin is the number of cuts below it."""
+    bins = np.column_stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, bins.size + 1, bins.shape[1], dtype=np.int32)), pa.array(bins.ravel()))
 
 
 def binned_rows(data: DataFrame, features: list, label: str, key: Sequence[str], fold: str | None,
@@ -325,18 +356,11 @@ def binned_rows(data: DataFrame, features: list, label: str, key: Sequence[str],
                                                                              gaps.alias("gaps")).collect()}
     if not by_fold or any(r["gaps"] for r in by_fold.values()):
         raise ValueError("no rows to fit" if not by_fold else "rows lack a feature or the label: fill or drop them first")
-    few = few_values(data, names, max_bins) if by_value else {}
-    found = quantiles(data, [x for x in names if x not in few], [k / max_bins for k in range(1, max_bins)])
-    cuts = [few[x][:-1] / 2 + few[x][1:] / 2 if x in few else np.unique(np.array(found[x])) for x in names]
+    cuts = cuts_of(data, names, max_bins, by_value, list(by_fold))[None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            # a value's bin is the number of cuts below it
-            x = matrix(batch, "x")
-            bins = np.column_stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)]).astype(np.int32)
-            ends = pa.array(np.arange(0, bins.size + 1, bins.shape[1], dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(bins.ravel()))],
-                                             ["key", "fold", "y", "bins"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], bins_array(matrix(batch, "x"), cuts)], ["key", "fold", "y", "bins"])
 
     rows = data.select("key", "fold", "y", F.array(*names).alias("x")).mapInArrow(run, "key long, fold int, y double, bins array<int>")
     return materialize(rows, "binned"), cuts, max(len(c) for c in cuts) + 1, by_fold
@@ -457,7 +481,12 @@ def fit_boosted(data: DataFrame, features: Sequence[str], label: str, key: Seque
     unknown = {k for c in candidates for k in c} - set(DEFAULTS)
     if unknown:
         raise ValueError(f"unknown parameters {sorted(unknown)}; known: {sorted(DEFAULTS)}")
-    rows, cuts, bins, by_fold = binned_rows(data, feats, label, key, fold, max_bins, by_value)
+    return grow_boosted(*binned_rows(data, feats, label, key, fold, max_bins, by_value), feats, candidates, holdouts, seed)
+
+
+def grow_boosted(rows: DataFrame, cuts: list, bins: int, by_fold: dict, feats: list, candidates: Sequence[dict],
+                 holdouts: Sequence[int | None] = (None,), seed: int = 42) -> list[list[Booster]]:
+    """``fit_boosted`` on rows binned before."""
     models = []
     for params in candidates:
         for holdout in holdouts:

@@ -131,9 +131,9 @@ def random_search(data: DataFrame, kind: str, features: Sequence[str], label: st
     """Mean CV R^2 per candidate ``(model, candidate, params, mean_r2, std_r2)`` (V4, V5).
 
     Linear, ridge, lasso and elastic-net candidates are all scored from one fused aggregation
-    (``veld.plans.linear_cv``).  Other models fit one Spark ML job per (candidate, fold),
-    all submitted from ``parallelism`` driver threads; penalised fits recompute the
-    label sd of each training fold.
+    (``veld.plans.linear_cv``).  Tree models of all folds are binned together and grown on the same
+    written rows (``veld.plans.tree_search``).  Others fit one Spark ML job per (candidate, fold), all submitted
+    from ``parallelism`` driver threads; penalised fits recompute the label sd of each training fold.
     """
     spark = data.sparkSession
     if kind in LINEAR_KINDS:
@@ -154,10 +154,14 @@ def random_search(data: DataFrame, kind: str, features: Sequence[str], label: st
         m = fit(kind, tr, features, label, seed=seed, **params)
         return j, regression_metrics(m.transform(te), label).first()["r2"]
 
-    # every (candidate, fold) fit is an independent Spark job: submit them together
-    jobs = [(j, i) for j in range(len(candidates)) for i in range(k)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        scores = list(pool.map(one, jobs))
+    from veld.plans.tree_search import shares_bins, tree_scores     # its growers import this module
+    if shares_bins(kind, candidates):
+        scores = tree_scores(data, kind, features, label, candidates, fold, k, seed, parallelism)
+    else:
+        # every (candidate, fold) fit is an independent Spark job: submit them together
+        jobs = [(j, i) for j in range(len(candidates)) for i in range(k)]
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            scores = list(pool.map(one, jobs))
     rows = []
     for j, params in enumerate(candidates):
         r2s = [r for jj, r in scores if jj == j]

@@ -195,13 +195,15 @@ def _cell_sums(state: DataFrame, trees: Sequence[int], sizes: tuple, bootstrap:
     n = math.prod(sizes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {m: np.zeros((2, n)) for m in trees}
+        # without a bootstrap the sums of one tree are those of all
+        sums = {m: np.zeros((2, n)) for m in (trees if bootstrap else trees[:1])}
         for cell, y, _, key in cells.runs(batches, sizes, matrix):
             for m, s in sums.items():
                 weight = times_drawn(key, seed, m, bootstrap).astype(np.float64)
                 s[0] += np.bincount(cell, weight, n)
                 s[1] += np.bincount(cell, weight * y, n)
-        for m, s in sums.items():                   # a batch each, so that no batch is large
+        for m in trees:                             # a batch each, so that no batch is large
+            s = sums[m if bootstrap else trees[0]]
             if s[0].any():
                 yield pa.RecordBatch.from_pylist([{"tree": m, "part": 0, "sums": s.tobytes()}], schema=pa.schema(
                     [("tree", pa.int32()), ("part", pa.int32()), ("sums", pa.binary())]))
@@ -276,14 +278,20 @@ def fit_forest(data: DataFrame, features: Sequence[str], label: str, key: Sequen
                bootstrap: bool = True, max_bins: int = MAX_BINS, seed: int = 42, by_value: bool = False) -> tuple[Forest, DataFrame]:
     """The forest, and the binned rows it was grown on (for ``Forest.out_of_bag``)."""
     feats = list(features)
+    state, cuts, bins, _ = binned_rows(data, feats, label, key, None, max_bins, by_value)
+    return grow_forest(state, cuts, bins, feats, n_estimators, max_depth, min_samples_split, min_samples_leaf, max_features, bootstrap, seed), state
+
+
+def grow_forest(state: DataFrame, cuts: list, bins: int, feats: list, n_estimators: int = 100, max_depth: int | None = None,
+                min_samples_split: int = 2, min_samples_leaf: int = 1, max_features="all", bootstrap: bool = True, seed: int = 42) -> Forest:
+    """``fit_forest`` on rows binned before."""
     params = {"max_depth": max_depth, "min_samples_split": min_samples_split, "min_samples_leaf": min_samples_leaf,
               "max_features": max_features, "bootstrap": bootstrap}
-    state, cuts, bins, _ = binned_rows(data, feats, label, key, None, max_bins, by_value)
     trees = [GrownTree() for _ in range(n_estimators)]
     sizes = cells.grid_of(cuts)
     if sizes:
         _grow_on_cells(state, trees, sizes, bins, params, seed)
-        return Forest(feats, cuts, trees, seed, bootstrap), state
+        return Forest(feats, cuts, trees, seed, bootstrap)
     while any(t.open for t in trees):
         rows: list = []
         group: dict[int, GrownTree] = {}
@@ -298,4 +306,4 @@ def fit_forest(data: DataFrame, features: Sequence[str], label: str, key: Sequen
         for m, t in enumerate(trees):
             if t.open:
                 _enter(t, [r for r in rows if r["tree"] == m], params)
-    return Forest(feats, cuts, trees, seed, bootstrap), state
+    return Forest(feats, cuts, trees, seed, bootstrap)

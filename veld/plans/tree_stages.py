@@ -27,7 +27,7 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasSeed
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsReadable, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veld.plans import boost, cells, forest
@@ -60,7 +60,6 @@ class TreesRegressor(Estimator, _TreeParams, DefaultParamsReadable, DefaultParam
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> TreesRegressorModel:
-        settings, seed = json.loads(self.getOrDefault(self.settings)), self.getSeed()
         xs = vector_to_array(self.getFeaturesCol())
         first = df.select(F.size(xs)).first()
         if first is None:
@@ -70,17 +69,21 @@ class TreesRegressor(Estimator, _TreeParams, DefaultParamsReadable, DefaultParam
         # a row's number stands for it in the draws: equal rows are drawn each for itself
         rows = df.select(xs.alias("x"), F.when(~F.isnan(y), y).alias("y"), F.monotonically_increasing_id().alias("row")) \
             .select("row", "y", *[F.col("x")[j].alias(x) for j, x in enumerate(names)])
+        return self.grown(*boost.binned_rows(rows, names, "y", ["row"], None, MAX_BINS, True))
+
+    def grown(self, state: DataFrame, cuts: list, bins: int, by_fold: dict) -> TreesRegressorModel:
+        """The model of rows binned before (``boost.binned_rows``)."""
+        settings, seed, names = json.loads(self.getOrDefault(self.settings)), self.getSeed(), [f"x{j}" for j in range(len(cuts))]
         no_split = settings["max_depth"] == 0
-        common = dict(max_bins=MAX_BINS, seed=seed, by_value=True)
         if self.getOrDefault(self.kind) == "forest":
             settings["max_features"] = features_of(settings["max_features"], len(names))
-            grown, _ = forest.fit_forest(rows, names, "y", ["row"], **settings, **common, min_samples_split=math.inf if no_split else 2)
+            grown = forest.grow_forest(state, cuts, bins, names, **settings, seed=seed, min_samples_split=math.inf if no_split else 2)
             trees = [(t.depth, 1.0, *t.arrays(), np.array(t.gain)) for t in grown.trees]
             base, shared = 0.0, 1.0 / len(trees)
         else:
             rate = settings.pop("learning_rate")
             params = settings | {"learning_rate": 2 * rate, "first_rate": 1.0, "reg_lambda": 0.0, "gamma": math.inf if no_split else 0.0}
-            grown = boost.fit_boosted(rows, names, "y", ["row"], [params], **common)[0][0]
+            grown = boost.grow_boosted(state, cuts, bins, by_fold, names, [params], seed=seed)[0][0]
             # the first tree fits the label, the others twice the residual, whose sum of squares falls four times as far
             trees = [(grown.depth, 4.0 if m else 1.0, t.feature, t.cut, 2 * np.arange(len(t.feature)) + 1, t.value, 2 * t.gain)
                      for m, t in enumerate(grown.trees)]
@@ -103,20 +106,24 @@ class TreesRegressorModel(Model, _TreeParams, MLReadable, MLWritable):
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
+        return self.predicted(df, vector_to_array(self.getFeaturesCol()))
+
+    def predicted(self, df: DataFrame, values: Column, binned: bool = False) -> DataFrame:
+        """``df`` with predictions from an array of the features, or of their bins."""
         state = json.loads(self.getOrDefault(self.state))
         cuts, base, shared, trees = [np.array(c) for c in state["cuts"]], state["base"], state["share"], [(t[0], t[2:6]) for t in self.trees]
 
-        def predicted(bins: np.ndarray) -> np.ndarray:
+        def of_bins(bins: np.ndarray) -> np.ndarray:
             return base + shared * sum((t[3][forest.node_of(t, bins, depth)] for depth, t in trees), np.zeros(len(bins)))
 
         @F.arrow_udf("double")
         def score(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            look = cells.lookup(cells.grid_of(cuts), predicted)
+            look = cells.lookup(cells.grid_of(cuts), of_bins)
             for x in arrays:
                 x = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), len(cuts))
-                yield pa.array(look(np.column_stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)])))
+                yield pa.array(look(x if binned else np.column_stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)])))
 
-        return df.withColumn(self.getPredictionCol(), score(vector_to_array(self.getFeaturesCol())))
+        return df.withColumn(self.getPredictionCol(), score(values))
 
     @property
     def getNumTrees(self) -> int:
