@@ -46,3 +46,19 @@ def test_fold_without_rows_and_trees_without_draws(spark):
     df, _, _ = _data(spark, 20)
     model = boost.fit_boosted(df, FEATS, "y", KEY, [{"n_estimators": 3, "subsample": 1e-9}], "fold", [99], max_bins=4)[0][0]
     assert len(model.trees) == 3 and model.scores == [] and not any((t.feature >= 0).any() for t in model.trees)
+
+
+@pytest.mark.parametrize("block", [48_000_000, 2000])
+def test_search_errors_on_cells_equal_those_of_fitted_boosters(spark, monkeypatch, block):
+    """Blocks of any number of trees; candidates that share a draw, draw all rows, or stop early."""
+    df, _, _ = _data(spark)
+    params = [{"n_estimators": 6, "max_depth": 3, "subsample": 0.7, "colsample_bytree": 0.67, "gamma": 0.5, "early_stopping_rounds": 2},
+              {"n_estimators": 12, "max_depth": 2, "learning_rate": 0.9, "reg_alpha": 2.0, "early_stopping_rounds": 1, "subsample": 0.6},
+              {"n_estimators": 4, "max_depth": 4, "subsample": 0.7, "colsample_bynode": 0.67}, {"n_estimators": 2}, {"n_estimators": 0}]
+    binned = boost.binned_rows(df, FEATS, "y", KEY, "fold", 12)
+    want = [m.scores for models in boost.grow_boosted(*binned, FEATS, params, [0, 1, 2, 3]) for m in models]
+    monkeypatch.setattr(boost, "BLOCK_SUMS", block)
+    got = boost._scores_on_cells(*binned, FEATS, params, [0, 1, 2, 3], 42)
+    assert [len(s) for s in got] == [len(s) for s in want]
+    for a, b in zip(got, want):
+        np.testing.assert_allclose(a, b, rtol=1e-9)

@@ -8,7 +8,8 @@ picks its split; the driver sees one row for each open node, ``models * 2**level
 When a tree is complete its leaf values are added to each row's predictions and the rows are
 written, so no plan grows with the number of trees and a lost executor repeats one level.
 Where the grid of all bins is small (``veld.plans.cells``), one scan adds up the drawn rows of every
-(model, tree) by cell instead, and a task for each model grows its trees on the sums.
+(model, tree) by cell instead, and a task for each model grows its trees on the sums.  A search keeps of
+such models only the held-out errors, and hashes a row once a tree for all candidates and folds.
 
 Squared error, so a row's gradient is prediction - label and its Hessian 1.  With G and H the
 sums of a node, T the soft threshold by ``reg_alpha``:
@@ -50,6 +51,8 @@ DEFAULTS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3, "gamma":
 MAX_BINS = 64
 #: Cells (count and sum) that a task holds at once.
 MAX_CELLS = 4_000_000
+#: In a search: sums of a batch that a task sends, and of a block of trees of all trials.
+BLOCK_CELLS, BLOCK_SUMS = 1 << 20, 48_000_000
 
 
 @dataclass
@@ -142,23 +145,39 @@ def _soft(g: np.ndarray, alpha: float) -> np.ndarray:
     return np.sign(g) * np.maximum(np.abs(g) - alpha, 0.0)
 
 
-def best_split(hist: np.ndarray, params: dict, allowed: Sequence[int]) -> tuple:
-    """``(feature, cut, gain, G, H, GL, HL)`` of a node from its (2, feature, bin) histogram."""
+def best_splits(hist: np.ndarray, params: dict, allowed: np.ndarray) -> tuple:
+    """Arrays ``(feature, cut, gain, G, H, GL, HL)`` of nodes from their (2, node, feature, bin) histograms;
+    ``allowed`` says which features each node may use, feature -1 that it has no split."""
     g, h = hist
-    total_g, total_h = float(g[0].sum()), float(h[0].sum())
+    total_g, total_h = g[:, 0].sum(axis=1)[:, None, None], h[:, 0].sum(axis=1)[:, None, None]
     alpha, lam = params["reg_alpha"], params["reg_lambda"]
     score = lambda a, b: _soft(a, alpha) ** 2 / np.maximum(b + lam, 1e-300)
-    gl, hl = np.cumsum(g, axis=1)[:, :-1], np.cumsum(h, axis=1)[:, :-1]
-    gain = 0.5 * (score(gl, hl) + score(total_g - gl, total_h - hl) - score(np.float64(total_g), np.float64(total_h))) - params["gamma"]
+    gl, hl = np.cumsum(g, axis=2)[:, :, :-1], np.cumsum(h, axis=2)[:, :, :-1]
+    hr, width = total_h - hl, gl.shape[2]
+    gain = 0.5 * (score(gl, hl) + score(total_g - gl, hr) - score(total_g, total_h)) - params["gamma"]
     least = max(params["min_child_weight"], 1e-9)
-    barred = np.ones(len(g), bool)
-    barred[list(allowed)] = False
-    gain[(hl < least) | (total_h - hl < least) | barred[:, None]] = -np.inf
-    at = int(np.argmax(gain)) if gain.size else -1
-    if at < 0 or not gain.flat[at] > 0:
-        return -1, 0, 0.0, total_g, total_h, 0.0, 0.0
-    f, cut = divmod(at, gain.shape[1])
-    return f, cut, float(gain[f, cut]), total_g, total_h, float(gl[f, cut]), float(hl[f, cut])
+    gain[(hl < least) | (hr < least) | ~allowed[:, :, None]] = -np.inf
+    gain = gain.reshape(len(g), -1)
+    if not gain.size:
+        gain = np.full((len(g), 1), -np.inf)
+    node, at = np.arange(len(g)), np.argmax(gain, axis=1)
+    split = gain[node, at] > 0
+    at[~split] = 0
+    feature, cut = np.divmod(at, max(1, width))
+    left = [np.where(split, x.reshape(len(g), -1)[node, at], 0.0) if width else np.zeros(len(g)) for x in (gl, hl)]
+    return np.where(split, feature, -1), cut, np.where(split, gain[node, at], 0.0), total_g[:, 0, 0], total_h[:, 0, 0], *left
+
+
+def best_split(hist: np.ndarray, params: dict, allowed: Sequence[int]) -> tuple:
+    """``best_splits`` of one node from its (2, feature, bin) histogram."""
+    return tuple(x[0].item() for x in best_splits(hist[:, None], params, _mask([allowed], hist.shape[1])))
+
+
+def _mask(allowed: Sequence[Sequence[int]], p: int) -> np.ndarray:
+    out = np.zeros((len(allowed), p), bool)
+    for row, columns in zip(out, allowed):
+        row[list(columns)] = True
+    return out
 
 
 def _columns_of(model: Booster, number: int, tree: int, seed: int) -> list[int]:
@@ -186,10 +205,17 @@ def hash_rows(key: np.ndarray, salt: str) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def _drawn(key: np.ndarray, share: float, seed: int, number: int, tree: int) -> np.ndarray:
-    if share >= 1.0:
-        return np.ones(len(key), bool)
-    return hash_rows(key, f"{seed}:{number}:{tree}:rows") < np.uint64(int(share * 2.0 ** 64))
+def _row_hash(key: np.ndarray, seed: int, tree: int) -> np.ndarray:
+    """What a tree draws its rows by, the same for all models: the larger of two shares draws the smaller's rows too."""
+    return hash_rows(key, f"{seed}:0:{tree}:rows")
+
+
+def _bound(share: float) -> np.uint64:
+    return np.uint64(int(share * 2.0 ** 64))
+
+
+def _drawn(key: np.ndarray, share: float, seed: int, tree: int) -> np.ndarray:
+    return np.ones(len(key), bool) if share >= 1.0 else _row_hash(key, seed, tree) < _bound(share)
 
 
 def matrix(batch: pa.RecordBatch, name: str) -> np.ndarray:
@@ -217,7 +243,7 @@ def _level(state: DataFrame, models: list[Booster], current: dict[int, Tree], le
                     errors[m] += out.sum(), (gradient[out] ** 2).sum()
                 if m not in current:
                     continue
-                rows = _drawn(key, float(model.params["subsample"]), seed, m, len(model.trees))
+                rows = _drawn(key, float(model.params["subsample"]), seed, len(model.trees))
                 if model.holdout is not None:
                     rows &= fold != model.holdout
                 node = current[m].node_of(binned[rows], level) - first
@@ -258,10 +284,10 @@ def _level(state: DataFrame, models: list[Booster], current: dict[int, Tree], le
         joined, "model int, node int, feature int, cut int, gain double, g double, h double, gl double, hl double").collect()
 
 
-def _leaf(model: Booster, g: float, h: float) -> float:
+def _leaf(model: Booster, g, h):
     p = model.params
     rate = p["learning_rate"] if model.trees or p["first_rate"] is None else p["first_rate"]
-    return float(-rate * _soft(np.float64(g), p["reg_alpha"]) / max(h + p["reg_lambda"], 1e-300))
+    return -rate * _soft(np.asarray(g, np.float64), p["reg_alpha"]) / np.maximum(h + p["reg_lambda"], 1e-300)
 
 
 def _grow(model: Booster, tree: Tree, level: int, splits: list) -> bool:
@@ -341,11 +367,25 @@ def bins_array(x: np.ndarray, cuts: Sequence[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, bins.size + 1, bins.shape[1], dtype=np.int32)), pa.array(bins.ravel()))
 
 
-def binned_rows(data: DataFrame, features: list, label: str, key: Sequence[str], fold: str | None,
+class BinnedOnce:
+    """Rows that ``binned_rows`` bins and writes when first asked, for a search and the fits after it."""
+    def __init__(self, data: DataFrame):
+        self.data, self.kept = data, {}
+
+    def binned(self, features: list, label: str, key: Sequence[str], *how) -> tuple:
+        asked = (tuple(features), label, tuple(key), *how)
+        if asked not in self.kept:
+            self.kept[asked] = binned_rows(self.data, features, label, key, *how)
+        return self.kept[asked]
+
+
+def binned_rows(data: DataFrame | BinnedOnce, features: list, label: str, key: Sequence[str], fold: str | None,
                 max_bins: int, by_value: bool = False) -> tuple[DataFrame, list, int, dict]:
-    """Written rows (key, fold, y, bins), each feature's cuts, the number of bins, and count and mean by fold.
+    """Written rows (key, fold, y, bins), each feature's cuts, the number of bins, and count, mean and variance by fold.
     ``by_value`` cuts a feature of at most ``max_bins`` values between every two of them.
     Raises where a feature or the label is missing."""
+    if isinstance(data, BinnedOnce):
+        return data.binned(features, label, key, fold, max_bins, by_value)
     names = [f"x{j}" for j in range(len(features))]
     group = F.col(fold).cast("int") if fold else F.lit(0)
     # the rows' plan runs once; the scans that follow read the written columns
@@ -353,7 +393,7 @@ def binned_rows(data: DataFrame, features: list, label: str, key: Sequence[str],
                                    *[F.col(c).cast("double").alias(x) for c, x in zip(features, names)]), "fit-rows")
     gaps = F.count_if(F.col("y").isNull() | F.greatest(*[F.col(x).isNull().cast("int") for x in names], F.lit(0)).cast("boolean"))
     by_fold = {r["k"]: r for r in data.groupBy(F.col("fold").alias("k")).agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("my"),
-                                                                             gaps.alias("gaps")).collect()}
+                                                                             F.var_pop("y").alias("v"), gaps.alias("gaps")).collect()}
     if not by_fold or any(r["gaps"] for r in by_fold.values()):
         raise ValueError("no rows to fit" if not by_fold else "rows lack a feature or the label: fill or drop them first")
     cuts = cuts_of(data, names, max_bins, by_value, list(by_fold))[None]
@@ -386,7 +426,7 @@ def _cell_sums(rows: DataFrame, models: list[Booster], trees: dict[int, range],
                     c, v, ids = cell[~out], y[~out], key[~out]
                 for m, t in sums:
                     if models[m].holdout == k:
-                        drawn = _drawn(ids, float(models[m].params["subsample"]), seed, m, t)
+                        drawn = _drawn(ids, float(models[m].params["subsample"]), seed, t)
                         sums[m, t][0] += np.bincount(c[drawn], minlength=n)
                         sums[m, t][1] += np.bincount(c[drawn], v[drawn], n)
         found = [(m, t, s) for (m, t), s in sums.items()] + [(m, -1, held[models[m].holdout]) for m in trees if models[m].holdout is not None]
@@ -398,28 +438,36 @@ def _cell_sums(rows: DataFrame, models: list[Booster], trees: dict[int, range],
     return rows.mapInArrow(run, "model int, tree int, sums binary")
 
 
-def _cell_tree(model: Booster, number: int, pred: np.ndarray, sums: np.ndarray | None, binned: np.ndarray, bins: int, seed: int) -> Tree:
-    """The next tree of a model from its drawn rows' counts and label sums by cell."""
+def _cell_tree(model: Booster, number: int, pred: np.ndarray, sums: np.ndarray | None, binned: np.ndarray, bins: int, seed: int
+               ) -> tuple[Tree, np.ndarray]:
+    """The next tree of a model from its drawn rows' counts and label sums by cell, and its value in each cell."""
     tree, p = Tree.empty(model.depth), binned.shape[1]
+    node, rows = np.zeros(len(binned), np.int64), np.arange(len(binned))
     if sums is None:
-        return tree
-    there = np.flatnonzero(sums[0])
-    count, gradient, binned = sums[0, there], (sums[0] * pred - sums[1])[there], binned[there]
+        return tree, tree.value[node]
+    gradient, drawn, at = sums[0] * pred - sums[1], sums[0] > 0, binned + bins * np.arange(p)
     allowed = _columns_of(model, number, len(model.trees), seed)
     level, goes_on = 0, True
     while goes_on:
-        first, width = 2 ** level - 1, 2 ** level
-        node = tree.node_of(binned, level) - first
-        on = node >= 0
-        at = ((node[on, None] * p + np.arange(p)) * bins + binned[on]).ravel()
-        hist = np.stack([np.bincount(at, np.repeat(x[on], p), width * p * bins) for x in (gradient, count)]).reshape(2, width, p, bins)
-        splits = [dict(zip(("node", "feature", "cut", "gain", "g", "h", "gl", "hl"),
-                           (first + k, *best_split(np.ascontiguousarray(hist[:, k]), model.params,
-                                                   _node_columns(model, number, int(first + k), allowed, seed)))))
-                  for k in np.flatnonzero(hist[1].any(axis=(1, 2)))]
-        goes_on = _grow(model, tree, level, splits)
+        first = 2 ** level - 1
+        on = np.flatnonzero(drawn & (node >= first))
+        there = np.bincount(node[on] - first, minlength=first + 1) > 0
+        nodes, slot = first + np.flatnonzero(there), (np.cumsum(there) - 1)[node[on] - first]
+        into = (slot[:, None] * (p * bins) + at[on]).ravel()
+        hist = np.stack([np.bincount(into, np.repeat(x[on], p), len(nodes) * p * bins) for x in (gradient, sums[0])]).reshape(2, -1, p, bins)
+        mask = _mask([_node_columns(model, number, k, allowed, seed) for k in nodes.tolist()] if model.params["colsample_bynode"] < 1.0 else [allowed], p)
+        feature, cut, gain, g, h, gl, hl = best_splits(hist, model.params, mask)
+        tree.value[nodes] = _leaf(model, g, h)
+        split = feature >= 0
+        parents = nodes[split]
+        tree.feature[parents], tree.cut[parents], tree.gain[parents] = feature[split], cut[split], gain[split]
+        for child, a, b in ((2 * parents + 1, gl, hl), (2 * parents + 2, g - gl, h - hl)):
+            tree.value[child] = _leaf(model, a[split], b[split])
+        f = tree.feature[node]
+        node = np.where(f >= 0, 2 * node + 1 + (binned[rows, f] > tree.cut[node]), node)
         level += 1
-    return tree
+        goes_on = bool(split.any()) and level < model.depth
+    return tree, tree.value[node]
 
 
 def _grow_on_cells(rows: DataFrame, models: list[Booster], sizes: tuple, bins: int, center: float, seed: int) -> None:
@@ -451,8 +499,8 @@ def _grow_on_cells(rows: DataFrame, models: list[Booster], sizes: tuple, bins: i
                 seen(-1, Tree.empty(0))
             for t in trees[m]:
                 if model.growing():
-                    tree = _cell_tree(model, m, pred, sums[t].reshape(2, -1) if t in sums else None, binned, bins, seed)
-                    pred += tree.value[tree.node_of(binned, model.depth)]
+                    tree, values = _cell_tree(model, m, pred, sums[t].reshape(2, -1) if t in sums else None, binned, bins, seed)
+                    pred += values
                     model.trees.append(tree)
                     seen(t, tree)
             yield pa.RecordBatch.from_pylist(out, schema=types)
@@ -473,31 +521,43 @@ def _grow_on_cells(rows: DataFrame, models: list[Booster], sizes: tuple, bins: i
             models[m].trees += [Tree.empty(models[m].depth) for _ in trees[m]]
 
 
-def fit_boosted(data: DataFrame, features: Sequence[str], label: str, key: Sequence[str], candidates: Sequence[dict],
+def _known(candidates: Sequence[dict]) -> None:
+    unknown = {k for c in candidates for k in c} - set(DEFAULTS)
+    if unknown:
+        raise ValueError(f"unknown parameters {sorted(unknown)}; known: {sorted(DEFAULTS)}")
+
+
+def fit_boosted(data: DataFrame | BinnedOnce, features: Sequence[str], label: str, key: Sequence[str], candidates: Sequence[dict],
                 fold: str | None = None, holdouts: Sequence[int | None] = (None,), max_bins: int = MAX_BINS,
                 seed: int = 42, by_value: bool = False) -> list[list[Booster]]:
     """A booster for each candidate (outer) and held-out fold (inner; None: all rows), grown together."""
     feats = list(features)
-    unknown = {k for c in candidates for k in c} - set(DEFAULTS)
-    if unknown:
-        raise ValueError(f"unknown parameters {sorted(unknown)}; known: {sorted(DEFAULTS)}")
+    _known(candidates)
     return grow_boosted(*binned_rows(data, feats, label, key, fold, max_bins, by_value), feats, candidates, holdouts, seed)
 
 
-def grow_boosted(rows: DataFrame, cuts: list, bins: int, by_fold: dict, feats: list, candidates: Sequence[dict],
-                 holdouts: Sequence[int | None] = (None,), seed: int = 42) -> list[list[Booster]]:
-    """``fit_boosted`` on rows binned before."""
+def _models(cuts: list, by_fold: dict, feats: list, candidates: Sequence[dict], holdouts: Sequence[int | None]) -> list[Booster]:
     models = []
     for params in candidates:
         for holdout in holdouts:
             train = [r for k, r in by_fold.items() if k != holdout]
             base = sum(r["n"] * r["my"] for r in train) / sum(r["n"] for r in train)
             models.append(Booster(DEFAULTS | dict(params), feats, cuts, float(base), holdout))
+    return models
+
+
+def _center(by_fold: dict) -> float:
+    return sum(r["n"] * r["my"] for r in by_fold.values()) / sum(r["n"] for r in by_fold.values())
+
+
+def grow_boosted(rows: DataFrame, cuts: list, bins: int, by_fold: dict, feats: list, candidates: Sequence[dict],
+                 holdouts: Sequence[int | None] = (None,), seed: int = 42) -> list[list[Booster]]:
+    """``fit_boosted`` on rows binned before."""
+    models = _models(cuts, by_fold, feats, candidates, holdouts)
     per = len(holdouts)
     sizes = cells.grid_of(cuts)
     if sizes:
-        center = sum(r["n"] * r["my"] for r in by_fold.values()) / sum(r["n"] for r in by_fold.values())
-        _grow_on_cells(rows, models, sizes, bins, center, seed)
+        _grow_on_cells(rows, models, sizes, bins, _center(by_fold), seed)
         return [models[i:i + per] for i in range(0, len(models), per)]
     state = rows.withColumn("pred", F.array(*[F.lit(m.base) for m in models]))
     while True:
@@ -522,6 +582,129 @@ def grow_boosted(rows: DataFrame, cuts: list, bins: int, by_fold: dict, feats: l
     return [models[i:i + per] for i in range(0, len(models), per)]
 
 
+def _slot_sums(rows: DataFrame, trees: range, shares: dict[int, float], seed: int) -> DataFrame:
+    """One scan: ``(trial, slots, counts, sums)`` of each trial's drawn rows by slot, tree after tree.  A row is
+    hashed once for a tree, whatever the trials: its hash lies between two of the sorted bounds, and a trial's
+    sums are those of all rows below its bound.  Rows come sorted by slot, so a task has few slots."""
+    whole = [t for t, share in shares.items() if share >= 1.0]
+    bounds = np.unique(np.array([_bound(v) for v in shares.values() if v < 1.0], np.uint64))
+    place = {t: len(bounds) if t in whole else int(np.searchsorted(bounds, _bound(v))) for t, v in shares.items()}
+    most = max(1, BLOCK_CELLS // ((len(bounds) + 1) * len(trees)))
+
+    def of_slots(slot: np.ndarray, y: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+        slots, local = np.unique(slot, return_inverse=True)
+        n, kinds = len(slots), len(bounds) + 1
+        counts, sums = np.zeros((kinds, len(trees), n), np.int32), np.zeros((kinds, len(trees), n))
+        for b, t in enumerate(trees):
+            at = np.searchsorted(bounds, _row_hash(key, seed, t), "right") * n + local if len(bounds) else local
+            counts[:, b] = np.cumsum(np.bincount(at, minlength=kinds * n).reshape(kinds, n), axis=0)
+            sums[:, b] = np.cumsum(np.bincount(at, y, kinds * n).reshape(kinds, n), axis=0)
+        slots = slots.astype(np.int32).tobytes()
+        return pa.RecordBatch.from_pydict({
+            "trial": pa.array(list(place), pa.int32()), "slots": pa.array([slots] * len(place), pa.binary()),
+            "counts": pa.array([counts[k].tobytes() for k in place.values()], pa.binary()),
+            "sums": pa.array([sums[k].tobytes() for k in place.values()], pa.binary())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for slot, y, key in cells.columns_of(batches, ("slot", "y", "key")):
+            order = np.argsort(slot, kind="stable")
+            slot, y, key = slot[order], y[order], key[order]
+            starts = np.flatnonzero(np.diff(slot, prepend=-1))[::most].tolist()
+            for a, b in zip(starts, [*starts[1:], len(slot)]):
+                yield of_slots(slot[a:b], y[a:b], key[a:b])
+
+    return rows.mapInArrow(run, "trial int, slots binary, counts binary, sums binary")
+
+
+def _scores_on_cells(rows: DataFrame, cuts: list, bins: int, by_fold: dict, feats: list, candidates: Sequence[dict],
+                     holdouts: Sequence[int], seed: int) -> list[list[float]]:
+    """The held-out errors of every (candidate, fold), as ``grow_boosted`` gives them; the trees stay in the tasks.
+    A scan serves a block of trees of all models; a task grows those of one candidate on all folds from the drawn rows' sums
+    by slot (fold, cell).  Between blocks the models are their predictions by cell, written beside the errors."""
+    sizes, folds, center = cells.grid_of(cuts), sorted(by_fold), _center(by_fold)
+    n, models, per = math.prod(sizes), _models(cuts, by_fold, feats, candidates, holdouts), len(holdouts)
+    strides = [math.prod(sizes[j + 1:]) for j in range(len(sizes))]
+    cell = reduce(lambda a, b: a + b, [F.col("bins")[j] * k for j, k in enumerate(strides)])
+    fold = (F.array_position(F.array(*[F.lit(k) for k in folds]), F.col("fold")) - 1).cast("int")
+    rows = rows.select((fold * n + cell).alias("slot"), (F.col("y") - center).alias("y"), "key")
+    rows = materialize(rows.repartitionByRange("slot", "key").sortWithinPartitions("slot"), "search-rows")
+    y = F.col("y")
+    total = rows.groupBy("slot").agg(F.count(y).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q")).toArrow()
+    slot = total["slot"].to_numpy()
+    there = np.unique(slot % n)                     # the cells that have rows
+    place = lambda slot: slot // n * len(there) + np.searchsorted(there, slot % n)
+    held = np.zeros((3, len(folds) * len(there)))
+    for power, c in enumerate("nsq"):
+        held[power, place(slot)] = total[c].to_numpy()
+    held = held.reshape(3, len(folds), -1)
+
+    def error(model: Booster, pred: np.ndarray) -> float:
+        count, s, q = held[:, folds.index(model.holdout)]
+        return math.sqrt(max(0.0, float((count * pred ** 2 - 2 * s * pred + q).sum())) / float(count.sum()))
+
+    for model in models:
+        model.score_seen(error(model, np.full(len(there), model.base - center)))
+    binned, state, done = cells.bins_of(sizes, there), None, 0
+    fields = "trial int, model int, scores array<double>, pred binary"
+
+    while growing := sorted({m // per for m, model in enumerate(models) if model.growing()}):
+        size = len(growing) * len(folds) * len(there)
+        last = max(int(models[t * per].params["n_estimators"]) for t in growing)
+        trees = range(done, min(last, done + max(1, BLOCK_SUMS // size)))
+        going = {m: replace(models[m], trees=[None] * done, scores=list(models[m].scores)) for m in range(len(models)) if models[m].growing()}
+
+        def grow(batches: Iterator[pa.RecordBatch], trees=trees, going=going) -> Iterator[pa.RecordBatch]:
+            def of_trial(t: int, sums: np.ndarray, preds: dict) -> pa.RecordBatch:
+                out = []
+                for m in range(t * per, t * per + per):
+                    if m not in going:
+                        continue
+                    model = replace(going[m], trees=list(going[m].trees), scores=list(going[m].scores))
+                    pred, seen = preds.get(m, np.full(len(there), model.base - center)), len(model.scores)
+                    inside = [f for f, k in enumerate(folds) if k != model.holdout]
+                    for b in range(len(trees)):
+                        if not model.growing():
+                            break
+                        drawn = sums[:, b, inside].sum(axis=1)
+                        _, values = _cell_tree(model, m, pred, drawn if drawn[0].any() else None, binned, bins, seed)
+                        pred = pred + values
+                        model.trees.append(None)
+                        model.score_seen(error(model, pred))
+                    out.append({"trial": t, "model": m, "scores": model.scores[seen:], "pred": pred.tobytes()})
+                return pa.RecordBatch.from_pylist(out, schema=pa.schema([("trial", pa.int32()), ("model", pa.int32()), ("scores", pa.list_(pa.float64())), ("pred", pa.binary())]))
+
+            now, sums, preds = None, None, {}
+            for batch in batches:
+                for t, model, pred, slots, counts, parts in zip(*(batch.column(c) for c in ("trial", "model", "pred", "slots", "counts", "sums"))):
+                    if t.as_py() != now:
+                        if now is not None:
+                            yield of_trial(now, sums.reshape(2, len(trees), len(folds), -1), preds)
+                        now, sums, preds = t.as_py(), np.zeros((2, len(trees), len(folds) * len(there))), {}
+                    if model.as_py() is not None:
+                        preds[model.as_py()] = np.frombuffer(pred.as_buffer())
+                    else:
+                        at = place(np.frombuffer(slots.as_buffer(), np.int32))
+                        sums[0][:, at] += np.frombuffer(counts.as_buffer(), np.int32).reshape(len(trees), -1)
+                        sums[1][:, at] += np.frombuffer(parts.as_buffer()).reshape(len(trees), -1)
+            if now is not None:
+                yield of_trial(now, sums.reshape(2, len(trees), len(folds), -1), preds)
+
+        parts = _slot_sums(rows, trees, {t: float(models[t * per].params["subsample"]) for t in growing}, seed)
+        if state is not None:
+            parts = parts.unionByName(state.where(F.col("trial").isin(growing)).select("trial", "model", "pred"), allowMissingColumns=True)
+        else:
+            parts = parts.select("*", F.lit(None).cast("int").alias("model"), F.lit(None).cast("binary").alias("pred"))
+        # partitions of their own number: by size they would be few, and the growth is the work
+        grown = parts.repartition(max(8, 2 * len(growing)), "trial").sortWithinPartitions("trial").mapInArrow(grow, fields)
+        state = materialize(grown, "search-models")
+        for r in state.select("model", "scores").collect():
+            models[r["model"]].trees += [None] * len(r["scores"])
+            for score in r["scores"]:
+                models[r["model"]].score_seen(score)
+        done = trees.stop
+    return [model.scores for model in models]
+
+
 #: The ranges that the reference's trials draw from.
 SPACE = {"max_depth": ("int", 3, 9), "learning_rate": ("log", 0.01, 0.3), "min_child_weight": ("int", 1, 7),
          "subsample": ("uniform", 0.6, 1.0), "colsample_bytree": ("uniform", 0.6, 1.0), "gamma": ("log", 1e-8, 1.0),
@@ -536,6 +719,7 @@ def boosted_workflow(train: DataFrame, features: Sequence[str], label: str, key:
     fold 0 of the training rows, never on test rows.  With ``batch`` the trials are proposed by the
     Parzen estimator of ``adaptive``, that many grown together; else all are drawn at random and
     grown together."""
+    train = BinnedOnce(train)
     rounds = {"n_estimators": num_boost_round, "early_stopping_rounds": early_stopping_rounds}
     if batch is None:
         trials = [c | rounds for c in sample_continuous(SPACE, n_trials, seed)]
@@ -555,17 +739,24 @@ def boosted_workflow(train: DataFrame, features: Sequence[str], label: str, key:
     return {"search": search, "best": best, "model": model}
 
 
-def boosted_search(data: DataFrame, features: Sequence[str], label: str, key: Sequence[str], candidates: Sequence[dict],
+def boosted_search(data: DataFrame | BinnedOnce, features: Sequence[str], label: str, key: Sequence[str], candidates: Sequence[dict],
                    fold: str = "fold", seed: int = 42) -> DataFrame:
     """``(candidate, params, trees, mean_r2, std_r2)``: each candidate's held-out R^2 over the folds."""
-    y = F.col(label).cast("double")
-    folds = {r["k"]: r["v"] for r in data.groupBy(F.col(fold).alias("k")).agg(F.var_pop(y).alias("v")).collect()}
+    _known(candidates)
+    feats, rows = list(features), []
+    binned, cuts, bins, by_fold = binned_rows(data, feats, label, key, fold, MAX_BINS)
+    folds = {k: r["v"] for k, r in by_fold.items()}
     ks = sorted(folds)
-    rows = []
-    for j, models in enumerate(fit_boosted(data, features, label, key, candidates, fold, ks, seed=seed)):
-        r2 = [1.0 - m.scores[m.best_iteration] ** 2 / folds[m.holdout] if folds[m.holdout] else None for m in models]
+    if cells.grid_of(cuts):
+        scores = _scores_on_cells(binned, cuts, bins, by_fold, feats, candidates, ks, seed)
+    else:
+        scores = [m.scores for models in grow_boosted(binned, cuts, bins, by_fold, feats, candidates, ks, seed) for m in models]
+    for j, params in enumerate(candidates):
+        of_folds = scores[j * len(ks):(j + 1) * len(ks)]
+        best = [int(np.argmin(s)) if params.get("early_stopping_rounds") else len(s) - 1 for s in of_folds]
+        r2 = [1.0 - s[b] ** 2 / folds[k] if folds[k] else None for s, b, k in zip(of_folds, best, ks)]
         whole = None not in r2
-        rows.append((j, {k: str(v) for k, v in candidates[j].items()}, float(np.mean([m.best_iteration for m in models])),
+        rows.append((j, {k: str(v) for k, v in params.items()}, float(np.mean(best)),
                      float(np.mean(r2)) if whole else None, float(np.std(r2)) if whole else None))
-    return data.sparkSession.createDataFrame(
+    return binned.sparkSession.createDataFrame(
         rows, "candidate int, params map<string,string>, trees double, mean_r2 double, std_r2 double")

@@ -577,8 +577,8 @@ def q_boosted_stump(spark, d):
                       r("left", 3).alias("left_value"), r("right", 3).alias("right_value"))
 
 
-#: Trials and rounds of the registered query; the operator's defaults are the reference's 100 and 100.
-WORKFLOW_TRIALS, WORKFLOW_ROUNDS = 4, 8
+#: Trials and rounds of the registered query: the reference's.
+WORKFLOW_TRIALS, WORKFLOW_ROUNDS = 100, 100
 
 
 @query("boosted_workflow")

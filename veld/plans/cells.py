@@ -72,6 +72,20 @@ def runs(batches: Iterator[pa.RecordBatch], sizes: tuple, bins: Callable) -> Ite
         yield tuple(map(np.concatenate, zip(*parts)))
 
 
+def columns_of(batches: Iterator[pa.RecordBatch], names: Sequence[str], least: int = 1 << 18) -> Iterator[tuple]:
+    """These columns, ``least`` rows or more at a time."""
+    parts, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            parts.append(tuple(batch.column(c).to_numpy() for c in names))
+            n += batch.num_rows
+        if n >= least:
+            yield tuple(map(np.concatenate, zip(*parts)))
+            parts, n = [], 0
+    if parts:
+        yield tuple(map(np.concatenate, zip(*parts)))
+
+
 def summed(batches: Iterator[pa.RecordBatch], group: str, number: str) -> Iterator[tuple[int, dict]]:
     """From rows sorted by (group, number): each group with the added ``sums`` of its numbers."""
     now, sums = None, {}
