@@ -68,3 +68,21 @@ def test_order_values_outside_a_fold_are_exact(spark, monkeypatch, by_value, par
         want = exact_quantiles(df if h is None else df.where(F.col("fold") != h), ["x", "z"], probs)
         for c in ("x", "z"):
             np.testing.assert_array_equal(ranks.between(counts[c, h], lambda r: values[c, h, r], probs), want[c])
+
+
+@pytest.mark.parametrize("kind, candidates", [
+    ("random_forest", [{"n_estimators": 3, "max_depth": None, "max_features": "log2"}, {"n_estimators": 5, "max_depth": 2, "min_samples_leaf": 4},
+                       {"n_estimators": 4, "max_depth": 3, "max_features": "all", "bootstrap": False}]),
+    ("gbt", [{"n_estimators": 2, "max_depth": 3, "subsample": 0.6}, {"n_estimators": 4, "max_depth": 2, "subsample": 0.6, "colsample_bytree": 0.5},
+             {"n_estimators": 3, "max_depth": 2}])])
+def test_candidates_that_share_scans_score_as_alone(spark, monkeypatch, kind, candidates):
+    """The sums of a fold's tree serve all candidates; few cells a task mean more scans, not other scores."""
+    from veld.plans import boost, tree_search
+    df = _data(spark)
+    bins = tree_search.FoldBins(df, FEATS, "y", "fold", 3)
+    alone = [[bins.r2(tree_search.make_regressor(kind, label="y", seed=42, **p), i) for i in range(3)] for p in candidates]
+    monkeypatch.setattr(tree_search.FoldBins, "r2", None)
+    monkeypatch.setattr(boost, "MAX_CELLS", 300_000)
+    got = ev.random_search(df, kind, FEATS, "y", candidates).orderBy("candidate").collect()
+    np.testing.assert_allclose([r["mean_r2"] for r in got], [np.mean(r) for r in alone], rtol=1e-9)
+    np.testing.assert_allclose([r["std_r2"] for r in got], [np.std(r) for r in alone], rtol=1e-6)

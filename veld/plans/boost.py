@@ -214,7 +214,7 @@ def _bound(share: float) -> np.uint64:
     return np.uint64(int(share * 2.0 ** 64))
 
 
-def _drawn(key: np.ndarray, share: float, seed: int, tree: int) -> np.ndarray:
+def drawn_rows(key: np.ndarray, share: float, seed: int, tree: int) -> np.ndarray:
     return np.ones(len(key), bool) if share >= 1.0 else _row_hash(key, seed, tree) < _bound(share)
 
 
@@ -243,7 +243,7 @@ def _level(state: DataFrame, models: list[Booster], current: dict[int, Tree], le
                     errors[m] += out.sum(), (gradient[out] ** 2).sum()
                 if m not in current:
                     continue
-                rows = _drawn(key, float(model.params["subsample"]), seed, len(model.trees))
+                rows = drawn_rows(key, float(model.params["subsample"]), seed, len(model.trees))
                 if model.holdout is not None:
                     rows &= fold != model.holdout
                 node = current[m].node_of(binned[rows], level) - first
@@ -426,7 +426,7 @@ def _cell_sums(rows: DataFrame, models: list[Booster], trees: dict[int, range],
                     c, v, ids = cell[~out], y[~out], key[~out]
                 for m, t in sums:
                     if models[m].holdout == k:
-                        drawn = _drawn(ids, float(models[m].params["subsample"]), seed, t)
+                        drawn = drawn_rows(ids, float(models[m].params["subsample"]), seed, t)
                         sums[m, t][0] += np.bincount(c[drawn], minlength=n)
                         sums[m, t][1] += np.bincount(c[drawn], v[drawn], n)
         found = [(m, t, s) for (m, t), s in sums.items()] + [(m, -1, held[models[m].holdout]) for m in trees if models[m].holdout is not None]
@@ -438,7 +438,7 @@ def _cell_sums(rows: DataFrame, models: list[Booster], trees: dict[int, range],
     return rows.mapInArrow(run, "model int, tree int, sums binary")
 
 
-def _cell_tree(model: Booster, number: int, pred: np.ndarray, sums: np.ndarray | None, binned: np.ndarray, bins: int, seed: int
+def cell_tree(model: Booster, number: int, pred: np.ndarray, sums: np.ndarray | None, binned: np.ndarray, bins: int, seed: int
                ) -> tuple[Tree, np.ndarray]:
     """The next tree of a model from its drawn rows' counts and label sums by cell, and its value in each cell."""
     tree, p = Tree.empty(model.depth), binned.shape[1]
@@ -499,7 +499,7 @@ def _grow_on_cells(rows: DataFrame, models: list[Booster], sizes: tuple, bins: i
                 seen(-1, Tree.empty(0))
             for t in trees[m]:
                 if model.growing():
-                    tree, values = _cell_tree(model, m, pred, sums[t].reshape(2, -1) if t in sums else None, binned, bins, seed)
+                    tree, values = cell_tree(model, m, pred, sums[t].reshape(2, -1) if t in sums else None, binned, bins, seed)
                     pred += values
                     model.trees.append(tree)
                     seen(t, tree)
@@ -666,7 +666,7 @@ def _scores_on_cells(rows: DataFrame, cuts: list, bins: int, by_fold: dict, feat
                         if not model.growing():
                             break
                         drawn = sums[:, b, inside].sum(axis=1)
-                        _, values = _cell_tree(model, m, pred, drawn if drawn[0].any() else None, binned, bins, seed)
+                        _, values = cell_tree(model, m, pred, drawn if drawn[0].any() else None, binned, bins, seed)
                         pred = pred + values
                         model.trees.append(None)
                         model.score_seen(error(model, pred))

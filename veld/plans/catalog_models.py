@@ -607,9 +607,8 @@ def q_listing_prep(spark, d):
     return prepare_listings(listings_full(spark, d), lookup_table(lookup_raw(spark, d))).data
 
 
-#: Draws of the registered listing searches: whole for the linear models, whose folds and candidates come
-#: from one scan, one for the tree models; ``train_models`` draws ten of each by default.
-LISTING_DRAWS = {"linear": 10, "ridge": 10, "lasso": 10, "random_forest": 1, "gbt": 1}
+#: Draws of the registered listing searches: the reference's ten of each model.
+LISTING_DRAWS = {"linear": 10, "ridge": 10, "lasso": 10, "random_forest": 10, "gbt": 10}
 
 
 @query("listing_train")

@@ -23,6 +23,7 @@ import math
 import random
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -117,28 +118,40 @@ class Forest:
         return sums.select("n", (1 - F.try_divide("mse", "v")).alias("oob_r2"), F.sqrt("mse").alias("oob_rmse"))
 
 
+@lru_cache(1 << 17)
 def _allowed(p: int, max_features, seed: int, tree: int, node: int) -> list[int]:
     k = {"sqrt": math.sqrt(p), "log2": math.log2(p) if p > 1 else 1, None: p, "all": p}.get(max_features, max_features)
     k = max(1, int(k * p if isinstance(k, float) and max_features not in ("sqrt", "log2") else k))
-    return sorted(random.Random(f"{seed}:{tree}:{node}:features").sample(range(p), min(p, k)))
+    return list(range(p)) if k >= p else sorted(random.Random(f"{seed}:{tree}:{node}:features").sample(range(p), k))
 
 
-def best_cut(hist: np.ndarray, least: float, allowed: Sequence[int]) -> tuple:
-    """``(feature, cut, weight, sum, left weight, left sum)`` by the fall of the sum of squares."""
+def best_cuts(hist: np.ndarray, least: float, allowed: Sequence[Sequence[int]]) -> tuple:
+    """Arrays ``(feature, cut, weight, sum, left weight, left sum)`` of nodes from their (2, node, feature, bin)
+    histograms, by the fall of the sum of squares."""
     w, s = hist
-    weight, total = float(w[0].sum()), float(s[0].sum())
-    lw, ls = np.cumsum(w, axis=1)[:, :-1], np.cumsum(s, axis=1)[:, :-1]
-    rw, rs = weight - lw, total - ls
+    weight, total = w[:, 0].sum(axis=1), s[:, 0].sum(axis=1)
+    lw, ls = np.cumsum(w, axis=2)[:, :, :-1], np.cumsum(s, axis=2)[:, :, :-1]
+    rw, rs = weight[:, None, None] - lw, total[:, None, None] - ls
     with np.errstate(divide="ignore", invalid="ignore"):
-        gain = ls * ls / lw + rs * rs / rw - total * total / weight
-    barred = np.ones(len(w), bool)
-    barred[list(allowed)] = False
-    gain[(lw < least) | (rw < least) | barred[:, None]] = -np.inf
-    at = int(np.argmax(gain)) if gain.size else -1
-    if at < 0 or not gain.flat[at] > 1e-12 * max(1.0, total * total / weight):
-        return -1, 0, weight, total, 0.0, 0.0
-    f, cut = divmod(at, gain.shape[1])
-    return f, cut, weight, total, float(lw[f, cut]), float(ls[f, cut])
+        gain = ls * ls / lw + rs * rs / rw - (total * total / weight)[:, None, None]
+        least_gain = 1e-12 * np.maximum(1.0, total * total / weight)
+    barred = np.ones(w.shape[:2], bool)
+    for row, columns in zip(barred, allowed):
+        row[columns] = False
+    gain[(lw < least) | (rw < least) | barred[:, :, None]] = -np.inf
+    node, gain = np.arange(len(w)), gain.reshape(len(w), -1)
+    if not gain.size:
+        return np.full(len(w), -1), np.zeros(len(w), int), weight, total, np.zeros(len(w)), np.zeros(len(w))
+    at = np.argmax(gain, axis=1)
+    split = gain[node, at] > least_gain
+    feature, cut = np.divmod(np.where(split, at, 0), lw.shape[2])
+    left = [np.where(split, x.reshape(len(w), -1)[node, at], 0.0) for x in (lw, ls)]
+    return np.where(split, feature, -1), cut, weight, total, *left
+
+
+def best_cut(hist: np.ndarray, least: float, allowed: Sequence[int]) -> tuple:
+    """``best_cuts`` of one node from its (2, feature, bin) histogram."""
+    return tuple(x[0].item() for x in best_cuts(hist[:, None], least, [allowed]))
 
 
 def _level(state: DataFrame, trees: dict[int, GrownTree], p: int, bins: int, params: dict, seed: int) -> list:
@@ -211,25 +224,42 @@ def _cell_sums(state: DataFrame, trees: Sequence[int], sizes: tuple, bootstrap:
     return state.mapInArrow(run, "tree int, part int, sums binary")
 
 
-def _cell_tree(number: int, sums: np.ndarray, binned: np.ndarray, bins: int, params: dict, seed: int) -> GrownTree:
-    """A whole tree from its drawn rows' weights and label sums by cell."""
-    tree, p = GrownTree(), binned.shape[1]
-    there = np.flatnonzero(sums[0])
-    (w, s), binned = sums[:, there], binned[there]
-    most = max(1, MAX_CELLS // (p * bins))
-    while tree.open:
-        node, cuts = node_of(tree.arrays(), binned, tree.depth), []
-        for i in range(0, len(tree.open), most):
-            nodes = np.array(tree.open[i:i + most])
-            slot = np.searchsorted(nodes, node)
-            on = nodes[np.minimum(slot, len(nodes) - 1)] == node
-            at = ((slot[on, None] * p + np.arange(p)) * bins + binned[on]).ravel()
-            hist = np.stack([np.bincount(at, np.repeat(x[on], p), len(nodes) * p * bins) for x in (w, s)]).reshape(2, -1, p, bins)
-            cuts += [dict(zip(("node", "feature", "cut", "w", "s", "lw", "ls"), (int(nodes[k]), *best_cut(
-                np.ascontiguousarray(hist[:, k]), params["min_samples_leaf"], _allowed(p, params["max_features"], seed, number, int(nodes[k]))))))
-                for k in np.flatnonzero(hist[0].any(axis=(1, 2)))]
-        _enter(tree, cuts, params)
-    return tree
+def cell_tree(number: int, sums: np.ndarray, binned: np.ndarray, bins: int, params: dict, seed: int) -> tuple[GrownTree, np.ndarray]:
+    """A whole tree from its drawn rows' weights and label sums by cell, and its value in each cell."""
+    p, rows, node = binned.shape[1], np.arange(len(binned)), np.zeros(len(binned), np.int64)
+    at, drawn = binned + bins * np.arange(p), sums[0] > 0
+    feature, cut, left, value, gain = np.array([-1]), np.array([0]), np.array([0]), np.zeros(1), np.zeros(1)
+    opened, depth, most = np.array([0]) if drawn.any() else np.array([], int), 0, max(1, MAX_CELLS // (p * bins))
+    while len(opened):
+        found = []
+        for i in range(0, len(opened), most):
+            nodes = opened[i:i + most]
+            slots = np.full(len(feature), -1)
+            slots[nodes] = np.arange(len(nodes))
+            slot = slots[node]
+            on = np.flatnonzero(drawn & (slot >= 0))
+            into = (slot[on, None] * (p * bins) + at[on]).ravel()
+            hist = np.stack([np.bincount(into, np.repeat(x[on], p), len(nodes) * p * bins) for x in sums]).reshape(2, -1, p, bins)
+            found.append(best_cuts(hist, params["min_samples_leaf"], [_allowed(p, params["max_features"], seed, number, k) for k in nodes.tolist()]))
+        f, c, w, s, lw, ls = (np.concatenate(x) for x in zip(*found))
+        value[opened] = s / w
+        split = (f >= 0) & (w >= params["min_samples_split"])
+        parents, lw, ls, w, s, n = opened[split], lw[split], ls[split], w[split], s[split], len(feature)
+        if not len(parents):
+            break
+        rw, rs = w - lw, s - ls
+        feature[parents], cut[parents], left[parents] = f[split], c[split], n + 2 * np.arange(len(parents))
+        gain[parents] = ls * ls / lw + rs * rs / rw - s * s / w
+        both = np.stack([lw, rw], axis=1).ravel()
+        feature, cut, left, value, gain = (np.concatenate([old, new]) for old, new in (
+            (feature, np.full(len(both), -1)), (cut, np.zeros(len(both), int)), (left, np.zeros(len(both), int)),
+            (value, np.stack([ls / lw, rs / rw], axis=1).ravel()), (gain, np.zeros(len(both)))))
+        of = feature[node]
+        node = np.where(of >= 0, left[node] + (binned[rows, of] > cut[node]), node)
+        depth += 1
+        deeper = params["max_depth"] is None or depth < params["max_depth"]
+        opened = n + np.flatnonzero(deeper & (both >= params["min_samples_split"]) & (both >= 2 * params["min_samples_leaf"]))
+    return GrownTree(feature, cut, left, value, [], depth, gain), value[node]
 
 
 def _grow_on_cells(state: DataFrame, trees: list[GrownTree], sizes: tuple, bins: int, params: dict, seed: int) -> None:
@@ -240,7 +270,7 @@ def _grow_on_cells(state: DataFrame, trees: list[GrownTree], sizes: tuple, bins:
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         binned = cells.bins_of(sizes)
         for m, sums in cells.summed(batches, "tree", "part"):
-            t = _cell_tree(m, sums[0].reshape(2, -1), binned, bins, params, seed)
+            t, _ = cell_tree(m, sums[0].reshape(2, -1), binned, bins, params, seed)
             yield pa.RecordBatch.from_pylist([dict(zip(types.names, (m, t.depth, t.feature, t.cut, t.left, t.value, t.gain)))], schema=types)
 
     most = max(1, MAX_CELLS // math.prod(sizes))

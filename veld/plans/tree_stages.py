@@ -71,18 +71,24 @@ class TreesRegressor(Estimator, _TreeParams, DefaultParamsReadable, DefaultParam
             .select("row", "y", *[F.col("x")[j].alias(x) for j, x in enumerate(names)])
         return self.grown(*boost.binned_rows(rows, names, "y", ["row"], None, MAX_BINS, True))
 
+    def grower_params(self, p: int) -> dict:
+        """The settings as the growers take them for ``p`` features."""
+        settings = json.loads(self.getOrDefault(self.settings))
+        no_split = settings["max_depth"] == 0
+        if self.getOrDefault(self.kind) == "forest":
+            return settings | {"max_features": features_of(settings["max_features"], p), "min_samples_split": math.inf if no_split else 2}
+        rate = settings.pop("learning_rate")
+        return settings | {"learning_rate": 2 * rate, "first_rate": 1.0, "reg_lambda": 0.0, "gamma": math.inf if no_split else 0.0}
+
     def grown(self, state: DataFrame, cuts: list, bins: int, by_fold: dict) -> TreesRegressorModel:
         """The model of rows binned before (``boost.binned_rows``)."""
-        settings, seed, names = json.loads(self.getOrDefault(self.settings)), self.getSeed(), [f"x{j}" for j in range(len(cuts))]
-        no_split = settings["max_depth"] == 0
+        seed, names = self.getSeed(), [f"x{j}" for j in range(len(cuts))]
+        params = self.grower_params(len(names))
         if self.getOrDefault(self.kind) == "forest":
-            settings["max_features"] = features_of(settings["max_features"], len(names))
-            grown = forest.grow_forest(state, cuts, bins, names, **settings, seed=seed, min_samples_split=math.inf if no_split else 2)
+            grown = forest.grow_forest(state, cuts, bins, names, **params, seed=seed)
             trees = [(t.depth, 1.0, *t.arrays(), np.array(t.gain)) for t in grown.trees]
             base, shared = 0.0, 1.0 / len(trees)
         else:
-            rate = settings.pop("learning_rate")
-            params = settings | {"learning_rate": 2 * rate, "first_rate": 1.0, "reg_lambda": 0.0, "gamma": math.inf if no_split else 0.0}
             grown = boost.grow_boosted(state, cuts, bins, by_fold, names, [params], seed=seed)[0][0]
             # the first tree fits the label, the others twice the residual, whose sum of squares falls four times as far
             trees = [(grown.depth, 4.0 if m else 1.0, t.feature, t.cut, 2 * np.arange(len(t.feature)) + 1, t.value, 2 * t.gain)
